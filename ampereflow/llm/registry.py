@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, packing, simhash
+from . import decontaminate, embeddings, lines, packing, secrets, simhash
 from .common import table
 
 
+def op1_leaked_test_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_near_dups(table(spark, sf_dir, "embeddings"))
 
 
+def op7_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
@@ -22,5 +30,9 @@ def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_embedding_near_dups, op8_simhash_near_dups, op9_pack_sequences)}
+def op10_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.repeated_lines(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_leaked_test_items, op2_embedding_near_dups, op7_secret_spans, op8_simhash_near_dups, op9_pack_sequences, op10_repeated_lines)}
 ORACLES: dict[str, str] = {}
