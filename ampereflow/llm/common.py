@@ -22,10 +22,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "part") -> DataFrame:
-    """Write df to the shared folder and read it back: later plans start here, and a lost executor costs no recomputation."""
+def materialize(df: DataFrame, name: str = "part", by: tuple[str, ...] = ()) -> DataFrame:
+    """Write df to the shared folder, partitioned by the columns ``by``, and read it back: later plans start here, and a lost
+    executor costs no recomputation."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

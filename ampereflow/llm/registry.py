@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, lines, packing, quality, secrets, simhash, toxicity
+from . import decontaminate, embeddings, katz, licences, lines, packing, quality, secrets, simhash, toxicity
 from .common import table
 
 
@@ -21,10 +21,18 @@ def op3_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_paragraphs(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -42,5 +50,5 @@ def op10_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.repeated_lines(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_leaked_test_items, op2_embedding_near_dups, op3_quality_scores, op5_toxicity, op7_secret_spans, op8_simhash_near_dups, op9_pack_sequences, op10_repeated_lines)}
+QUERIES = {f.__name__: f for f in (op1_leaked_test_items, op2_embedding_near_dups, op3_quality_scores, op4_katz_scores, op5_toxicity, op6_licence_paragraphs, op7_secret_spans, op8_simhash_near_dups, op9_pack_sequences, op10_repeated_lines)}
 ORACLES: dict[str, str] = {}
