@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 SPAN, STEP = 128, 64  #: words of a passage, words from one passage to the next
 SCORE = 0.5  #: least BM25 score of a passage as a share of the item's score for itself
 QUESTION, ANSWER = 0.5, 0.5  #: least overlaps, of 3-word shingles and of words
-BLOCK = 16  #: postings of a block
+BLOCK = 4  #: items of a block
 SHARD_BYTES = 32_000_000  #: most text of the items in one index; more items make more indexes, searched one after another
 _K1, _B = 1.2, 0.75
 _WORD = re.compile(r"\w+")
@@ -49,7 +49,8 @@ class Bm25Index:
         mean = sum(len(w) for *_, w in self.items) / n or 1
         df = Counter(w for *_, words in self.items for w in set(words))
         idf = {w: math.log(1 + (n - c + 0.5) / (c + 0.5)) for w, c in df.items()}
-        self.postings: dict[str, tuple[list[int], list[float], list[float]]] = {}
+        self.postings: dict[str, tuple[list[int], list[float]]] = {}  # items and impacts
+        self.blocks: dict[str, tuple[np.ndarray, np.ndarray]] = {}  # blocks and the greatest impact in each
         lists = defaultdict(list)
         for at, (*_, words) in enumerate(self.items):
             tf = Counter(words)
@@ -59,54 +60,82 @@ class Bm25Index:
                 lists[w].append((at, x / own))
         for w, posts in lists.items():
             impacts = [x for _, x in posts]
-            self.postings[w] = ([a for a, _ in posts], impacts, [max(impacts[b : b + BLOCK]) for b in range(0, len(impacts), BLOCK)])
-        self.top = {w: max(blocks) for w, (_, _, blocks) in self.postings.items()}
+            blocks = np.array([a // BLOCK for a, _ in posts])
+            ids, first = np.unique(blocks, return_index=True)
+            self.postings[w] = ([a for a, _ in posts], impacts)
+            self.blocks[w] = (ids, np.maximum.reduceat(np.array(impacts), first))
+        self.number = {w: k for k, w in enumerate(self.blocks)}
+        self.n_blocks = -(-len(self.items) // BLOCK)
+        self.at = np.cumsum([0, *(len(b) for b, _ in self.blocks.values())])
+        self.flat_blocks = np.concatenate([b for b, _ in self.blocks.values()] or [np.zeros(0, dtype=np.int64)])
+        self.flat_tops = np.concatenate([t for _, t in self.blocks.values()] or [np.zeros(0)])
         self.parts = [split_item(t) for _, t, _ in self.items]
         self.shingles = [shingles(q) for q, _ in self.parts]
         self.longest = max((len(w) for *_, w in self.items), default=0)
 
     def search(self, words: set[str], least: float = SCORE) -> list[tuple[int, float]]:
-        """All items with a score of at least ``least``, by block-max WAND."""
-        cursors = [[0, w, *self.postings[w]] for w in sorted(words) if w in self.postings]
+        """All items with a score of at least ``least``: blocks of items whose greatest impacts cannot sum to it are passed over
+        at once, the others are walked by WAND."""
+        ids = np.array([self.number[w] for w in words if w in self.number], dtype=np.int64)
+        return self._among(words, self._reach(ids, np.zeros(len(ids), dtype=np.int64), 1)[0], least) if len(ids) else []
+
+    def _among(self, words: set[str], reach: np.ndarray, least: float) -> list[tuple[int, float]]:
+        known = [w for w in words if w in self.number]
+        return [x for block in np.nonzero(reach >= least - 1e-12)[0].tolist() for x in self._walk(known, block, least)]
+
+    def _reach(self, ids: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
+        """For n passages given as pairs of word and passage, each once: the sum of greatest impacts in every block."""
+        sizes = self.at[ids + 1] - self.at[ids]
+        place = np.repeat(self.at[ids] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        cells = np.repeat(passage, sizes) * self.n_blocks + self.flat_blocks[place]
+        return np.bincount(cells, weights=self.flat_tops[place], minlength=n * self.n_blocks).reshape(n, self.n_blocks)
+
+    def _passages(self, words: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+        """(first word, block sums) of the passages with a block that may hold an item, some hundred passages at a time."""
+        get = self.number.get
+        ids = np.array([get(w, -1) for w in words], dtype=np.int64)
+        total = max(1, -(-len(words) // STEP) - SPAN // STEP + 1)
+        slab = max(1, 2_000_000 // max(1, self.n_blocks))
+        for low in range(0, total, slab):
+            high = min(total, low + slab)
+            part = ids[low * STEP : (high - 1) * STEP + SPAN]
+            at = np.nonzero(part >= 0)[0]
+            pairs = [(at // STEP - k) * len(self.number) + part[at] for k in range(SPAN // STEP)]
+            pairs = np.unique(np.concatenate([p[(at // STEP - k >= 0) & (at // STEP - k < high - low)] for k, p in enumerate(pairs)]))
+            reach = self._reach(pairs % len(self.number), pairs // len(self.number), high - low)
+            for k in np.nonzero((reach >= SCORE - 1e-12).any(1))[0].tolist():
+                yield (low + k) * STEP, reach[k]
+
+    def _walk(self, words: list[str], block: int, least: float) -> list[tuple[int, float]]:
+        """WAND over the postings of one block: lists in order of their next item; the pivot is the first list at which the
+        greatest impacts up to it reach ``least``, and no item before the pivot's can."""
+        cursors = []
+        for w in words:
+            items, impacts = self.postings[w]
+            a, b = bisect_left(items, block * BLOCK), bisect_left(items, (block + 1) * BLOCK)
+            if a < b:
+                cursors.append([items[a:b], impacts[a:b], max(impacts[a:b]), 0])
         found = []
         while cursors:
-            cursors.sort(key=lambda c: c[2][c[0]])
+            cursors.sort(key=lambda c: c[0][c[3]])
             bound, pivot = 0.0, None
             for k, c in enumerate(cursors):
-                bound += self.top[c[1]]
+                bound += c[2]
                 if bound >= least - 1e-12:
                     pivot = k
                     break
             if pivot is None:
                 break
-            item = cursors[pivot][2][cursors[pivot][0]]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][2][cursors[pivot + 1][0]] == item:
-                pivot += 1
-            head = cursors[: pivot + 1]
-            near, after = 0.0, []
-            for c in head:  # the blocks in which the item would stand
-                at = bisect_left(c[2], item, c[0])
-                if at < len(c[2]):
-                    block = at // BLOCK
-                    near += c[4][block]
-                    after.append(c[2][min(len(c[2]), (block + 1) * BLOCK) - 1] + 1)
-            if near >= least - 1e-12:
-                score = 0.0
-                for c in head:
-                    c[0] = bisect_left(c[2], item, c[0])
-                    if c[0] < len(c[2]) and c[2][c[0]] == item:
-                        score += c[3][c[0]]
-                        c[0] += 1
-                if score >= least - 1e-12:
-                    found.append((item, score))
-            else:  # no item before the nearest block end, or before the next list's item, can reach the bound
-                to = min(after, default=item + 1)
-                if pivot + 1 < len(cursors):
-                    to = min(to, cursors[pivot + 1][2][cursors[pivot + 1][0]])
-                to = max(to, item + 1)
-                for c in head:
-                    c[0] = bisect_left(c[2], to, c[0])
-            cursors = [c for c in cursors if c[0] < len(c[2])]
+            item = cursors[pivot][0][cursors[pivot][3]]
+            score = 0.0
+            for c in cursors:
+                c[3] = bisect_left(c[0], item, c[3])
+                if c[3] < len(c[0]) and c[0][c[3]] == item:
+                    score += c[1][c[3]]
+                    c[3] += 1
+            if score >= least - 1e-12:
+                found.append((item, score))
+            cursors = [c for c in cursors if c[3] < len(c[0])]
         return found
 
     def leaks(self, text: str | None) -> list[dict]:
@@ -114,14 +143,11 @@ class Bm25Index:
         words = words_of(text)
         if not words or not self.items:
             return []
-        get = self.top.get
-        sums = np.add.reduceat(np.array([get(w, 0.0) for w in words]), np.arange(0, len(words), STEP))
-        reach = sums + np.append(sums[1:], 0.0) if len(sums) > 1 else sums
         best: dict[int, tuple[float, int]] = {}
-        for k in np.nonzero(reach >= SCORE - 1e-9)[0].tolist():
-            for item, score in self.search(set(words[k * STEP : k * STEP + SPAN])):
+        for start, reach in self._passages(words):
+            for item, score in self._among(set(words[start : start + SPAN]), reach, SCORE):
                 if score > best.get(item, (0.0, 0))[0]:
-                    best[item] = (score, k * STEP)
+                    best[item] = (score, start)
         out, places = [], None
         for item, (score, at) in sorted(best.items()):
             a, b = max(0, at - self.longest), at + SPAN + self.longest

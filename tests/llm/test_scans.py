@@ -20,7 +20,7 @@ def test_wand_finds_all_above_the_threshold(spark):
         for least in (0.02, 0.05, 0.2, 0.5):
             plain = {}
             for w in words & index.postings.keys():
-                for at, x in zip(*index.postings[w][:2], strict=True):
+                for at, x in zip(*index.postings[w], strict=True):
                     plain[at] = plain.get(at, 0) + x
             assert {k: round(v, 9) for k, v in index.search(words, least)} == {k: round(v, 9) for k, v in plain.items() if v >= least}
 
