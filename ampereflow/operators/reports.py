@@ -32,7 +32,7 @@ def crosstab(df: DataFrame, row: str, col: str, rows, cols) -> DataFrame:
 
 
 def crosstab_wide(df: DataFrame, row: str, col: str, rows, cols) -> DataFrame:
-    got = df.groupBy(row).pivot(col, list(cols)).agg(F.count("*"))
+    got = df.groupBy(row).pivot(col, list(cols)).agg(F.count(F.lit(1)))
     return spine(df, **{row: rows}).join(got, row, "left").na.fill(0)
 
 

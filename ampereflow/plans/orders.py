@@ -81,10 +81,12 @@ def lists(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     states = G.four_state(G.high_value_trajectory(periods), snapshots)
     rows = G.list_base(orders)
     returning = G.returning_hv_flags(G.returning_users(rows), periods, states)
-    found = {"base": rows, "periods": periods, "states": states, "new": G.new_users(rows), "returning": returning, "abnormal": G.recent_abnormal(rows), "main": segments(spark, sf)}
+    found = {"base": rows, "periods": periods, "states": states, "new": G.new_users(rows), "returning": returning, "abnormal": G.recent_abnormal(rows), "main": segments(spark, sf).persist()}
     return found
 
 
 def final(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     x = lists(spark, sf)
-    return G.final_segment(x["main"], x["states"], x["new"], x["returning"], x["abnormal"]), x
+    for k in ("states", "returning", "abnormal"):
+        x[k] = x[k].persist()
+    return G.final_segment(x["main"], x["states"], x["new"], x["returning"], x["abnormal"]).persist(), x
