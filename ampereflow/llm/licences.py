@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -58,6 +60,12 @@ def grams(words: Column, least: int = 1, most: int = GRAMS) -> Column:
     return F.concat(*[of(n) for n in range(least, most + 1)])
 
 
+def _anchors() -> set[str]:
+    """Words of licence names, and long words of licence sentences: every n-gram of the model holds one."""
+    words = lambda texts, least: {w for t in texts for w in re.findall("[a-z0-9]+(?:[.-][a-z0-9]+)*", t.lower()) if len(w) >= least}
+    return {"license", "licence", "licensed"}.union(*[words(names, 3) | words(bodies, 7) for names, bodies in FAMILIES.values()])
+
+
 @dataclass
 class LicenceModel:
     classes: list[str]
@@ -84,7 +92,7 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = materialize(rows.unionAll(plain).select("label", tokens(F.col("line")).alias("words"), (F.pmod(F.xxhash64("line"), F.lit(5)) == 0).alias("apart")).coalesce(1), "licence-rows")
     word_sets = rows.groupBy((F.col("label") > 0).alias("named")).agg(F.array_distinct(F.flatten(F.collect_set("words"))).alias("w"), F.count("*").alias("n"))
     known = {r["named"]: set(r["w"]) for r in word_sets.collect()}
-    telling = sorted(w for w in known[True] if len(w) > 2 and (w not in known.get(False, set()) or w in ("license", "licence", "licensed")))
+    telling = sorted(w for w in _anchors() & known[True] if w not in known.get(False, set()) or w.startswith("licen"))
     held = F.filter(grams(F.col("words")), lambda g: F.arrays_overlap(F.split(g, " "), _literal(telling, "array<string>")))
     share = F.lit(1.0) / F.count("*").over(Window.partitionBy("label"))
     rows = materialize(rows.select("label", "apart", held.alias("grams")).withColumn("share", share).coalesce(1), "licence-grams")
@@ -117,6 +125,7 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         best = max(sorted(counts), key=lambda w: (counts[w] * min(len(w), 7), w))
         cover.append(best)
         left = {g for g in left if best not in g.split(" ")}
+    cover = [w for w in cover if not any(o != w and o in w for o in cover)]  # a word is found wherever a part of it is
     return LicenceModel(classes, bias, weights, temperature, cover)
 
 
@@ -129,9 +138,10 @@ def licence_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     model = model or fit_licences(docs, id_col, text_col)
     k = len(model.classes)
-    low = F.lower("_text")
-    holds = lambda x: F.exists(_literal(model.cover, "array<string>"), lambda w: F.contains(x, w)) if model.cover else F.lit(False)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(holds(low))
+    holds = lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(w)) for w in model.cover], F.lit(False))
+    # the lower-cased text is generated, so that it is made once and not once for each word that is looked for
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    rows = rows.select("_id", "_text", F.explode(F.array(F.lower("_text"))).alias("_low")).where(holds(F.col("_low")))
     lines = F.filter(F.transform(F.split("_text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("body"))), lambda s: holds(F.lower(s["body"])))
     rows = rows.select("_id", "_text", F.explode(lines).alias("s")).select("_id", "s.line", "s.body", F.when(F.col("s.line") > 0, F.length(F.expr("substring_index(_text, '\\n', s.line)")) + 1).otherwise(0).alias("start"))
     rows = rows.withColumn("words", tokens(F.col("body")))
