@@ -50,6 +50,11 @@ def safe_divide(a: Column, b: Column, default: float | None = None) -> Column:
     return out if default is None else F.coalesce(out, F.lit(default))
 
 
+def round_n(x: Column | str, places: int) -> Column:
+    """Half up on decimals, so that a tie does not hang on the last bit of a double."""
+    return F.round((F.col(x) if isinstance(x, str) else x).cast("decimal(38,12)"), places).cast("double")
+
+
 def clean_text(x: Column, default: str = "") -> Column:
     text = F.trim(x.cast("string"))
     return F.when(text.isNull() | text.isin("", "nan", "NaN"), F.lit(default)).otherwise(text)
@@ -115,7 +120,7 @@ def hour_label(ts: Column) -> Column:
 
 def normalize_period(text: Column) -> Column:
     digits = F.regexp_extract(F.coalesce(text, F.lit("")), r"(?:^|[^0-9])(\d{1,2})", 1)
-    h = F.lpad(F.least(F.greatest(F.nullif(digits, F.lit("")).cast("int"), F.lit(0)), F.lit(23)).cast("string"), 2, "0")
+    h = F.lpad(clamp(F.nullif(digits, F.lit("")).cast("int"), 0, 23).cast("string"), 2, "0")
     return F.coalesce(F.concat(h, F.lit(":00-"), h, F.lit(":59")), F.lit(V.UNKNOWN))
 
 
@@ -176,7 +181,7 @@ def energy_duration_type(minutes: Column, kwh: Column) -> Column:
 
 
 def clamp(x: Column, low: float, high: float) -> Column:
-    return F.greatest(F.least(x, F.lit(high)), F.lit(low))
+    return F.when(x.isNotNull(), F.greatest(F.least(x, F.lit(high)), F.lit(low)))
 
 
 # ---- scores and labels

@@ -62,7 +62,7 @@ def with_tou_seconds(orders: DataFrame) -> DataFrame:
 def tou_allocate(orders: DataFrame, kwh: str = "energy_kwh") -> DataFrame:
     """Splits an order's energy over the segments by seconds; nothing where times are missing, turned round or equal."""
     out = with_tou_seconds(orders).withColumn("_n", S.seconds_between(F.col("start_ts"), F.col("end_ts")))
-    out = out.withColumns({f"{k}_kwh": F.when(F.col("_n") > 0, F.round(zero(kwh) * F.col(f"seconds_{k}") / F.col("_n"), 3)).otherwise(0.0) for k in TOU})
+    out = out.withColumns({f"{k}_kwh": F.when(F.col("_n") > 0, S.round_n(zero(kwh) * F.col(f"seconds_{k}") / F.col("_n"), 3)).otherwise(0.0) for k in TOU})
     return out.drop("_n", *[f"seconds_{k}" for k in TOU])
 
 
@@ -71,12 +71,12 @@ def derive_order_fields(main: DataFrame) -> DataFrame:
     start, end = F.col("start_ts"), F.col("end_ts")
     out = main.withColumns({
         "charge_date": F.to_date(start), "charge_month": F.month(start), "weekday": S.weekday_name(start), "start_hour": F.hour(start), "period": S.rough_period(F.hour(start)),
-        "is_cross_day": S.is_cross_day(start, end), "duration_min": F.round(S.seconds_between(start, end) / 60.0, 3), "energy_kwh": F.round(F.coalesce("kwh", "meter_kwh"), 3),
-        "paid_electric": F.round(zero("paid_ef"), 2), "paid_service": F.round(zero("paid_sf"), 2),
+        "is_cross_day": S.is_cross_day(start, end), "duration_min": S.round_n(S.seconds_between(start, end) / 60.0, 3), "energy_kwh": S.round_n(F.coalesce("kwh", "meter_kwh"), 3),
+        "paid_electric": S.round_n(zero("paid_ef"), 2), "paid_service": S.round_n(zero("paid_sf"), 2),
     })
-    out = tou_allocate(out).withColumn("paid_amount", F.round(F.col("paid_electric") + F.col("paid_service"), 2))
+    out = tou_allocate(out).withColumn("paid_amount", S.round_n(F.col("paid_electric") + F.col("paid_service"), 2))
     discount = F.greatest(zero("coupon_discount") + zero("promotion_discount") + zero("other_discount"), F.greatest(zero("ef") + zero("sf") - F.col("paid_amount"), F.lit(0.0)))
-    out = out.withColumns({"discount_amount": F.round(discount, 2), "used_discount": discount > 0, "end_reason_class": S.classify_end_reason(F.col("end_reason"))})
+    out = out.withColumns({"discount_amount": S.round_n(discount, 2), "used_discount": discount > 0, "end_reason_class": S.classify_end_reason(F.col("end_reason"))})
     return with_ratios(out)
 
 
@@ -84,8 +84,8 @@ def with_ratios(df: DataFrame) -> DataFrame:
     kwh, minutes = F.col("energy_kwh"), F.col("duration_min")
     some = F.when(kwh > 0, kwh)
     return df.withColumns({
-        "duration_bucket": S.duration_bucket_13(minutes), "energy_bucket": S.energy_bucket(kwh), "valley_share": F.round(S.safe_divide(F.col("valley_kwh"), some), 3),
-        "unit_price": F.round(S.safe_divide(F.col("paid_amount"), some), 3), "avg_power_kw": F.round(S.safe_divide(some, F.when(minutes > 0, minutes) / 60), 3),
+        "duration_bucket": S.duration_bucket_13(minutes), "energy_bucket": S.energy_bucket(kwh), "valley_share": S.round_n(S.safe_divide(F.col("valley_kwh"), some), 3),
+        "unit_price": S.round_n(S.safe_divide(F.col("paid_amount"), some), 3), "avg_power_kw": S.round_n(S.safe_divide(some, F.when(minutes > 0, minutes) / 60), 3),
     })
 
 
@@ -106,7 +106,7 @@ def order_sequence(df: DataFrame, rules: V.CleanRules = V.CleanRules(), by_year_
     out = out.withColumn("user_month_seq", F.row_number().over(Window.partitionBy("user_id", "_m", *(["source_table"] if rules.partition_by_source else [])).orderBy("start_ts", "order_id")))
     both = F.col("station_id").isNotNull() & F.col("_s").isNotNull()
     reuse = S.chain([(F.col("user_seq") == 1, "首次充电"), (~both, "站点缺失"), (F.col("station_id") == F.col("_s"), V.YES)], V.NO)
-    out = out.withColumns({"gap_h": F.round(S.seconds_between(F.col("_p"), F.col("start_ts")) / 3600.0, 3), "is_first": F.col("user_seq") == 1, "reuse_station": reuse})
+    out = out.withColumns({"gap_h": S.round_n(S.seconds_between(F.col("_p"), F.col("start_ts")) / 3600.0, 3), "is_first": F.col("user_seq") == 1, "reuse_station": reuse})
     return out.withColumn("gap_bucket", S.interval_bucket(F.col("gap_h"))).drop("_m", "_p", "_s")
 
 
@@ -130,13 +130,13 @@ def merge_restart_orders(numbered: DataFrame) -> DataFrame:
     reasons = [S.join_reasons(F.transform(F.sort_array(F.collect_list(F.struct(at.alias("at"), F.col(c).alias("r")))), lambda x: x["r"])).alias(c) for c in ("end_reason_class", "end_reason")]
     out = numbered.groupBy("user_id", "session_no").agg(
         *first,
-        *[F.round(F.sum(F.col(c).cast("decimal(18,3)")).cast("double"), 3).alias(c) for c in SUMS],
+        *[S.round_n(F.sum(F.col(c).cast("decimal(18,3)")).cast("double"), 3).alias(c) for c in SUMS],
         F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"), F.bool_or("used_discount").alias("used_discount"), F.count("*").alias("raw_orders"), *reasons,
     )
     start, end = F.col("start_ts"), F.col("end_ts")
     out = out.withColumns({
         "charge_date": F.to_date(start), "charge_month": F.month(start), "weekday": S.weekday_name(start), "start_hour": F.hour(start), "period": S.rough_period(F.hour(start)),
-        "is_cross_day": S.is_cross_day(start, end), "duration_min": F.round(S.seconds_between(start, end) / 60.0, 3), "is_merged": F.col("raw_orders") > 1, "abnormal_reason": F.lit(""), "is_valid": F.lit(True),
+        "is_cross_day": S.is_cross_day(start, end), "duration_min": S.round_n(S.seconds_between(start, end) / 60.0, 3), "is_merged": F.col("raw_orders") > 1, "abnormal_reason": F.lit(""), "is_valid": F.lit(True),
     })
     return with_ratios(out)
 
@@ -173,7 +173,7 @@ def field_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     distinct = [F.count_distinct(c).alias(f"d_{c}") for c in columns]
     one = df.agg(F.count("*").alias("n"), *missing, *distinct)
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"m_{c}").alias("missing"), F.col(f"d_{c}").alias("distinct_values")) for c in columns])).alias("x")
-    return one.select("n", rows).select("x.field", "x.missing", F.round(F.coalesce(F.try_divide("x.missing", "n"), F.lit(0.0)), 4).alias("missing_rate"), "x.distinct_values")
+    return one.select("n", rows).select("x.field", "x.missing", S.round_n(F.coalesce(F.try_divide("x.missing", "n"), F.lit(0.0)), 4).alias("missing_rate"), "x.distinct_values")
 
 
 # ---- stations
@@ -224,7 +224,7 @@ def category_share(df: DataFrame, weight: Column | None = None) -> DataFrame:
     got = rows.groupBy("category").agg(F.sum("w").alias("orders"), F.count_distinct("s").alias("stations"))
     spine = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in V.CATEGORIES])).alias("category"))
     out = spine.join(got, "category", "left").na.fill(0, ["orders", "stations"])
-    return out.withColumn("share", F.round(F.coalesce(F.try_divide("orders", F.sum("orders").over(Window.partitionBy())), F.lit(0.0)), 4))
+    return out.withColumn("share", S.round_n(F.coalesce(F.try_divide("orders", F.sum("orders").over(Window.partitionBy())), F.lit(0.0)), 4))
 
 
 def high_frequency_threshold(df: DataFrame, yearly: int = 365) -> DataFrame:

@@ -34,15 +34,15 @@ def order_behavior_base(orders: DataFrame) -> DataFrame:
     start, end, hour = F.col("start_ts"), F.col("end_ts"), F.hour("start_ts")
     rows = rows.withColumns({
         "is_valid": S.is_yes(F.col("is_valid")), "abnormal_reason": S.clean_text(F.col("abnormal_reason")), "end_reason_class": S.clean_text(F.col("end_reason_class"), V.UNKNOWN),
-        "duration_min": F.round(S.seconds_between(start, end) / 60.0, 3), "discount_amount": F.coalesce("discount_amount", F.lit(0.0)),
+        "duration_min": S.round_n(S.seconds_between(start, end) / 60.0, 3), "discount_amount": F.coalesce("discount_amount", F.lit(0.0)),
     })
     minutes, kwh, paid, off = F.col("duration_min"), F.col("energy_kwh"), F.col("paid_amount"), F.col("discount_amount")
     fault = F.col("end_reason_class").isin(V.END_FAULT)
     return rows.select(
         "order_id", "user_id", "start_ts", "end_ts", "station_id", "charger_id", "station_category", "charge_method", "channel", "end_reason_class", "abnormal_reason", "is_valid",
         F.year(start).alias("natural_year"), F.to_date(start).alias("charge_date"), F.month(start).alias("charge_month"), hour.alias("start_hour"), S.weekday_name(start).alias("weekday"), S.hour_label(start).alias("hour_label"),
-        "duration_min", "energy_kwh", "paid_amount", "discount_amount", F.round("valley_share", 4).alias("valley_share"), "gap_h",
-        F.round(S.safe_divide(off, F.coalesce(paid, F.lit(0.0)) + off), 4).alias("discount_share"), F.round(S.safe_divide(paid, F.when(kwh > 0, kwh)), 4).alias("unit_price"), F.round(S.safe_divide(kwh * 60, F.when(minutes > 0, minutes)), 3).alias("power_kw"),
+        "duration_min", "energy_kwh", "paid_amount", "discount_amount", S.round_n("valley_share", 4).alias("valley_share"), "gap_h",
+        S.round_n(S.safe_divide(off, F.coalesce(paid, F.lit(0.0)) + off), 4).alias("discount_share"), S.round_n(S.safe_divide(paid, F.when(kwh > 0, kwh)), 4).alias("unit_price"), S.round_n(S.safe_divide(kwh * 60, F.when(minutes > 0, minutes)), 3).alias("power_kw"),
         S.is_weekend(start).alias("is_weekend"), ((hour >= 18) | (hour <= 5)).alias("is_night"), (hour <= 5).alias("is_small_hours"), S.is_cross_day(start, end).alias("is_cross_day"),
         F.coalesce(minutes <= 30, F.lit(False)).alias("is_short"), F.coalesce(minutes > 240, F.lit(False)).alias("is_long"), F.coalesce(kwh >= 40, F.lit(False)).alias("is_high_energy"), F.coalesce(kwh <= 0, F.lit(False)).alias("is_zero"),
         F.coalesce(F.col("valley_share") >= 0.5, F.lit(False)).alias("valley_order"), (off > 0).alias("used_discount"), (F.col("reuse_station") == V.YES).alias("reused_station"), (~F.col("is_valid")).alias("is_invalid"),
@@ -109,7 +109,7 @@ def time_concentration(base: DataFrame) -> DataFrame:
 def station_top3_detail(base: DataFrame) -> DataFrame:
     ranked = ranked_values(base, {"station": "station_id"}).where("rn <= 3")
     nth = lambda k, e: F.max(F.when(F.col("rn") == k, e))
-    return ranked.groupBy("user_id").agg(*[x for k in (1, 2, 3) for x in (nth(k, F.col("value")).alias(f"station{k}"), nth(k, F.col("n")).alias(f"n{k}"), F.round(nth(k, F.col("n") / F.col("total")), 6).alias(f"share{k}"))])
+    return ranked.groupBy("user_id").agg(*[x for k in (1, 2, 3) for x in (nth(k, F.col("value")).alias(f"station{k}"), nth(k, F.col("n")).alias(f"n{k}"), S.round_n(nth(k, F.col("n") / F.col("total")), 6).alias(f"share{k}"))])
 
 
 def user_wide(orders: DataFrame, days: int = 90) -> DataFrame:
@@ -136,7 +136,7 @@ def rfm_segments(wide: DataFrame, window_days: int = 90) -> DataFrame:
     c = F.col
     out = rfm_scores(wide, window_days=window_days).withColumn("rfm_total", c("r_score") + c("f_score") + c("m_score"))
     out = out.withColumns({
-        "rfm_mean": F.round(c("rfm_total") / 3, 3), "price_level": S.price_sensitivity(c("share_used_discount"), c("avg_valley_share")),
+        "rfm_mean": S.round_n(c("rfm_total") / 3, 3), "price_level": S.price_sensitivity(c("share_used_discount"), c("avg_valley_share")),
         "station_pref": S.station_preference(c("n_orders"), c("station_share1"), c("station_top2"), c("station_top3"), c("station_min2"), c("station_min3"), c("n_stations")),
         "time_pref": S.time_preference(c("n_orders"), c("hour_share1"), c("hour_top2"), c("hour_share2"), c("hour_top3"), c("hour_share3")),
         "risk_level": S.risk_level(c("share_is_risk"), c("share_is_fault_end"), c("share_is_overlong")),
@@ -159,7 +159,7 @@ def final_labels(profile: DataFrame) -> DataFrame:
 
 def label_distribution(segments: DataFrame, labels: tuple[str, ...] = LABELS) -> DataFrame:
     rows = segments.select(*labels).unpivot([], list(labels), "dimension", "label").groupBy("dimension", "label").agg(F.count("*").alias("users"))
-    return rows.withColumn("share", F.round(F.col("users") / F.sum("users").over(Window.partitionBy("dimension")), 4))
+    return rows.withColumn("share", S.round_n(F.col("users") / F.sum("users").over(Window.partitionBy("dimension")), 4))
 
 
 def multi_label_count(segments: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def category_distribution(df: DataFrame, columns: list[str], top: int = 12) -> D
     """Per column the commonest values with count and share."""
     rows = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "field", "value").groupBy("field", "value").agg(F.count("*").alias("n"))
     w = Window.partitionBy("field")
-    rows = rows.select("*", F.round(F.col("n") / F.sum("n").over(w), 4).alias("share"), F.row_number().over(w.orderBy(F.desc("n"), "value")).alias("rank"))
+    rows = rows.select("*", S.round_n(F.col("n") / F.sum("n").over(w), 4).alias("share"), F.row_number().over(w.orderBy(F.desc("n"), "value")).alias("rank"))
     return rows.where(F.col("rank") <= top)
 
 
@@ -205,4 +205,4 @@ def hv_price_behaviour(segments: DataFrame) -> DataFrame:
     """High-value users by coupon use and valley share, in three steps each."""
     step = lambda c: S.chain([(F.col(c) >= 0.5, "高"), (F.col(c) >= 0.2, "中")], "低")
     rows = segments.where(F.col("rfm_type").isin(V.HV_ACTIVE, V.HV_RISK))
-    return rows.groupBy(step("share_used_discount").alias("coupon"), step("avg_valley_share").alias("valley")).agg(F.count("*").alias("users"), F.round(F.avg("avg_kwh"), 4).alias("avg_kwh"))
+    return rows.groupBy(step("share_used_discount").alias("coupon"), step("avg_valley_share").alias("valley")).agg(F.count("*").alias("users"), S.round_n(F.avg("avg_kwh"), 4).alias("avg_kwh"))

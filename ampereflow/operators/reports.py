@@ -13,7 +13,7 @@ from .cleaning import metrics_long
 def valid_orders(orders: DataFrame) -> DataFrame:
     """Valid orders with the columns that the reports group by."""
     rows = orders.where(S.is_yes(F.col("is_valid")))
-    minutes = F.round(S.seconds_between(F.col("start_ts"), F.col("end_ts")) / 60.0, 3)
+    minutes = S.round_n(S.seconds_between(F.col("start_ts"), F.col("end_ts")) / 60.0, 3)
     rows = rows.withColumns({"duration_min": minutes, "start_hour": F.hour("start_ts"), "weekday": S.weekday_name(F.col("start_ts")), "short_period": S.short_period(F.hour("start_ts")), "year": F.year("start_ts")})
     return rows.withColumns({"duration_detail": S.duration_detail_group(F.col("duration_min")), "duration_core": S.duration_core_group(F.col("duration_min")), "energy_type": S.energy_duration_type(F.col("duration_min"), F.col("energy_kwh"))})
 
@@ -75,32 +75,32 @@ def valley_density(df: DataFrame, bins: int = 50, k: int = 200_000) -> DataFrame
     """Density of the valley share per category, over a bounded sample."""
     rows = bounded_random_sample(df.where("valley_share BETWEEN 0 AND 1"), "station_category", "order_id", k)
     rows = rows.groupBy("station_category", F.least(F.floor(F.col("valley_share") * bins), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
-    return rows.withColumn("density", F.round(F.col("n") * bins / F.sum("n").over(Window.partitionBy("station_category")), 6))
+    return rows.withColumn("density", S.round_n(F.col("n") * bins / F.sum("n").over(Window.partitionBy("station_category")), 6))
 
 
 def valley_kde(df: DataFrame, grid: int = 21, bandwidth: float = 0.05) -> DataFrame:
     """Gaussian kernel density on a fixed grid, from counts per hundredth (the rows meet the grid as at most 101 values)."""
-    counts = df.where("valley_share BETWEEN 0 AND 1").groupBy(F.round("valley_share", 2).alias("v")).agg(F.count("*").alias("n"))
+    counts = df.where("valley_share BETWEEN 0 AND 1").groupBy(S.round_n("valley_share", 2).alias("v")).agg(F.count("*").alias("n"))
     points = spine(df, g=range(grid)).select((F.col("g") / (grid - 1)).alias("x"))
     kernel = F.exp(-F.pow((F.col("x") - F.col("v")) / bandwidth, F.lit(2)) / 2)
-    return counts.crossJoin(F.broadcast(points)).groupBy("x").agg(F.round(F.sum(kernel * F.col("n")) / F.sum("n") / (bandwidth * (2 * 3.141592653589793) ** 0.5), 4).alias("density"))
+    return counts.crossJoin(F.broadcast(points)).groupBy("x").agg(S.round_n(F.sum(kernel * F.col("n")) / F.sum("n") / (bandwidth * (2 * 3.141592653589793) ** 0.5), 4).alias("density"))
 
 
 def monthly_quantiles(df: DataFrame) -> DataFrame:
-    return df.groupBy(S.year_month(F.col("start_ts")).alias("month")).agg(F.round(F.percentile("duration_min", 0.5), 4).alias("median_min"), F.round(F.percentile("duration_min", 0.75), 4).alias("p75_min"))
+    return df.groupBy(S.year_month(F.col("start_ts")).alias("month")).agg(S.round_n(F.percentile("duration_min", 0.5), 4).alias("median_min"), S.round_n(F.percentile("duration_min", 0.75), 4).alias("p75_min"))
 
 
 def category_duration_energy(df: DataFrame) -> DataFrame:
-    return df.groupBy("station_category").agg(F.count("*").alias("orders"), F.round(F.median("duration_min"), 4).alias("median_min"), F.round(F.avg(F.col("energy_kwh").cast("decimal(18,3)")).cast("double"), 4).alias("avg_kwh"))
+    return df.groupBy("station_category").agg(F.count("*").alias("orders"), S.round_n(F.median("duration_min"), 4).alias("median_min"), S.round_n(F.avg(F.col("energy_kwh").cast("decimal(18,3)")).cast("double"), 4).alias("avg_kwh"))
 
 
 def category_reuse_rate(sequenced: DataFrame) -> DataFrame:
     rows = sequenced.where(F.col("reuse_station").isin(V.YES, V.NO))
-    return with_total_row(rows, "station_category", F.count("*").alias("orders"), F.round(F.avg((F.col("reuse_station") == V.YES).cast("int")), 6).alias("reuse_rate"))
+    return with_total_row(rows, "station_category", F.count("*").alias("orders"), S.round_n(F.avg((F.col("reuse_station") == V.YES).cast("int")), 6).alias("reuse_rate"))
 
 
 def category_discount_valley(df: DataFrame) -> DataFrame:
-    return with_total_row(df, "station_category", F.count("*").alias("orders"), F.round(F.avg((F.coalesce("discount_amount", F.lit(0.0)) > 0).cast("int")), 6).alias("coupon_rate"), F.round(F.avg((F.coalesce("valley_share", F.lit(0.0)) >= 0.25).cast("int")), 6).alias("valley_rate"))
+    return with_total_row(df, "station_category", F.count("*").alias("orders"), S.round_n(F.avg((F.coalesce("discount_amount", F.lit(0.0)) > 0).cast("int")), 6).alias("coupon_rate"), S.round_n(F.avg((F.coalesce("valley_share", F.lit(0.0)) >= 0.25).cast("int")), 6).alias("valley_rate"))
 
 
 def top_plus_other(df: DataFrame, column: str, n: int = 10) -> DataFrame:
@@ -139,13 +139,13 @@ def monthly_tier_discount(orders: DataFrame) -> DataFrame:
 
 
 def yearly_behaviour(df: DataFrame) -> DataFrame:
-    period = [F.round(F.avg((F.col("short_period") == p).cast("int")), 6).alias(f"share_{k}") for k, p in enumerate(V.SHORT_PERIODS)]
-    return df.groupBy("year").agg(F.count("*").alias("orders"), *period, F.round(F.avg((F.col("discount_amount") > 0).cast("int")), 6).alias("coupon_rate"), F.count_if(F.col("end_reason_class") == V.END_FAULT).alias("fault_orders"))
+    period = [S.round_n(F.avg((F.col("short_period") == p).cast("int")), 6).alias(f"share_{k}") for k, p in enumerate(V.SHORT_PERIODS)]
+    return df.groupBy("year").agg(F.count("*").alias("orders"), *period, S.round_n(F.avg((F.col("discount_amount") > 0).cast("int")), 6).alias("coupon_rate"), F.count_if(F.col("end_reason_class") == V.END_FAULT).alias("fault_orders"))
 
 
 def user_frequency_summary(df: DataFrame, many: int = 500) -> DataFrame:
     per = df.groupBy(F.year("start_ts").alias("year"), "user_id").agg(F.count("*").alias("n"))
-    return per.groupBy("year").agg(F.count("*").alias("users"), F.max("n").alias("most"), F.min("n").alias("least"), F.round(F.avg((F.col("n") >= many).cast("int")), 6).alias("share_many"), F.round(F.avg((F.col("n") == 1).cast("int")), 6).alias("share_once"))
+    return per.groupBy("year").agg(F.count("*").alias("users"), F.max("n").alias("most"), F.min("n").alias("least"), S.round_n(F.avg((F.col("n") >= many).cast("int")), 6).alias("share_many"), S.round_n(F.avg((F.col("n") == 1).cast("int")), 6).alias("share_once"))
 
 
 def clean_assets(station: DataFrame) -> DataFrame:

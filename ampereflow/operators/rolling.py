@@ -191,7 +191,7 @@ def segment_overview(segments: DataFrame, silent: DataFrame) -> DataFrame:
     counts = segments.groupBy("segment_code").agg(F.count("*").alias("users"))
     total = segments.agg(F.greatest(F.count("*"), F.lit(1)).alias("t"))
     out = spine.join(counts, "segment_code", "left").crossJoin(F.broadcast(total)).na.fill(0, ["users"])
-    return out.select("segment_code", "segment", "users", F.round(F.col("users") / F.col("t"), 6).alias("share"))
+    return out.select("segment_code", "segment", "users", S.round_n(F.col("users") / F.col("t"), 6).alias("share"))
 
 
 def segment_checks(segments: DataFrame, states: DataFrame, silent: DataFrame, news: DataFrame, returning: DataFrame, abnormal: DataFrame, detail: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ def segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, places: int = 4) -> DataFrame:
-    return df.select(*[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.select(*[S.round_n(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def stations(spark: SparkSession, sf: str) -> DataFrame:

@@ -55,7 +55,7 @@ add("scalar_time", scalar_time, f"SELECT order_id, {Q.band('hour(start_ts)', V.P
 def scalar_buckets(spark, sf):
     rows = O.valid(spark, sf)
     m, k = F.col("duration_min"), F.col("energy_kwh")
-    return rows.select("order_id", S.duration_bucket_13(m).alias("b13"), S.duration_bucket_3(m).alias("b3"), S.energy_bucket(k).alias("energy"), S.interval_bucket(m / 10).alias("gap"), "duration_detail", "duration_core", "energy_type", S.clamp(m, 10.0, 200.0).alias("clamped"), F.round(S.safe_divide(k, F.col("discount_amount"), 0.0), 4).alias("ratio"), S.month_discount(k * 10).alias("pay_percent"), S.silence_tier(m.cast("int")).alias("tier"))
+    return rows.select("order_id", S.duration_bucket_13(m).alias("b13"), S.duration_bucket_3(m).alias("b3"), S.energy_bucket(k).alias("energy"), S.interval_bucket(m / 10).alias("gap"), "duration_detail", "duration_core", "energy_type", S.clamp(m, 10.0, 200.0).alias("clamped"), S.round_n(S.safe_divide(k, F.col("discount_amount"), 0.0), 4).alias("ratio"), S.month_discount(k * 10).alias("pay_percent"), S.silence_tier(m.cast("int")).alias("tier"))
 
 
 add("scalar_buckets", scalar_buckets, f"SELECT order_id, {Q.duration13('duration_min')} AS b13, CASE WHEN duration_min <= 30 THEN '短时' WHEN duration_min <= 240 THEN '正常' ELSE '超长' END AS b3, {Q.energy('energy_kwh')} AS energy, {Q.gap('(duration_min / 10)')} AS gap, duration_detail, duration_core, energy_type, greatest(least(duration_min, 200.0), 10.0) AS clamped, coalesce({rnd('energy_kwh / nullif(discount_amount, 0)')}, 0.0) AS ratio, CASE WHEN energy_kwh * 10 <= 50 THEN 99 WHEN energy_kwh * 10 <= 100 THEN 95 WHEN energy_kwh * 10 <= 200 THEN 90 WHEN energy_kwh * 10 <= 300 THEN 85 ELSE 80 END AS pay_percent, CASE WHEN trunc(duration_min) BETWEEN 8 AND 15 THEN 1 WHEN trunc(duration_min) BETWEEN 16 AND 30 THEN 2 WHEN trunc(duration_min) BETWEEN 31 AND 60 THEN 3 WHEN trunc(duration_min) BETWEEN 61 AND 90 THEN 4 WHEN trunc(duration_min) BETWEEN 91 AND 180 THEN 5 END AS tier FROM rep")
@@ -89,7 +89,7 @@ add("discard_rules", lambda s, d: O.judged(s, d).select("order_id", "discard_cod
 add("split_main_discard", lambda s, d: C.split_main_discard(O.judged(s, d))[1].groupBy("discard_code", "discard_reason").agg(F.count("*").alias("orders")), f"SELECT discard_code, list_extract([{', '.join(map(q, V.DISCARD_REASONS))}], discard_code) AS discard_reason, count(*) AS orders FROM judged WHERE discard_code > 0 GROUP BY ALL")
 _MAIN = ["order_id", "user_id", "station_id", "start_ts", "end_ts", "duration_min", "energy_kwh", "peak_kwh", "flat_kwh", "valley_kwh", "valley_share", "avg_power_kw", "discount_amount", "used_discount", "end_reason_class"]
 add("derive_order_fields", lambda s, d: O.main(s, d).select(*_MAIN, "weekday", "period", "duration_bucket", "energy_bucket"), f"SELECT {', '.join(_MAIN)}, {Q.weekday('start_ts')} AS weekday, {Q.band('hour(start_ts)', V.PERIODS)} AS period, {Q.duration13('duration_min')} AS duration_bucket, {Q.energy('energy_kwh')} AS energy_bucket FROM main")
-add("tou_allocate", lambda s, d: O.main(s, d).groupBy("charge_date").agg(*[F.round(F.sum(F.col(f"{k}_kwh").cast("decimal(18,3)")).cast("double"), 3).alias(f"{k}_kwh") for k in C.TOU]), "SELECT CAST(start_ts AS DATE) AS charge_date, " + ", ".join(f"CAST(sum(CAST({k}_kwh AS DECIMAL(18,3))) AS DOUBLE) AS {k}_kwh" for k in C.TOU) + " FROM main GROUP BY 1")
+add("tou_allocate", lambda s, d: O.main(s, d).groupBy("charge_date").agg(*[S.round_n(F.sum(F.col(f"{k}_kwh").cast("decimal(18,3)")).cast("double"), 3).alias(f"{k}_kwh") for k in C.TOU]), "SELECT CAST(start_ts AS DATE) AS charge_date, " + ", ".join(f"CAST(sum(CAST({k}_kwh AS DECIMAL(18,3))) AS DOUBLE) AS {k}_kwh" for k in C.TOU) + " FROM main GROUP BY 1")
 add("abnormal_orders", lambda s, d: C.abnormal_orders(O.main(s, d)).select("order_id", "user_id", "end_reason_class"), f"SELECT order_id, user_id, end_reason_class FROM main WHERE end_reason_class IN ({q(V.END_FAULT)}, {q(V.END_OTHER)})")
 add("order_sequence", lambda s, d: C.order_sequence(O.main(s, d)).select("order_id", "user_id", "user_seq", "user_month_seq", "gap_h", "gap_bucket", "is_first", "reuse_station"), f"SELECT order_id, user_id, user_seq, user_month_seq, gap_h, {Q.gap('gap_h')} AS gap_bucket, user_seq = 1 AS is_first, {Q._REUSE} FROM ({Q._SEQ % 'main'})")
 add("restart_sessions", lambda s, d: C.restart_sessions(O.main(s, d)).select("order_id", "user_id", "session_no"), "SELECT order_id, user_id, CAST(session_no AS BIGINT) AS session_no FROM numbered")
@@ -155,7 +155,7 @@ add("station_top3_detail", lambda s, d: O.rounded(P.station_top3_detail(P.valid_
 _SEGC = ["user_id", "r_score", "f_score", "m_score", "r_level", "f_level", "m_level", "rfm_type", "rfm_total", "price_level", "station_pref", "time_pref", "risk_level", "user_labels"]
 add("rfm_segments", lambda s, d: O.segments(s, d).select(*_SEGC, "rfm_mean"), f"SELECT {', '.join(_SEGC)}, {rnd('rfm_total / 3.0', 3)} AS rfm_mean FROM labels")
 add("final_profile", lambda s, d: O.rounded(P.final_labels(P.final_profile(O.segments(s, d)))), "SELECT " + ", ".join(f"{rnd(c)} AS {c}" if c in ("hour_share1", "hour_share2", "hour_share3", "hour_top2", "hour_top3", "sum_kwh", "sum_paid", "share_used_discount") else c for c in dict.fromkeys(P.FINAL)) + " FROM profile")
-add("rfm_type_summary", lambda s, d: O.segments(s, d).groupBy("rfm_type").agg(F.count("*").alias("users"), F.round(F.avg("avg_kwh"), 4).alias("avg_kwh")), f"SELECT rfm_type, count(*) AS users, {rnd('avg(avg_kwh)')} AS avg_kwh FROM labels GROUP BY 1")
+add("rfm_type_summary", lambda s, d: O.segments(s, d).groupBy("rfm_type").agg(F.count("*").alias("users"), S.round_n(F.avg("avg_kwh"), 4).alias("avg_kwh")), f"SELECT rfm_type, count(*) AS users, {rnd('avg(avg_kwh)')} AS avg_kwh FROM labels GROUP BY 1")
 _DIM = lambda labels, source: " UNION ALL ".join(f"SELECT '{c}' AS dimension, {c} AS label, count(*) AS users, {rnd('count(*) / CAST(sum(count(*)) OVER () AS DOUBLE)')} AS share FROM {source} GROUP BY {c}" for c in labels)
 add("label_distribution", lambda s, d: P.label_distribution(O.segments(s, d)), _DIM(P.LABELS, "labels"))
 add("label_reports", lambda s, d: P.label_distribution(O.segments(s, d), (*P.LABELS, "time_pref", "top_hour1", "user_labels")), _DIM((*P.LABELS, "time_pref", "top_hour1", "user_labels"), "labels"))

@@ -183,7 +183,7 @@ BLOCKS = {
     "numbered": "SELECT *, sum(is_new) OVER (PARTITION BY user_id ORDER BY start_ts, end_ts, order_id) AS session_no FROM (SELECT *, CASE WHEN user_id IS NOT NULL AND station_id = lag(station_id) OVER w AND epoch(start_ts) - epoch(lag(end_ts) OVER w) BETWEEN 0 AND 600 THEN 0 ELSE 1 END AS is_new FROM main WINDOW w AS (PARTITION BY user_id ORDER BY start_ts, end_ts, order_id))",
     "sessions0": "SELECT user_id, session_no, arg_min(order_id, (start_ts, end_ts, order_id)) AS order_id, arg_min(station_id, (start_ts, end_ts, order_id)) FILTER (station_id IS NOT NULL) AS station_id, "
     + ", ".join(f"{_DEC(c)} AS {c}" for c in ("energy_kwh", "peak_kwh", "flat_kwh", "valley_kwh", "discount_amount"))
-    + ", min(start_ts) AS start_ts, max(end_ts) AS end_ts, bool_or(used_discount) AS used_discount, count(*) AS raw_orders, list_reduce(list_distinct(list(end_reason_class ORDER BY start_ts, end_ts, order_id)), (a, b) -> a) AS some_class FROM numbered GROUP BY user_id, session_no",
+    + ", min(start_ts) AS start_ts, max(end_ts) AS end_ts, bool_or(used_discount) AS used_discount, count(*) AS raw_orders FROM numbered GROUP BY user_id, session_no",
     "sessions1": f"SELECT *, {_MIN()} AS duration_min, raw_orders > 1 AS is_merged, {rnd('valley_kwh / CASE WHEN energy_kwh > 0 THEN energy_kwh END', 3)} AS valley_share FROM sessions0",
     "sessions": f"SELECT *, {_REUSE}, {gap('gap_h')} AS gap_bucket, user_seq = 1 AS is_first FROM ({_SEQ % 'sessions1'})",
     "daym": f"SELECT *, {_MIN()} AS duration_min, is_valid = {q(V.YES)} AS valid FROM charge_day",
