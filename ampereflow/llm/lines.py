@@ -58,7 +58,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     lines = materialize(rows.mapInPandas(_units(min_words), f"id {id_type}, unit int, start int, end int, n_words int, digest binary"), "lines")
     first = lines.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"), F.max(F.struct("id", "start")).alias("last"), F.count("*").alias("copies"))
-    first = first.where("first <> last").drop("last")
+    # written, so that the join has a shuffle of its own on either side and adaptive execution can split a frequent line's rows
+    first = materialize(first.where("first <> last").drop("last"), "first-lines")
     return (
         lines.join(first, "digest")
         .where("id <> first.id OR start <> first.start")
