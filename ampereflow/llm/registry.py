@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, katz, licences, lines, packing, quality, secrets, simhash, toxicity
+from . import decontaminate, embeddings, katz, licences, lines, oracles, packing, quality, secrets, simhash, toxicity
 from .common import table
 
 
@@ -51,4 +51,4 @@ def op10_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_leaked_test_items, op2_embedding_near_dups, op3_quality_scores, op4_katz_scores, op5_toxicity, op6_licence_paragraphs, op7_secret_spans, op8_simhash_near_dups, op9_pack_sequences, op10_repeated_lines)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_embedding_near_dups": oracles.EMBEDDING_NEAR_DUPS, "op10_repeated_lines": oracles.REPEATED_LINES}
