@@ -55,12 +55,6 @@ def stations(spark: SparkSession, sf: str) -> DataFrame:
     return projection(spark, sf, "station")
 
 
-def with_station(spark: SparkSession, sf: str) -> DataFrame:
-    orders = day(spark, sf).drop("station_category").withColumn("station_id", F.when(F.crc32(F.col("order_id").cast("binary")) % 2 == 0, F.concat(F.lit("u"), "station_id")).otherwise(F.col("station_id")))
-    dims = C.load_station_dims(stations(spark, sf))
-    return C.attach_station(C.resolve_station_id(orders, dims, projection(spark, sf, "bridge")), dims, C.name_category_pick(stations(spark, sf)))
-
-
 def valid(spark: SparkSession, sf: str) -> DataFrame:
     return R.valid_orders(day(spark, sf))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,6 @@ from ..operators import reports as R
 from ..operators import rolling as G
 from ..sources import landing as L
 from ..sources.fixtures import projection
-from ..streaming import streams as X
 from . import orders as O
 from . import sql as Q
 from .sql import oracle, q, rnd
@@ -61,9 +59,7 @@ def scalar_buckets(spark, sf):
 add("scalar_buckets", scalar_buckets, f"SELECT order_id, {Q.duration13('duration_min')} AS b13, CASE WHEN duration_min <= 30 THEN '短时' WHEN duration_min <= 240 THEN '正常' ELSE '超长' END AS b3, {Q.energy('energy_kwh')} AS energy, {Q.gap('(duration_min / 10)')} AS gap, duration_detail, duration_core, energy_type, greatest(least(duration_min, 200.0), 10.0) AS clamped, coalesce({rnd('energy_kwh / nullif(discount_amount, 0)')}, 0.0) AS ratio, CASE WHEN energy_kwh * 10 <= 50 THEN 99 WHEN energy_kwh * 10 <= 100 THEN 95 WHEN energy_kwh * 10 <= 200 THEN 90 WHEN energy_kwh * 10 <= 300 THEN 85 ELSE 80 END AS pay_percent, CASE WHEN trunc(duration_min) BETWEEN 8 AND 15 THEN 1 WHEN trunc(duration_min) BETWEEN 16 AND 30 THEN 2 WHEN trunc(duration_min) BETWEEN 31 AND 60 THEN 3 WHEN trunc(duration_min) BETWEEN 61 AND 90 THEN 4 WHEN trunc(duration_min) BETWEEN 91 AND 180 THEN 5 END AS tier FROM rep")
 
 # ---- sources
-add("canonicalize", lambda s, d: L.canonicalize(projection(s, d, "charge_raw").withColumnRenamed("kwh", "交易电量")).select("order_id", "user_id", "kwh", "paid_ef", "start_time", "user_type"), "SELECT order_id, user_id, CAST(kwh AS VARCHAR) AS kwh, CAST(NULL AS VARCHAR) AS paid_ef, start_time, CAST(NULL AS VARCHAR) AS user_type FROM charge_raw")
-QUERIES["canonicalize"] = lambda s, d: L.canonicalize(projection(s, d, "charge_raw").withColumnRenamed("channel", "订单渠道").withColumn("channel_copy", F.lit(None))).select("order_id", "user_id", "channel", "paid_ef", "start_time", "user_type")
-ORACLES["canonicalize"] = oracle("SELECT order_id, user_id, channel, CAST(NULL AS VARCHAR) AS paid_ef, start_time, CAST(NULL AS VARCHAR) AS user_type FROM charge_raw")
+add("canonicalize", lambda s, d: L.canonicalize(projection(s, d, "charge_raw").withColumnRenamed("channel", "订单渠道").withColumn("channel_copy", F.lit(None))).select("order_id", "user_id", "channel", "paid_ef", "start_time", "user_type"), "SELECT order_id, user_id, channel, CAST(NULL AS VARCHAR) AS paid_ef, start_time, CAST(NULL AS VARCHAR) AS user_type FROM charge_raw")
 add("typed_cast", lambda s, d: O.typed(s, d).select("order_id", "user_id", "station_id", "start_ts", "end_ts", "kwh", "meter_kwh", "ef", "sf"), "SELECT order_id, user_id, station_id, start_ts, end_ts, kwh, meter_kwh, ef, sf FROM typed")
 add("union_years", lambda s, d: L.union_years({y: O.day(s, d).where(F.month("start_ts") % 2 == y % 2).select("order_id", *(["channel"] if y % 2 else [])) for y in (2000, 2001)}), "SELECT order_id, CASE WHEN month(start_ts) % 2 = 1 THEN channel END AS channel, CASE WHEN month(start_ts) % 2 = 1 THEN 2001 ELSE 2000 END AS data_year FROM charge_day")
 add("projected_read", lambda s, d: L.projected_read(O.day(s, d), ["order_id", "energy_kwh"]), "SELECT order_id, energy_kwh FROM charge_day")
@@ -111,8 +107,6 @@ add("high_frequency_threshold", lambda s, d: C.high_frequency_threshold(O.day(s,
 add("high_frequency_exclusion", lambda s, d: C.high_frequency_exclusion(O.day(s, d), 60).groupBy("user_id").agg(F.count("*").alias("orders")), "SELECT user_id, count(*) AS orders FROM charge_day GROUP BY 1 HAVING count(*) <= (SELECT least(60, greatest(1, ceil(60 * (date_diff('day', CAST(min(start_ts) AS DATE), CAST(max(start_ts) AS DATE)) + 1) / 365.0))) FROM charge_day)")
 
 # ---- stations
-_RAWS = "SELECT order_id, start_ts, sid0, coalesce(CASE WHEN k.station_key IS NOT NULL THEN sid0 END, b.station_code, sid0) AS resolved_id FROM (SELECT *, CASE WHEN substr(md5(order_id), 1, 1) = '!' THEN '' ELSE station_id END AS sid0 FROM charge_day) o LEFT JOIN dims k ON sid0 = k.station_key LEFT JOIN bridge b ON sid0 = b.station_uuid"
-
 
 def uuid_orders(s, d):
     """Orders whose even minutes name their station by its uuid."""
