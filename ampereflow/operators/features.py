@@ -54,13 +54,18 @@ def _dec(c: str) -> Column:
     return F.col(c).cast("decimal(18,3)")
 
 
+def _mean(c: str) -> Column:
+    """Mean through decimals: thresholds that it meets exactly do not hang on the order of rows."""
+    return F.try_divide(F.sum(F.col(c).cast("decimal(18,4)")).cast("double"), F.count(c))
+
+
 def user_features(base: DataFrame) -> DataFrame:
     """Aggregates per user: counts, distinct periods, flag sums, sums, means and exact medians."""
     return base.groupBy("user_id").agg(
         F.count("*").alias("n_orders"), F.count_distinct("natural_year").alias("n_years"), F.count_distinct(S.year_month(F.col("start_ts"))).alias("n_months"), F.count_distinct("charge_date").alias("n_days"),
         F.min("start_ts").alias("first_ts"), F.max("start_ts").alias("last_ts"), *[F.count_if(f).alias(f"n_{f}") for f in FLAGS],
-        F.sum(_dec("energy_kwh")).cast("double").alias("sum_kwh"), F.avg("energy_kwh").alias("avg_kwh"), F.median("energy_kwh").alias("median_kwh"),
-        F.avg("duration_min").alias("avg_minutes"), F.median("duration_min").alias("median_minutes"), F.avg("power_kw").alias("avg_power"), F.avg("valley_share").alias("avg_valley_share"),
+        F.sum(_dec("energy_kwh")).cast("double").alias("sum_kwh"), _mean("energy_kwh").alias("avg_kwh"), F.median("energy_kwh").alias("median_kwh"),
+        F.avg("duration_min").alias("avg_minutes"), F.median("duration_min").alias("median_minutes"), F.avg("power_kw").alias("avg_power"), _mean("valley_share").alias("avg_valley_share"),
         F.sum(_dec("paid_amount")).cast("double").alias("sum_paid"), F.avg("paid_amount").alias("avg_paid"), F.avg("unit_price").alias("avg_unit_price"), F.sum(_dec("discount_amount")).cast("double").alias("sum_discount"), F.avg("discount_share").alias("avg_discount_share"),
         F.avg("gap_h").alias("avg_gap_h"), F.median("gap_h").alias("median_gap_h"), F.count("gap_h").alias("n_gaps"),
     )

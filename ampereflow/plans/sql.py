@@ -194,7 +194,7 @@ BLOCKS = {
     "valid": "SELECT * FROM base WHERE trim(coalesce(user_id, '')) <> '' AND valid",
     "features": "SELECT user_id, count(*) AS n_orders, count(DISTINCT year(start_ts)) AS n_years, count(DISTINCT strftime(start_ts, '%Y-%m')) AS n_months, count(DISTINCT CAST(start_ts AS DATE)) AS n_days, min(start_ts) AS first_ts, max(start_ts) AS last_ts, "
     + ", ".join(f"count(*) FILTER ({f}) AS n_{f}" for f in _FLAGS)
-    + f", {_DEC('energy_kwh')} AS sum_kwh, avg(energy_kwh) AS avg_kwh, median(energy_kwh) AS median_kwh, avg(duration_min) AS avg_minutes, median(duration_min) AS median_minutes, avg(power_kw) AS avg_power, avg(valley_share) AS avg_valley_share, {_DEC('paid_amount')} AS sum_paid, avg(paid_amount) AS avg_paid, avg(unit_price) AS avg_unit_price, {_DEC('discount_amount')} AS sum_discount, avg(discount_share) AS avg_discount_share, avg(gap_h) AS avg_gap_h, median(gap_h) AS median_gap_h, count(gap_h) AS n_gaps FROM valid GROUP BY user_id",
+    + f", {_DEC('energy_kwh')} AS sum_kwh, CAST(sum(CAST(energy_kwh AS DECIMAL(18,4))) AS DOUBLE) / count(energy_kwh) AS avg_kwh, median(energy_kwh) AS median_kwh, avg(duration_min) AS avg_minutes, median(duration_min) AS median_minutes, avg(power_kw) AS avg_power, CAST(sum(CAST(valley_share AS DECIMAL(18,4))) AS DOUBLE) / count(valley_share) AS avg_valley_share, {_DEC('paid_amount')} AS sum_paid, avg(paid_amount) AS avg_paid, avg(unit_price) AS avg_unit_price, {_DEC('discount_amount')} AS sum_discount, avg(discount_share) AS avg_discount_share, avg(gap_h) AS avg_gap_h, median(gap_h) AS median_gap_h, count(gap_h) AS n_gaps FROM valid GROUP BY user_id",
     "sample": "SELECT max(start_ts) AS sample_max FROM base",
     "ratios": "SELECT features.*, date_diff('day', CAST(last_ts AS DATE), CAST(sample_max AS DATE)) AS days_since_last, greatest(date_diff('day', CAST(first_ts AS DATE), CAST(sample_max AS DATE)) + 1, 14) AS span_days, CAST(greatest(date_diff('day', CAST(first_ts AS DATE), CAST(sample_max AS DATE)) + 1, 14) AS DOUBLE) / n_orders AS days_per_order, "
     + ", ".join(f"n_{f} / CAST(n_orders AS DOUBLE) AS share_{f}" for f in _FLAGS)
