@@ -255,8 +255,17 @@ def _back_off(group: pd.DataFrame) -> pd.DataFrame:
         need = _unpack_keys(ukeys)
         if len(need):
             doc, at = np.unique(_unpack_ints(udocs, "u4"), return_inverse=True)
-            out.append(pd.DataFrame({"row": (chunk << 24) + doc.astype(np.int64), "part": np.bincount(at, weights=_unpack_ints(utimes, "u4") * weight[np.searchsorted(keys, need)])}))
-    return pd.concat(out) if out else pd.DataFrame({"row": np.zeros(0, dtype=np.int64), "part": np.zeros(0)})
+            sums = np.bincount(at, weights=_unpack_ints(utimes, "u4") * weight[np.searchsorted(keys, need)])
+            out.append({"chunk": chunk, "docs": _pack_ints(doc), "parts": _pack_ints(sums)})
+    return pd.DataFrame(out, columns=["chunk", "docs", "parts"])
+
+
+def _sum_parts(group: pd.DataFrame) -> pd.DataFrame:
+    """What the shards found for a chunk's texts, added up: a row for each text."""
+    docs = np.concatenate([_unpack_ints(b, "u4") for b in group["docs"]]).astype(np.int64)
+    doc, at = np.unique(docs, return_inverse=True)
+    sums = np.bincount(at, weights=np.concatenate([_unpack_ints(b, "f8") for b in group["parts"]]))
+    return pd.DataFrame({"row": (int(group["chunk"].iloc[0]) << 24) + doc, "part": sums})
 
 
 def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held: int = 1) -> DataFrame:
@@ -279,6 +288,6 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     model = Katz(stats[1], stats[2], size["texts"] or 0)
     scored = chunks.groupBy("chunk").cogroup(counts.where("chunk >= 0").drop("stats").groupBy("chunk")).applyInPandas(_score(model, shards), _OUT.format(kind))
     scored = materialize(scored, "scored")
-    parts = scored.where("row IS NULL").select("shard", "chunk", "keys", "mass", "lower", "ukeys", "udocs", "utimes").groupBy("shard").applyInPandas(_back_off, "row long, part double")
-    rows = scored.where("row IS NOT NULL").join(parts.groupBy("row").agg(F.sum("part").alias("part")), "row", "left")
+    parts = scored.where("row IS NULL").select("shard", "chunk", "keys", "mass", "lower", "ukeys", "udocs", "utimes").groupBy("shard").applyInPandas(_back_off, "chunk long, docs binary, parts binary")
+    rows = scored.where("row IS NOT NULL").join(parts.groupBy("chunk").applyInPandas(_sum_parts, "row long, part double"), "row", "left")
     return rows.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", (F.col("seen") + F.coalesce("part", F.lit(0.0))).alias("score"))
