@@ -149,6 +149,6 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     comp = materialize(simhash_components(docs, id_col, text_col, shingle, radius, segments), "components")
     keep = comp.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
     kept = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col, text_col])
-    lone = comp.where(F.col(id_col).isNull() & F.col("component_id").isNull()).limit(1).select(F.lit(True).alias("_any"))
-    nulls = docs.where(F.col(id_col).isNull()).join(F.broadcast(lone), F.lit(True), "left_semi")
-    return kept.unionByName(nulls.dropDuplicates([text_col]))
+    lone = comp.where(F.col(id_col).isNull() & F.col("component_id").isNull()).select(F.col("fp").alias("_fp")).distinct()
+    nulls = with_fingerprint(docs.where(F.col(id_col).isNull()), text_col, shingle, "_fp").join(lone, "_fp", "left_semi")
+    return kept.unionByName(nulls.dropDuplicates(["_fp"]).select(*docs.columns))
