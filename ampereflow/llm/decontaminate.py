@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPAN, STEP = 128, 64  #: words of a passage, words from one passage to the next
+SPAN = 128  #: least words of a passage; passages are twice as long as the items of their index and start every half passage
 SCORE = 0.5  #: least BM25 score of a passage as a share of the item's score for itself
 QUESTION, ANSWER = 0.5, 0.5  #: least overlaps, of 3-word shingles and of words
 BLOCK = 4  #: items of a block
@@ -40,9 +40,13 @@ def shingles(words: list[str], k: int = 3) -> set:
 
 
 class Bm25Index:
-    """Impacts are divided by the item's score for itself: every item has the same threshold, SCORE."""
+    """Impacts are divided by the item's score for itself: every item has the same threshold, SCORE.
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    An item of at most span / 2 words that stands whole in a text stands whole in one of its passages.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], span: int = SPAN) -> None:
+        self.span, self.step = span, span // 2
         self.items = [(i, t, words_of(t)) for i, t in items]
         self.items = [x for x in self.items if x[2]]
         n = max(1, len(self.items))
@@ -94,17 +98,17 @@ class Bm25Index:
         """(first word, block sums) of the passages with a block that may hold an item, some hundred passages at a time."""
         get = self.number.get
         ids = np.array([get(w, -1) for w in words], dtype=np.int64)
-        total = max(1, -(-len(words) // STEP) - SPAN // STEP + 1)
+        total = max(1, -(-len(words) // self.step) - self.span // self.step + 1)
         slab = max(1, 2_000_000 // max(1, self.n_blocks))
         for low in range(0, total, slab):
             high = min(total, low + slab)
-            part = ids[low * STEP : (high - 1) * STEP + SPAN]
+            part = ids[low * self.step : (high - 1) * self.step + self.span]
             at = np.nonzero(part >= 0)[0]
-            pairs = [(at // STEP - k) * len(self.number) + part[at] for k in range(SPAN // STEP)]
-            pairs = np.unique(np.concatenate([p[(at // STEP - k >= 0) & (at // STEP - k < high - low)] for k, p in enumerate(pairs)]))
+            pairs = [(at // self.step - k) * len(self.number) + part[at] for k in range(self.span // self.step)]
+            pairs = np.unique(np.concatenate([p[(at // self.step - k >= 0) & (at // self.step - k < high - low)] for k, p in enumerate(pairs)]))
             reach = self._reach(pairs % len(self.number), pairs // len(self.number), high - low)
             for k in np.nonzero((reach >= SCORE - 1e-12).any(1))[0].tolist():
-                yield (low + k) * STEP, reach[k]
+                yield (low + k) * self.step, reach[k]
 
     def _walk(self, words: list[str], block: int, least: float) -> list[tuple[int, float]]:
         """WAND over the postings of one block: lists in order of their next item; the pivot is the first list at which the
@@ -145,29 +149,39 @@ class Bm25Index:
             return []
         best: dict[int, tuple[float, int]] = {}
         for start, reach in self._passages(words):
-            for item, score in self._among(set(words[start : start + SPAN]), reach, SCORE):
+            for item, score in self._among(set(words[start : start + self.span]), reach, SCORE):
                 if score > best.get(item, (0.0, 0))[0]:
                     best[item] = (score, start)
         out, places = [], None
         for item, (score, at) in sorted(best.items()):
-            a, b = max(0, at - self.longest), at + SPAN + self.longest
+            a, b = max(0, at - self.longest), at + self.span + self.longest
             there, (_, answer) = words[a:b], self.parts[item]
             question = len(self.shingles[item] & shingles(there)) / len(self.shingles[item])
             part = len(set(answer) & set(there)) / len(set(answer))
             if question >= QUESTION and part >= ANSWER:
                 places = places or [m.span() for m in _WORD.finditer(text.lower())]
-                out.append({"item_id": self.items[item][0], "score": score, "question_overlap": question, "answer_overlap": part, "start": places[at][0], "end": places[min(at + SPAN, len(places)) - 1][1]})
+                out.append({"item_id": self.items[item][0], "score": score, "question_overlap": question, "answer_overlap": part, "start": places[at][0], "end": places[min(at + self.span, len(places)) - 1][1]})
         return out
 
 
 def indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> Iterator[Bm25Index]:
-    """Indexes over all items, each of at most shard_bytes of text (or one item): a size that is checked before collecting."""
+    """Indexes over all items, each of at most shard_bytes of text (or one item): a size that is checked before collecting.
+
+    Items of more than SPAN / 2 words go to indexes of their own by length, each class twice as long as the one before.
+    """
     rows = items.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     shards = max(1, -(-2 * total // shard_bytes)) if total > shard_bytes else 1
     for k in range(shards):
         part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == k) if shards > 1 else rows
-        yield Bm25Index(sorted((r["id"], r["text"]) for r in part.collect()))
+        classes: dict[int, list[tuple[int, str]]] = {}
+        for r in sorted((r["id"], r["text"]) for r in part.collect()):
+            span = SPAN
+            while span < 2 * len(words_of(r[1])):
+                span *= 2
+            classes.setdefault(span, []).append(r)
+        for span, found in sorted(classes.items()) or [(SPAN, [])]:
+            yield Bm25Index(found, span)
 
 
 _LEAK = "item_id:long,score:double,question_overlap:double,answer_overlap:double,start:int,end:int"

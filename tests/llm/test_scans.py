@@ -47,6 +47,14 @@ def test_leaks_edge_cases(spark):
     assert len(list(decontaminate.indexes(items, shard_bytes=60))) > 1
 
 
+def test_leaks_of_long_items(spark):
+    item = " ".join(f"w{k}q" for k in range(400)) + "? " + " ".join(f"a{k}z" for k in range(20))
+    rows = [(k, "filler " * n + item + " tail" * 700) for k, n in enumerate((0, 63, 500, 1111))] + [(9, " ".join(item.split()[:100]))]
+    items = spark.createDataFrame([(1, item), (2, "What colour is the zorblax of Quendarvia? Pale vermilion.")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaked_items(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == {(0, 1), (1, 1), (2, 1), (3, 1)}
+
+
 def plain_spans(text):
     out = []
     for kind, pattern, least, group in (("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2), ("access", "AKIA[A-Z0-9]+", 18, 0), ("hex", "[0-9a-f]+", 16, 0)):
