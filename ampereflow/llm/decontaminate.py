@@ -143,25 +143,30 @@ class Bm25Index:
         return found
 
     def leaks(self, text: str | None) -> list[dict]:
-        """The items whose question and answer stand in a text: index, score, overlaps, words and characters of the passage."""
+        """The items whose question and answer stand in a text: id, score, overlaps and characters of the passage. Every passage
+        retrieved is verified; the best-scoring one that passes is reported, the first on a tie."""
         words = words_of(text)
         if not words or not self.items:
             return []
-        best: dict[int, tuple[float, int]] = {}
+        best: dict[int, tuple[float, int, float, float]] = {}
         for start, reach in self._passages(words):
+            there, grams = None, None
             for item, score in self._among(set(words[start : start + self.span]), reach, SCORE):
-                if score > best.get(item, (0.0, 0))[0]:
-                    best[item] = (score, start)
-        out, places = [], None
-        for item, (score, at) in sorted(best.items()):
-            a, b = max(0, at - self.longest), at + self.span + self.longest
-            there, (_, answer) = words[a:b], self.parts[item]
-            question = len(self.shingles[item] & shingles(there)) / len(self.shingles[item])
-            part = len(set(answer) & set(there)) / len(set(answer))
-            if question >= QUESTION and part >= ANSWER:
-                places = places or [m.span() for m in _WORD.finditer(text.lower())]
-                out.append({"item_id": self.items[item][0], "score": score, "question_overlap": question, "answer_overlap": part, "start": places[at][0], "end": places[min(at + self.span, len(places)) - 1][1]})
-        return out
+                if item in best and score <= best[item][0]:
+                    continue
+                if there is None:
+                    near = words[max(0, start - self.longest) : start + self.span + self.longest]
+                    there, grams = set(near), shingles(near)
+                answer = set(self.parts[item][1])
+                question = len(self.shingles[item] & grams) / len(self.shingles[item])
+                part = len(answer & there) / len(answer)
+                if question >= QUESTION and part >= ANSWER:
+                    best[item] = (score, start, question, part)
+        places = [m.span() for m in _WORD.finditer(text.lower())] if best else []
+        return [
+            {"item_id": self.items[item][0], "score": score, "question_overlap": question, "answer_overlap": part, "start": places[at][0], "end": places[min(at + self.span, len(places)) - 1][1]}
+            for item, (score, at, question, part) in sorted(best.items())
+        ]
 
 
 def indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> Iterator[Bm25Index]:

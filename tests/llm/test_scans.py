@@ -55,6 +55,15 @@ def test_leaks_of_long_items(spark):
     assert got == {(0, 1), (1, 1), (2, 1), (3, 1)}
 
 
+def test_leak_after_a_word_list(spark):
+    item = "What colour is the zorblax of Quendarvia when winter comes? It is pale vermilion with stripes."
+    listed = " ".join(sorted(decontaminate.words_of(item)))
+    docs = spark.createDataFrame([(1, listed + " filler" * 600 + " " + item + " tail" * 600), (2, listed + " filler" * 600)], "doc_id long, text string")
+    got = decontaminate.leaked_items(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert [(r["doc_id"], r["item_id"], r["question_overlap"], r["answer_overlap"]) for r in got] == [(1, 7, 1.0, 1.0)]
+    assert got[0]["start"] > len(listed) + 1000
+
+
 def plain_spans(text):
     out = []
     for kind, pattern, least, group in (("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2), ("access", "AKIA[A-Z0-9]+", 18, 0), ("hex", "[0-9a-f]+", 16, 0)):
