@@ -31,7 +31,40 @@ _IDENTIFIER = re.compile(
     r"|(?:sha\d+|md5)-.*",  # integrity strings
     re.IGNORECASE,
 )
-_ADDRESS = re.compile(r"[a-z][a-z0-9+.-]*://\S*$|\S*@$|www\.\S*$", re.IGNORECASE)
+_SLUG = re.compile(r"[a-z0-9]+(?:[_-][a-z0-9]+)*")  # of lower-case letters and digits
+_ADDRESS = re.compile(r"://|(?<![A-Za-z0-9])www\.", re.IGNORECASE)
+_REACH = 4000  #: characters before and after a string in which the address around it is looked for
+
+
+def _mixed(word: str) -> bool:
+    return any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
+
+
+def _address(text: str, s: int) -> int:
+    """Where the address around place s starts, behind its scheme or www., or -1."""
+    low = max(0, s - _REACH)
+    before = text[low : s + 2]  # a string may start with the slashes of its scheme
+    for k in range(min(len(before), s - low) - 1, -1, -1):
+        if before[k].isspace():
+            before, low = before[k + 1 :], low + k + 1
+            break
+    m = _ADDRESS.search(before)
+    return low + m.end() if m and (m[0] != "://" or before[: m.start()][-1:].isalnum()) else -1
+
+
+def _parts(text: str, host: int, s: int, e: int):
+    """(start, end, is a path segment) of the userinfo, path segments and query values between s and e of an address whose host or
+    userinfo starts at ``host``."""
+    at = max(s, host)
+    while at < e:
+        before = text[host:at]
+        query = "?" in before or "#" in before
+        end = next((k for k in range(at, e) if text[k] == "=" and text[k + 1 : e].strip("=") or text[k] == "/" and not query), e)
+        if query or "/" in before:
+            yield at, end, not query
+        elif "@" in re.match(r"[^/?#\s]*", text[end : end + _REACH])[0]:
+            yield at, end, False
+        at = end + 1
 
 
 def spans_of(text: str, encode, ratio: float = RATIO) -> list[tuple[str, int, int]]:
@@ -46,12 +79,19 @@ def spans_of(text: str, encode, ratio: float = RATIO) -> list[tuple[str, int, in
     base = sorted((s, e) for _, s, e in found)
     for m in _TRIED.finditer(text):
         word, (s, e) = m[0], m.span()
-        if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)) or any(a < e and s < b for a, b in base):
+        if not _mixed(word):
             continue
-        if _DIGEST.fullmatch(word) or _IDENTIFIER.fullmatch(word) or _ADDRESS.search(text[max(0, s - 200) : s]):
-            continue
-        if len(word) < ratio * len(encode(word)):
-            found.append(("dense", s, e))
+        host = _address(text, s)
+        if host >= 0:
+            parts = [(a, b) for a, b, segment in _parts(text, host, s, e) if b - a >= LEAST and _mixed(text[a:b]) and not (segment and _SLUG.fullmatch(text, a, b))]
+        else:
+            parts = [] if text[s - 1 : s] == "@" else [(s, e)]
+        for a, b in parts:
+            word = text[a:b]
+            if any(x < b and a < y for x, y in base) or _DIGEST.fullmatch(word) or _IDENTIFIER.fullmatch(word):
+                continue
+            if len(word) < ratio * len(encode(word)):
+                found.append(("dense", a, b))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

@@ -95,6 +95,29 @@ def test_secrets_method_and_edge_cases(spark):
     assert secrets.secret_report(docs.limit(0)).collect() == []
 
 
+def test_secrets_in_addresses(spark):
+    random, other = "q9Zx7Kp2Lm4Vt8Rw3Yb6Nc1Jd5Hf", "Xw3Rt9Lp0Qz5Vb8Nm2Ks7Jd4"
+    found = {
+        f"post https://hooks.example.com/services/T0AB12CD3/B0EF45GH6/{other} now": [other],
+        f"postgres://user:{random}@db-1.example.org/main": [random],
+        f"https://store.example.org/a/file.txt?part=1&sig={random}": [random],
+        f"www.example.org/{random}/{other}?x={random}": [random, other, random],
+        f"http://localhost/{random}": [random],
+        f"https://example.org/{'long-path/' * 60}{random}": [random],
+    }
+    none = [
+        "https://example.org/a1b2c3d4e5f6g7h8i9j0k1",
+        "https://example.org/550e8400-e29b-41d4-a716-446655440000/d41D8cd98f00b204e9800998ECf8427e",
+        "https://example.org/blog/2024-05-17-how-to-cut-10-trees-in-2-days?utm_campaign=spring_sale_2024",
+        f"https://{random}.example.org/ and me@{random}",
+    ]
+    texts = [*found, *none]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r["doc_id"]: [s.split(":") for s in r["spans"].split(",") if s] for r in secrets.secret_report(rows).collect()}
+    got = {k: [texts[k][int(s) : int(e)] for kind, s, e in v if kind == "dense"] for k, v in spans.items()}
+    assert got == dict(enumerate([*found.values(), *([] for _ in none)]))
+
+
 def test_lines_equal_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     first, want, count = {}, {}, Counter()
