@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -115,6 +116,22 @@ def _compare(dim: int, axes: np.ndarray, threshold: float):
     return compare
 
 
+def _links(nodes: DataFrame, dim: int, threshold: float, tile: int) -> DataFrame:
+    """(node, links, root) of the links among nodes (key, vec, label, copies) whose vectors all have dim components."""
+    axes = principal_axes(nodes, dim)
+    tiles = nodes.select("label", F.col("key").alias("node"), "vec", "copies")
+    first = F.expr("aggregate(zip_with(vec, array(%s), (x, y) -> x * y), 0D, (s, x) -> s + x) / sqrt(aggregate(vec, 0D, (s, x) -> s + double(x) * x))" % ", ".join(f"{x!r}D" for x in map(float, axes[:, 0])))
+    tiles = tiles.withColumn("first", first).repartitionByRange("label", "first").sortWithinPartitions("label", "first")
+    tiles = materialize(tiles.drop("first").select("label", "node", "vec", "copies").mapInPandas(_cut(dim, axes, tile), f"label {dict(nodes.dtypes)['label']}, tile long, ids array<long>, copies array<long>, vecs binary, low array<double>, high array<double>"), "tiles")
+    reach = 2 * (1 - threshold) + 1e-9  # squared distance of unit vectors at the threshold
+    box = " + ".join(f"power(greatest(0, a.low[{k}] - b.high[{k}], b.low[{k}] - a.high[{k}]), 2)" for k in range(min(LEAD, dim)))
+    narrow = tiles.select("label", "tile", "low", "high")
+    near = narrow.alias("a").join(narrow.alias("b"), F.expr(f"a.label = b.label AND a.tile <= b.tile AND {box} <= {reach!r}")).select(F.col("a.tile").alias("tile_a"), F.col("b.tile").alias("tile_b"))
+    side = lambda x: tiles.select(F.col("tile").alias(f"tile_{x}"), F.col("ids").alias(f"ids_{x}"), F.col("copies").alias(f"copies_{x}"), F.col("vecs").alias(f"vecs_{x}"))
+    work = near.join(side("a"), "tile_a").join(side("b"), "tile_b").withColumn("same", F.expr("tile_a = tile_b"))
+    return materialize(work.mapInPandas(_compare(dim, axes, threshold), "node long, links long, root long"), "links")
+
+
 def embedding_near_dups(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", tile: int = TILE) -> DataFrame:
     """One row per vector: id, n_links (other vectors of its label with cosine >= threshold), component_id, kept.
 
@@ -122,32 +139,21 @@ def embedding_near_dups(vectors: DataFrame, threshold: float = 0.93, id_col: str
     principal component form tiles; pairs of tiles whose ranges in the leading components are too far apart are skipped; the
     others are compared as matrices. A tile pair returns sums and a spanning star per local component, never its pairs.
 
-    Null, zero, non-finite vectors, those with null components, of another length than most, or with a null label or id link with
-    nothing. Rows repeated under one id count as vectors of their own and share component and links. Empty table: empty result.
+    Vectors of different lengths do not link; each length that two or more vectors have gets axes and tiles of its own. Null, zero,
+    non-finite vectors, those with null components, or with a null label or id link with nothing. Rows repeated under one id count
+    as vectors of their own and share component and links. Empty table: empty result.
     """
-    spark = vectors.sparkSession
     base = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>").alias("vec"), F.col(label_col).alias("label"))
-    dims = base.where("vec IS NOT NULL").groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dim = dims[0]["d"] if dims else 0
-    fit = F.coalesce(F.expr(f"id IS NOT NULL AND label IS NOT NULL AND size(vec) = {dim} AND forall(vec, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(vec, x -> x <> 0)"), F.lit(False))
+    fit = F.coalesce(F.expr("id IS NOT NULL AND label IS NOT NULL AND forall(vec, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(vec, x -> x <> 0)"), F.lit(False))
     rows = base.withColumn("fit", fit)
     nodes = rows.where("fit").groupBy("label", "vec").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
     # one id may stand on several different vectors: nodes are told apart by a number of their own
     nodes = materialize(nodes.withColumn("key", F.xxhash64("label", "vec")), "nodes")
-    if not dims or not nodes.take(1):
+    sizes = nodes.groupBy(F.size("vec").alias("dim")).count().orderBy("dim").collect()
+    if not sizes:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    axes = principal_axes(nodes, dim)
-    tiles = nodes.select("label", F.col("key").alias("node"), "vec", "copies")
-    first = F.expr("aggregate(zip_with(vec, array(%s), (x, y) -> x * y), 0D, (s, x) -> s + x) / sqrt(aggregate(vec, 0D, (s, x) -> s + double(x) * x))" % ", ".join(f"{x!r}D" for x in map(float, axes[:, 0])))
-    tiles = tiles.withColumn("first", first).repartitionByRange("label", "first").sortWithinPartitions("label", "first")
-    tiles = materialize(tiles.drop("first").select("label", "node", "vec", "copies").mapInPandas(_cut(dim, axes, tile), f"label {dict(nodes.dtypes)['label']}, tile long, ids array<long>, copies array<long>, vecs binary, low array<double>, high array<double>"), "tiles")
-    reach = 2 * (1 - threshold) + 1e-9  # squared distance of unit vectors at the threshold
-    box = " + ".join(f"power(greatest(0, a.low[{k}] - b.high[{k}], b.low[{k}] - a.high[{k}]), 2)" for k in range(min(LEAD, dim)))
-    narrow = tiles.select("label", "tile", "low", "high")
-    near = narrow.alias("a").join(narrow.alias("b"), F.expr(f"a.label = b.label AND a.tile <= b.tile AND {box} <= {reach!r}")).select(F.col("a.tile").alias("tile_a"), F.col("b.tile").alias("tile_b"))
-    side = lambda x: tiles.select(F.col("tile").alias(f"tile_{x}"), F.col("ids").alias(f"ids_{x}"), F.col("copies").alias(f"copies_{x}"), F.col("vecs").alias(f"vecs_{x}"))
-    work = near.join(side("a"), "tile_a").join(side("b"), "tile_b").withColumn("same", F.expr("tile_a = tile_b"))
-    found = materialize(work.mapInPandas(_compare(dim, axes, threshold), "node long, links long, root long"), "links")
+    parts = [_links(nodes.where(F.size("vec") == r["dim"]), r["dim"], threshold, tile) for r in sizes if r["count"] > 1]
+    found = reduce(DataFrame.unionAll, parts, nodes.limit(0).select(F.col("key").alias("node"), F.col("copies").alias("links"), F.col("key").alias("root")))
     comp = connected_components(found.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = nodes.select(F.col("key").alias("node_key"), "node", "copies").join(links.withColumnRenamed("node", "node_key"), "node_key", "left").join(comp.withColumnRenamed("node", "node_key"), "node_key", "left")

@@ -115,6 +115,22 @@ def test_embeddings_edge_cases(spark):
     assert embeddings.embedding_near_dups(df.where("vec_id = 3").withColumn("embedding", df.embedding.cast("array<float>"))).count() == 1
 
 
+def test_embeddings_of_several_lengths(spark):
+    rng = np.random.default_rng(5)
+    rows = [(1000 * dim + k, (base + rng.normal(size=dim) * 0.2).tolist(), k % 2) for dim, n in ((8, 40), (3, 12), (24, 6)) for base in [rng.normal(size=dim)] for k in range(n)]
+    rows += [(90_000 + k, [], 1) for k in range(100)] + [(91_000, [1.0] * 5, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    links, want = {k: 0 for k, _, _ in rows}, []
+    for (a, x, s), (b, y, t) in combinations(rows, 2):
+        if s == t and len(x) == len(y) > 0 and np.float32(x).astype(float) @ np.float32(y).astype(float) >= 0.93 * np.linalg.norm(np.float32(x).astype(float)) * np.linalg.norm(np.float32(y).astype(float)):
+            links[a], links[b] = links[a] + 1, links[b] + 1
+            want.append((a, b))
+    comp = union(links, want)
+    assert {k // 1000 for k, n in links.items() if n} == {3, 8, 24}
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.embedding_near_dups(df, tile=16).collect()}
+    assert got == {k: (links[k], comp[k]) for k in links}
+
+
 def check_packing(docs, rows, capacity):
     import public_tokenizers
     from tokenizers import Tokenizer
