@@ -71,11 +71,17 @@ def bounded_random_sample(df: DataFrame, group: str, key: str, k: int = 200_000,
     return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k).drop("_n")
 
 
-def valley_density(df: DataFrame, bins: int = 50, k: int = 200_000) -> DataFrame:
-    """Density of the valley share per category, over a bounded sample."""
-    rows = bounded_random_sample(df.where("valley_share BETWEEN 0 AND 1"), "station_category", "order_id", k)
-    rows = rows.groupBy("station_category", F.least(F.floor(F.col("valley_share") * bins), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
-    return rows.withColumn("density", S.round_n(F.col("n") * bins / F.sum("n").over(Window.partitionBy("station_category")), 6))
+def valley_density(df: DataFrame, bins: int = 50, total: bool = False) -> DataFrame:
+    """Density of the valley share per category, and where total is set also 总体 over all, counted over all rows."""
+    bin_ = F.least(F.floor(F.col("valley_share") * bins), F.lit(bins - 1)).cast("int").alias("bin")
+    rows = df.where("valley_share BETWEEN 0 AND 1").select("station_category", bin_)
+    by = [F.col("station_category"), F.col("bin")]
+    if total:
+        counts = rows.groupingSets([by, [F.col("bin")]], *by).agg(F.count("*").alias("n"), F.grouping("station_category").alias("_g"))
+        counts = counts.withColumn("station_category", F.when(F.col("_g") > 0, F.lit(V.TOTAL)).otherwise(F.col("station_category"))).drop("_g")
+    else:
+        counts = rows.groupBy(*by).agg(F.count("*").alias("n"))
+    return counts.withColumn("density", S.round_n(F.col("n") * bins / F.sum("n").over(Window.partitionBy("station_category")), 6))
 
 
 def valley_kde(df: DataFrame, grid: int = 21, bandwidth: float = 0.05) -> DataFrame:

@@ -264,6 +264,7 @@ _VB = ((0, "0"), (0.25, "0-25%"), (0.5, "25-50%"), (0.75, "50-75%"), (None, "75-
 add("valley_ratio_hist", lambda s, d: R.histogram(O.valid(s, d), S.right_closed(F.col("valley_share"), _VB), names(_VB), "bucket"), hist("bucket", names(_VB), Q.group("valley_share", _VB)))
 add("histogram_left_closed", lambda s, d: R.histogram(O.valid(s, d), R.left_closed(F.col("duration_min"), [0, 60, 120, 180, 240, 300]), range(5), "bin"), hist("bin", range(5), "CASE WHEN duration_min < 60 THEN 0 WHEN duration_min < 120 THEN 1 WHEN duration_min < 180 THEN 2 WHEN duration_min < 240 THEN 3 WHEN duration_min <= 300 THEN 4 END"))
 add("valley_density", lambda s, d: R.valley_density(O.valid(s, d)), f"SELECT station_category, CAST(least(floor(valley_share * 50), 49) AS INT) AS bin, count(*) AS n, {rnd('count(*) * 50 / CAST(sum(count(*)) OVER (PARTITION BY station_category) AS DOUBLE)', 6)} AS density FROM rep GROUP BY 1, 2")
+add("valley_density_total", lambda s, d: R.valley_density(O.valid(s, d), total=True), f"SELECT CASE WHEN g > 0 THEN {q(V.TOTAL)} ELSE station_category END AS station_category, bin, n, {rnd('n * 50 / CAST(sum(n) OVER (PARTITION BY g, station_category) AS DOUBLE)', 6)} AS density FROM (SELECT station_category, bin, count(*) AS n, grouping(station_category) AS g FROM (SELECT station_category, CAST(least(floor(valley_share * 50), 49) AS INT) AS bin FROM rep WHERE valley_share BETWEEN 0 AND 1) GROUP BY GROUPING SETS ((station_category, bin), (bin)))")
 add("valley_kde", lambda s, d: R.valley_kde(O.valid(s, d)), f"SELECT x, {rnd('sum(exp(-power((x - v) / 0.05, 2) / 2) * n) / sum(n) / (0.05 * sqrt(2 * pi()))')} AS density FROM (SELECT round(valley_share, 2) AS v, count(*) AS n FROM rep GROUP BY 1) CROSS JOIN (SELECT unnest(range(21)) / 20.0 AS x) GROUP BY x")
 add("bounded_random_sample", lambda s, d: R.bounded_random_sample(O.valid(s, d), "station_category", "order_id", 100).groupBy("station_category").agg(F.count("*").alias("n")), "SELECT station_category, least(count(*), 100) AS n FROM rep GROUP BY 1")
 add("category_order_station_totals", lambda s, d: C.category_share(O.valid(s, d)).select("category", "orders", "stations"), f"SELECT category, coalesce(n, 0) AS orders, coalesce(st, 0) AS stations FROM {_CATS} LEFT JOIN (SELECT station_category AS category, count(*) AS n, count(DISTINCT station_id) AS st FROM rep GROUP BY 1) USING (category)")

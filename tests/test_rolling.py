@@ -92,3 +92,12 @@ def test_segments_cover_every_user_once(spark):
     seg, x = O.final(spark, SF)
     assert seg.count() == x["main"].count() == seg.select("user_id").distinct().count()
     spark.catalog.clearCache()
+
+
+def test_valley_density_counts_all_rows(spark):
+    rows = spark.range(260_000).select(F.col("id").alias("order_id"), F.when(F.col("id") < 250_000, V.CATEGORIES[0]).otherwise(V.CATEGORIES[1]).alias("station_category"), (F.col("id") % 4 / 4).alias("valley_share"))
+    got = {(r["station_category"], r["bin"]): (r["n"], r["density"]) for r in R.valley_density(rows).collect()}
+    want = {(V.CATEGORIES[k], b): (n, 12.5) for k, n in enumerate((62_500, 2_500)) for b in (0, 12, 25, 37)}
+    assert got == want
+    got = {(r["station_category"], r["bin"]): (r["n"], r["density"]) for r in R.valley_density(rows, total=True).collect()}
+    assert got == want | {(V.TOTAL, b): (65_000, 12.5) for b in (0, 12, 25, 37)}
