@@ -14,17 +14,29 @@ FROM v LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON a = v.vec_id
 """
 
 REPEATED_LINES = r"""
-WITH raw AS (
-  SELECT doc_id, CAST(n - 1 AS INT) AS pos, parts[n] AS line, list_transform(parts, lambda p: length(p) + 1)[1:n - 1] AS before
-  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE doc_id IS NOT NULL), unnest(range(1, len(parts) + 1)) AS t(n)),
-lines AS (
-  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INT) AS unit, CAST(coalesce(list_sum(before), 0) AS INT) AS start, CAST(coalesce(list_sum(before), 0) + length(line) AS INT) AS "end",
-         regexp_extract_all(lower(line), '[\p{L}\p{N}_]+') AS words
-  FROM raw WHERE line <> ''),
-ranked AS (
-  SELECT *, list_aggregate(words, 'string_agg', ' ') AS norm FROM lines WHERE len(words) >= 5),
+WITH docs AS (
+  SELECT doc_id, length(text) AS size, string_split(regexp_replace(text, '[.!?…。！？]', chr(10), 'g'), chr(10)) AS parts,
+         regexp_extract_all(lower(text), '[\x{0E00}-\x{0E7F}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}]|[\p{L}\p{N}_]+') AS words
+  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+cut AS (
+  SELECT doc_id, size, n, length(parts[n]) AS l, len(regexp_extract_all(lower(parts[n]), '[\x{0E00}-\x{0E7F}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}]|[\p{L}\p{N}_]+')) AS k
+  FROM docs, unnest(range(1, len(parts) + 1)) AS t(n)),
+placed AS (
+  SELECT *, CAST(sum(l + 1) OVER w AS INT) - l - 1 AS start, CAST(sum(k) OVER w AS INT) AS upto FROM cut WINDOW w AS (PARTITION BY doc_id ORDER BY n)),
+pieces AS (
+  SELECT doc_id, start, CAST(least(start + l + 1, size) AS INT) AS "end", upto - k AS word, upto, upto - k + 35 AS need FROM placed WHERE k > 0),
+runs AS (
+  SELECT a.doc_id, CAST(a.start AS INT) AS start, b."end", CAST(a.word AS INT) AS word, b.upto FROM pieces a ASOF JOIN pieces b ON a.doc_id = b.doc_id AND a.need <= b.upto),
+units AS (
+  SELECT r.*, md5(array_to_string(list_slice(d.words, word + 1, upto), ' ')) AS digest FROM runs r JOIN docs d USING (doc_id)),
 firsts AS (
-  SELECT norm, count(*) AS copies, min({'d': doc_id, 's': start}) AS first FROM ranked GROUP BY norm HAVING count(*) > 1)
-SELECT doc_id, unit, start, "end", CAST(len(words) AS INT) AS n_words, copies, first.d AS kept_id, first.s AS kept_start
-FROM ranked JOIN firsts USING (norm) WHERE (doc_id, start) <> (first.d, first.s)
+  SELECT digest, count(*) AS copies, min({'d': doc_id, 's': start}) AS first FROM units GROUP BY digest HAVING count(*) > 1),
+found AS (
+  SELECT units.*, copies, first, (doc_id, start) <> (first.d, first.s) AS removed FROM units JOIN firsts USING (digest)),
+marked AS (
+  SELECT *, coalesce(word > max(upto) OVER (PARTITION BY doc_id, removed ORDER BY word ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), TRUE) AS new FROM found),
+numbered AS (
+  SELECT *, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id, removed ORDER BY word) AS passage FROM marked)
+SELECT doc_id, min(start) AS start, max("end") AS "end", max(upto) - min(word) AS n_words, removed, max(copies) AS copies, min(first).d AS kept_id, min(first).s AS kept_start
+FROM numbered GROUP BY doc_id, removed, passage
 """

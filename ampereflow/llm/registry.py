@@ -47,7 +47,7 @@ def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.repeated_lines(table(spark, sf_dir, "documents"))
+    return lines.repeated_passages(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 QUERIES = {f.__name__: f for f in (op1_leaked_test_items, op2_embedding_near_dups, op3_quality_scores, op4_katz_scores, op5_toxicity, op6_licence_paragraphs, op7_secret_spans, op8_simhash_near_dups, op9_pack_sequences, op10_repeated_lines)}

@@ -118,35 +118,81 @@ def test_secrets_in_addresses(spark):
     assert got == dict(enumerate([*found.values(), *([] for _ in none)]))
 
 
-def test_lines_equal_brute_force(spark):
+def plain_units(text, least):
+    """(first word, last word + 1, start, end, words) of the fewest pieces from each piece on that hold ``least`` words."""
+    pieces, at, n = [], 0, 0
+    for part in re.split(r"(?<=[\n.!?…。！？])", text):
+        k = len(lines.words_of(part))
+        pieces += [(n, n + k, at, at + len(part))] if k else []
+        at, n = at + len(part), n + k
+    words, out = lines.words_of(text), []
+    for a, _, start, _ in pieces:
+        if ends := [(b, end) for _, b, _, end in pieces if b - a >= least]:
+            out.append((a, ends[0][0], start, ends[0][1], tuple(words[a : ends[0][0]])))
+    return out
+
+
+def plain_passages(texts, least):
+    units = [(k, *u) for k, t in sorted(texts.items()) for u in plain_units(t or "", least)]
+    places = {}
+    for k, a, b, start, end, words in units:
+        places.setdefault(words, []).append((k, start))
+    marks, out = {}, set()
+    for k, a, b, start, end, words in units:
+        if len(places[words]) > 1:
+            marks.setdefault((k, min(places[words]) != (k, start)), []).append((a, b, start, end, len(places[words]), min(places[words])))
+    for (k, removed), found in marks.items():
+        groups = []
+        for x in sorted(found):
+            if not groups or x[0] > max(y[1] for y in groups[-1]):
+                groups.append([])
+            groups[-1].append(x)
+        for g in groups:
+            out.add((k, min(x[2] for x in g), max(x[3] for x in g), max(x[1] for x in g) - min(x[0] for x in g), removed, max(x[4] for x in g), *min(x[5] for x in g)))
+    return out
+
+
+def test_passages_equal_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    first, want, count = {}, {}, Counter()
-    for r in sorted(docs.collect(), key=lambda r: r["doc_id"]):
-        at = 0
-        for line in r["text"].split("\n"):
-            norm = " ".join(re.findall(r"\w+", line.lower()))
-            if len(norm.split()) >= lines.MIN_WORDS:
-                count[norm] += 1
-                if first.setdefault(norm, (r["doc_id"], at)) != (r["doc_id"], at):
-                    want[r["doc_id"], at] = (*first[norm], norm)
-            at += len(line) + 1
-    removed = lines.repeated_lines(docs)
-    got = {(r["doc_id"], r["start"]): (r["kept_id"], r["kept_start"], r["copies"]) for r in removed.collect()}
-    assert got == {k: (a, b, count[n]) for k, (a, b, n) in want.items()}
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    for r in lines.remove_lines(docs, removed).collect():
+    found = lines.repeated_passages(docs)
+    assert {tuple(r) for r in found.drop("text_hash").collect()} == plain_passages(texts, lines.MIN_WORDS)
+    cut = lines.remove_passages(docs, found)
+    for r in cut.collect():
         assert "".join(texts[r["doc_id"]][s["start"] : s["end"]] for s in r["kept_spans"]) == r["text"]
-    again = lines.repeated_lines(lines.remove_lines(docs, removed).drop("kept_spans"))
-    assert again.collect() == []
-
-
-def test_lines_edge_cases(spark):
-    line = "this very line has enough words"
-    rows = [(3, line, 1), (1, None, 1), (2, "", 1), (4, f"\n\n{line.upper()}!\nnew text that nobody else has\n{line}", 1), (None, line, 1), (5, "x " * 40_000, 1), (6, "x " * 40_000, 1), (7, "few words\nfew words", 1), (7, "few words\nfew words", 1)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, start int")
-    got = sorted((r["doc_id"], r["unit"], r["start"], r["end"], r["kept_id"], r["kept_start"]) for r in lines.repeated_lines(docs).collect())
-    n = len(line)
-    assert got == [(4, 0, 2, 3 + n, 3, 0), (4, 2, 4 + n + 30, 4 + n + 30 + n, 3, 0), (6, 0, 0, 80_000, 5, 0)]
-    texts = {r["doc_id"]: r["text"] for r in lines.remove_lines(docs, lines.repeated_lines(docs)).collect()}
-    assert texts[4] == "\n\nnew text that nobody else has\n" and texts[6] == "" and texts[1] is None and texts[3] == line
-    assert lines.repeated_lines(docs.limit(0)).collect() == []
+    # texts that share more than 50 words show up, the others hardly, and every unit of the corpus is left somewhere
+    grams = {}
+    for k, t in texts.items():
+        w = lines.words_of(t)
+        for i in range(len(w) - 50):
+            grams.setdefault(tuple(w[i : i + 51]), set()).add(k)
+    sharers = {k for g in grams.values() if len(g) > 1 for k in g}
+    shown = {r["doc_id"] for r in found.collect()}
+    across = {k for k, *_, removed, _, kept, _ in plain_passages(texts, lines.MIN_WORDS) if removed and kept != k}
+    assert len(sharers & shown) >= 0.98 * len(sharers) and len(across - sharers) <= 0.05 * len(texts.keys() - sharers)
+    left = {g for r in cut.collect() for u in [lines.words_of(r["text"])] for g in zip(*(u[k:] for k in range(8)), strict=False)}
+    before = {g for t in texts.values() for u in [lines.words_of(t)] for g in zip(*(u[k:] for k in range(8)), strict=False)}
+    assert len(before - left) <= 0.02 * len(before)
+
+
+def test_passages_edge_cases(spark):
+    a, b = " ".join(f"a{k}" for k in range(20)), " ".join(f"b{k}" for k in range(20))
+    run = f"{a}. {b}."
+    rows = [
+        (1, None, 1), (1, "", 1), (2, "few words", 1), (2, "few words", 1), (None, run, 1),
+        (3, f"Head of its own. {run}\nTail that nobody has.", 1),
+        (4, f"Other words come first\n{a.upper()}!\n {b} \n\nand the end", 1),
+        (5, f"{a} {b} joined with more. {run}", 1),
+        (6, run, 1), (6, "Unlike text under the same id. " * 2, 1), (7, "x " * 40_000, 1), (7, "x " * 40_000, 1), (8, "x " * 40_000, 1), (9, "漢字" * 20 + "。", 1), (10, "漢字" * 20 + "。", 1),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_spans int")
+    found = lines.repeated_passages(docs)
+    got = sorted((r["doc_id"], r["removed"], r["kept_id"], r["kept_start"], r["n_words"]) for r in found.collect())
+    assert got == [(3, False, 3, 16, 40), (4, True, 3, 16, 40), (5, True, 3, 16, 40), (6, True, 3, 16, 40), (7, False, 7, 0, 40_000), (8, True, 7, 0, 40_000), (9, False, 9, 0, 40), (10, True, 9, 0, 40)]
+    texts = {(r["doc_id"], r["text"]) for r in lines.remove_passages(docs, found).collect()}
+    assert (4, "Other words come first\n\nand the end") in texts and (6, "Unlike text under the same id. " * 2) in texts and (6, "") in texts
+    assert (1, None) in texts and (None, run) in texts and (8, "") in texts and (3, rows[5][1]) in texts and (5, f"{a} {b} joined with more.") in texts
+    clash = docs.withColumnsRenamed({"kept_spans": "_new"}).selectExpr("*", "1 AS _id", "2 AS _hash", "3 AS _cut", "4 AS text_hash", "5 AS start", "6 AS removed")
+    cut = lines.remove_passages(clash, lines.repeated_passages(clash))
+    assert cut.columns == [*clash.columns, "kept_spans"] and cut.count() == len(rows) and {(r["_id"], r["_hash"], r["_cut"], r["_new"]) for r in cut.collect()} == {(1, 2, 3, 1)}
+    assert lines.repeated_passages(docs.limit(0)).collect() == []
