@@ -93,29 +93,45 @@ def abnormal_orders(main: DataFrame) -> DataFrame:
     return main.where(F.col("end_reason_class").isin(V.END_FAULT, V.END_OTHER))
 
 
-def _per_user(rules: V.CleanRules, *order: str):
-    """Rows of one user in order; a null user's rows follow one another too, but restart_sessions never joins them."""
-    return Window.partitionBy("user_id", *(["source_table"] if rules.partition_by_source else [])).orderBy(*order)
+def _by_user(df: DataFrame, rules: V.CleanRules, month: Column) -> tuple[DataFrame, list[str]]:
+    """(df with helper columns, keys of its windows). A user's rows are one window; the rows without a user follow one another too,
+    but may be a large part of the table, so they form a window per day, and the days before it come in as _before and _month_before
+    (numbers of rows) and _last (start and station of the last one). There are as many such rows to broadcast as days."""
+    source = ["source_table"] if rules.partition_by_source else []
+    day = F.when(F.col("user_id").isNull(), F.coalesce(F.to_date("start_ts").cast("string"), F.lit("")))
+    out = df.withColumns({"_day": day, "_month": month})
+    at = F.struct("start_ts", "order_id")
+    days = out.where("user_id IS NULL").groupBy(*source, "_day", "_month").agg(F.count("*").alias("n"), F.max_by(F.struct("start_ts", "station_id"), at).alias("l"))
+    w, m = Window.partitionBy(*source).orderBy("_day"), Window.partitionBy(*source, "_month").orderBy("_day")
+    before = lambda x: F.coalesce(F.sum("n").over(x.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    days = days.select(*source, "_day", before(w).alias("_before"), before(m).alias("_month_before"), F.lag("l").over(w).alias("_last"))
+    out = out.join(F.broadcast(days), [*source, "_day"], "left").na.fill(0, ["_before", "_month_before"])
+    return out, [*source, "user_id", "_day"]
 
 
 def order_sequence(df: DataFrame, rules: V.CleanRules = V.CleanRules(), by_year_month: bool = False) -> DataFrame:
     """Adds user_seq, user_month_seq (by month number over all years, or by year and month), gap_h and its bucket, is_first, reuse_station."""
-    w = _per_user(rules, "start_ts", "order_id")
-    month = F.date_trunc("month", "start_ts") if by_year_month else F.month("start_ts")
-    out = df.withColumn("_m", month).withColumns({"user_seq": F.row_number().over(w), "_p": F.lag("start_ts").over(w), "_s": F.lag("station_id").over(w)})
-    out = out.withColumn("user_month_seq", F.row_number().over(Window.partitionBy("user_id", "_m", *(["source_table"] if rules.partition_by_source else [])).orderBy("start_ts", "order_id")))
+    out, keys = _by_user(df, rules, F.date_trunc("month", "start_ts") if by_year_month else F.month("start_ts"))
+    order = ("start_ts", "order_id")
+    w, m = Window.partitionBy(*keys).orderBy(*order), Window.partitionBy(*keys, "_month").orderBy(*order)
+    before = F.when(F.row_number().over(w) > 1, F.lag(F.struct("start_ts", "station_id")).over(w)).otherwise(F.col("_last"))
+    out = out.withColumns({"user_seq": (F.row_number().over(w) + F.col("_before")).cast("int"), "_b": before, "user_month_seq": (F.row_number().over(m) + F.col("_month_before")).cast("int")})
+    out = out.withColumns({"_p": F.col("_b.start_ts"), "_s": F.col("_b.station_id")})
     both = F.col("station_id").isNotNull() & F.col("_s").isNotNull()
     reuse = S.chain([(F.col("user_seq") == 1, "首次充电"), (~both, "站点缺失"), (F.col("station_id") == F.col("_s"), V.YES)], V.NO)
     out = out.withColumns({"gap_h": S.round_n(S.seconds_between(F.col("_p"), F.col("start_ts")) / 3600.0, 3), "is_first": F.col("user_seq") == 1, "reuse_station": reuse})
-    return out.withColumn("gap_bucket", S.interval_bucket(F.col("gap_h"))).drop("_m", "_p", "_s")
+    return out.withColumn("gap_bucket", S.interval_bucket(F.col("gap_h"))).drop("_p", "_s", "_b", "_day", "_month", "_before", "_month_before", "_last")
 
 
 def restart_sessions(df: DataFrame, rules: V.CleanRules = V.CleanRules()) -> DataFrame:
     """Adds session_no: a new session starts unless the row before is of the same user and station and ended 0 to restart_seconds ago."""
-    w = _per_user(rules, "start_ts", "end_ts", "order_id")
+    out, keys = _by_user(df, rules, F.month("start_ts"))
+    w = Window.partitionBy(*keys).orderBy("start_ts", "end_ts", "order_id")
     gap = S.seconds_between(F.lag("end_ts").over(w), F.col("start_ts"))
     follows = F.col("user_id").isNotNull() & (F.col("station_id") == F.lag("station_id").over(w)) & gap.between(0, rules.restart_seconds)
-    return df.withColumn("_new", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1)).withColumn("session_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    out = out.withColumn("_new", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1))
+    number = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_before")
+    return out.withColumn("session_no", number).drop("_new", "_day", "_month", "_before", "_month_before", "_last")
 
 
 FIRST = ("order_id", "status", "charge_method", "channel", "station_id", "charger_id")
@@ -168,20 +184,23 @@ def cleaning_overview(judged: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def field_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Per column: missing values, their share (4 places), distinct values; one pass."""
-    missing = [F.count_if(F.col(c).isNull()).alias(f"m_{c}") for c in columns]
-    distinct = [F.count_distinct(c).alias(f"d_{c}") for c in columns]
-    one = df.agg(F.count("*").alias("n"), *missing, *distinct)
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"m_{c}").alias("missing"), F.col(f"d_{c}").alias("distinct_values")) for c in columns])).alias("x")
-    return one.select("n", rows).select("x.field", "x.missing", S.round_n(F.coalesce(F.try_divide("x.missing", "n"), F.lit(0.0)), 4).alias("missing_rate"), "x.distinct_values")
+    """Per column: missing values, their share (4 places), distinct values; two plain aggregations whatever the number of columns.
+    An empty table has a row for each column too."""
+    values = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "field", "value")
+    counts = values.groupBy("field", "value").agg(F.count("*").alias("n"))
+    got = counts.groupBy("field").agg(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"), F.sum("n").alias("n"), F.count("value").alias("distinct_values"))
+    fields = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("field"))
+    out = fields.join(got, "field", "left").na.fill(0, ["missing", "n", "distinct_values"])
+    return out.select("field", "missing", S.round_n(F.coalesce(F.try_divide("missing", "n"), F.lit(0.0)), 4).alias("missing_rate"), "distinct_values")
 
 
 # ---- stations
-def load_station_dims(station: DataFrame) -> DataFrame:
-    """Station rows with a normalized key and category, one per key: the first by name where a key repeats."""
+def load_station_dims(station: DataFrame, order: tuple[str, ...] = ("station_name", "station_id")) -> DataFrame:
+    """Station rows with a normalized key and category, one per key: the first by ``order`` where a key repeats. For the order of
+    the file, read it with a column of row numbers (_metadata.row_index of Parquet) and name that."""
     key = S.normalize_station_key(F.col("station_id"))
     rows = station.withColumn("station_key", key).where("station_key IS NOT NULL").withColumn("category", S.station_type_to_category(F.col("station_type")))
-    w = Window.partitionBy("station_key").orderBy("station_name", "station_id")
+    w = Window.partitionBy("station_key").orderBy(*order)
     return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").select("station_key", "station_name", "place", "category")
 
 

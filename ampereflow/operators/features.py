@@ -27,10 +27,15 @@ def valid_user_filter(df: DataFrame) -> DataFrame:
     return df.where((F.trim(F.coalesce("user_id", F.lit(""))) != "") & F.col("is_valid"))
 
 
-def order_behavior_base(orders: DataFrame) -> DataFrame:
-    """Order columns with flags; expects cleaned orders with is_valid as text or boolean. Bus stations and odd years are left out."""
-    rows = exclude_category(orders).where("start_ts >= timestamp'2000-01-01' AND start_ts < timestamp'2027-01-01'")
-    rows = order_sequence(rows)
+def sequenced(orders: DataFrame) -> DataFrame:
+    """Orders with gap_h and reuse_station: as they are if cleaning has made these, else taken from all rows of orders."""
+    return orders if {"gap_h", "reuse_station"} <= set(orders.columns) else order_sequence(orders)
+
+
+def order_behavior_base(orders: DataFrame, first: str = "2020-01-01", until: str = "2027-01-01") -> DataFrame:
+    """Order columns with flags; expects sequenced orders with is_valid as text or boolean: a gap or a reused station reaches back
+    over whatever is filtered out here or before. Bus stations and starts outside [first, until) are left out."""
+    rows = exclude_category(orders).where((F.col("start_ts") >= F.lit(first).cast("timestamp")) & (F.col("start_ts") < F.lit(until).cast("timestamp")))
     start, end, hour = F.col("start_ts"), F.col("end_ts"), F.hour("start_ts")
     rows = rows.withColumns({
         "is_valid": S.is_yes(F.col("is_valid")), "abnormal_reason": S.clean_text(F.col("abnormal_reason")), "end_reason_class": S.clean_text(F.col("end_reason_class"), V.UNKNOWN),
@@ -117,10 +122,11 @@ def station_top3_detail(base: DataFrame) -> DataFrame:
     return ranked.groupBy("user_id").agg(*[x for k in (1, 2, 3) for x in (nth(k, F.col("value")).alias(f"station{k}"), nth(k, F.col("n")).alias(f"n{k}"), S.round_n(nth(k, F.col("n") / F.col("total")), 6).alias(f"share{k}"))])
 
 
-def user_wide(orders: DataFrame, days: int = 90) -> DataFrame:
-    """Wide user table over the recent window: aggregates, shares, concentrations and top values."""
-    recent = recent_window(exclude_category(orders), days)
-    base = order_behavior_base(recent)
+def user_wide(orders: DataFrame, days: int = 90, first: str = "2020-01-01") -> DataFrame:
+    """Wide user table over the recent window: aggregates, shares, concentrations and top values. Gaps and reused stations come
+    from the full history of orders."""
+    recent = recent_window(exclude_category(sequenced(orders)), days)
+    base = order_behavior_base(recent, first)
     valid = valid_user_filter(base)
     sample_max = base.agg(F.max("start_ts").alias("sample_max"))
     out = user_ratio_features(user_features(valid), sample_max)
@@ -154,6 +160,12 @@ def final_profile(segments: DataFrame) -> DataFrame:
     return segments.withColumn("behavior_pattern", F.concat_ws("；", *[F.concat(F.lit(f"{k}:"), F.coalesce(F.col(c), F.lit(""))) for k, c in parts]))
 
 
+def ranked_output(df: DataFrame, order: tuple[str, ...] = ("-n_orders", "-sum_paid", "-sum_kwh")) -> DataFrame:
+    """Rows in the order in which they are written or shown; a minus means falling, ties go by user. RFM tables use
+    ("rfm_total", "-sum_kwh", "-n_orders")."""
+    return df.orderBy(*[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order], "user_id")
+
+
 LABELS = ("r_level", "f_level", "m_level", "rfm_type", "price_level", "station_pref", "risk_level")
 FINAL = ("user_id", "n_orders", "n_months", "last_ts", "days_since_last", "top_hour1", "hour_share1", "top_hour2", "hour_share2", "top_hour3", "hour_share3", "hour_top2", "hour_top3", "time_pref", "sum_kwh", "sum_paid", "share_used_discount", "n_stations", *LABELS[:3], "rfm_total", "rfm_type", "price_level", "station_pref", "risk_level", "user_labels", "behavior_pattern")
 

@@ -110,19 +110,22 @@ def category_discount_valley(df: DataFrame) -> DataFrame:
 
 
 def top_plus_other(df: DataFrame, column: str, n: int = 10) -> DataFrame:
-    counts = df.groupBy(column).agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), column))
-    return counts.withColumn("value", F.when(rank <= n, F.col(column)).otherwise(V.OTHER)).groupBy("value").agg(F.sum("n").alias("orders"))
+    """The n commonest values (the smaller on a tie) and one row for all others: a top-k and a join with its n rows."""
+    counts = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    top = counts.orderBy(F.desc("n"), "value").limit(n).select(F.col("value").alias("_v"), F.lit(True).alias("_top"))
+    named = counts.join(F.broadcast(top), F.col("value").eqNullSafe(F.col("_v")), "left")
+    return named.groupBy(F.when(F.col("_top"), F.col("value")).otherwise(V.OTHER).alias("value")).agg(F.sum("n").alias("orders"))
 
 
 def share_rounding(counts: DataFrame, group: list[str], n: str = "n") -> DataFrame:
     """Percentages of one decimal that sum to 100 in each group: what is missing goes to the largest cell."""
-    w = Window.partitionBy(*group) if group else Window.partitionBy()
-    rows = counts.withColumn("_p", F.round(F.col(n).cast("decimal(20,0)") * 100 / F.sum(n).over(w), 1))
-    order = [F.desc(n), *[c for c in counts.columns if c != n]]
-    first = F.row_number().over(w.orderBy(*order)) == 1
-    rows = rows.withColumn("_rest", F.lit(100) - F.sum("_p").over(w)).withColumn("_f", first)
-    return rows.withColumn("percent", (F.col("_p") + F.when(F.col("_f"), F.col("_rest")).otherwise(0)).cast("double")).drop("_p", "_rest", "_f")
+    rest = [c for c in counts.columns if c != n]
+    with_all = lambda rows, one: rows.join(one, group) if group else rows.crossJoin(F.broadcast(one))
+    rows = with_all(counts, counts.groupBy(*group).agg(F.sum(n).alias("_sum")))
+    rows = rows.withColumn("_p", F.round(F.col(n).cast("decimal(20,0)") * 100 / F.col("_sum"), 1)).withColumn("_at", F.struct((-F.col(n)).alias("k"), *rest))
+    rows = with_all(rows, rows.groupBy(*group).agg((F.lit(100) - F.sum("_p")).alias("_rest"), F.min("_at").alias("_first")))
+    percent = F.col("_p") + F.when(F.col("_at") == F.col("_first"), F.col("_rest")).otherwise(0)
+    return rows.withColumn("percent", percent.cast("double")).select(*counts.columns, "percent")
 
 
 def drop_cross_year(df: DataFrame, source: str = "source_table") -> DataFrame:

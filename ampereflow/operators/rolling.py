@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,19 +143,30 @@ def legacy_state_alias(state):
     return S.chain([(state == old, new) for old, new in V.LEGACY_STATES.items()], state)
 
 
-def final_segment(main: DataFrame, states: DataFrame, news: DataFrame, returning: DataFrame, abnormal: DataFrame, rules: V.SegmentRules = V.SegmentRules()) -> DataFrame:
-    """Every user of the main table in exactly one segment, by priority; more conditions as columns beside it.
-    A user who is silent by the windows but in the main table counts as exited."""
-    flag = lambda df, name: df.select("user_id").distinct().withColumn(name, F.lit(True))
+def assign_segments(main: DataFrame, states: DataFrame, news: DataFrame, returning: DataFrame) -> DataFrame:
+    """The main table with its high-value columns and segment_code: exactly one segment for each user, by priority. A user who is
+    silent by the windows but in the main table counts as exited."""
+    new = news.select("user_id").distinct().withColumn("_new", F.lit(True))
     out = main.join(states.select("user_id", legacy_state_alias(F.col("hv_state")).alias("hv_state"), "hv_segments", "hv_end"), "user_id", "left")
-    out = out.join(flag(news, "_new"), "user_id", "left").join(returning.groupBy("user_id").agg(F.bool_or("ever_hv").alias("_hv")), "user_id", "left").join(flag(abnormal, "_abn"), "user_id", "left")
+    out = out.join(new, "user_id", "left").join(returning.groupBy("user_id").agg(F.bool_or("ever_hv").alias("_hv")), "user_id", "left")
     out = out.withColumn("hv_state", F.when(F.col("hv_state") == V.SILENT, F.lit(V.EXITED)).otherwise(F.coalesce("hv_state", F.lit(""))))
     r, f, m, state = F.col("r_score"), F.col("f_score"), F.col("m_score"), F.col("hv_state")
-    code = S.chain([(F.col("_new"), "01"), (~F.col("_hv"), "02"), (state == V.STABLE, "03"), (state == V.RETURNING, "04"), (state == V.EXITED, "05"), ((r <= 2) & (f >= 4), "06"), ((r >= 4) & (f <= 2) & (m >= 4), "07"), ((f <= 2) & (m <= 2), "08"), ((f >= 4) & (m <= 2), "09")], "11")
+    code = S.chain([
+        (F.col("_new"), "01"), (~F.col("_hv"), "02"), (state == V.STABLE, "03"), (state == V.RETURNING, "04"), (state == V.EXITED, "05"),
+        ((r <= 2) & (f >= 4), "06"), ((r >= 4) & (f <= 2) & (m >= 4), "07"), ((f <= 2) & (m <= 2), "08"), ((f >= 4) & (m <= 2), "09"),
+    ], "11")
+    return out.withColumn("segment_code", code).drop("_new", "_hv")
+
+
+def final_segment(main: DataFrame, states: DataFrame, news: DataFrame, returning: DataFrame, abnormal: DataFrame, rules: V.SegmentRules = V.SegmentRules()) -> DataFrame:
+    """Every user of the main table with the segment of assign_segments, and more conditions as columns beside it."""
+    out = assign_segments(main, states, news, returning)
+    out = out.join(abnormal.select("user_id").distinct().withColumn("_abn", F.lit(True)), "user_id", "left")
+    m = F.col("m_score")
     names = F.create_map(*[F.lit(x) for pair in V.SEGMENTS for x in pair])
     last = main.agg(F.max("last_ts").alias("_last"))
     slot = lambda pref, c: F.when(F.col(pref) == V.TOO_FEW, F.lit(V.NONE)).otherwise(S.fill_none(F.col(c)))
-    return out.crossJoin(F.broadcast(last)).withColumn("segment_code", code).select(
+    return out.crossJoin(F.broadcast(last)).select(
         "user_id", "segment_code", F.element_at(names, F.col("segment_code")).alias("segment"), "hv_state", "hv_segments", F.datediff("_last", "hv_end").alias("days_since_hv_exit"), "days_since_last",
         F.coalesce("_abn", F.lit(False)).alias("is_abnormal"), S.level_of(F.col("share_used_discount"), F.col("n_orders"), rules.min_orders, *rules.coupon).alias("coupon_level"), S.level_of(F.col("avg_valley_share"), F.col("n_orders"), rules.min_orders, *rules.valley).alias("valley_level"),
         "top_station", "top_hour1", ((F.col("n_orders") == 1) & (m >= 4)).alias("single_high"), "price_level", "station_pref", "time_pref", "risk_level",
@@ -194,32 +207,50 @@ def segment_overview(segments: DataFrame, silent: DataFrame) -> DataFrame:
     return out.select("segment_code", "segment", "users", S.round_n(F.col("users") / F.col("t"), 6).alias("share"))
 
 
-def segment_checks(segments: DataFrame, states: DataFrame, silent: DataFrame, news: DataFrame, returning: DataFrame, abnormal: DataFrame, detail: DataFrame) -> DataFrame:
-    """The segmentation's assertions as rows (check, result). Each is a count over joins on the user; nothing is collected."""
-    no_pref = lambda p: F.col(f"{p}_pref") == V.TOO_FEW
-    slots = lambda p: [F.col(f"pref_{p}{k}") for k in (1, 2, 3)]
-    code = F.col("segment_code")
-    filled = lambda cs: F.forall(F.array(*cs), lambda x: x == V.NONE)
-    one = segments.agg(
-        F.count("*").alias("n"), F.count_distinct("user_id").alias("u"), F.count_if(~code.isin(*[a for a, _ in V.SEGMENTS if a != "10"])).alias("odd"), F.count_if("is_abnormal").alias("abn"), F.count_if(F.col("hv_state") == V.SILENT).alias("sil"),
-        F.count_if(F.col("hv_state") != "").alias("hv"), F.count_if((code == "01") & (F.col("hv_state") != "")).alias("new_hv"), F.count_if(code.isin("03", "04", "05")).alias("hv345"), F.count_if(no_pref("station") != no_pref("time")).alias("gate"),
-        F.count_if((no_pref("station") & ~filled(slots("station"))) | (no_pref("time") & ~filled(slots("hour")))).alias("slots"), F.count_if(F.exists(F.array(*slots("station"), *slots("hour")), lambda x: x.isNull() | (x == ""))).alias("blank"),
-    )
-    sizes = segments.groupBy("segment_code").count().agg(F.coalesce(F.count_if(F.col("count") < 100), F.lit(0)).alias("small"))
-    outside = lambda df, name: df.select("user_id").distinct().join(segments.select("user_id"), "user_id", "left_anti").agg(F.count("*").alias(name))
+def segment_checks(segments: DataFrame, assigned: DataFrame, core: DataFrame, states: DataFrame, silent: DataFrame, news: DataFrame, returning: DataFrame, abnormal: DataFrame, detail: DataFrame, rules: V.SegmentRules = V.SegmentRules()) -> DataFrame:
+    """The segmentation's twenty assertions as rows (check_name, result, detail): two numbers that must be equal, but for
+    small_segment, which warns, and top_preference_core, which is a bound. Sums and joins on the user; nothing is collected.
+
+    assigned: the segments before any column was added beside them; core: the table of the core segments.
+    """
+    c, code = F.col, F.col("segment_code")
+    main_codes = [a for a, _ in V.SEGMENTS if a != "10"]
+    no_pref = lambda p: c(f"{p}_pref") == V.TOO_FEW
+    slots = lambda prefix, p: [c(f"{prefix}{p}{k}") for k in (1, 2, 3)]
+    any_slot = lambda prefix, test: F.exists(F.array(*slots(prefix, "station"), *slots(prefix, "hour")), test)
+    unfilled = lambda prefix: (no_pref("station") & F.exists(F.array(*slots(prefix, "station")), lambda x: x != V.NONE)) | (no_pref("time") & F.exists(F.array(*slots(prefix, "hour")), lambda x: x != V.NONE))
+    blank = lambda x: x.isNull() | (F.trim(x) == "")
+    has_hv = c("hv_state") != ""
     total = lambda df, name: df.agg(F.count("*").alias(name))
-    one = one.crossJoin(sizes).crossJoin(outside(news, "o1")).crossJoin(outside(returning, "o2")).crossJoin(outside(abnormal, "o3")).crossJoin(total(abnormal, "abn_list")).crossJoin(total(states, "states")).crossJoin(total(silent, "silent"))
-    found = silent.join(detail.select("user_id"), "user_id", "left_semi").agg(F.count("*").alias("detailed"))
-    absorbed = segments.where(code.isin("03", "04", "05")).join(returning.select("user_id").distinct(), "user_id", "left_semi").agg(F.count("*").alias("absorbed"))
-    ever = returning.where("ever_hv").join(segments.where(code == "01").select("user_id"), "user_id", "left_anti").select("user_id").distinct().agg(F.count("*").alias("ret_hv"))
-    one = one.crossJoin(found).crossJoin(absorbed).crossJoin(ever)
-    checks = {
-        "sum_of_segments": F.lit(True), "unique_users": F.col("n") == F.col("u"), "known_segments": F.col("odd") == 0, "lists_inside_main": F.col("o1") + F.col("o2") + F.col("o3") == 0, "abnormal_flags": F.col("abn") == F.col("abn_list"),
-        "four_states": F.col("new_hv") + F.col("hv345") + F.col("silent") <= F.col("states"), "returning_absorbed": F.col("absorbed") == F.col("ret_hv"), "silent_outside_main": F.col("sil") == 0, "high_value_inside_main": F.col("hv") + F.col("silent") == F.col("states"),
-        "preference_gate": F.col("gate") == 0, "too_few_slots_none": F.col("slots") == 0, "no_blank_preference": F.col("blank") == 0, "silent_detail_complete": F.col("detailed") == F.col("silent"),
+    users = lambda df: df.select("user_id").distinct()
+    outside = lambda df, name: total(users(df).join(segments.select("user_id"), "user_id", "left_anti"), name)
+    per_code = segments.groupBy("segment_code").count().where(code.isin(*main_codes))
+    filled = silent.select("user_id").join(detail, "user_id", "left").select("station_pref", "time_pref", *[S.fill_none(c(f"{p}{k}")).alias(f"{p}{k}") for p in ("station", "hour") for k in (1, 2, 3)])
+    parts = [
+        segments.agg(
+            F.count("*").alias("n"), F.count_distinct("user_id").alias("ids"), F.count_if(~code.isin(*main_codes)).alias("odd"), F.count_if("is_abnormal").alias("abn"), F.count_if(c("hv_state") == V.SILENT).alias("sil"), F.count_if(has_hv).alias("hv"),
+            F.count_if((code == "01") & has_hv).alias("new_hv"), F.count_if(code.isin("03", "04", "05")).alias("c345"), F.count_if(code.isin(*rules.core)).alias("core_codes"), F.count_if(no_pref("station") != no_pref("time")).alias("gate"),
+            F.count_if(unfilled("pref_")).alias("too_few"), F.count_if(any_slot("pref_", blank)).alias("blank"),
+        ),
+        per_code.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("by_code"), F.count_if(c("count") < 100).alias("small")),
+        total(segments.select("user_id", "segment_code").join(assigned.select("user_id", code.alias("_code")), "user_id", "left").where(~code.eqNullSafe(c("_code"))), "changed"),
+        outside(news, "out_new"), outside(returning, "out_ret"), outside(abnormal, "out_abn"), total(users(abnormal), "abn_list"), total(states, "all_hv"), total(silent, "silent"),
+        total(segments.where(code.isin("03", "04", "05")).join(users(returning), "user_id", "left_semi"), "absorbed"), total(users(returning.where("ever_hv")), "ret_hv"),
+        core.agg(F.count("*").alias("core"), F.count_if(~code.isin(*rules.core)).alias("core_odd"), F.greatest(F.count_if(c("pref_station1") != V.NONE), F.count_if(c("pref_hour1") != V.NONE)).alias("core_pref")),
+        total(silent.join(detail.select("user_id"), "user_id", "left_semi"), "detailed"), total(detail, "detail_n"), filled.agg(F.count_if(any_slot("", blank)).alias("sil_blank"), F.count_if(unfilled("")).alias("sil_too_few")),
+    ]
+    one = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), parts)
+    zero = F.lit(0)
+    pairs = {
+        "sum_of_segments": ("by_code", "n"), "unique_users": ("ids", "n"), "known_segments": ("odd", zero), "extra_columns_apart": ("changed", zero), "lists_inside_main": (c("out_new") + c("out_ret") + c("out_abn"), zero), "abnormal_flags": ("abn", "abn_list"),
+        "four_states": (c("new_hv") + c("c345") + c("silent"), "all_hv"), "returning_absorbed": ("absorbed", "ret_hv"), "silent_outside_main": ("sil", zero), "high_value_inside_main": (c("hv") + c("silent"), "all_hv"), "core_count": ("core", "core_codes"), "core_only": ("core_odd", zero),
+        "preference_gate": ("gate", zero), "too_few_slots_none": ("too_few", zero), "no_blank_preference": ("blank", zero), "silent_detail_complete": ("detailed", F.when(c("detail_n") > 0, c("silent")).otherwise(c("detailed"))), "silent_no_blank_preference": ("sil_blank", zero), "silent_too_few_slots_none": ("sil_too_few", zero),
     }
-    rows = [F.struct(F.lit(k).alias("check_name"), F.when(v, F.lit(V.PASS)).otherwise(F.lit(V.FAIL)).alias("result")) for k, v in checks.items()]
-    rows.append(F.struct(F.lit("small_segment").alias("check_name"), F.when(F.col("small") > 0, F.lit(V.WARN)).otherwise(F.lit(V.PASS)).alias("result")))
+    col = lambda x: c(x) if isinstance(x, str) else x
+    row = lambda name, result, a, b: F.struct(F.lit(name).alias("check_name"), result.alias("result"), F.concat_ws(" vs ", col(a).cast("string"), col(b).cast("string")).alias("detail"))
+    verdict = lambda good, bad=V.FAIL: F.when(good, F.lit(V.PASS)).otherwise(F.lit(bad))
+    rows = [row(k, verdict(col(a) == col(b)), a, b) for k, (a, b) in pairs.items()]
+    rows += [row("small_segment", verdict(c("small") == 0, V.WARN), "small", zero), row("top_preference_core", verdict(c("core_pref") <= c("core")), "core_pref", "core")]
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 

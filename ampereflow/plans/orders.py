@@ -15,6 +15,9 @@ from ..sources import landing as L
 from ..sources.fixtures import projection
 
 
+FIRST = "2000-01-01"  #: the orders of the test tables reach further back than those of the surveyed project
+
+
 def day(spark: SparkSession, sf: str) -> DataFrame:
     return projection(spark, sf, "charge_day")
 
@@ -36,11 +39,11 @@ def sessions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def base(spark: SparkSession, sf: str) -> DataFrame:
-    return P.order_behavior_base(P.recent_window(P.exclude_category(day(spark, sf))))
+    return P.order_behavior_base(P.recent_window(P.exclude_category(P.sequenced(day(spark, sf)))), FIRST)
 
 
 def wide(spark: SparkSession, sf: str) -> DataFrame:
-    return P.user_wide(day(spark, sf))
+    return P.user_wide(day(spark, sf), first=FIRST)
 
 
 def segments(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,7 +59,7 @@ def stations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def valid(spark: SparkSession, sf: str) -> DataFrame:
-    return R.valid_orders(day(spark, sf))
+    return R.valid_orders(P.sequenced(day(spark, sf)))
 
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:

@@ -219,11 +219,48 @@ add("segment_overview", lambda s, d: (lambda f: G.segment_overview(f[0], f[1]["s
 
 def checks(s, d):
     seg, x = O.final(s, d)
-    silent = G.silent_list(x["states"], x["main"])
-    return G.segment_checks(seg, x["states"], silent, x["new"], x["returning"], x["abnormal"], G.silent_history_detail(O.day(s, d), silent))
+    silent, new = G.silent_list(x["states"], x["main"]).persist(), x["new"].persist()
+    assigned = G.assign_segments(x["main"], x["states"], new, x["returning"])
+    detail = G.silent_history_detail(O.day(s, d), silent).persist()
+    return G.segment_checks(seg, assigned, G.core7_segments(seg), x["states"], silent, new, x["returning"], x["abnormal"], detail)
 
 
-add("segment_checks", checks)
+def _checks_oracle() -> str:
+    """Every check again from the segments, lists and states; the numbers of each stand in one row."""
+    full = oracle("SELECT 1 FROM final JOIN flagged JOIN silent JOIN abnormal JOIN news JOIN states JOIN charge_day")
+    hist = f"SELECT * FROM (SELECT *, {Q.hour_label('start_ts')} AS hour_label FROM charge_day WHERE {Q._NB}) WHERE user_id IN (SELECT user_id FROM silent)"
+    select, ranked = hist_sql()
+    main = "(" + ", ".join(f"'{a}'" for a, _ in V.SEGMENTS if a != "10") + ")"
+    slots = lambda t, cs: "(" + " OR ".join(t.format(x) for x in cs) + ")"
+    ps, ph = _PREF[:3], _PREF[3:]
+    few = lambda s_, h_: f"(station_pref = {q(V.TOO_FEW)} AND {slots('{} <> ' + q(V.NONE), s_)}) OR (time_pref = {q(V.TOO_FEW)} AND {slots('{} <> ' + q(V.NONE), h_)})"
+    blank = lambda cs: slots("coalesce(trim({}), '') = ''", cs)
+    ds, dh = [f"station{k}" for k in (1, 2, 3)], [f"hour{k}" for k in (1, 2, 3)]
+    count = lambda cond, table="fin": f"(SELECT count(*) FROM {table} WHERE {cond})"
+    gone = lambda t: f"(SELECT count(DISTINCT user_id) FROM {t} WHERE user_id NOT IN (SELECT user_id FROM fin))"
+    n, hv, core, silent = "(SELECT count(*) FROM fin)", "(SELECT count(*) FROM states)", "segment_code <= '07'", "(SELECT count(*) FROM silent)"
+    detailed, new_hv, c345 = count("user_id IN (SELECT user_id FROM details)", "silent"), count("segment_code = '01' AND hv_state <> ''"), count("segment_code IN ('03', '04', '05')")
+    pairs = {
+        "sum_of_segments": (count(f"segment_code IN {main}"), n), "unique_users": ("(SELECT count(DISTINCT user_id) FROM fin)", n), "known_segments": (count(f"segment_code NOT IN {main}"), "0"), "extra_columns_apart": ("(SELECT count(*) FROM fin JOIN final USING (user_id) WHERE fin.segment_code <> final.segment_code)", "0"),
+        "lists_inside_main": (f"{gone('news')} + {gone('flagged')} + {gone('abnormal')}", "0"), "abnormal_flags": (count("is_abnormal"), "(SELECT count(*) FROM abnormal)"),
+        "four_states": (f"{new_hv} + {c345} + {silent}", hv),
+        "returning_absorbed": (count("segment_code IN ('03', '04', '05') AND user_id IN (SELECT user_id FROM flagged)"), "(SELECT count(DISTINCT user_id) FROM flagged WHERE ever_hv)"), "silent_outside_main": (count(f"hv_state = {q(V.SILENT)}"), "0"), "high_value_inside_main": (count("hv_state <> ''") + f" + {silent}", hv),
+        "core_count": (count(core), count("segment_code IN ('01', '02', '03', '04', '05', '06', '07')")), "core_only": ("0", "0"), "preference_gate": (count(f"(station_pref = {q(V.TOO_FEW)}) <> (time_pref = {q(V.TOO_FEW)})"), "0"), "too_few_slots_none": (count(few(ps, ph)), "0"), "no_blank_preference": (count(blank(_PREF)), "0"),
+        "silent_detail_complete": (detailed, f"CASE WHEN (SELECT count(*) FROM details) > 0 THEN {silent} ELSE {detailed} END"), "silent_no_blank_preference": (count(blank(ds + dh), "silout"), "0"), "silent_too_few_slots_none": (count(few(ds, dh), "silout"), "0"),
+        "small_segment": ("(SELECT count(*) FROM (SELECT segment_code FROM fin GROUP BY 1 HAVING count(*) < 100))", "0"), "top_preference_core": (f"greatest({count(core + ' AND pref_station1 <> ' + q(V.NONE))}, {count(core + ' AND pref_hour1 <> ' + q(V.NONE))})", count(core)),
+    }
+    good = lambda k: "a <= b" if k == "top_preference_core" else "a = b"
+    rows = " UNION ALL ".join(f"SELECT '{k}' AS check_name, CASE WHEN {good(k)} THEN {q(V.PASS)} ELSE {q(V.WARN if k == 'small_segment' else V.FAIL)} END AS result, CAST(a AS VARCHAR) || ' vs ' || CAST(b AS VARCHAR) AS detail FROM (SELECT {a} AS a, {b} AS b)" for k, (a, b) in pairs.items())
+    fin = f"SELECT user_id, segment_code, hv_state, is_abnormal, station_pref, time_pref, {_SLOTS} FROM final"
+    out = "SELECT s.user_id, station_pref, time_pref, " + ", ".join(f"coalesce(nullif({x}, ''), {q(V.NONE)}) AS {x}" for x in ds + dh) + " FROM silent s LEFT JOIN details USING (user_id)"
+    return full[: full.rindex("SELECT 1 FROM")].rstrip() + f",\nhist AS ({hist}),\nhranked AS ({ranked}),\ndetails AS ({select}),\nfin AS ({fin}),\nsilout AS ({out})\n{rows}"
+
+
+QUERIES["segment_checks"], ORACLES["segment_checks"] = checks, _checks_oracle()
+_RANKED = "SELECT user_id, n_orders, {c} AS sum_paid, {d} AS sum_kwh FROM features"
+add("ranked_output", lambda s, d: O.rounded(P.ranked_output(P.user_features(P.valid_user_filter(O.base(s, d)))).select("user_id", "n_orders", "sum_paid", "sum_kwh")), _RANKED.format(c=rnd("sum_paid"), d=rnd("sum_kwh")) + " ORDER BY n_orders DESC, sum_paid DESC, sum_kwh DESC, user_id")
+_old = lambda: F.when(F.col("hv_state") == V.EXITED, F.lit(next(iter(V.LEGACY_STATES)))).otherwise(F.col("hv_state"))
+add("legacy_state_alias", lambda s, d: O.lists(s, d)["states"].select("user_id", G.legacy_state_alias(_old()).alias("hv_state")), "SELECT user_id, hv_state FROM states")
 add("legacy_hv_classes", lambda s, d: G.legacy_hv_classes(O.lists(s, d)["states"], O.daily(s, d).agg(F.max("order_date").alias("end_date"))), f"SELECT user_id, hv_state, CASE WHEN hv_state = {q(V.STABLE)} AND hv_start >= (SELECT max(order_date) FROM daily) - 29 THEN '新晋高价值' WHEN hv_state = {q(V.STABLE)} THEN '稳定高价值' WHEN hv_state = {q(V.RETURNING)} THEN '回流高价值' WHEN hv_state = {q(V.EXITED)} AND hv_segments >= 2 THEN '回流后退出' WHEN hv_state = {q(V.EXITED)} THEN '阶段性高价值' ELSE '高价值流失' END AS legacy_class FROM states")
 _COUPON = Q.case([(f"segment_code = '{a}'", q(b)) for a, b in {"01": "新手成长任务券", "02": "满20减5", "03": "月度阶梯折扣", "04": "满40减10", "05": "满30减8", "06": "阶梯任务券", "07": "满30减8", "08": "谷段时长折扣券", "09": "阶梯任务券", "11": "甲方券包"}.items()], "NULL")
 _TIER = "CASE WHEN days_since_last BETWEEN 8 AND 15 THEN 1 WHEN days_since_last BETWEEN 16 AND 30 THEN 2 WHEN days_since_last BETWEEN 31 AND 60 THEN 3 WHEN days_since_last BETWEEN 61 AND 90 THEN 4 WHEN days_since_last BETWEEN 91 AND 180 THEN 5 END"
@@ -256,7 +293,7 @@ for _c, _items in (("short_period", V.SHORT_PERIODS), ("duration_core", names(V.
     add(_n, lambda s, d, c=_c, items=_items: R.crosstab(O.valid(s, d).select("station_category", c).unionByName(O.valid(s, d).select(F.lit(V.TOTAL).alias("station_category"), c)), "station_category", c, (V.TOTAL, *V.CATEGORIES), items), tab("station_category", (V.TOTAL, *V.CATEGORIES), _c, _items, _TOT(_c)))
 add("with_total_row", lambda s, d: R.with_total_row(O.valid(s, d), "channel", F.count("*").alias("orders")), f"SELECT coalesce(channel, {q(V.TOTAL)}) AS channel, count(*) AS orders FROM rep GROUP BY ROLLUP (channel)")
 add("crosstab", lambda s, d: R.crosstab_wide(O.valid(s, d), "channel", "charge_method", ["1-URGENT", "2-HIGH", "3-MEDIUM"], ["App", "刷卡"]), "SELECT channel, count(*) FILTER (charge_method = 'App') AS \"App\", count(*) FILTER (charge_method = '刷卡') AS \"刷卡\" FROM rep WHERE channel IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1")
-add("category_reuse_rate", lambda s, d: R.category_reuse_rate(C.order_sequence(O.valid(s, d))), f"SELECT coalesce(station_category, {q(V.TOTAL)}) AS station_category, count(*) AS orders, {rnd(f'avg(CASE WHEN reuse_station = {q(V.YES)} THEN 1.0 ELSE 0.0 END)', 6)} AS reuse_rate FROM seqall WHERE reuse_station IN ({q(V.YES)}, {q(V.NO)}) GROUP BY ROLLUP (station_category)")
+add("category_reuse_rate", lambda s, d: R.category_reuse_rate(O.valid(s, d)), f"SELECT coalesce(station_category, {q(V.TOTAL)}) AS station_category, count(*) AS orders, {rnd(f'avg(CASE WHEN reuse_station = {q(V.YES)} THEN 1.0 ELSE 0.0 END)', 6)} AS reuse_rate FROM rep WHERE reuse_station IN ({q(V.YES)}, {q(V.NO)}) GROUP BY ROLLUP (station_category)")
 add("category_discount_valley", lambda s, d: R.category_discount_valley(O.valid(s, d)), f"SELECT coalesce(station_category, {q(V.TOTAL)}) AS station_category, count(*) AS orders, {rnd('avg(CASE WHEN discount_amount > 0 THEN 1.0 ELSE 0.0 END)', 6)} AS coupon_rate, {rnd('avg(CASE WHEN valley_share >= 0.25 THEN 1.0 ELSE 0.0 END)', 6)} AS valley_rate FROM rep GROUP BY ROLLUP (station_category)")
 add("duration_energy_matrix", lambda s, d: R.crosstab(O.valid(s, d).withColumn("energy_group", S.right_closed(F.col("energy_kwh"), V.ENERGY_MATRIX)), "duration_core", "energy_group", names(V.DURATION_CORE), names(V.ENERGY_MATRIX)), tab("duration_core", names(V.DURATION_CORE), "energy_group", names(V.ENERGY_MATRIX), f"(SELECT *, {Q.group('energy_kwh', V.ENERGY_MATRIX)} AS energy_group FROM rep)"))
 add("channel_top10_other", lambda s, d: R.top_plus_other(O.valid(s, d), "station_id", 10), f"SELECT CASE WHEN r <= 10 THEN station_id ELSE {q(V.OTHER)} END AS value, CAST(sum(n) AS BIGINT) AS orders FROM (SELECT station_id, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, station_id) AS r FROM rep GROUP BY 1) GROUP BY 1")

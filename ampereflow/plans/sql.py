@@ -187,9 +187,9 @@ BLOCKS = {
     "sessions1": f"SELECT *, {_MIN()} AS duration_min, raw_orders > 1 AS is_merged, {rnd('valley_kwh / CASE WHEN energy_kwh > 0 THEN energy_kwh END', 3)} AS valley_share FROM sessions0",
     "sessions": f"SELECT *, {_REUSE}, {gap('gap_h')} AS gap_bucket, user_seq = 1 AS is_first FROM ({_SEQ % 'sessions1'})",
     "daym": f"SELECT *, {_MIN()} AS duration_min, is_valid = {q(V.YES)} AS valid FROM charge_day",
-    "recent": f"SELECT * FROM daym WHERE {_NB} AND start_ts >= (SELECT max(start_ts) FROM charge_day WHERE {_NB}) - INTERVAL 90 DAY",
-    "seq": f"SELECT *, {_REUSE} FROM ({_SEQ % 'recent'})",
-    "base0": f"SELECT *, {rnd('discount_amount / nullif(paid_amount + discount_amount, 0)')} AS discount_share, {rnd('paid_amount / nullif(CASE WHEN energy_kwh > 0 THEN energy_kwh END, 0)')} AS unit_price, {rnd('energy_kwh * 60 / CASE WHEN duration_min > 0 THEN duration_min END', 3)} AS power_kw, {hour_label('start_ts')} AS hour_label FROM seq",
+    "seq": f"SELECT *, {_REUSE} FROM ({_SEQ % 'daym'})",
+    "recent": f"SELECT * FROM seq WHERE {_NB} AND start_ts >= (SELECT max(start_ts) FROM charge_day WHERE {_NB}) - INTERVAL 90 DAY",
+    "base0": f"SELECT *, {rnd('discount_amount / nullif(paid_amount + discount_amount, 0)')} AS discount_share, {rnd('paid_amount / nullif(CASE WHEN energy_kwh > 0 THEN energy_kwh END, 0)')} AS unit_price, {rnd('energy_kwh * 60 / CASE WHEN duration_min > 0 THEN duration_min END', 3)} AS power_kw, {hour_label('start_ts')} AS hour_label FROM recent",
     "base": "SELECT *, " + ", ".join(f"coalesce({c}, false) AS {k}" for k, c in _FLAGS.items()) + " FROM base0",
     "valid": "SELECT * FROM base WHERE trim(coalesce(user_id, '')) <> '' AND valid",
     "features": "SELECT user_id, count(*) AS n_orders, count(DISTINCT year(start_ts)) AS n_years, count(DISTINCT strftime(start_ts, '%Y-%m')) AS n_months, count(DISTINCT CAST(start_ts AS DATE)) AS n_days, min(start_ts) AS first_ts, max(start_ts) AS last_ts, "
@@ -231,10 +231,9 @@ BLOCKS = {
     "final": f"SELECT *, CASE WHEN is_new THEN '01' WHEN NOT ever THEN '02' WHEN hv_state = {q(V.STABLE)} THEN '03' WHEN hv_state = {q(V.RETURNING)} THEN '04' WHEN hv_state = {q(V.EXITED)} THEN '05' WHEN r_score <= 2 AND f_score >= 4 THEN '06' WHEN r_score >= 4 AND f_score <= 2 AND m_score >= 4 THEN '07' WHEN f_score <= 2 AND m_score <= 2 THEN '08' WHEN f_score >= 4 AND m_score <= 2 THEN '09' ELSE '11' END AS segment_code, date_diff('day', hv_end, last_day) AS days_since_hv_exit, "
     "CASE WHEN n_orders < 3 THEN '样本不足' WHEN share_used_discount < 0.2 THEN '低' WHEN share_used_discount < 0.5 THEN '中' ELSE '高' END AS coupon_level, CASE WHEN n_orders < 3 OR avg_valley_share IS NULL THEN '样本不足' WHEN avg_valley_share < 0.25 THEN '低' WHEN avg_valley_share < 0.5 THEN '中' ELSE '高' END AS valley_level, n_orders = 1 AND m_score >= 4 AS single_high FROM final0",
     "silent": f"SELECT s.*, date_diff('day', hv_end, (SELECT last_day FROM lastmain)) AS days_since_hv_exit FROM states s WHERE hv_state = {q(V.SILENT)} AND user_id NOT IN (SELECT user_id FROM labels)",
-    "rep": f"SELECT *, hour(start_ts) AS start_hour, {weekday('start_ts')} AS weekday, {band('hour(start_ts)', V.SHORT_PERIODS)} AS short_period, year(start_ts) AS year, {group('duration_min', V.DURATION_DETAIL)} AS duration_detail, {group('duration_min', V.DURATION_CORE)} AS duration_core, CASE WHEN duration_min <= 30 AND energy_kwh <= 20 THEN '短时低电量' WHEN duration_min <= 30 AND energy_kwh > 20 THEN '短时高电量' WHEN duration_min > 120 AND energy_kwh > 40 THEN '长时高电量' WHEN duration_min > 120 AND energy_kwh <= 20 THEN '长时低电量' ELSE '常规补能' END AS energy_type FROM daym WHERE valid",
+    "rep": f"SELECT *, hour(start_ts) AS start_hour, {weekday('start_ts')} AS weekday, {band('hour(start_ts)', V.SHORT_PERIODS)} AS short_period, year(start_ts) AS year, {group('duration_min', V.DURATION_DETAIL)} AS duration_detail, {group('duration_min', V.DURATION_CORE)} AS duration_core, CASE WHEN duration_min <= 30 AND energy_kwh <= 20 THEN '短时低电量' WHEN duration_min <= 30 AND energy_kwh > 20 THEN '短时高电量' WHEN duration_min > 120 AND energy_kwh > 40 THEN '长时高电量' WHEN duration_min > 120 AND energy_kwh <= 20 THEN '长时低电量' ELSE '常规补能' END AS energy_type FROM seq WHERE valid",
     "dims": f"SELECT station_key, station_name, place, category FROM (SELECT *, {station_key('station_id')} AS station_key, {category('station_type')} AS category, row_number() OVER (PARTITION BY {station_key('station_id')} ORDER BY station_name, station_id) AS n FROM station) WHERE n = 1 AND station_key IS NOT NULL",
 }
-BLOCKS["seqall"] = f"SELECT *, {_REUSE} FROM ({_SEQ % 'rep'})"
 
 _DEPS = {k: [b for b in BLOCKS if b != k and re.search(rf"\b(?:FROM|JOIN)\s+\(*{b}\b", v)] for k, v in BLOCKS.items()}
 

@@ -112,3 +112,43 @@ def test_stream_aggregates_equal_batch(spark, tmp_path):
     assert sorted((r["hour_start"].hour, r["orders"]) for r in hours.collect()) == [(8, 2), (10, 1)]
     days = streams.run_to_table(streams.user_daily_stream(stream()), "days", str(tmp_path / "c2"))
     assert sorted((r["user_id"], r["orders"], float(r["kwh"])) for r in days.collect()) == [("a", 2, 5.0), ("b", 1, 1.0)]
+
+
+def test_sequence_of_rows_without_user(spark):
+    """Rows without a user are windows per day; the result is that of one window over all of them."""
+    rows = [(f"{k:03}", None if k % 3 else "a", str(k % 2), T(2025, 1 + k % 2, 1 + (k * 7) % 9, k % 24)) for k in range(80)] + [("x", None, "1", None), ("y", None, None, T(2025, 1, 1))]
+    df = spark.createDataFrame(rows, "order_id string, user_id string, station_id string, start_ts timestamp").withColumn("end_ts", F.expr("start_ts + INTERVAL 5 MINUTES"))
+    got = {r["order_id"]: r for r in C.order_sequence(df).collect()}
+    for user in ("a", None):
+        mine = sorted((r for r in rows if r[1] == user), key=lambda r: (r[3] is not None, r[3] or T.min, r[0]))
+        months = {}
+        for n, r in enumerate(mine, 1):
+            before = mine[n - 2] if n > 1 else None
+            month = months[r[3] and r[3].month] = months.get(r[3] and r[3].month, 0) + 1
+            gap = None if before is None or before[3] is None or r[3] is None else round((r[3] - before[3]).total_seconds() / 3600, 3)
+            reuse = "首次充电" if n == 1 else "站点缺失" if before[2] is None or r[2] is None else "是" if before[2] == r[2] else "否"
+            x = got[r[0]]
+            assert (x["user_seq"], x["user_month_seq"], x["gap_h"], x["reuse_station"]) == (n, month, gap, reuse)
+    sessions = [r["session_no"] for r in C.restart_sessions(df).where("user_id IS NULL").collect()]
+    assert sorted(sessions) == list(range(1, len(sessions) + 1))
+
+
+def test_jdbc_round_trip(spark):
+    url = "jdbc:derby:memory:orders;create=true"
+    rows = spark.range(100).selectExpr("id AS k", "CAST(id * 1.5 AS DOUBLE) AS kwh")
+    L.jdbc_write(rows, url, "charge", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    L.jdbc_write(rows.where("k < 5"), url, "charge", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    back = L.jdbc_read(spark, url, "charge", "k", 0, 100, 4, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    assert back.rdd.getNumPartitions() == 4 and back.count() == 105 and back.agg(F.sum("kwh")).first()[0] == 1.5 * (99 * 50 + 10)
+
+
+def test_station_dims_by_file_order(spark):
+    rows = spark.createDataFrame([("1", "b", "x", "y", 0), ("station-1", "a", "x", "y", 1), ("2", "c", "x", "y", 2)], "station_id string, station_name string, station_type string, place string, row long")
+    names = lambda df: sorted(r["station_name"] for r in df.collect())
+    assert names(C.load_station_dims(rows)) == ["a", "c"] and names(C.load_station_dims(rows, ("row",))) == ["b", "c"]
+
+
+def test_field_stats_of_an_empty_table(spark):
+    df = spark.createDataFrame([("a", 1), (None, 1)], "x string, y int")
+    got = lambda d: sorted(tuple(r) for r in C.field_stats(d, ["x", "y"]).collect())
+    assert got(df) == [("x", 1, 0.5, 1), ("y", 0, 0.0, 1)] and got(df.limit(0)) == [("x", 0, 0.0, 0), ("y", 0, 0.0, 0)]

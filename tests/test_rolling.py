@@ -101,3 +101,31 @@ def test_valley_density_counts_all_rows(spark):
     assert got == want
     got = {(r["station_category"], r["bin"]): (r["n"], r["density"]) for r in R.valley_density(rows, total=True).collect()}
     assert got == want | {(V.TOTAL, b): (65_000, 12.5) for b in (0, 12, 25, 37)}
+
+
+def test_gaps_reach_back_before_the_window(spark):
+    day = lambda k: datetime(2025, 1, 1) + timedelta(k)
+    rows = [("1", "u", "s", day(0), "普通"), ("2", "u", "s", day(100), "普通"), ("3", "u", "b", day(110), V.BUS), ("4", "u", "s", day(120), "普通"), ("5", "w", "s", day(150), "普通")]
+    df = spark.createDataFrame(rows, "order_id string, user_id string, station_id string, start_ts timestamp, station_category string")
+    more = {c: F.lit("x") for c in ("charger_id", "charge_method", "channel", "end_reason_class", "abnormal_reason")} | {c: F.lit(1.0) for c in ("energy_kwh", "paid_amount", "discount_amount", "valley_share")}
+    df = df.withColumns(more | {"end_ts": F.expr("start_ts + INTERVAL 1 HOUR"), "is_valid": F.lit(V.YES)})
+    base = P.order_behavior_base(P.recent_window(P.exclude_category(P.sequenced(df)), 90))
+    got = {r["order_id"]: (r["gap_h"], r["reused_station"]) for r in base.collect()}
+    assert got == {"2": (2400.0, True), "4": (240.0, False), "5": (None, False)}
+    wide = {r["user_id"]: r["n_gaps"] for r in P.user_wide(df).collect()}
+    assert wide == {"u": 2, "w": 0}
+
+
+def test_share_rounding_and_top_values(spark):
+    df = spark.createDataFrame([("g", k, n) for k, n in enumerate((1, 1, 1))] + [("h", 0, 7)], "g string, k int, n long")
+    got = {(r["g"], r["k"]): r["percent"] for r in R.share_rounding(df, ["g"]).collect()}
+    assert got == {("g", 0): 33.4, ("g", 1): 33.3, ("g", 2): 33.3, ("h", 0): 100.0}
+    values = spark.createDataFrame([(v,) for v in "aaabbbccd"] + [(None,)] * 2, "v string")
+    assert sorted((r["value"], r["orders"]) for r in R.top_plus_other(values, "v", 2).collect()) == [("a", 3), ("b", 3), ("其他", 5)]
+    assert [r["k"] for r in P.ranked_output(df.withColumnRenamed("g", "user_id"), ("-n", "k")).collect()] == [0, 0, 1, 2]
+
+
+def test_legacy_states(spark):
+    old = next(iter(V.LEGACY_STATES))
+    rows = spark.createDataFrame([(old,), (V.STABLE,), (None,)], "s string").select(G.legacy_state_alias(F.col("s")).alias("s"))
+    assert [r["s"] for r in rows.collect()] == [V.LEGACY_STATES[old], V.STABLE, None]
