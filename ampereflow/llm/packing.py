@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .tokens import piece_cache
 
-#: Documents in one packing group: groups are packed apart, each leaving a bin or two that are not full.
-GROUP = 2000
+#: Documents in one packing group: groups are packed apart, each leaving a bin or two that are not full (see the README).
+GROUP = 20_000
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,10 +45,10 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return bins, offsets
 
 
-def _cut(capacity: int, path: str, end_id: int, with_ids: bool):
+def _cut(capacity: int, path: str, tokenizer_path: str, end_id: int, with_ids: bool):
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, row, full = TaskContext.get().partitionId(), 0, 0
-        cache = piece_cache(path)
+        cache = piece_cache(path, tokenizer_path)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
             out = []
@@ -76,8 +76,9 @@ def _pack(capacity: int):
     return pack
 
 
-def pack_documents(docs: DataFrame, ranks_path: str | None = None, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset, and with with_ids its token_ids.
+def pack_documents(docs: DataFrame, ranks_path: str | None = None, tokenizer_path: str | None = None, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset, and with with_ids its token_ids. ranks_path is
+    a file of byte-pair ranks; tokenizer_path names the tokenizer file whose added tokens are one id each (None: there are none).
 
     A document is its ids and then end_id; one longer than capacity is cut into pieces of capacity ids, the first piece taking
     what is over. Full pieces are sequences of their own; first pieces are packed in groups of about GROUP documents drawn by
@@ -87,10 +88,10 @@ def pack_documents(docs: DataFrame, ranks_path: str | None = None, capacity: int
     if ranks_path is None:
         import public_tokenizers
 
-        ranks_path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+        ranks_path, tokenizer_path = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"row long, id {id_type}, first long, crcs array<long>, full long" + (", ids array<array<int>>" if with_ids else "")
-    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(_cut(capacity, ranks_path, end_id, with_ids), schema), "tokens")
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(_cut(capacity, ranks_path, tokenizer_path, end_id, with_ids), schema), "tokens")
     short = rows.where(F.col("first") < capacity).select("row", "first")
     groups = max(1, -(-short.count() // GROUP))
     placed = short.withColumn("grp", F.pmod(F.xxhash64("row"), F.lit(groups))).groupBy("grp").applyInPandas(_pack(capacity), "row long, sequence_id long, offset long")

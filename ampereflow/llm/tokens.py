@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 from array import array
 from functools import lru_cache
@@ -24,12 +25,21 @@ def encoder(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=2)
+def added_tokens(tokenizer_path: str) -> dict[str, int]:
+    """Strings that a tokenizer file makes one id before any other rule."""
+    return {t["content"]: t["id"] for t in json.loads(Path(tokenizer_path).read_text())["added_tokens"]}
+
+
 class PieceCache(dict):
     """Text without white space inside, with at most one space before it -> its ids as little-endian 32-bit bytes."""
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, tokenizer_path: str | None = None, most: int = 400_000) -> None:
         super().__init__()
         self.encode, self.most = encoder(path).encode_ordinary, most
+        added = added_tokens(tokenizer_path) if tokenizer_path else {}
+        self.added = {k: array("I", [v]).tobytes() for k, v in added.items()}
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split if added else None
 
     def __missing__(self, piece: str) -> bytes:
         word = piece.rstrip(_MARKS)
@@ -44,8 +54,14 @@ class PieceCache(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
-        """The ids of a whole text. Pieces of the split pattern never run on from other characters into white space, so where
-        white space stands alone the text may be cut before each space and around each line break."""
+        """The ids of a whole text; added tokens stand for themselves and part the text."""
+        if self.split and any(x in text for x in self.added):
+            return b"".join(self.added[x] if k % 2 else self._plain(x) for k, x in enumerate(self.split(text)))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
+        """Pieces of the split pattern never run on from other characters into white space, so where white space stands alone the
+        text may be cut before each space and around each line break."""
         if not text:
             return b""
         if _DOUBLE.search(text):
@@ -62,5 +78,5 @@ class PieceCache(dict):
 
 
 @lru_cache(maxsize=2)
-def piece_cache(path: str) -> PieceCache:
-    return PieceCache(path)
+def piece_cache(path: str, tokenizer_path: str | None = None) -> PieceCache:
+    return PieceCache(path, tokenizer_path)
