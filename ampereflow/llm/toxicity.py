@@ -22,7 +22,6 @@ from .models import SAMPLE, Logistic, labelled_sample
 
 THRESHOLD = 0.3
 LENGTHS = (4, 5, 6, 7, 8)  #: lengths of beginnings that are tried beside whole words
-MOST = 5000  #: entries of the lexicon
 G2 = 30.0  #: least likelihood-ratio statistic of an entry
 
 #: Harmless phrases that hold words often used as insults.
@@ -55,9 +54,8 @@ def fold(text: str | None) -> str:
 def beginnings(text: str | None) -> set[str]:
     out = set()
     for w in set(fold(text).split()):
-        if 3 <= len(w) <= 30:
-            out.add(w + " ")
-            out.update(w[:n] for n in LENGTHS if n <= len(w))
+        out.add(w + " ")
+        out.update(w[:n] for n in LENGTHS if n <= len(w))
     return out
 
 
@@ -108,10 +106,11 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def fit_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    """Learns from at most ``most`` labelled texts, equal ones once: entries from three quarters of them, the model from the rest."""
+    """Learns from at most ``most`` labelled texts: entries from three quarters of them, the model from the rest. Equal texts count
+    once, as toxic if any of them is. The lexicon is bounded by this sample: an entry stands in several toxic texts of it."""
     sample = F.broadcast(labelled_sample(labels.withColumnRenamed("doc_id", id_col), "toxic", id_col, most))
-    rows = docs.select(id_col, F.col(text_col).alias("text")).join(sample, id_col).withColumn("h", F.xxhash64("text")).dropDuplicates(["h"])
-    rows = materialize(rows.select("text", "toxic", (F.pmod("h", F.lit(4)) == 0).alias("calibrate")), "sample")
+    rows = docs.select(id_col, F.col(text_col).alias("text")).join(sample, id_col).groupBy("text").agg(F.max("toxic").alias("toxic")).withColumn("h", F.xxhash64("text"))
+    rows = materialize(rows.select("text", "toxic", "h", (F.pmod("h", F.lit(4)) == 0).alias("calibrate")), "sample")
     learn = rows.where("NOT calibrate")
     sizes = {r["toxic"]: r["n"] for r in learn.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     nt, nn = sizes.get(1, 0), sizes.get(0, 0)
@@ -124,18 +123,19 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     g2 = 2 * (part(F.col("t"), F.lit(float(max(1, nt)))) + part(F.col("c"), F.lit(float(max(1, nn)))))
     odds = F.log((F.col("t") + 0.5) / (nt + 1)) - F.log((F.col("c") + 0.5) / (nn + 1))
     both = materialize(both.withColumn("g2", g2).withColumn("odds", odds), "weighed")
-    chosen = both.where((F.col("odds") >= 1.0) & (F.col("g2") >= G2)).orderBy(F.desc("g2"), "entry").limit(MOST).collect()
-    weights = {r["entry"]: r["odds"] for r in chosen}
-    plain = both.where((F.col("odds") < 0.5) & (F.col("c") >= 8)).orderBy(F.desc("c"), "entry").limit(20 * MOST).collect() if weights else []
-    learned = [r["entry"] for r in plain if any(r["entry"][:n] in weights for n in range(min(LENGTHS), len(r["entry"])))]
-    lexicon = Lexicon(weights, sorted({*learned[:MOST], *(fold(x).strip() for x in exceptions)} - weights.keys()))
+    chosen = both.where((F.col("odds") >= 1.0) & (F.col("g2") >= G2)).select("entry", "odds")
+    weights = {r["entry"]: r["odds"] for r in chosen.collect()}
+    plain = both.where((F.col("odds") < 0.5) & (F.col("c") >= 8)).select("entry")
+    parts = plain.where(F.length("entry") > min(LENGTHS)).select("entry", F.explode(F.transform(F.sequence(F.lit(min(LENGTHS)), F.length("entry") - 1), lambda n: F.substr("entry", F.lit(1), n))).alias("part"))
+    learned = {r["entry"] for r in parts.join(chosen.select(F.col("entry").alias("part")), "part").select("entry").distinct().collect()}
+    lexicon = Lexicon(weights, sorted({*learned, *(fold(x).strip() for x in exceptions)} - weights.keys()))
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:
         return pd.Series([shared.value.features(t) for t in texts])
 
-    xy = rows.where("calibrate").select("toxic", features("text").alias("x")).collect()
+    xy = rows.where("calibrate").select("toxic", "h", features("text").alias("x")).orderBy("h", "toxic").collect()
     lexicon.model = Logistic(np.array([r["x"] for r in xy], dtype=float).reshape(-1, 4), np.array([r["toxic"] for r in xy], dtype=float))
     return lexicon
 

@@ -81,3 +81,44 @@ def test_toxicity_edge_cases(spark):
     assert len({r["score"] for r in got if r["doc_id"] == 502}) == 1
     assert {r["score"] for r in toxicity.toxicity_scores(docs, labels.limit(0)).collect()} == {0.5}
     assert toxicity.toxicity_scores(docs.limit(0), labels).collect() == []
+
+
+def plain_toxicity_features(lexicon, text):
+    """Every entry at every place of the folded text, the longest at each place, exceptions blocking what they cover."""
+    folded = toxicity.fold(text)
+    entries = lexicon.weights | dict.fromkeys(lexicon.exceptions, 0.0)
+    best = {}
+    for entry, weight in entries.items():
+        at = folded.find(" " + entry)
+        while at >= 0:
+            if at not in best or best[at][0] < len(entry) + 1:
+                best[at] = (len(entry) + 1, weight)
+            at = folded.find(" " + entry, at + 1)
+    hits, until = [], 0
+    for at in sorted(best):
+        n, weight = best[at]
+        if weight and at >= until:
+            hits.append(weight)
+        elif not weight:
+            until = max(until, at + n - 1)
+    words = len(folded.split()) or 1
+    return [np.log1p(sum(hits)), np.log1p(100 * sum(hits) / words), max(hits, default=0.0), np.log1p(len(hits))]
+
+
+def test_toxicity_query_equals_brute_force(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    lexicon = toxicity.fit_lexicon(docs.where("crc32(string(doc_id)) % 4 <> 2"), labels.where("crc32(string(doc_id)) % 4 <> 2"))
+    assert lexicon.weights and lexicon.exceptions
+    got = {r["doc_id"]: (r["score"], r["predicted"]) for r in toxicity.toxicity_scores(docs, labels).collect()}
+    rows = docs.collect()
+    x = np.array([plain_toxicity_features(lexicon, r["text"]) for r in rows])
+    for r, p in zip(rows, lexicon.model.proba(x), strict=True):
+        assert abs(got[r["doc_id"]][0] - p) < 1e-9 and got[r["doc_id"]][1] == (p >= toxicity.THRESHOLD)
+
+
+def test_toxicity_does_not_depend_on_partitions(spark):
+    rows = [(k, f"you idiot face {k % 40}" if k % 3 else f"kind gentle words {k % 40}", 1.0) for k in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, x double")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0 and k % 7 > 0)) for k in range(240)], "doc_id long, toxic int")
+    scores = [sorted((r["doc_id"], r["score"]) for r in toxicity.toxicity_scores(docs.repartition(n), labels.repartition(n)).collect()) for n in (1, 3, 7)]
+    assert scores[0] == scores[1] == scores[2]
