@@ -38,7 +38,16 @@ def materialize(df: DataFrame, name: str = "part", by: tuple[str, ...] = ()) ->
     executor costs no recomputation."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.partitionBy(*by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def remove_written(df: DataFrame) -> None:
+    """Deletes the files of a materialized table that nothing reads any more."""
+    jvm = df.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def crc_fold(id_col: Column, folds: int) -> Column:
@@ -55,8 +64,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of the undirected edges (u, v); root is the smallest node reachable.
 
     Alternates large-star and small-star steps, written to the shared folder after each round, until the edges stand still.
-    A hub's edges meet only in joins on the hub, which adaptive execution can split, and in minima with partial aggregation;
-    no task or driver holds a component.
+    A hub's edges meet in minima with partial aggregation and in joins on the hub. The minima are written first, so these joins
+    have a shuffle of their own on either side and adaptive execution splits the hub's; no task or driver holds a component.
     """
     def ordered(df: DataFrame) -> DataFrame:
         return df.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -67,11 +76,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not state[0]:
             break
         both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = materialize(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        edges = materialize(ordered(small), "edges")
+        before, edges = edges, materialize(ordered(small), "edges")
+        for done in (before, least, large, low):
+            remove_written(done)
         was, state = state, _edge_state(edges)
         if state == was:
             break

@@ -1,9 +1,9 @@
 """SimHash near-dedup with pigeonring filtering.
 
 A fingerprint's 64 bits form a ring of ``segments`` equal pieces. If two fingerprints differ in at most ``radius`` bits, some
-piece starts a chain whose every prefix of l pieces differs in at most floor(l * radius / segments) bits. The first two pieces
-of that chain are the join key (first piece equal, second within its budget, by flipped keys); longer prefixes prune candidates
-before the full Hamming check.
+piece starts a chain whose every prefix of l pieces differs in at most floor(l * radius / segments) bits. The longest prefix with a
+budget of at most one bit is the join key (equal, or with one bit flipped in the pieces that may differ); longer prefixes prune
+candidates before the full Hamming check. A second fingerprint over longer shingles may have to confirm a link.
 """
 
 from __future__ import annotations
@@ -18,9 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import connected_components, materialize
+from .common import connected_components, fresh, materialize
 
 BLOCK = 1024  #: most fingerprints that are compared at once
+#: Near copies for keep_one_per_group: texts whose five-word shingles have a Jaccard similarity of 0.8 or more, as far as
+#: fingerprints tell. At 0.8 the angle of the shingle sets makes 7.5 of 64 bits differ for three words and 9.7 for five, so half of
+#: these pairs or more are beyond RADIUS; a wider one would shorten the join keys and let candidates grow with the square of the
+#: corpus. MOST2 leaves one standard deviation above the 9.7 and keeps unlike texts apart at any size of corpus.
+RADIUS, SEGMENTS, SHINGLE2, MOST2 = 5, 8, 5, 12
 _SEED = 42
 
 
@@ -51,7 +56,7 @@ def hex_fingerprint(name: str):
 
 
 def _star(a: np.ndarray, b: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
-    """Edges from each value with a neighbour to the smallest value of its component in the bipartite graph near[a, b]."""
+    """Edges from each node with a neighbour to the smallest node of its component in the bipartite graph near[a, b]."""
     la, lb = a.copy(), b.copy()
     top = np.iinfo(np.int64).max
     while True:
@@ -63,65 +68,93 @@ def _star(a: np.ndarray, b: np.ndarray, near: np.ndarray) -> list[tuple[int, int
     return [(int(x), int(y)) for x, y in {*zip(a.tolist(), la.tolist(), strict=True), *zip(b.tolist(), lb.tolist(), strict=True)} if x != y]
 
 
-def _link_blocks(radius: int, segments: int):
+def _link_blocks(radius: int, segments: int, chain: int, most2: int | None):
     width = 64 // segments
     full = (1 << 64) - 1
-    chain = [((1 << (n * width)) - 1, n * radius // segments) for n in range(3, segments)]
+    prefixes = [((1 << (n * width)) - 1, n * radius // segments) for n in range(chain + 1, segments)]
 
     def fits(x: int, at: int) -> bool:
         shift = at * width
         turned = ((x >> shift) | (x << (64 - shift))) & full
-        return all((turned & mask).bit_count() <= most for mask, most in chain) and x.bit_count() <= radius
+        return all((turned & mask).bit_count() <= most for mask, most in prefixes) and x.bit_count() <= radius
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out: list[tuple[int, int]] = []
             for at, exact, every in zip(batch["seg"], batch["exact"], batch["every"], strict=True):
-                if len(exact) * len(every) <= 64:
-                    out += [(max(x, y), min(x, y)) for x in map(int, exact) for y in map(int, every) if x != y and fits((x ^ y) & full, int(at))]
+                # members are (node, fp) or (node, fp, fp2) one after another
+                a, b = (np.asarray(x, dtype=np.int64).reshape(-1, 2 + (most2 is not None)) for x in (exact, every))
+                if len(a) * len(b) <= 64:
+                    for x in a.tolist():
+                        for y in b.tolist():
+                            if x[0] != y[0] and fits((x[1] ^ y[1]) & full, int(at)) and (most2 is None or ((x[2] ^ y[2]) & full).bit_count() <= most2):
+                                out.append((max(x[0], y[0]), min(x[0], y[0])))
                     continue
-                a, b = np.asarray(exact, dtype=np.int64), np.asarray(every, dtype=np.int64)
-                x = a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :]
-                shift = np.uint64(int(at) * width)
-                turned = x if not shift else (x >> shift) | (x << np.uint64(64 - int(shift)))
-                near = np.ones(x.shape, dtype=bool)
-                for mask, most in chain:
+                x = a[:, 1].view(np.uint64)[:, None] ^ b[:, 1].view(np.uint64)[None, :]
+                near = np.bitwise_count(x) <= radius
+                turned = x if not at else (x >> np.uint64(int(at) * width)) | (x << np.uint64(64 - int(at) * width))
+                for mask, most in prefixes:
                     near &= np.bitwise_count(turned & np.uint64(mask)) <= most
-                near &= np.bitwise_count(x) <= radius
-                out += _star(a, b, near)
+                if most2 is not None:
+                    near &= np.bitwise_count(a[:, 2].view(np.uint64)[:, None] ^ b[:, 2].view(np.uint64)[None, :]) <= most2
+                out += _star(a[:, 0].copy(), b[:, 0].copy(), near)
             pairs = list(dict.fromkeys(out))
             yield pd.DataFrame({"u": np.array([p[0] for p in pairs], dtype=np.int64), "v": np.array([p[1] for p in pairs], dtype=np.int64)})
 
     return link
 
 
-def hamming_edges(fps: DataFrame, radius: int = 3, segments: int = 4) -> DataFrame:
-    """Edges (u, v) that connect exactly the fingerprints reachable by links of at most ``radius`` differing bits.
+def hamming_edges(fps: DataFrame, radius: int = 3, segments: int = 4, most2: int | None = None) -> DataFrame:
+    """Edges (u, v) that connect exactly the nodes reachable by links of at most ``radius`` differing bits in fp and, where most2 is
+    given, at most most2 in fp2.
 
-    fps: one column fp of distinct longs. Within a bucket a spanning forest of the links is returned, not all pairs; a bucket
-    larger than BLOCK is cut into blocks that are compared two at a time, each pair of blocks a row of its own.
+    fps: node (distinct longs; without such a column fp is the node), fp and with most2 fp2. Within a bucket a spanning forest of
+    the links is returned, not all pairs; a bucket larger than BLOCK is cut into blocks that are compared two at a time, each pair
+    of blocks a row of its own.
     """
-    if 64 % segments or radius // segments or 2 * radius // segments > 1:
-        raise ValueError("segments must divide 64, exceed radius, and give the second piece a budget of at most one bit")
+    budget = lambda n: n * radius // segments
+    if 64 % segments or budget(1):
+        raise ValueError("segments must divide 64 and exceed radius")
+    chain = max(n for n in range(1, segments) if budget(n) <= 1)
+    equal = max(n for n in range(1, chain + 1) if budget(n) == 0)  # pieces without any difference
     width = 64 // segments
-    low, flips = (1 << (2 * width)) - 1, 2 * radius // segments
+    low = (1 << (chain * width)) - 1
     turned = f"(shiftrightunsigned(fp, seg * {width}) | shiftleft(fp, 64 - seg * {width}))"
-    steps = F.array(*[F.lit(p) for p in [-1, *(range(width, 2 * width) if flips else [])]])
+    steps = F.array(*[F.lit(p) for p in [-1, *range(equal * width, chain * width)]])
+    if "node" not in fps.columns:
+        fps = fps.withColumn("node", F.col("fp"))
+    member = F.array("node", "fp", *(["fp2"] if most2 is not None else []))
     entries = (
-        fps.select("fp", F.explode(F.array(*[F.lit(k) for k in range(segments)])).alias("seg"))
-        .select("fp", "seg", F.expr(f"{turned} & {low}L").alias("two"), F.explode(steps).alias("bit"))
-        .where("bit < 0 OR shiftrightunsigned(two, bit) & 1L = 0")
-        .select("fp", "seg", F.expr("IF(bit < 0, two, two | shiftleft(1L, bit))").alias("key"), F.expr("bit < 0").alias("is_exact"))
+        fps.select(member.alias("m"), "node", "fp", F.explode(F.array(*[F.lit(k) for k in range(segments)])).alias("seg"))
+        .select("m", "node", "seg", F.expr(f"{turned} & {low}L").alias("key"), F.explode(steps).alias("bit"))
+        .where("bit < 0 OR shiftrightunsigned(key, bit) & 1L = 0")
+        .select("m", "node", "seg", F.expr("IF(bit < 0, key, key | shiftleft(1L, bit))").alias("key"), F.expr("bit < 0").alias("is_exact"))
         .repartition("seg", "key")
     )
     counts = entries.groupBy("seg", "key").agg(F.count_if("is_exact").alias("n_exact"), F.count("*").alias("n")).where("n_exact > 0 AND n > 1")
-    members = entries.join(counts.drop("n_exact"), ["seg", "key"]).select("seg", "key", "fp", "is_exact", F.expr(f"CAST(ceil(n / {BLOCK}.0) AS INT)").alias("blocks"))
-    members = members.withColumn("block", F.expr("pmod(xxhash64(fp), blocks)"))
-    blocks = materialize(members.groupBy("seg", "key", "block", "blocks").agg(F.collect_list(F.when(F.col("is_exact"), F.col("fp"))).alias("exact"), F.collect_list("fp").alias("every")), "blocks")
+    members = entries.join(counts.drop("n_exact"), ["seg", "key"]).select("seg", "key", "m", "node", "is_exact", F.expr(f"CAST(ceil(n / {BLOCK}.0) AS INT)").alias("blocks"))
+    members = members.withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
+    grouped = members.groupBy("seg", "key", "block", "blocks").agg(F.flatten(F.collect_list(F.when(F.col("is_exact"), F.col("m")))).alias("exact"), F.flatten(F.collect_list("m")).alias("every"))
+    blocks = materialize(grouped, "blocks")
     alone = blocks.where("blocks = 1").select("seg", "exact", "every")
     many = blocks.where("blocks > 1")
     crossed = many.select("seg", "key", "exact").join(many.select("seg", "key", "every"), ["seg", "key"]).select("seg", "exact", "every")
-    return alone.unionAll(crossed).where("size(exact) > 0").mapInPandas(_link_blocks(radius, segments), "u long, v long")
+    return alone.unionAll(crossed).where("size(exact) > 0").mapInPandas(_link_blocks(radius, segments, chain, most2), "u long, v long")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, segments: int, shingle2: int | None = None, most2: int | None = None) -> DataFrame:
+    """(id, h (xxhash64 of the text), fp, root (a node of the component), component_id) for each row."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
+    keys = ["fp", *(["fp2"] if shingle2 else [])]
+    if shingle2:
+        rows = with_fingerprint(rows, "text", shingle2, "fp2")
+    rows = materialize(with_fingerprint(rows, "text", shingle).select("id", "h", *keys), "fingerprints")
+    nodes = rows.groupBy(*keys).agg(F.min("id").alias("least"))
+    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id() if shingle2 else F.col("fp")), "nodes")
+    comp = connected_components(hamming_edges(nodes.select("node", *keys), radius, segments, most2))
+    rooted = nodes.join(comp, "node", "left").select(*keys, "least", F.coalesce("root", "node").alias("root"))
+    first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows.join(rooted.join(first, "root").select(*keys, "root", "component_id"), keys).select("id", "h", "fp", "root", "component_id")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3, segments: int = 4) -> DataFrame:
@@ -132,23 +165,21 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     too but names no component; it gets null where all its component's ids are null. Other columns are ignored. An empty table
     gives an empty result.
     """
-    rows = materialize(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", shingle).select("id", "fp"), "fingerprints")
-    nodes = materialize(rows.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    comp = connected_components(hamming_edges(nodes.select("fp"), radius, segments))
-    rooted = nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(first, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    found = _components(docs, id_col, text_col, shingle, radius, segments)
+    return found.select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3, segments: int = 4) -> DataFrame:
-    """docs without near copies: of each component the rows with the smallest id stay; of rows that repeat both id and text, one.
+def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = RADIUS, segments: int = SEGMENTS, shingle2: int = SHINGLE2, most2: int = MOST2) -> DataFrame:
+    """docs without near copies, one row of each component: the one with the smallest id, and of several with that id the one whose
+    text has the smallest hash. Links need both fingerprints, see RADIUS and MOST2.
 
-    Rows with a null id stay only where no row of their component has an id.
+    Null texts count as empty; empty texts are copies of each other. A row with a null id stays only where no row of its component
+    has an id. Of rows that repeat both id and text one stays; rows with one id and unlike texts are unlike documents. All columns
+    are kept, whatever they are called; an empty table stays empty.
     """
-    comp = materialize(simhash_components(docs, id_col, text_col, shingle, radius, segments), "components")
-    keep = comp.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col, text_col])
-    lone = comp.where(F.col(id_col).isNull() & F.col("component_id").isNull()).select(F.col("fp").alias("_fp")).distinct()
-    nulls = with_fingerprint(docs.where(F.col(id_col).isNull()), text_col, shingle, "_fp").join(lone, "_fp", "left_semi")
-    return kept.unionByName(nulls.dropDuplicates(["_fp"]).select(*docs.columns))
+    comp = materialize(_components(docs, id_col, text_col, shingle, radius, segments, shingle2, most2), "components")
+    roots = comp.where("id <=> component_id").groupBy("root").agg(F.min(F.struct("id", "h")).alias("k")).select("k.id", "k.h").distinct()
+    kid, kh = fresh(docs, "_id"), fresh(docs, "_h")
+    roots = roots.select(F.col("id").alias(kid), F.col("h").alias(kh))
+    kept = docs.join(roots, F.col(id_col).eqNullSafe(F.col(kid)) & (F.xxhash64(text_col) == F.col(kh)), "left_semi")
+    return kept.dropDuplicates([id_col, text_col])
