@@ -7,12 +7,15 @@ import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh, materialize
+
 SPAN = 128  #: least words of a passage; passages are twice as long as the items of their index and start every half passage
 SCORE = 0.5  #: least BM25 score of a passage as a share of the item's score for itself
 QUESTION, ANSWER = 0.5, 0.5  #: least overlaps, of 3-word shingles and of words
@@ -200,14 +203,17 @@ def _scanner(shared):
     return scan
 
 
-def with_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", name: str = "leaks") -> DataFrame:
-    """Adds the array of leaks of each text; row by row, with the index of bounded size sent once to each executor."""
-    spark = docs.sparkSession
-    found = []
-    for n, index in enumerate(indexes(items)):
-        docs = docs.withColumn(f"_leaks{n}", _scanner(spark.sparkContext.broadcast(index))(F.col(text_col)))
-        found.append(f"_leaks{n}")
-    return docs.withColumn(name, F.concat(*found)).drop(*found)
+def _scans(docs: DataFrame, items: DataFrame) -> Iterator:
+    """(function that finds the leaks of a text column, is it the last one) for each index. The one index of a usual benchmark goes
+    with the query; of several only one is held and sent at a time, so the result of each must be written before the next."""
+    context, waiting = docs.sparkSession.sparkContext, None
+    for index in indexes(items):
+        if waiting is not None:
+            yield _scanner(waiting), False
+            waiting.unpersist()
+        waiting = context.broadcast(index)
+    if waiting is not None:
+        yield _scanner(waiting), True
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,10 +222,20 @@ def leaked_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     Null and empty texts or items match nothing; items with a null id are left out; null ids of texts and repeated rows pass
     through; equal items are found each under its own id; empty tables give an empty result; other columns are ignored.
     """
-    rows = with_leaks(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), items, "_text", "_leaks")
-    return rows.select(F.col("_id").alias(id_col), F.explode("_leaks").alias("leak")).select(id_col, "leak.*")
+    rows, found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), []
+    for scan, last in _scans(docs, items):
+        part = rows.select(F.col("_id").alias(id_col), F.explode(scan(F.col("_text"))).alias("leak")).select(id_col, "leak.*")
+        found.append(part if last and not found else materialize(part, "leaks"))
+    return reduce(DataFrame.unionAll, found)
 
 
 def drop_leaked(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs without the texts that hold a test item."""
-    return with_leaks(docs, items, text_col, "_leaks").where(F.size("_leaks") == 0).drop("_leaks")
+    """docs without the texts that hold a test item, with the columns of docs whatever they are called. Null and empty texts, null
+    ids and repeated rows stay; an empty table stays empty."""
+    first = True
+    for scan, last in _scans(docs, items):
+        name = fresh(docs, "_leaks")
+        docs = docs.withColumn(name, scan(F.col(text_col))).where(F.size(name) == 0).drop(name)
+        docs = docs if last and first else materialize(docs, "unleaked")
+        first = False
+    return docs

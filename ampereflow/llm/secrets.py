@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from .common import fresh
 from .tokens import encoder
 
 KINDS = ("assign", "access", "hex", "dense")
@@ -68,7 +70,10 @@ def _parts(text: str, host: int, s: int, e: int):
 
 
 def spans_of(text: str, encode, ratio: float = RATIO) -> list[tuple[str, int, int]]:
-    """(kind, start, end) in code points by start, then kind as listed."""
+    """(kind, start, end) in code points by start, then kind as listed.
+
+    Tried for their ratio are strings of LEAST and more characters with both letters and digits: strings of letters only count as
+    words or names, of digits only as numbers."""
     found = []
     low = text.lower()
     if any(w in low for w in _WORDS):
@@ -77,10 +82,20 @@ def spans_of(text: str, encode, ratio: float = RATIO) -> list[tuple[str, int, in
         found += [("access", *m.span()) for m in _ACCESS.finditer(text) if len(m[0]) >= 18]
     found += [("hex", *m.span()) for m in _HEX.finditer(text)]
     base = sorted((s, e) for _, s, e in found)
+    ends: list[int] = []  # the furthest end of the base spans up to each, which makes the test for overlap a search
+    for _, e in base:
+        ends.append(max(e, ends[-1]) if ends else e)
+
+    def covered(a: int, b: int) -> bool:
+        k = bisect_left(base, (b, 0))
+        return k > 0 and ends[k - 1] > a
+
     for m in _TRIED.finditer(text):
         word, (s, e) = m[0], m.span()
         if not _mixed(word):
             continue
+        if text[max(0, s - 8) : s].lower().endswith((";base64,",)):
+            continue  # data inside a data: address
         host = _address(text, s)
         if host >= 0:
             parts = [(a, b) for a, b, segment in _parts(text, host, s, e) if b - a >= LEAST and _mixed(text[a:b]) and not (segment and _SLUG.fullmatch(text, a, b))]
@@ -88,7 +103,7 @@ def spans_of(text: str, encode, ratio: float = RATIO) -> list[tuple[str, int, in
             parts = [] if text[s - 1 : s] == "@" else [(s, e)]
         for a, b in parts:
             word = text[a:b]
-            if any(x < b and a < y for x, y in base) or _DIGEST.fullmatch(word) or _IDENTIFIER.fullmatch(word):
+            if covered(a, b) or _DIGEST.fullmatch(word) or _IDENTIFIER.fullmatch(word):
                 continue
             if len(word) < ratio * len(encode(word)):
                 found.append(("dense", a, b))
@@ -127,7 +142,8 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """docs with every span replaced by mark; overlapping spans count as one. Rows without secrets are unchanged."""
+    """docs with every span replaced by mark; overlapping spans count as one. Rows without secrets, null and empty texts are
+    unchanged; null ids and repeated rows pass through; columns keep their names whatever these are; empty tables stay empty."""
     @pandas_udf("string")
     def redact(texts: pd.Series, found: pd.Series) -> pd.Series:
         out = []
@@ -144,8 +160,9 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET
             out.append(text)
         return pd.Series(out)
 
-    scanned = with_secret_spans(docs, text_col, "_found")
-    return scanned.withColumn(text_col, redact(F.col(text_col), F.col("_found"))).drop("_found")
+    name = fresh(docs, "_found")
+    scanned = with_secret_spans(docs, text_col, name)
+    return scanned.withColumn(text_col, redact(F.col(text_col), F.col(name))).drop(name)
 
 
 def digest_of(spans: list[tuple[str, int, int]]) -> str:

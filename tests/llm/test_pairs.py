@@ -33,9 +33,9 @@ def test_components_of_chain_star_and_pairs(spark):
     assert got == union({x for p in links for x in p}, links)
 
 
-def plain_fingerprint(text):
+def plain_fingerprint(text, n=3):
     words = (text or "").encode().lower().split()
-    grams = [b" ".join(words[k : k + 3]) for k in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+    grams = [b" ".join(words[k : k + n]) for k in range(len(words) - n + 1)] or ([b" ".join(words)] if words else [])
     hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
     return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
 
@@ -67,6 +67,47 @@ def test_hamming_edges_on_dense_groups(spark):
     assert {x: found.get(x, x) for x in signed} == want
 
 
+def test_edges_of_wider_radius_with_second_fingerprint(spark):
+    rng = np.random.default_rng(9)
+    fps = []
+    for base in rng.integers(0, 2**64, (60, 2), dtype=np.uint64):
+        for _ in range(6):
+            flips = [rng.choice(64, int(n), replace=False) for n in (rng.integers(0, 5), rng.integers(0, 11))]
+            fps.append([int(b) ^ sum(1 << int(k) for k in f) for b, f in zip(base, flips, strict=True)])
+    fps = [fp for k, fp in enumerate(fps) if fp not in fps[:k]] + [[fps[0][0], fps[0][1] ^ 0xFFFF]]
+    want = union(range(len(fps)), [(a, b) for a, b in combinations(range(len(fps)), 2) if (fps[a][0] ^ fps[b][0]).bit_count() <= 5 and (fps[a][1] ^ fps[b][1]).bit_count() <= 12])
+    signed = np.array(fps, dtype=np.uint64).view(np.int64).tolist()
+    for block in (1024, 3):
+        simhash.BLOCK, was = block, simhash.BLOCK
+        try:
+            edges = simhash.hamming_edges(spark.createDataFrame([(k, *fp) for k, fp in enumerate(signed)], "node long, fp long, fp2 long"), 5, 8, 12).collect()
+        finally:
+            simhash.BLOCK = was
+        assert union(range(len(fps)), [(r["u"], r["v"]) for r in edges]) == want
+    assert 60 < len(set(want.values())) < len(fps) - 60
+
+
+def test_near_copies_of_the_pipeline_stage(spark):
+    rng = np.random.default_rng(2)
+    words = [f"w{k}" for k in range(4000)]
+    texts = [[str(w) for w in rng.choice(words, 400)] for _ in range(60)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    for k, t in enumerate(texts[:30]):  # every fifth shingle or less differs: Jaccard 0.95 and 0.85
+        for n, edits in enumerate((2, 6)):
+            u = list(t)
+            for at in rng.choice(len(u), edits, replace=False):
+                u[at] = "edited"
+            rows.append((1000 * (n + 1) + k, " ".join(u)))
+    docs = spark.createDataFrame([(*r, 1, 2, 3) for r in rows] + [(7, rows[40][1] + " tail", 1, 2, 3), (40, "quite another text under a used id", 1, 2, 3), (None, rows[50][1], 1, 2, 3), (None, "alone", 1, 2, 3)], "doc_id long, text string, _id int, _h int, fp int")
+    kept = simhash.keep_one_per_group(docs)
+    assert kept.columns == docs.columns
+    left = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    ids = [k for k, _ in left]
+    assert set(range(60)) - {40} <= set(ids) and (None, "alone") in left and ids.count(None) == 1
+    assert (40, "quite another text under a used id") in left and ids.count(7) == 2  # id 7 stands for two unlike texts, one of them a copy of 40's
+    assert sum(1000 <= k < 2000 for k in ids if k) <= 4 and sum(2000 <= (k or 0) < 3000 for k in ids) <= 20
+
+
 def test_simhash_edge_cases(spark):
     long = "word " * 30000
     rows = [(5, None, "x", "y", 1), (3, "", "x", "y", 1), (7, " \t", None, None, None), (1, "one TWO", "a", "b", 2), (2, "ONE two", "a", "b", 2), (2, "ONE two", "a", "b", 2), (None, "one two", "a", "b", 2), (9, long, "a", "b", 2), (8, long, "a", "b", 2), (None, "alone here now", "", "", 0)]
@@ -136,7 +177,6 @@ def check_packing(docs, rows, capacity):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     by_doc, by_seq = {}, {}
     for r in rows:
         by_doc.setdefault(r["doc_id"], []).append(r)
@@ -176,3 +216,18 @@ def test_packing_edge_cases(spark):
     assert packing.pack_documents(docs.limit(0)).collect() == []
     twice = packing.pack_documents(docs.where("doc_id = 5").unionAll(docs.where("doc_id = 5"))).collect()
     assert len(twice) == 2 and {r["offset"] for r in twice} == {0, twice[0]["length"]}
+
+
+def test_ids_equal_those_of_the_tokenizer_file():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from ampereflow.llm.tokens import PieceCache
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    cache = PieceCache(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(4)
+    parts = ["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "word", "don't", "Ünï", "中文", "12", "!!", "\t", " a", "é\u0301", "\u00a0", "<|", ".", "x" * 70]
+    texts = ["".join(rng.choice(parts, int(n))) for n in rng.integers(0, 12, 6000)]
+    for text, want in zip(texts, tok.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(cache.ids(text), "<u4").tolist() == want.ids
