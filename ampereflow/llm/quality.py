@@ -1,62 +1,133 @@
 """Quality classifier: hierarchical empirical Bayes over document evidence, host and path.
 
-A logistic model over counts of the text gives each document's evidence. Grouped sums of that evidence give a posterior mean for
-each host, shrunk toward the global mean, and for each path below it, shrunk toward its host; the strengths are estimated from
-the spread between sites by the method of moments. A document's score adds its path's log-odds, as far as they differ from the
-global ones, to its own.
+A document's own evidence is a logistic model over hashed word n-grams and a few counts of the text. Grouped sums of the
+probabilities that it gives are the record of each host and of each path below it. A document is judged by its evidence and by the
+record of the other documents of its site: the path's mean without the document itself, shrunk toward the host's, which is shrunk
+toward the global one. How strongly they shrink is estimated from the spread between sites by the method of moments, so a site of
+few documents says little and sites that are all alike say nothing.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
+import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 from .models import SAMPLE, Logistic, labelled_sample
 
 BROADCAST_ROWS = 100_000  #: most sites that are sent to every executor; more are joined by shuffle
 KEEP = 0.5
+BUCKETS = 1 << 16  #: of hashed words and word pairs
+LEAST = 3  #: labelled texts that a bucket must stand in to have a weight
+
+_CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]{2,}")
+_NUMBERS = re.compile(r"[0-9]+")
+_SYMBOLS, _STOPS = "#$%&*|<>{}~^", ".,;:"
+
+
+class _Buckets(dict):
+    """Word -> bucket, remembered while there is room."""
+
+    def __missing__(self, word: str) -> int:
+        bucket = xxhash.xxh32_intdigest(word.encode("utf-8", "replace")) % BUCKETS
+        if len(self) < 500_000:
+            self[word] = bucket
+        return bucket
+
+
+_buckets = _Buckets()
+
+
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words and of the pairs of neighbours."""
+    one = np.fromiter(map(_buckets.__getitem__, words), dtype=np.int64, count=len(words))
+    return one, (one[:-1] * 40503 + one[1:] * 31 + 7) % BUCKETS
 
 
-def text_features(text: Column) -> list[Column]:
-    """Counts of a whole text, all computed by Spark: lengths, distinct words, symbols, capitals, digits, line ends."""
-    body = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(body, "[ \\n\\t\\r]+"), lambda w: w != "")
-    n = F.greatest(F.size(words), F.lit(1)).cast("double")
-    chars = F.length(body).cast("double")
+def text_counts(text: str, words: list[str]) -> list[float]:
+    """Lengths, distinct words, symbols, doubled marks, capitals, numbers, stops and line ends of a whole text."""
+    n, distinct = max(1, len(words)), len(set(words))
     return [
-        F.log1p(chars),
-        chars / n,
-        F.size(F.array_distinct(words)) / n / F.pow(n, F.lit(-0.15)),
-        F.size(F.array_distinct(words)) / n,
-        F.regexp_count(body, F.lit("[#$%&*|<>{}~^]")) / n,
-        F.regexp_count(body, F.lit("!!|\\?\\?")) / n,
-        F.regexp_count(body, F.lit("\\p{Lu}{2,}")) / n,
-        F.regexp_count(body, F.lit("[0-9]+")) / n,
-        F.regexp_count(body, F.lit("[.,;:]")) / n,
-        F.regexp_count(body, F.lit("\\n")) / n,
-    ]
-
-
-def fit_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE) -> Logistic:
+        np.log1p(len(text)), len(text) / n, distinct / n * n**0.15, distinct / n, sum(map(text.count, _SYMBOLS)) / n, (text.count("!!") + text.count("??")) / n,
+        len(_CAPITALS.findall(text)) / n, len(_NUMBERS.findall(text)) / n, sum(map(text.count, _STOPS)) / n, text.count("\n") / n,
+    ]
+
+
+@dataclass
+class QualityModel:
+    """weights: log ratio of good to bad texts for each bucket of words and of pairs; logistic: over their means and the counts."""
+
+    weights: np.ndarray
+    logistic: Logistic
+
+    def features(self, text: str | None) -> list[float]:
+        text = text or ""
+        words = text.split()
+        return [*(float(w[g].mean()) if len(g) else 0.0 for w, g in zip(self.weights, grams([w.lower() for w in words]), strict=True)), *text_counts(text, words)]
+
+    def evidence(self, texts) -> np.ndarray:
+        """Log-odds of quality 1 by the text alone."""
+        return self.logistic.logit(np.array([self.features(t) for t in texts], dtype=float).reshape(-1, 12))
+
+
+def _presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How many good and bad texts each bucket stands in."""
+    total = np.zeros((2, 2, BUCKETS), dtype=np.int64)  # quality, words or pairs, bucket
+    for batch in batches:
+        for text, quality in zip(batch["text"], batch["quality"], strict=True):
+            for k, g in enumerate(grams((text or "").lower().split())):
+                total[int(quality), k, np.unique(g)] += 1
+    at = np.argwhere(total)
+    yield pd.DataFrame({"quality": at[:, 0], "kind": at[:, 1], "bucket": at[:, 2], "n": total[tuple(at.T)]})
+
+
+def fit_evidence(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE) -> QualityModel:
+    """Learns from at most ``most`` labelled rows, drawn by hash: n-gram weights from one half, the logistic model from the other."""
     sample = F.broadcast(labelled_sample(labels.withColumnRenamed("doc_id", id_col), "quality", id_col, most))
-    rows = docs.select(id_col, text_col).join(sample, id_col).select("quality", *(f.alias(f"f{k}") for k, f in enumerate(text_features(F.col(text_col)))))
-    data = np.array([list(r) for r in rows.collect()], dtype=float).reshape(-1, 1 + len(text_features(F.lit(""))))
-    return Logistic(data[:, 1:], data[:, 0])
+    rows = docs.select(id_col, F.col(text_col).alias("text")).join(sample, id_col)
+    rows = materialize(rows.select("text", "quality", F.xxhash64(id_col, "text").alias("h")), "labelled")
+    half = F.pmod("h", F.lit(2)) == 0
+    counts = np.zeros((2, 2, BUCKETS))
+    found = rows.where(half).mapInPandas(_presence, "quality int, kind int, bucket int, n long").groupBy("quality", "kind", "bucket").agg(F.sum("n").alias("n"))
+    for r in found.toPandas().itertuples(index=False):  # at most 4 * BUCKETS rows
+        counts[r.quality, r.kind, r.bucket] = r.n
+    n = np.zeros(2)
+    for r in rows.where(half).groupBy("quality").count().collect():
+        n[r["quality"]] = r["count"]
+    weights = np.log((counts[1] + 0.5) / (n[1] + 1)) - np.log((counts[0] + 0.5) / (n[0] + 1))
+    weights[counts.sum(0) < LEAST] = 0
+    model = QualityModel(weights, Logistic(np.zeros((0, 12)), np.zeros(0)))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("array<double>")
+    def features(texts: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.features(t) for t in texts])
+
+    xy = rows.where(~half).select("quality", "h", features("text").alias("x")).orderBy("h", "quality").collect()
+    model.logistic = Logistic(np.array([r["x"] for r in xy], dtype=float).reshape(-1, 12), np.array([r["quality"] for r in xy], dtype=float))
+    return model
+
+
+def _evidence(docs: DataFrame, model: QualityModel):
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @F.pandas_udf("double")
+    def evidence(texts: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.evidence(texts))
 
-def evidence(model: Logistic, text: Column) -> Column:
-    """Log-odds of quality 1 by the document alone, as a Spark expression."""
-    out = F.lit(float(model.w[0]))
-    for f, mean, scale, w in zip(text_features(text), model.mean, model.scale, model.w[1:], strict=True):
-        z = F.least(F.greatest((f - float(mean)) / float(scale), F.lit(-8.0)), F.lit(8.0))
-        out = out + float(w) * z
-    return out
+    return evidence
 
 
 def site_posteriors(scored: DataFrame) -> DataFrame:
-    """(host, path, shift): scored has host, path and p. shift is the path's posterior log-odds less the global ones."""
+    """One row per host and path of scored (host, path, p): sums and numbers of p (s, n of the path, hs, hn of the host), the global
+    mean m, the strengths with which hosts and paths shrink, and the posterior means host_mean and path_mean."""
     paths = scored.groupBy("host", "path").agg(F.sum("p").alias("s"), F.count("*").alias("n"))
     hosts = paths.groupBy("host").agg(F.sum("s").alias("hs"), F.sum("n").alias("hn"))
     whole = hosts.agg(F.sum("hs").alias("gs"), F.sum("hn").alias("gn"), F.sum(F.col("hs") * F.col("hs") / F.col("hn")).alias("sq"), F.count("*").alias("k"))
@@ -69,31 +140,64 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
     chance = F.sum(F.col("hs") / F.col("hn") * (1 - F.col("hs") / F.col("hn"))) / F.sum("n")
     level = F.sum(F.col("n") * F.col("hs") / F.col("hn") * (1 - F.col("hs") / F.col("hn"))) / F.sum("n")
     inside = inner.agg(F.least(F.greatest(level / F.greatest(within - chance, F.lit(1e-6)) - 1, F.lit(2.0)), F.lit(1e4)).alias("path_strength"))
-    logit = lambda p: F.log(F.greatest(p, F.lit(1e-6)) / F.greatest(1 - p, F.lit(1e-6)))
     both = inner.crossJoin(F.broadcast(whole)).crossJoin(F.broadcast(inside))
-    host_mean = (F.col("hs") + F.col("strength") * F.col("m")) / (F.col("hn") + F.col("strength"))
-    path_mean = (F.col("s") + F.col("path_strength") * F.col("host_mean")) / (F.col("n") + F.col("path_strength"))
-    return both.withColumn("host_mean", host_mean).withColumn("path_mean", path_mean).select("host", "path", "host_mean", "path_mean", (logit(F.col("path_mean")) - logit(F.col("m"))).alias("shift"))
+    return both.withColumns(_means(lambda c: F.col(c), F.lit(0.0), 0))
 
 
-def with_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", weight: float = 0.5) -> DataFrame:
-    """Adds evidence (log-odds of the text alone), site_shift and quality_score (probability of quality 1) to docs.
+def _means(col, p: Column, one: int) -> dict[str, Column]:
+    """Posterior means of host and path from all documents but ``one``, whose probability is p."""
+    host = (col("hs") - p + col("strength") * col("m")) / (col("hn") - one + col("strength"))
+    return {"host_mean": host, "path_mean": (col("s") - p + col("path_strength") * host) / (col("n") - one + col("path_strength"))}
 
-    Null texts count as empty; null hosts and paths are a site of their own; null ids are scored but never train; rows repeated
-    count each; where no row is labelled the evidence is zero; an empty table gives an empty result.
-    """
-    model = fit_evidence(docs, labels, id_col, text_col)
-    host, path = F.coalesce(F.col(host_col).cast("string"), F.lit("")), F.coalesce(F.col(path_col).cast("string"), F.lit(""))
-    scored = docs.select(host.alias("host"), path.alias("path"), (1 / (1 + F.exp(-evidence(model, F.col(text_col))))).alias("p"))
-    sites = materialize(site_posteriors(scored).select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("shift").alias("site_shift")), "sites")
+
+def _logit(p: Column) -> Column:
+    return F.log(F.greatest(p, F.lit(1e-6)) / F.greatest(1 - p, F.lit(1e-6)))
+
+
+def _judged(rows: DataFrame, scored: DataFrame, host: Column, path: Column, names: tuple[str, str, str], weight: float) -> DataFrame:
+    """rows with site_shift and score beside the evidence that they have; scored: (host, path, p) of all rows."""
+    evidence, shift, score = names
+    sites = materialize(site_posteriors(scored).drop("host_mean", "path_mean"), "sites")
+    name = {c: fresh(rows, f"_site_{c}") for c in sites.columns}
+    sites = sites.select(*[F.col(c).alias(n) for c, n in name.items()])
     if sites.count() <= BROADCAST_ROWS:
         sites = F.broadcast(sites)
-    rows = docs.withColumn("evidence", evidence(model, F.col(text_col))).withColumn("_h", host).withColumn("_p", path)
-    rows = rows.join(sites, (F.col("_h") == F.col("_host")) & (F.col("_p") == F.col("_path")), "left").drop("_h", "_p", "_host", "_path")
-    return rows.withColumn("quality_score", 1 / (1 + F.exp(-(F.col("evidence") + weight * F.coalesce("site_shift", F.lit(0.0))))))
+    p = 1 / (1 + F.exp(-F.col(evidence)))
+    out = rows.join(sites, (host == F.col(name["host"])) & (path == F.col(name["path"])), "left")
+    others = _logit(_means(lambda c: F.col(name[c]), p, 1)["path_mean"]) - _logit(F.col(name["m"]))
+    out = out.withColumn(shift, F.coalesce(others, F.lit(0.0))).drop(*name.values())
+    return out.withColumn(score, 1 / (1 + F.exp(-(F.col(evidence) + weight * F.col(shift)))))
+
+
+def _site(host_col: str, path_col: str) -> tuple[Column, Column]:
+    return tuple(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (host_col, path_col))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", keep: float = KEEP) -> DataFrame:
-    """One row per input row: id, evidence, site_shift, score, kept (score >= keep). See with_quality for odd inputs."""
-    rows = with_quality(docs.select(*dict.fromkeys([id_col, text_col, host_col, path_col])), labels, id_col, text_col, host_col, path_col)
-    return rows.select(id_col, "evidence", "site_shift", F.col("quality_score").alias("score"), (F.col("quality_score") >= keep).alias("kept"))
+def with_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", weight: float = 1.0, names: tuple[str, str, str] = ("evidence", "site_shift", "quality_score")) -> DataFrame:
+    """Adds the columns ``names`` to docs, in place of columns with these names: log-odds of the text alone, log-odds that the other
+    documents of its site add, and the probability of quality 1 by both.
+
+    Null texts count as empty; null hosts and paths are a site of their own; null ids are scored but never train; rows repeated
+    count each; where no row is labelled the evidence is zero; an empty table gives an empty result.
+    """
+    evidence = _evidence(docs, fit_evidence(docs, labels, id_col, text_col))
+    host, path = _site(host_col, path_col)
+    scored = docs.select(host.alias("host"), path.alias("path"), (1 / (1 + F.exp(-evidence(F.col(text_col))))).alias("p"))
+    return _judged(docs.withColumn(names[0], evidence(F.col(text_col))), scored, host, path, names, weight)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", keep: float = KEEP) -> DataFrame:
+    """The rows of docs with a score of at least keep, with the columns of docs whatever they are called."""
+    names = tuple(fresh(docs, f"_quality_{c}") for c in ("evidence", "shift", "score"))
+    return with_quality(docs, labels, id_col, text_col, host_col, path_col, names=names).where(F.col(names[2]) >= keep).select(*[f"`{c}`" for c in docs.columns])
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", keep: float = KEEP, weight: float = 1.0) -> DataFrame:
+    """One row per input row: id, evidence, site_shift, score, kept (score >= keep). See with_quality for odd inputs; texts are read
+    once."""
+    evidence = _evidence(docs, fit_evidence(docs, labels, id_col, text_col))
+    host, path = _site(host_col, path_col)
+    rows = materialize(docs.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), evidence(F.col(text_col)).alias("evidence")), "evidence")
+    scored = rows.select("host", "path", (1 / (1 + F.exp(-F.col("evidence")))).alias("p"))
+    out = _judged(rows, scored, F.col("host"), F.col("path"), ("evidence", "site_shift", "score"), weight)
+    return out.select(F.col("id").alias(id_col), "evidence", "site_shift", "score", (F.col("score") >= keep).alias("kept"))

@@ -42,6 +42,54 @@ def test_site_posteriors_equal_plain_shrinkage(spark):
     assert abs(got["5", "a"][1] - got["5", "a"][0]) < abs(mean([x for a, p, x in rows if (a, p) == (5, "a")]) - got["5", "a"][0]) + 1e-9
 
 
+def test_sites_change_decisions(spark):
+    """Texts on the fence follow the record of the other documents of their site: strongly on a site with many of them, little on a
+    sparse one; a document's own evidence is not counted twice."""
+    rng = np.random.default_rng(1)
+    good, bad = ["river stone meadow light"], ["BUY!! $$$ click"]
+    rows, n = [], 0
+    for host, share, size in (("fine", 0.95, 400), ("poor", 0.05, 400), ("mixed", 0.5, 400), ("small", 0.0, 2), ("lone", 0.0, 1)):
+        for _ in range(size):
+            is_good = rng.random() < share
+            words = [str(x) for x in rng.choice((good if is_good else bad)[0].split(), 12)] + [f"w{rng.integers(50)}"]
+            rows.append((n, " ".join(words), host, "a" if n % 2 else "b", int(is_good)))
+            n += 1
+    hosts = ("fine", "poor", "mixed", "small", "never")
+    fences = [" ".join(["river"] * k + ["BUY!!"] * (m - k)) + " w1" for m in (8, 13) for k in range(m)]
+    rows += [(n + 5 * f + k, fence, host, "a", None) for f, fence in enumerate(fences) for k, host in enumerate(hosts)]
+    docs = spark.createDataFrame([r[:4] for r in rows], "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(r[0], r[4]) for r in rows if r[4] is not None and r[0] % 2], "doc_id long, quality int")
+    got = {r["doc_id"]: r for r in quality.quality_scores(docs, labels).collect()}
+    changed = 0
+    for f in range(len(fences)):
+        fine, poor, mixed, small, never = (got[n + 5 * f + k] for k in range(5))
+        assert np.isclose(fine["evidence"], poor["evidence"])
+        assert fine["site_shift"] > 1 and poor["site_shift"] < -1 and poor["site_shift"] < mixed["site_shift"] < fine["site_shift"]
+        changed += fine["kept"] and not poor["kept"]
+    assert changed
+    assert abs(got[n - 1]["site_shift"]) < 1e-6  # alone on its site: the global mean
+    assert abs(got[n - 3]["site_shift"]) < abs(got[410]["site_shift"])  # one other document says less than four hundred
+    # brute force: the posterior without the document itself
+    p = {k: 1 / (1 + np.exp(-r["evidence"])) for k, r in got.items()}
+    info = {(r["host"], r["path"]): r for r in quality.site_posteriors(spark.createDataFrame([(h, q, float(p[k])) for k, _, h, q, *_ in rows], "host string, path string, p double")).collect()}
+    logit = lambda x: np.log(x / (1 - x))
+    for k, _, h, q, *_ in rows[::37]:
+        others = [p[j] for j, _, a, b, *_ in rows if (a, b) == (h, q) and j != k]
+        host = [p[j] for j, _, a, *_ in rows if a == h and j != k]
+        i = info[h, q]
+        host_mean = (sum(host) + i["strength"] * i["m"]) / (len(host) + i["strength"])
+        path_mean = (sum(others) + i["path_strength"] * host_mean) / (len(others) + i["path_strength"])
+        assert abs(got[k]["site_shift"] - (logit(path_mean) - logit(i["m"]))) < 1e-6
+        assert abs(logit(got[k]["score"]) - got[k]["evidence"] - got[k]["site_shift"]) < 1e-6
+
+
+def test_quality_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(k, f"words of text {k}", "s", "en", k, k, k, k) for k in range(8)], "doc_id long, text string, source string, lang string, evidence int, site_shift int, _quality_score int, host int")
+    labels = spark.createDataFrame([(k, int(k < 6)) for k in range(8)], "doc_id long, quality int")
+    kept = quality.keep_good(docs, labels, keep=0.0)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.collect()))
+
+
 def test_quality_edge_cases(spark):
     rows = [(1, None, None, None, 0), (2, "", "s", "en", 0), (None, "good words here", "s", "en", 0), (3, "x " * 60_000, "s", "en", 0), (3, "x " * 60_000, "s", "en", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, evidence int")
