@@ -1,8 +1,9 @@
 """Licence scan: a sparse word n-gram logistic regression names the licence family of a paragraph.
 
 The model is trained here on paragraphs made from the templates below, on decoys with the same wording, and on a bounded sample
-of ordinary paragraphs; the last two are the unknown class. Its confidence is calibrated by temperature on rows kept apart, and
-a prediction holds only if the family's templates confirm it. Scoring is DataFrame functions only and moves no data.
+of the corpus's own lines, those with licence words but unlike every template among them; decoys and lines are the unknown class.
+Its confidence is calibrated by temperature on rows that it is not fitted on, and a prediction holds only if the family's templates
+confirm it. Scoring is DataFrame functions only; only texts that hold a word of the model are cut into paragraphs and moved.
 """
 
 from __future__ import annotations
@@ -15,14 +16,15 @@ from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
 
 UNKNOWN = "unknown"
-SAMPLE = 400  #: texts whose paragraphs stand for the unknown class
+SAMPLE = 20_000  #: most lines of the corpus that stand for the unknown class, drawn by hash
+NEAR = 3  #: lines of a paragraph with telling words that are at most so many lines apart are read together
+UNLIKE = 0.3  #: most similarity to any template of a line with licence words that stands for the unknown class
 CONFIDENT = 0.5  #: least calibrated probability of a family
 CONFIRMED = 0.6  #: least share of a template's word pairs in the paragraph
 GRAMS = 3
@@ -79,17 +81,34 @@ def _literal(value, schema: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), schema)
 
 
+def _similarity(words: Column, templates: Column) -> Column:
+    """The greatest share of a template's words and word pairs that an array of words holds."""
+    pairs = F.array_distinct(grams(words, 1, 2))
+    share = lambda t: F.size(F.array_intersect(grams(tokens(t), 1, 2), pairs)) / F.size(F.array_distinct(grams(tokens(t), 1, 2)))
+    return F.coalesce(F.array_max(F.transform(templates, share)), F.lit(0.0))
+
+
+def made_paragraphs() -> list[list]:
+    """(class, text): names in their usual phrases, sentences alone and with a name before or behind; decoys as class 0."""
+    out = []
+    for k, (names, bodies) in enumerate(FAMILIES.values(), 1):
+        phrases = [lead.format(name) for name in names for lead in LEADS]
+        out += [[k, x] for x in phrases] + [[k, f"{a} {b}" if n % 2 else f"{b} {a}"] for b in bodies for n, a in enumerate(phrases)]
+        out += [[k, f"{mark}{b}{mark}"] for b in bodies for mark in ("", " ", ".", "* ", "# ", "// ", "-- ", "\" ")]
+    return out + [[0, lead.format(name)] for name in DECOYS for lead in LEADS]
+
+
 def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> LicenceModel:
     spark: SparkSession = docs.sparkSession
     classes = [UNKNOWN, *FAMILIES]
-    made = [[k, lead.format(name)] for k, family in enumerate(FAMILIES, 1) for name in FAMILIES[family][0] for lead in LEADS]
-    made += [[k, x] for k, family in enumerate(FAMILIES, 1) for x in FAMILIES[family][1] for _ in range(12)]
-    made += [[0, lead.format(name)] for name in DECOYS for lead in LEADS]
-    rows = spark.range(1).select(F.explode(_literal(made, "array<array<string>>")).alias("r")).select(F.col("r")[0].cast("double").alias("label"), F.col("r")[1].alias("line"))
-    ids = docs.where(F.col(id_col).isNotNull()).select(id_col).distinct().orderBy(F.xxhash64(id_col), id_col).limit(sample)
-    plain = docs.select(id_col, text_col).join(F.broadcast(ids), id_col).select(F.explode(F.split(text_col, "\n")).alias("line"))
-    plain = plain.where("line <> '' AND NOT lower(line) RLIKE 'licen[cs]|copyright|permission|spdx|gnu |apache'").select(F.lit(0.0).alias("label"), F.substring("line", 1, 2000).alias("line"))
-    rows = materialize(rows.unionAll(plain).select("label", tokens(F.col("line")).alias("words"), (F.pmod(F.xxhash64("line"), F.lit(5)) == 0).alias("apart")).coalesce(1), "licence-rows")
+    rows = spark.range(1).select(F.explode(_literal(made_paragraphs(), "array<array<string>>")).alias("r")).select(F.col("r")[0].cast("double").alias("label"), F.col("r")[1].alias("line"))
+    every = [x for names, bodies in FAMILIES.values() for x in (*names, *bodies)]
+    # a line in 64 by hash, and every line with a licence word, then the smallest hashes of each kind
+    plain = docs.select(F.explode(F.split(text_col, "\n")).alias("line")).where("line <> ''")
+    plain = plain.withColumns({"hard": F.lower("line").rlike("licen[cs]|copyright|permission|spdx|gnu |apache"), "h": F.xxhash64("line")}).where("hard OR pmod(h, 64) = 0").dropDuplicates(["h"])
+    drawn = plain.where("NOT hard").orderBy("h").limit(sample // 2).unionAll(plain.where("hard").orderBy("h").limit(sample // 2))
+    drawn = drawn.where(~F.col("hard") | (_similarity(tokens(F.col("line")), F.array(*[F.lit(x) for x in every])) < UNLIKE)).select(F.lit(0.0).alias("label"), "line")
+    rows = materialize(rows.unionAll(drawn).select("label", tokens(F.col("line")).alias("words"), (F.pmod(F.xxhash64("line"), F.lit(5)) == 0).alias("apart")).coalesce(1), "licence-rows")
     word_sets = rows.groupBy((F.col("label") > 0).alias("named")).agg(F.array_distinct(F.flatten(F.collect_set("words"))).alias("w"), F.count("*").alias("n"))
     known = {r["named"]: set(r["w"]) for r in word_sets.collect()}
     telling = sorted(w for w in _anchors() & known[True] if w not in known.get(False, set()) or w.startswith("licen"))
@@ -98,22 +117,22 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = materialize(rows.select("label", "apart", held.alias("grams")).withColumn("share", share).coalesce(1), "licence-grams")
     words = CountVectorizer(inputCol="grams", outputCol="x", vocabSize=1 << 14, minDF=2.0, binary=True).fit(rows.where("label > 0"))
     data = materialize(words.transform(rows).select("label", "x", "apart", "share").coalesce(1), "licence-data")
-    model = LogisticRegression(labelCol="label", featuresCol="x", weightCol="share", family="multinomial", elasticNetParam=1.0, regParam=5e-4, maxIter=40).fit(data.where("NOT apart OR label > 0"))
+    model = LogisticRegression(labelCol="label", featuresCol="x", weightCol="share", family="multinomial", elasticNetParam=1.0, regParam=5e-4, maxIter=40).fit(data.where("NOT apart"))
     matrix = model.coefficientMatrix.toArray()
     weights = {word: [round(float(w), 6) for w in matrix[:, k]] for k, word in enumerate(words.vocabulary) if abs(matrix[:, k]).max() > 1e-6}
     bias = [float(b) for b in model.interceptVector]
     # temperature: the one under which the rows kept apart are likeliest
-    apart = [(int(r["label"]), r["grams"]) for r in rows.where("apart").limit(4000).collect()]
+    apart = rows.where("apart").groupBy("label", F.array_sort(F.array_distinct("grams")).alias("grams")).count().collect()
     logits = []
-    for label, found in apart:
+    for label, found, times in ((int(r["label"]), r["grams"], r["count"]) for r in apart):
         z = list(bias)
-        for g in set(found):
+        for g in found:
             for k, w in enumerate(weights.get(g, ())):
                 z[k] += w
-        logits.append((label, z))
+        logits.append((label, z, times))
 
     def loss(t: float) -> float:
-        return sum(math.log(sum(math.exp(min((x - z[label]) / t, 500)) for x in z)) for label, z in logits)
+        return sum(n * math.log(sum(math.exp(min((x - z[label]) / t, 500)) for x in z)) for label, z, n in logits)
 
     temperature = min((2.0 ** (k / 4) for k in range(-12, 9)), key=loss) if logits else 1.0
     cover, left, telling = [], set(weights), set(telling)
@@ -129,22 +148,45 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return LicenceModel(classes, bias, weights, temperature, cover)
 
 
-def licence_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: LicenceModel | None = None) -> DataFrame:
-    """One row per line with any n-gram of the model: id, line (number), start, end (code points), family, probability,
-    template_similarity, predicted (the model's class before confirmation).
-
-    family is unknown where the calibrated probability is below CONFIDENT or no template confirms it. Null and empty texts give
-    no rows; null ids and repeated rows pass through; an empty table gives an empty result; other columns are ignored.
-    """
-    model = model or fit_licences(docs, id_col, text_col)
-    k = len(model.classes)
-    holds = lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(w)) for w in model.cover], F.lit(False))
+def _paragraphs(docs: DataFrame, id_col: str, text_col: str, cover: list[str]) -> DataFrame:
+    """(_id, place, kind, line, start, end, body): the lines that hold a word of cover, and the paragraphs that such lines make with
+    what stands between them (line breaks as they are). Rows of one paragraph have the same place."""
+    holds = lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(w)) for w in cover], F.lit(False))
     # the lower-cased text is generated, so that it is made once and not once for each word that is looked for
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     rows = rows.select("_id", "_text", F.explode(F.array(F.lower("_text"))).alias("_low")).where(holds(F.col("_low")))
-    lines = F.filter(F.transform(F.split("_text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("body"))), lambda s: holds(F.lower(s["body"])))
-    rows = rows.select("_id", "_text", F.explode(lines).alias("s")).select("_id", "s.line", "s.body", F.when(F.col("s.line") > 0, F.length(F.expr("substring_index(_text, '\\n', s.line)")) + 1).otherwise(0).alias("start"))
-    rows = rows.withColumn("words", tokens(F.col("body")))
+    rows = rows.select("_id", F.monotonically_increasing_id().alias("row"), F.split("_text", "\n").alias("lines")).repartition("row")
+    lines = rows.select("_id", "row", F.posexplode("lines").alias("line", "body"))
+    lines = lines.select("*", holds(F.lower("body")).alias("hold"), (F.trim("body") == "").alias("blank"))
+    w = Window.partitionBy("row").orderBy("line")
+    upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumns({"start": F.coalesce(F.sum(F.length("body") + 1).over(before), F.lit(0)), "blanks": F.sum(F.col("blank").cast("int")).over(upto)})
+    held = F.when(F.col("hold"), F.struct("line", "blanks"))
+    lines = lines.withColumns({"last": F.max(held).over(before), "here": F.max(held).over(upto)})
+    new = F.col("hold") & F.coalesce((F.col("line") - F.col("last.line") > NEAR) | (F.col("blanks") != F.col("last.blanks")), F.lit(True))
+    lines = lines.withColumn("place", F.sum(new.cast("int")).over(upto)).where(F.col("hold") | (F.col("line") - F.col("here.line") < NEAR) & (F.col("blanks") == F.col("here.blanks")))
+    part = F.struct("line", "start", "body", "hold")
+    found = lines.groupBy("_id", "row", "place").agg(F.array_sort(F.collect_list(part)).alias("l"), F.max(F.when(F.col("hold"), F.col("line"))).alias("to"))
+    found = found.withColumn("l", F.filter("l", lambda x: x["line"] <= F.col("to")))
+    unit = lambda kind, line, start, body: F.struct(F.lit(kind).alias("kind"), line.alias("line"), start.cast("int").alias("start"), body.alias("body"))
+    whole = F.when(F.size("l") > 1, F.array(unit("paragraph", F.col("l")[0]["line"], F.col("l")[0]["start"], F.array_join(F.transform("l", lambda x: x["body"]), "\n"))))
+    single = F.transform(F.filter("l", lambda x: x["hold"]), lambda x: unit("line", x["line"], x["start"], x["body"]))
+    found = found.select("_id", F.struct("row", "place").alias("place"), F.explode(F.concat(F.coalesce(whole, F.filter(single, lambda x: F.lit(False))), single)).alias("u"))
+    return found.select("_id", "place", "u.*").withColumn("end", F.col("start") + F.length("body"))
+
+
+def licence_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: LicenceModel | None = None) -> DataFrame:
+    """One row per line or paragraph with any n-gram of the model: id, kind, line (number of the first one), start, end (code
+    points), family, probability, template_similarity, predicted (the model's class before confirmation).
+
+    Lines with telling words that stand near each other in one paragraph (no blank line between) are read alone and together. Where
+    a line alone is confirmed, the lines are told; else the paragraph, if that is confirmed, as a notice wrapped over lines; else
+    the lines as unknown. family is unknown where the calibrated probability is below CONFIDENT or no template confirms it. Null
+    and empty texts give no rows; null ids and repeated rows pass through; an empty table gives an empty result; other columns are
+    ignored.
+    """
+    model = model or fit_licences(docs, id_col, text_col)
+    rows = _paragraphs(docs, id_col, text_col, model.cover).withColumn("words", tokens(F.col("body")))
     table = _literal(model.weights, "map<string,array<double>>")
     hits = F.filter(F.transform(F.array_distinct(grams(F.col("words"))), lambda g: F.element_at(table, g)), lambda w: w.isNotNull())
     rows = rows.withColumn("hits", hits).where(F.size("hits") > 0)
@@ -153,11 +195,11 @@ def licence_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = rows.withColumn("top", F.array_max("z")).withColumn("at", F.array_position("z", F.col("top")).cast("int"))
     probability = 1 / F.aggregate("z", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))
     rows = rows.withColumn("probability", probability).withColumn("predicted", F.element_at(F.array(*[F.lit(c) for c in model.classes]), F.col("at")))
-    templates = {f: [x for name in names for x in [name]] + bodies for f, (names, bodies) in FAMILIES.items()}
+    templates = {f: [*names, *bodies] for f, (names, bodies) in FAMILIES.items()}
     shapes = F.element_at(_literal(templates, "map<string,array<string>>"), F.col("predicted"))
-    pairs = F.array_distinct(grams(F.col("words"), 1, 2))
-    share = lambda t: F.size(F.array_intersect(grams(tokens(t), 1, 2), pairs)) / F.size(F.array_distinct(grams(tokens(t), 1, 2)))
-    rows = rows.withColumn("template_similarity", F.coalesce(F.array_max(F.transform(shapes, share)), F.lit(0.0)))
-    sure = (F.col("probability") >= CONFIDENT) & (F.col("template_similarity") >= CONFIRMED) & (F.col("at") > 1)
-    assert k == len(model.bias)
-    return rows.select(F.col("_id").alias(id_col), "line", "start", (F.col("start") + F.length("body")).alias("end"), F.when(sure, F.col("predicted")).otherwise(UNKNOWN).alias("family"), "probability", "template_similarity", "predicted")
+    rows = rows.withColumn("template_similarity", _similarity(F.col("words"), shapes))
+    rows = rows.withColumn("sure", (F.col("probability") >= CONFIDENT) & (F.col("template_similarity") >= CONFIRMED) & (F.col("at") > 1))
+    is_line, w = F.col("kind") == "line", Window.partitionBy("place")
+    rows = rows.withColumns({"sure_line": F.bool_or(F.col("sure") & is_line).over(w), "sure_whole": F.bool_or(F.col("sure") & ~is_line).over(w)})
+    rows = rows.where(is_line == (F.col("sure_line") | ~F.col("sure_whole")))
+    return rows.select(F.col("_id").alias(id_col), "kind", "line", "start", "end", F.when(F.col("sure"), F.col("predicted")).otherwise(UNKNOWN).alias("family"), "probability", "template_similarity", "predicted")
