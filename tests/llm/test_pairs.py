@@ -156,6 +156,31 @@ def test_embeddings_edge_cases(spark):
     assert embeddings.embedding_near_dups(df.where("vec_id = 3").withColumn("embedding", df.embedding.cast("array<float>"))).count() == 1
 
 
+def test_embeddings_in_double_precision(spark):
+    """Two vectors whose cosine is just below the threshold in double precision and above it in single."""
+    found = None
+    for k in range(20_000):
+        angle = np.arccos(0.93) + 1e-9
+        u, v = np.array([1.0, 0.0]), np.array([np.cos(angle), np.sin(angle)]) * (1 + k * 1e-4)
+        w = v.astype(np.float32).astype(float)
+        if u @ v / np.linalg.norm(v) < 0.93 <= u @ w / np.linalg.norm(w):
+            found = v.tolist()
+            break
+    assert found
+    rows = [(1, [1.0, 0.0], 1), (2, found, 1), (3, [2.0, 0.0], 1)]
+    got = lambda kind: {r["vec_id"]: r["n_links"] for r in embeddings.embedding_near_dups(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int")).collect()}
+    assert got("double") == {1: 1, 2: 0, 3: 1} and got("float") == {1: 2, 2: 2, 3: 2}
+
+
+def test_embeddings_of_many_tiles_and_grid_cells(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "GRID", 3)
+    rng = np.random.default_rng(8)
+    rows = [(k, (np.eye(6)[k % 3] + rng.normal(size=6) * 0.15).tolist(), 0) for k in range(150)]
+    counts, comp = brute_embeddings(rows)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.embedding_near_dups(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), tile=4).collect()}
+    assert got == {k: (counts[k], comp[k]) for k in counts}
+
+
 def test_embeddings_of_several_lengths(spark):
     rng = np.random.default_rng(5)
     rows = [(1000 * dim + k, (base + rng.normal(size=dim) * 0.2).tolist(), k % 2) for dim, n in ((8, 40), (3, 12), (24, 6)) for base in [rng.normal(size=dim)] for k in range(n)]
