@@ -38,25 +38,32 @@ def split_main_discard(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return judged.where("discard_code = 0"), judged.where("discard_code <> 0")
 
 
-def _overlap(start: Column, end: Column, day: Column, hours) -> Column:
-    """Seconds of [start, end] that fall into the hour intervals of a day; all in seconds since the epoch."""
-    zero_ = F.lit(0)
-    return reduce(lambda a, b: a + b, [F.greatest(zero_, F.least(end, day + h1 * 3600) - F.greatest(start, day + h0 * 3600)) for h0, h1 in hours])
+def _hour_tables(segment: str) -> tuple[Column, Column]:
+    """Of each tariff and hour 0 ... 24: the segment's seconds of the day before that hour, and whether the hour belongs to it."""
+    inside = [[any(a <= h < b for a, b in tariff[segment]) for h in range(25)] for tariff in V.TARIFFS.values()]
+    before = [3600 * sum(hours[:h]) for hours in inside for h in range(25)]
+    return F.array(*[F.lit(x) for x in before]), F.array(*[F.lit(int(x)) for hours in inside for x in hours])
 
 
 def with_tou_seconds(orders: DataFrame) -> DataFrame:
-    """Adds seconds_peak, _flat, _valley: the start day and the day after, each by its own schedule; column arithmetic only."""
+    """Adds seconds_peak, _flat, _valley: the start day and the day after, each by its own schedule. A segment's seconds up to a
+    time of day come from small tables by hour, which keeps the expressions short enough to be compiled as one."""
     start, end = F.col("start_ts"), F.col("end_ts")
     first = F.date_trunc("day", start).cast("timestamp")
     out = orders.withColumns({"_s": F.unix_seconds(start.cast("timestamp")), "_e": F.unix_seconds(end.cast("timestamp")), "_d0": F.unix_seconds(first), "_day0": F.to_date(first)})
     out = out.withColumns({"_d1": F.col("_d0") + 86400, "_day1": F.date_add("_day0", 1)})
-    kind = lambda d: F.when(F.col(d) < F.lit(V.TARIFF_CHANGE).cast("date"), "legacy").when(F.month(d).isin(*V.SEASON_MONTHS), "summer_winter").otherwise("other")
-    out = out.withColumns({"_k0": kind("_day0"), "_k1": kind("_day1"), "_a1": F.greatest("_s", "_d1"), "_e0": F.least("_e", "_d1")})
-    for shift, a, b in ((0, "_s", "_e0"), (1, "_a1", "_e")):
-        parts = {f"_{k}{shift}": S.chain([(F.col(f"_k{shift}") == name, _overlap(F.col(a), F.col(b), F.col(f"_d{shift}"), tariff[k])) for name, tariff in V.TARIFFS.items()], 0) for k in TOU}
-        out = out.withColumns(parts)
-    out = out.withColumns({f"seconds_{k}": F.col(f"_{k}0") + F.col(f"_{k}1") for k in TOU})
-    return out.drop("_s", "_e", "_d0", "_d1", "_day0", "_day1", "_k0", "_k1", "_a1", "_e0", *[f"_{k}{n}" for k in TOU for n in (0, 1)])
+    number = {name: k for k, name in enumerate(V.TARIFFS)}
+    kind = lambda d: F.when(F.col(d) < F.lit(V.TARIFF_CHANGE).cast("date"), number["legacy"]).when(F.month(d).isin(*V.SEASON_MONTHS), number["summer_winter"]).otherwise(number["other"])
+    inside = lambda t, d: F.least(F.greatest(F.col(t) - F.col(d), F.lit(0)), F.lit(86400)).cast("int")
+    out = out.withColumns({f"_x{t}{n}": inside(t, f"_d{n}") for t in ("_s", "_e") for n in (0, 1)})
+    out = out.withColumns({f"_i{t}{n}": kind(f"_day{n}") * 25 + F.expr(f"_x{t}{n} div 3600").cast("int") for t in ("_s", "_e") for n in (0, 1)})
+    parts = {}
+    for k in TOU:
+        before, hour = _hour_tables(k)
+        upto = lambda t, n: F.get(before, F.col(f"_i{t}{n}")) + F.col(f"_x{t}{n}") % 3600 * F.get(hour, F.col(f"_i{t}{n}"))  # noqa: E731, B023
+        parts[f"seconds_{k}"] = reduce(lambda a, b: a + b, [F.greatest(upto("_e", n) - upto("_s", n), F.lit(0)) for n in (0, 1)])
+    helpers = [f"{p}{t}{n}" for p in ("_x", "_i") for t in ("_s", "_e") for n in (0, 1)]
+    return out.withColumns(parts).drop("_s", "_e", "_d0", "_d1", "_day0", "_day1", *helpers)
 
 
 def tou_allocate(orders: DataFrame, kwh: str = "energy_kwh") -> DataFrame:

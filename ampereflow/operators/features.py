@@ -64,10 +64,15 @@ def _mean(c: str) -> Column:
     return F.try_divide(F.sum(F.col(c).cast("decimal(18,4)")).cast("double"), F.count(c))
 
 
+def _kinds(c: Column) -> Column:
+    """Number of distinct values in a group that holds few (days of one user): sets, where distinct counts would multiply the rows."""
+    return F.size(F.collect_set(c)).cast("long")
+
+
 def user_features(base: DataFrame) -> DataFrame:
     """Aggregates per user: counts, distinct periods, flag sums, sums, means and exact medians."""
     return base.groupBy("user_id").agg(
-        F.count("*").alias("n_orders"), F.count_distinct("natural_year").alias("n_years"), F.count_distinct(S.year_month(F.col("start_ts"))).alias("n_months"), F.count_distinct("charge_date").alias("n_days"),
+        F.count("*").alias("n_orders"), _kinds(F.col("natural_year")).alias("n_years"), _kinds(S.year_month(F.col("start_ts"))).alias("n_months"), _kinds(F.col("charge_date")).alias("n_days"),
         F.min("start_ts").alias("first_ts"), F.max("start_ts").alias("last_ts"), *[F.count_if(f).alias(f"n_{f}") for f in FLAGS],
         F.sum(_dec("energy_kwh")).cast("double").alias("sum_kwh"), _mean("energy_kwh").alias("avg_kwh"), F.median("energy_kwh").alias("median_kwh"),
         F.avg("duration_min").alias("avg_minutes"), F.median("duration_min").alias("median_minutes"), F.avg("power_kw").alias("avg_power"), _mean("valley_share").alias("avg_valley_share"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,16 @@ from ..sources.fixtures import projection
 FIRST = "2000-01-01"  #: the orders of the test tables reach further back than those of the surveyed project
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below spark.checkpoint.dir, which driver and executors share; a local session without one has a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def day(spark: SparkSession, sf: str) -> DataFrame:
     return projection(spark, sf, "charge_day")
 

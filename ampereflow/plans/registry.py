@@ -268,6 +268,36 @@ add("coupon_assignment", lambda s, d: G.coupon_assignment(O.final(s, d)[0]), f"S
 _NIGHT = "(CAST(substring(top_hour1, 1, 2) AS INT) >= 22 OR CAST(substring(top_hour1, 1, 2) AS INT) <= 7)"
 add("targeting_form", lambda s, d: G.targeting_form(O.final(s, d)[0]), f"SELECT user_id, CASE WHEN station_share1 >= 0.5 AND {_NIGHT} THEN '绑站谷段券' WHEN station_share1 >= 0.5 THEN '绑站通用券' WHEN {_NIGHT} THEN '通用谷段券' ELSE '通用券' END AS form FROM final")
 
+# ---- sources and sinks: written below the shared folder and read back
+def landing(s, d):
+    return L.landing_scan(s, f"{d}/orders.parquet").groupBy("source_table").agg(F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
+
+
+def csv_round_trip(s, d):
+    """Orders written as CSV and read back as text."""
+    path, columns = O.scratch(s, "csv"), ["order_id", "user_id", "station_id", "start_time", "end_time", "kwh"]
+    L.export_csv(projection(s, d, "charge_raw").select(columns), path)
+    return L.csv_tolerant_scan(s, path, columns).groupBy("station_id").agg(F.count("*").alias("n"), F.count("user_id").alias("users"), F.sum(F.col("kwh").try_cast("decimal(18,3)")).cast("double").alias("kwh"))
+
+
+def sink_replace(s, d):
+    """Months appended, the first six written again in their place."""
+    path = O.scratch(s, "sink")
+    rows = O.day(s, d).select("order_id", F.month("start_ts").alias("month"), F.lit(0).alias("again"))
+    L.sink(rows, path, "append", ("month",))
+    L.sink(rows.where("month <= 6").withColumn("again", F.lit(1)), path, "overwrite", ("month",))
+    return L.read_merged(s, path).groupBy("month").agg(F.count("*").alias("n"), F.sum("again").alias("again"))
+
+
+add("landing_scan", landing, "SELECT 'orders' AS source_table, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders")
+add("csv_tolerant_scan", csv_round_trip, "SELECT station_id, count(*) AS n, count(nullif(user_id, '')) AS users, CAST(sum(TRY_CAST(kwh AS DECIMAL(18,3))) AS DOUBLE) AS kwh FROM charge_raw GROUP BY 1")
+add("sink_replace_or_append", sink_replace, "SELECT month(start_ts) AS month, count(*) AS n, sum(CASE WHEN month(start_ts) <= 6 THEN 1 ELSE 0 END) AS again FROM charge_day GROUP BY 1")
+add(
+    "share_rounding",
+    lambda s, d: R.share_rounding(O.valid(s, d).groupBy("station_category", "short_period").agg(F.count("*").alias("n")), ["station_category"]).select("station_category", "short_period", "percent"),
+    "SELECT station_category, short_period, CAST(p + CASE WHEN row_number() OVER (PARTITION BY station_category ORDER BY n DESC, short_period) = 1 THEN 100 - sum(p) OVER (PARTITION BY station_category) ELSE 0 END AS DOUBLE) AS percent FROM (SELECT station_category, short_period, n, round(CAST(n * 100.0 / sum(n) OVER (PARTITION BY station_category) AS DECIMAL(20,8)), 1) AS p FROM (SELECT station_category, short_period, count(*) AS n FROM rep GROUP BY 1, 2))",
+)
+
 # ---- reports
 add("daily_trend", lambda s, d: R.trend(O.valid(s, d), "day"), "SELECT CAST(start_ts AS DATE) AS period, year, count(*) AS orders FROM rep GROUP BY GROUPING SETS ((1, 2), (1))".replace("((1, 2), (1))", "((CAST(start_ts AS DATE), year), (CAST(start_ts AS DATE)))"))
 add("monthly_trend", lambda s, d: R.trend(O.valid(s, d), "month"), "SELECT p AS period, year, count(*) AS orders FROM (SELECT CAST(date_trunc('month', start_ts) AS DATE) AS p, year FROM rep) GROUP BY GROUPING SETS ((p, year), (p))")

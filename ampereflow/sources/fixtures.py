@@ -84,4 +84,4 @@ def projection(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         args[t].createOrReplaceTempView(t)
     rows = spark.sql(sql)
     # one generated struct per row: the nested rules are computed once instead of being copied into every later filter and column
-    return rows.select(F.inline(F.array(F.struct(*rows.columns)))) if name == "charge_day" else rows
+    return rows.select(F.inline(F.array(F.struct(*rows.columns)))) if name in ("charge_day", "charge_raw") else rows

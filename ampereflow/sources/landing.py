@@ -122,7 +122,7 @@ def jdbc_write(df: DataFrame, url: str, table: str, mode: str = "append", **opti
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(timestampFormat="yyyy-MM-dd HH:mm:ss", timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(path, header=True, encoding="UTF-8")
+    df.write.mode(mode).options(timestampFormat="yyyy-MM-dd HH:mm:ss", timestampNTZFormat="yyyy-MM-dd HH:mm:ss", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path, header=True, encoding="UTF-8")
 
 
 def snapshot_meta(df: DataFrame, weight: str = "raw_orders") -> DataFrame:
