@@ -19,20 +19,29 @@ def user_daily(orders: DataFrame) -> DataFrame:
     return rows.groupBy("user_id", F.to_date("start_ts").alias("order_date")).agg(F.count("*").alias("orders"), F.sum(F.coalesce("energy_kwh", F.lit(0.0)).cast("decimal(18,3)")).alias("kwh"), F.max("start_ts").alias("last_ts"))
 
 
-def window_end_dates(daily: DataFrame, spec: V.Windows = V.Windows()) -> DataFrame:
-    """End dates from the last day backwards by step; the first possible end always belongs to them."""
+def _span(daily: DataFrame, spec: V.Windows) -> DataFrame:
+    """One row: the first possible end date (low) and the last (hi); none where there are no days between them."""
     horizon = max(spec.horizon, spec.days)
     low = F.lit(spec.start).cast("date") if spec.start else F.greatest(F.date_sub("hi", horizon - spec.days), F.col("lo"))
-    span = daily.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).where("hi IS NOT NULL").withColumn("low", low).where("low <= hi")
+    return daily.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).where("hi IS NOT NULL").withColumn("low", low).where("low <= hi").select("low", "hi")
+
+
+def window_end_dates(daily: DataFrame, spec: V.Windows = V.Windows()) -> DataFrame:
+    """End dates from the last day backwards by step; the first possible end always belongs to them."""
     dates = F.array_distinct(F.concat(F.sequence("hi", "low", F.expr(f"INTERVAL '-{spec.step}' DAY")), F.array("low")))
-    return span.select(F.explode(dates).alias("win_end"))
+    return _span(daily, spec).select(F.explode(dates).alias("win_end"))
 
 
 def rolling_rfm_snapshots(daily: DataFrame, spec: V.Windows = V.Windows()) -> DataFrame:
-    """Per end date and user: totals of the last days, scores and type. The dates are a handful of rows, broadcast by their size;
-    a user-day meets at most days / step of them and is summed again before the shuffle."""
-    ends = window_end_dates(daily, spec)
-    joined = daily.join(F.broadcast(ends), F.col("order_date").between(F.date_sub("win_end", spec.days - 1), F.col("win_end")))
+    """Per end date and user: totals of the last days, scores and type. The windows that a day belongs to follow from their grid (one
+    broadcast row), at most days / step and one of them; they are summed before the shuffle."""
+    back = F.datediff("hi", "order_date")  # the day is in the windows that end from itself to days - 1 later
+    least = F.greatest(F.ceil((back - (spec.days - 1)) / spec.step), F.lit(0)).cast("int")
+    most = F.floor(F.least(back, F.datediff("hi", "low")) / spec.step).cast("int")
+    grid = F.when(least <= most, F.transform(F.sequence(least, most), lambda k: F.date_sub("hi", k * spec.step))).otherwise(F.array().cast("array<date>"))
+    apart = (F.datediff("hi", "low") % spec.step != 0) & F.col("order_date").between(F.date_sub("low", spec.days - 1), F.col("low"))
+    ends = F.concat(grid, F.when(apart, F.array("low")).otherwise(F.array().cast("array<date>")))
+    joined = daily.crossJoin(F.broadcast(_span(daily, spec))).withColumn("win_end", F.explode(ends))
     return _scored(joined.groupBy("win_end", "user_id").agg(F.sum("orders").alias("n_orders"), F.max("last_ts").alias("last_ts"), F.min("order_date").alias("first_date"), F.sum("kwh").alias("kwh")), spec)
 
 

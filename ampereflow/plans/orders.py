@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written once below the shared folder and read back: several branches read it, and a lost executor costs no recomputation."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def day(spark: SparkSession, sf: str) -> DataFrame:
     return projection(spark, sf, "charge_day")
 
@@ -83,20 +91,57 @@ def rolling(spark: SparkSession, sf: str) -> DataFrame:
     return G.rolling_rfm_snapshots(daily(spark, sf))
 
 
-def lists(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Everything the segmentation needs; the snapshots are read by three branches and kept once."""
-    orders = day(spark, sf).withColumn("reason_text", F.when(F.col("abnormal_reason") != "", F.col("abnormal_reason")).otherwise(F.col("end_reason_class")))
-    snapshots = rolling(spark, sf).persist()
-    periods = G.type_periods(snapshots)
-    states = G.four_state(G.high_value_trajectory(periods), snapshots)
-    rows = G.list_base(orders)
-    returning = G.returning_hv_flags(G.returning_users(rows), periods, states)
-    found = {"base": rows, "periods": periods, "states": states, "new": G.new_users(rows), "returning": returning, "abnormal": G.recent_abnormal(rows), "main": segments(spark, sf).persist()}
-    return found
+class Lists:
+    """Everything the segmentation needs, each made when it is first asked for; what several branches read is written once."""
+
+    def __init__(self, spark: SparkSession, sf: str) -> None:
+        self.spark, self.sf = spark, sf
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        return written(rolling(self.spark, self.sf), "snapshots")
+
+    @cached_property
+    def periods(self) -> DataFrame:
+        return written(G.type_periods(self.snapshots), "periods")
+
+    @cached_property
+    def states(self) -> DataFrame:
+        return G.four_state(G.high_value_trajectory(self.periods), self.snapshots)
+
+    @cached_property
+    def base(self) -> DataFrame:
+        reason = F.when(F.col("abnormal_reason") != "", F.col("abnormal_reason")).otherwise(F.col("end_reason_class"))
+        return G.list_base(day(self.spark, self.sf).withColumn("reason_text", reason))
+
+    @cached_property
+    def new(self) -> DataFrame:
+        return G.new_users(self.base)
+
+    @cached_property
+    def returning(self) -> DataFrame:
+        return G.returning_hv_flags(G.returning_users(self.base), self.periods, self.states)
+
+    @cached_property
+    def abnormal(self) -> DataFrame:
+        return G.recent_abnormal(self.base)
+
+    @cached_property
+    def main(self) -> DataFrame:
+        return segments(self.spark, self.sf)
+
+
+def lists(spark: SparkSession, sf: str) -> Lists:
+    return Lists(spark, sf)
 
 
-def final(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+def final(spark: SparkSession, sf: str, again: bool = False) -> tuple[DataFrame, Lists]:
+    """(segments, lists); with again what goes into the segments is written first, as the caller reads it again."""
     x = lists(spark, sf)
-    for k in ("states", "returning", "abnormal"):
-        x[k] = x[k].persist()
-    return G.final_segment(x["main"], x["states"], x["new"], x["returning"], x["abnormal"]).persist(), x
+    for k in ("states", "new", "returning", "abnormal", "main") if again else ("main",):
+        setattr(x, k, written(x[k], k))
+    found = G.final_segment(x["main"], x["states"], x["new"], x["returning"], x["abnormal"])
+    return (written(found, "final") if again else found), x

@@ -218,11 +218,11 @@ add("segment_overview", lambda s, d: (lambda f: G.segment_overview(f[0], f[1]["s
 
 
 def checks(s, d):
-    seg, x = O.final(s, d)
-    silent, new = G.silent_list(x["states"], x["main"]).persist(), x["new"].persist()
-    assigned = G.assign_segments(x["main"], x["states"], new, x["returning"])
-    detail = G.silent_history_detail(O.day(s, d), silent).persist()
-    return G.segment_checks(seg, assigned, G.core7_segments(seg), x["states"], silent, new, x["returning"], x["abnormal"], detail)
+    seg, x = O.final(s, d, again=True)
+    silent = O.written(G.silent_list(x["states"], x["main"]), "silent")
+    assigned = G.assign_segments(x["main"], x["states"], x["new"], x["returning"])
+    detail = O.written(G.silent_history_detail(O.day(s, d), silent), "detail")
+    return G.segment_checks(seg, assigned, G.core7_segments(seg), x["states"], silent, x["new"], x["returning"], x["abnormal"], detail)
 
 
 def _checks_oracle() -> str:
