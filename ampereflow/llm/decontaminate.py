@@ -84,21 +84,27 @@ class Bm25Index:
         """All items with a score of at least ``least``: blocks of items whose greatest impacts cannot sum to it are passed over
         at once, the others are walked by WAND."""
         ids = np.array([self.number[w] for w in words if w in self.number], dtype=np.int64)
-        return self._among(words, self._reach(ids, np.zeros(len(ids), dtype=np.int64), 1)[0], least) if len(ids) else []
+        return self._among(words, self._reach(ids, np.zeros(len(ids), dtype=np.int64), 1, least)[1], least) if len(ids) else []
 
-    def _among(self, words: set[str], reach: np.ndarray, least: float) -> list[tuple[int, float]]:
+    def _among(self, words: set[str], blocks: np.ndarray, least: float) -> list[tuple[int, float]]:
         known = [w for w in words if w in self.number]
-        return [x for block in np.nonzero(reach >= least - 1e-12)[0].tolist() for x in self._walk(known, block, least)]
+        return [x for block in blocks.tolist() for x in self._walk(known, block, least)]
 
-    def _reach(self, ids: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
-        """For n passages given as pairs of word and passage, each once: the sum of greatest impacts in every block."""
+    def _reach(self, ids: np.ndarray, passage: np.ndarray, n: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """For n passages given as pairs of word and passage, each once: (passage, block) in order where the greatest impacts sum to
+        ``least`` or more. Work and memory follow the blocks that the words stand in, not all blocks of the index."""
         sizes = self.at[ids + 1] - self.at[ids]
         place = np.repeat(self.at[ids] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
         cells = np.repeat(passage, sizes) * self.n_blocks + self.flat_blocks[place]
-        return np.bincount(cells, weights=self.flat_tops[place], minlength=n * self.n_blocks).reshape(n, self.n_blocks)
+        tops, at = self.flat_tops[place], None
+        if n * self.n_blocks > 4 * len(cells):  # few of all blocks
+            at, cells = np.unique(cells, return_inverse=True)
+        high = np.nonzero(np.bincount(cells, weights=tops) >= least - 1e-12)[0]
+        at = high if at is None else at[high]
+        return at // self.n_blocks, at % self.n_blocks
 
     def _passages(self, words: list[str]) -> Iterator[tuple[int, np.ndarray]]:
-        """(first word, block sums) of the passages with a block that may hold an item, some hundred passages at a time."""
+        """(first word, blocks) of the passages with blocks that may hold an item, some hundred passages at a time."""
         get = self.number.get
         ids = np.array([get(w, -1) for w in words], dtype=np.int64)
         total = max(1, -(-len(words) // self.step) - self.span // self.step + 1)
@@ -109,9 +115,10 @@ class Bm25Index:
             at = np.nonzero(part >= 0)[0]
             pairs = [(at // self.step - k) * len(self.number) + part[at] for k in range(self.span // self.step)]
             pairs = np.unique(np.concatenate([p[(at // self.step - k >= 0) & (at // self.step - k < high - low)] for k, p in enumerate(pairs)]))
-            reach = self._reach(pairs % len(self.number), pairs // len(self.number), high - low)
-            for k in np.nonzero((reach >= SCORE - 1e-12).any(1))[0].tolist():
-                yield (low + k) * self.step, reach[k]
+            passage, blocks = self._reach(pairs % len(self.number), pairs // len(self.number), high - low, SCORE)
+            first = np.nonzero(np.diff(passage, prepend=-1))[0]
+            for k, found in zip(passage[first].tolist(), np.split(blocks, first[1:]), strict=True) if len(first) else ():
+                yield (low + k) * self.step, found
 
     def _walk(self, words: list[str], block: int, least: float) -> list[tuple[int, float]]:
         """WAND over the postings of one block: lists in order of their next item; the pivot is the first list at which the
@@ -152,9 +159,9 @@ class Bm25Index:
         if not words or not self.items:
             return []
         best: dict[int, tuple[float, int, float, float]] = {}
-        for start, reach in self._passages(words):
+        for start, blocks in self._passages(words):
             there, grams = None, None
-            for item, score in self._among(set(words[start : start + self.span]), reach, SCORE):
+            for item, score in self._among(set(words[start : start + self.span]), blocks, SCORE):
                 if item in best and score <= best[item][0]:
                     continue
                 if there is None:

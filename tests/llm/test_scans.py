@@ -25,12 +25,38 @@ def test_wand_finds_all_above_the_threshold(spark):
             assert {k: round(v, 9) for k, v in index.search(words, least)} == {k: round(v, 9) for k, v in plain.items() if v >= least}
 
 
+def test_few_of_many_blocks():
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(12)) + " common words") for k in range(3000)]
+    index = decontaminate.Bm25Index(items)
+    text = " ".join(["common words filler"] * 40 + [items[77][1], items[2999][1]] + ["tail"] * 300 + [items[5][1]])
+    assert sorted(x["item_id"] for x in index.leaks(text)) == [5, 77, 2999]
+    assert {index.items[a][0] for a, _ in index.search(set(items[8][1].split()))} == {8}
+
+
+def plain_leaks(index, text):
+    """Items found by scoring every passage against every item, and checking the overlaps of each above the threshold."""
+    words, found = decontaminate.words_of(text), set()
+    for start in range(0, max(1, len(words) - index.step + 1), index.step):
+        score = Counter()
+        for w in set(words[start : start + index.span]) & index.postings.keys():
+            for at, x in zip(*index.postings[w], strict=True):
+                score[at] += x
+        near = words[max(0, start - index.longest) : start + index.span + index.longest]
+        for at, x in score.items():
+            question, answer = index.parts[at]
+            grams = decontaminate.shingles(question)
+            if x >= decontaminate.SCORE - 1e-12 and len(grams & decontaminate.shingles(near)) >= decontaminate.QUESTION * len(grams) and len(set(answer) & set(near)) >= decontaminate.ANSWER * len(set(answer)):
+                found.add(index.items[at][0])
+    return found
+
+
 def test_leaks_equal_brute_force(spark):
     docs, items = tables(spark)
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaked_items(docs, items).collect()}
     flat = lambda t: " " + " ".join(decontaminate.words_of(t)) + " "
     want = {(d["doc_id"], i["item_id"]) for d in docs.collect() for i in items.collect() if flat(i["text"]) in flat(d["text"])}
     assert want and want <= got
+    assert got == {(d["doc_id"], i) for d in docs.collect() for index in decontaminate.indexes(items) for i in plain_leaks(index, d["text"])}
     clean = {d["doc_id"] for d in docs.collect()} - {k for k, _ in got}
     assert {r["doc_id"] for r in decontaminate.drop_leaked(docs, items).collect()} == clean
 
