@@ -37,7 +37,7 @@ class _Buckets(dict):
 
     def __missing__(self, word: str) -> int:
         bucket = xxhash.xxh32_intdigest(word.encode("utf-8", "replace")) % BUCKETS
-        if len(self) < 500_000:
+        if len(self) < 50_000:
             self[word] = bucket
         return bucket
 
