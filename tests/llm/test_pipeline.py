@@ -40,3 +40,25 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = materialize(stage(spark, docs, SF), "stage")
     assert docs.collect() == []
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls in any column, empty and very long texts, rows repeated, one id for several texts, and columns of every helper's name."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = ["evidence", "site_shift", "quality_score", "_host", "_path", "_leaks", "_found", "_cut", "_h", "_id", "fp", "kept_spans", "row", "piece", "text_hash", "TEXT_"]
+    good = docs.orderBy("doc_id").limit(40).collect()
+    long = " ".join(r["text"] for r in good) * 30
+    rows = [tuple(r) for r in good] + [tuple(good[0])] * 3 + [(good[1]["doc_id"], good[2]["text"], "en", "s", 1), (None, good[3]["text"], None, None, None), (None, None, None, None, None), (9001, None, "en", "s", 0), (9002, "", "en", "s", 0), (9003, "", "en", "s", 0), (9004, long, "en", "s", len(long))]
+    odd = spark.createDataFrame([(*r, *range(len(extra))) for r in rows], ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in docs.schema] + [f"`{c}` int" for c in extra]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, SF)
+        assert out.columns == odd.columns, name
+        kept = out.collect()
+        assert all(tuple(r)[5:] == tuple(range(len(extra))) for r in kept), name
+        assert len(kept) <= len(rows) and any(r["doc_id"] == 9004 for r in kept), name
+        if name == "simhash near-dedup":
+            assert sum(r["doc_id"] == good[0]["doc_id"] for r in kept) <= 1 and sum(not r["text"] for r in kept) == 1
+        if name in ("benchmark decontamination", "secret scan"):
+            assert sum(not r["text"] for r in kept) == 4
+    packed = corpus_pipeline.STAGES[-1][1](spark, odd, SF).collect()
+    assert sum(r["piece"] == 0 for r in packed) == len(rows) and all(r["length"] <= 2048 for r in packed)
