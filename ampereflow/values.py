@@ -16,6 +16,7 @@ CATEGORY_PRIORITY = ("高速", "公交场站", "专用场站", "公共场站", "
 BUS = "公交场站"
 STATION_TYPES = {"高速": ("高速",), "公共场站": ("城市公共",), "专用场站": ("单位内部（专用）", "单位内部(专用)", "单位内部", "专用"), "公交场站": ("公交", "公交场站")}
 
+# fixed values: bounds and names of the buckets
 DURATION_13 = ((10, "0-10min"), (20, "10-20min"), (30, "20-30min"), (40, "30-40min"), (50, "40-50min"), (60, "50-60min"), (90, "60-90min"), (120, "90-120min"), (180, "120-180min"), (240, "180-240min"), (360, "240-360min"), (720, "360-720min"))
 DURATION_OVER = "720min以上"
 DURATION_DETAIL = ((10, "0-10min"), (20, "10-20min"), (30, "20-30min"), (40, "30-40min"), (60, "40-60min"), (90, "60-90min"), (120, "90-120min"), (180, "120-180min"), (240, "180-240min"), (None, "240min以上"))
@@ -26,6 +27,7 @@ GAPS = ((6, "0-6h"), (24, "6-24h"), (72, "1-3天"), (168, "3-7天"), (336, "7-14
 FIRST = "首次"
 ENERGY_TYPES = ("短时低电量", "短时高电量", "常规补能", "长时高电量", "长时低电量")
 
+# fixed values: classes of end reasons and the words that tell them
 END_NORMAL, END_USER, END_AMOUNT, END_SYSTEM, END_FAULT, END_OTHER = "正常结束", "用户主动停止", "金额/SOC达到", "后台/系统结束", "故障异常", "其他原因"
 END_WORDS = (
     (END_NORMAL, ("电动汽车充满", "充满停止", "达到SOC", "022AH", "BMS 正常", "BMS正常", "达到涓流充电停机条件", "预付金额不足", "达到设置充电电量停止", "本地停止充电")),
@@ -38,8 +40,10 @@ END_CODES = ("0253H", "024E", "0241", "022C")
 ABNORMAL_WORDS = ("异常", "失败", "取消", "撤销", "作废", "无效")
 NORMAL_WORDS = ("正常结束", "正常终止", "主动终止", "用户主动", "用户终止", "人工终止", "手动终止", "已完成", "完成", "金额", "SOC", "soc", "余额", "费用", "封顶", "达到")
 
+# fixed values: reasons of the discard rules, in the order of the rules
 DISCARD_REASONS = ("订单状态选择", "交易电量大于800", "抄表电量大于800", "电费大于500", "服务费大于500", "交易金额大于800", "交易电量小于0", "电费/电量大于4", "抄表电量小于0", "充电时长小于0秒", "电量小于0.1且总费用不为0", "充电时长大于0但电量小于0.1", "充电量和抄表电量误差大于0.1", "分时电量和充电量误差大于0.1", "充电时长大于18小时", "充电开始或结束时间缺失", "充电开始时间超出范围")
 
+# fixed values: the day on which the tariff changes, the months of the season, and
 # tariff: (hour from, hour to) of each segment
 TARIFF_CHANGE = "2025-07-01"
 TARIFFS = {
@@ -49,6 +53,7 @@ TARIFFS = {
 }
 SEASON_MONTHS = (6, 7, 8, 12, 1, 2)
 
+# fixed values: names of levels, types, states and segments
 R_LEVELS = ("活跃", "近期活跃", "一般活跃", "沉默风险", "沉默")
 F_LEVELS = ("高频", "中高频", "中频", "低频", "极低频")
 M_LEVELS = ("极低价值", "低价值", "中价值", "中高价值", "高价值")
