@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import fresh
 from .tokens import encoder
 
 KINDS = ("assign", "access", "hex", "dense")
@@ -141,28 +140,30 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", ranks_path: str | None = None, ratio: float = RATIO) -> DataFrame:
     """docs with every span replaced by mark; overlapping spans count as one. Rows without secrets, null and empty texts are
     unchanged; null ids and repeated rows pass through; columns keep their names whatever these are; empty tables stay empty."""
+    if ranks_path is None:
+        import public_tokenizers
+
+        ranks_path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
     @pandas_udf("string")
-    def redact(texts: pd.Series, found: pd.Series) -> pd.Series:
-        out = []
-        for text, spans in zip(texts, found, strict=True):
-            if text is not None and len(spans):
-                merged: list[list[int]] = []
-                for s, e in sorted((x["start"], x["end"]) for x in spans):
-                    if merged and s <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], e)
-                    else:
-                        merged.append([s, e])
-                for s, e in reversed(merged):
-                    text = text[:s] + mark + text[e:]
+    def redact(texts: pd.Series) -> pd.Series:
+        encode, out = encoder(ranks_path).encode_ordinary, []
+        for text in texts:
+            merged: list[list[int]] = []
+            for s, e in sorted((s, e) for _, s, e in spans_of(text or "", encode, ratio)):
+                if merged and s <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], e)
+                else:
+                    merged.append([s, e])
+            for s, e in reversed(merged):
+                text = text[:s] + mark + text[e:]
             out.append(text)
-        return pd.Series(out)
+        return pd.Series(out, dtype=object)
 
-    name = fresh(docs, "_found")
-    scanned = with_secret_spans(docs, text_col, name)
-    return scanned.withColumn(text_col, redact(F.col(text_col), F.col(name))).drop(name)
+    return docs.withColumn(text_col, redact(F.col(text_col)))
 
 
 def digest_of(spans: list[tuple[str, int, int]]) -> str:

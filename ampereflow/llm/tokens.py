@@ -34,7 +34,7 @@ def added_tokens(tokenizer_path: str) -> dict[str, int]:
 class PieceCache(dict):
     """Text without white space inside, with at most one space before it -> its ids as little-endian 32-bit bytes."""
 
-    def __init__(self, path: str, tokenizer_path: str | None = None, most: int = 150_000) -> None:
+    def __init__(self, path: str, tokenizer_path: str | None = None, most: int = 100_000) -> None:
         super().__init__()
         self.encode, self.most = encoder(path).encode_ordinary, most
         added = added_tokens(tokenizer_path) if tokenizer_path else {}
