@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +55,49 @@ def remove_written(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def numbered(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
+    """df in the order of these columns, each row with its place from 0 on, without gaps; written. Only the row counts of the
+    partitions pass through the driver."""
+    part, at = fresh(df, "_part"), fresh(df, "_at")
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = materialize(ranged.withColumns({part: F.spark_partition_id(), at: F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))}), "numbered")
+    before, offsets = 0, []
+    for r in ranged.groupBy(part).count().orderBy(part).collect():
+        offsets.append((r[part], before))
+        before += r["count"]
+    starts = df.sparkSession.createDataFrame(offsets, f"{part} int, {name} long")  # a row for each partition
+    return ranged.join(F.broadcast(starts), part).withColumn(name, F.col(name) + F.col(at)).drop(part, at)
+
+
+#: Most partial results that the driver adds up; of more partitions, groups are added up by tasks before.
+PARTIALS = 64
+
+
+def summed(df: DataFrame, partial: Callable[[Iterator[pd.DataFrame]], dict]) -> dict:
+    """Adds up what ``partial`` makes of each partition: a dict of numbers, arrays or other things that add, of a size that does not
+    grow with the rows. The order of additions is that of the partitions."""
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = partial(batches)
+        yield pd.DataFrame([{"at": TaskContext.get().partitionId(), "got": pickle.dumps(got)}])
+
+    def added(blobs: list[bytes]) -> dict:
+        total: dict = {}
+        for blob in blobs:
+            for key, value in pickle.loads(blob).items():
+                total[key] = total[key] + value if key in total else value
+        return total
+
+    def merged(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("at")
+        return pd.DataFrame([{"at": rows["at"].iloc[0], "got": pickle.dumps(added(list(rows["got"])))}])
+
+    parts, n = df.mapInPandas(made, "at int, got binary"), df.rdd.getNumPartitions()
+    while n > PARTIALS:
+        n = -(-n // PARTIALS)
+        parts = parts.groupBy((F.col("at") % n).alias("_to")).applyInPandas(merged, "at int, got binary")
+    return added([bytes(r["got"]) for r in sorted(parts.collect(), key=lambda r: r["at"])])
+
+
 def crc_fold(id_col: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds; a null id counts as empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % folds

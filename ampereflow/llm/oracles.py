@@ -40,3 +40,14 @@ numbered AS (
 SELECT doc_id, min(start) AS start, max("end") AS "end", max(upto) - min(word) AS n_words, removed, max(copies) AS copies, min(first).d AS kept_id, min(first).s AS kept_start
 FROM numbered GROUP BY doc_id, removed, passage
 """
+
+TOP_PRODUCTS = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, row_number() OVER () AS n FROM embeddings),
+good AS (
+  SELECT vec_id, n, list_transform(e, lambda x: floor(256 * x)) AS x FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ranked AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score, row_number() OVER (PARTITION BY q.n ORDER BY list_inner_product(q.x, c.x) DESC, c.vec_id NULLS LAST, c.n) AS rank
+  FROM good q JOIN good c ON q.n <> c.n AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

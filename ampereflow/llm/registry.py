@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embeddings, katz, licences, lines, oracles, packing, quality, secrets, simhash, toxicity
+from . import decontaminate, embeddings, katz, licences, lines, oracles, packing, quality, secrets, simhash, topk, toxicity, whitening
 from .common import table
 
 
@@ -50,5 +50,13 @@ def op10_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.repeated_passages(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op1_leaked_test_items, op2_embedding_near_dups, op3_quality_scores, op4_katz_scores, op5_toxicity, op6_licence_paragraphs, op7_secret_spans, op8_simhash_near_dups, op9_pack_sequences, op10_repeated_lines)}
-ORACLES: dict[str, str] = {"op2_embedding_near_dups": oracles.EMBEDDING_NEAR_DUPS, "op10_repeated_lines": oracles.REPEATED_LINES}
+def op11_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_leaked_test_items, op2_embedding_near_dups, op3_quality_scores, op4_katz_scores, op5_toxicity, op6_licence_paragraphs, op7_secret_spans, op8_simhash_near_dups, op9_pack_sequences, op10_repeated_lines, op11_top_products, op12_whitened_embeddings)}
+ORACLES: dict[str, str] = {"op2_embedding_near_dups": oracles.EMBEDDING_NEAR_DUPS, "op10_repeated_lines": oracles.REPEATED_LINES, "op11_top_products": oracles.TOP_PRODUCTS}
