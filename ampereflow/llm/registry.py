@@ -63,4 +63,4 @@ def op13_repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_leaked_test_items, op2_embedding_near_dups, op3_quality_scores, op4_katz_scores, op5_toxicity, op6_licence_paragraphs, op7_secret_spans, op8_simhash_near_dups, op9_pack_sequences, op10_repeated_lines, op11_top_products, op12_whitened_embeddings, op13_repaired_conversations)}
-ORACLES: dict[str, str] = {"op2_embedding_near_dups": oracles.EMBEDDING_NEAR_DUPS, "op10_repeated_lines": oracles.REPEATED_LINES, "op11_top_products": oracles.TOP_PRODUCTS}
+ORACLES: dict[str, str] = {"op2_embedding_near_dups": oracles.EMBEDDING_NEAR_DUPS, "op10_repeated_lines": oracles.REPEATED_LINES, "op11_top_products": oracles.TOP_PRODUCTS, "op13_repaired_conversations": oracles.REPAIRED_CONVERSATIONS}

@@ -81,6 +81,7 @@ class _Side:
 def _open_pairs(q: _Side, at: np.ndarray, c: _Side, cols: np.ndarray, least: np.ndarray, steps: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of queries ``at`` and candidates ``cols`` whose product may reach the query's least score."""
     done, sums = 0, np.zeros((len(at), len(cols)), np.float32)
+    least = np.where(least > _LEAST, least, -np.inf)
     for k in steps:
         sums += q.y[at, done:k] @ c.y[cols, done:k].T
         bound = sums + np.outer(q.rest[k][at], c.rest[k][cols]) + _SLACK * np.outer(q.size[at], c.size[cols])
@@ -156,7 +157,7 @@ def top_products(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 2
     Vectors score with vectors of their own length only. Null vectors, vectors with null or non-finite components take no part;
     empty ones score 0 with one another. A null id is no query; as candidate it comes after all ids in a tie. Rows that repeat an id
     or a whole row are rows of their own, as query and as candidate. A query without candidates gives no rows. A scaled component
-    beyond a long counts as the nearest one, and so does a score. Empty table: empty result. Other columns are not read.
+    beyond a long counts as the nearest one, and so does a score (before ranking). Empty table: empty result. Other columns are not read.
     """
     base = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     fit = F.coalesce(F.expr("forall(vec, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"), F.lit(False))
