@@ -14,6 +14,7 @@ from ..operators import features as P
 from ..operators import reports as R
 from ..operators import rolling as G
 from ..sources import landing as L
+from ..sources import manifest as M
 from ..sources.fixtures import projection
 from . import orders as O
 from . import sql as Q
@@ -73,9 +74,7 @@ def sources(s, d):
 
 add("source_filter", lambda s, d: L.source_filter(sources(s, d).select("source_table").distinct(), exclude=("y01_m03",), like="y01%"), f"SELECT * FROM ({_SOURCES}) WHERE source_table LIKE 'y01%' AND source_table <> 'y01_m03'")
 add("limit_sources", lambda s, d: L.source_filter(sources(s, d).select("source_table").distinct(), limit=3), f"SELECT * FROM ({_SOURCES}) ORDER BY 1 LIMIT 3")
-add("incremental_sources", lambda s, d: L.incremental_sources(sources(s, d), sources(s, d).where("source_table < 'y01_m05'").select("source_table")).groupBy("source_table").agg(F.count("*").alias("n_rows")), f"SELECT 'y' || strftime(start_ts, '%y_m%m') AS source_table, count(*) AS n_rows FROM charge_day WHERE 'y' || strftime(start_ts, '%y_m%m') >= 'y01_m05' GROUP BY 1")
 add("tag_source", lambda s, d: L.landing_scan(s, f"{d}/orders.parquet").groupBy("source_table").agg(F.count("*").alias("n_rows"), F.max("o_orderkey").alias("last_key")), "SELECT 'orders' AS source_table, count(*) AS n_rows, max(o_orderkey) AS last_key FROM orders")
-add("import_manifest", lambda s, d: (lambda x: L.import_manifest(x, x.groupBy("source_table").agg(F.count("*").alias("n_rows")).where("source_table <> 'y01_m04'").withColumn("schema_hash", F.sha2(F.lit(x.schema.simpleString()), 256))).select("source_table", "n_rows"))(sources(s, d)), "SELECT 'y01_m04' AS source_table, count(*) AS n_rows FROM charge_day WHERE strftime(start_ts, '%y_m%m') = '01_m04'")
 add("snapshot_meta", lambda s, d: L.validate_snapshot(O.sessions(s, d), L.snapshot_meta(O.sessions(s, d))), "SELECT count(*) AS n_rows, CAST(sum(raw_orders) AS BIGINT) AS original_orders FROM sessions")
 add("load_station_dims", lambda s, d: C.load_station_dims(O.stations(s, d)), "SELECT * FROM dims")
 add("clean_assets", lambda s, d: R.clean_assets(O.stations(s, d)), f"SELECT {Q.station_key('station_id')} AS station_key, replace(replace(station_type, '（', '('), '）', ')') AS station_type, {Q.category('station_type')} AS category, place FROM station WHERE station_type IS NOT NULL")
@@ -273,11 +272,54 @@ def landing(s, d):
     return L.landing_scan(s, f"{d}/orders.parquet").groupBy("source_table").agg(F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
 
 
+def csv_files(s, d):
+    """Orders as CSV files of two headers, and a third of lines that fit neither."""
+    path, rows = O.scratch(s, "csv"), projection(s, d, "charge_raw").select("order_id", "user_id", "station_id", "start_time", "end_time", "kwh", "channel")
+    odd = F.col("order_id").cast("long") % 2 == 1
+    L.export_csv(rows.where(~odd).drop("channel"), f"{path}/a")
+    L.export_csv(rows.where(odd).select("kwh", "channel", "station_id", "order_id", "user_id"), f"{path}/b")
+    lines = F.when(F.col("order_id").cast("long") % 100 == 7, F.concat("order_id", F.lit(",9"))).otherwise(F.concat("order_id", F.lit(",x,1,surplus")))
+    lines = rows.where(F.col("order_id").cast("long") % 50 == 7).select(lines.alias("value"))
+    lines.coalesce(1).withColumn("n", F.lit(1)).unionByName(s.createDataFrame([("order_id,station_id,kwh", 0)], "value string, n int")).repartition(1).sortWithinPartitions("n").select("value").write.text(f"{path}/c")
+    return path
+
+
 def csv_round_trip(s, d):
-    """Orders written as CSV and read back as text."""
-    path, columns = O.scratch(s, "csv"), ["order_id", "user_id", "station_id", "start_time", "end_time", "kwh"]
-    L.export_csv(projection(s, d, "charge_raw").select(columns), path)
-    return L.csv_tolerant_scan(s, path, columns).groupBy("station_id").agg(F.count("*").alias("n"), F.count("user_id").alias("users"), F.sum(F.col("kwh").try_cast("decimal(18,3)")).cast("double").alias("kwh"))
+    return L.csv_tolerant_scan(s, csv_files(s, d)).groupBy("station_id").agg(F.count("*").alias("n"), F.count("user_id").alias("users"), F.count("channel").alias("channels"), F.count("start_time").alias("starts"), F.sum(F.col("kwh").try_cast("decimal(18,3)")).cast("double").alias("kwh"))
+
+
+def csv_bad_lines(s, d):
+    kind = F.regexp_extract("source_file", "/([abc])/[^/]*$", 1).alias("kind")
+    return L.csv_bad_lines(s, csv_files(s, d)).groupBy(kind).agg(F.sum("lines").alias("lines"), F.sum("bad_lines").alias("bad_lines"))
+
+
+def landed(s, d):
+    """Orders as a folder of Parquet files for each month, the manifest of the months before May, recorded by an earlier run, and of
+    one more that has changed since."""
+    root, at = O.scratch(s, "landing"), O.scratch(s, "manifest")
+    rows = sources(s, d)
+    rows.repartition("source_table").write.partitionBy("source_table").parquet(root)
+    listing = M.list_sources(s, root, "folder", "*.parquet")
+    told = listing.join(M.facts(s, listing, "folder"), "source_table").where("source_table < 'y01_m05'")
+    changed = F.when(F.col("source_table") == "y01_m04", 1).otherwise(0)
+    M.record(told.withColumns({"n_rows": F.col("n_rows") - changed, "length": F.col("length") - changed}), at, 1)
+    return root, at, rows.drop("source_table").schema
+
+
+def incremental(s, d):
+    root, at, schema = landed(s, d)
+    fresh = M.new_sources(M.list_sources(s, root, "folder", "*.parquet"), M.read_manifest(s, at))
+    return M.read_sources(s, fresh, schema, by="folder").groupBy("source_table").agg(F.count("*").alias("n_rows"))
+
+
+def imported(s, d):
+    """Rows of new and changed sources, then a second run that finds nothing left to do."""
+    root, at, schema = landed(s, d)
+    rows, told = M.import_new(s, root, at, schema, 2, "folder")
+    out = O.written(rows.groupBy("source_table").agg(F.count("*").alias("n_rows")), "imported")
+    M.record(told, at, 2)
+    again = M.import_new(s, root, at, schema, 3, "folder")[0].groupBy("source_table").agg(F.count("*").alias("again"))
+    return out.join(again, "source_table", "left").na.fill(0, ["again"])
 
 
 def sink_replace(s, d):
@@ -290,7 +332,10 @@ def sink_replace(s, d):
 
 
 add("landing_scan", landing, "SELECT 'orders' AS source_table, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders")
-add("csv_tolerant_scan", csv_round_trip, "SELECT station_id, count(*) AS n, count(nullif(user_id, '')) AS users, CAST(sum(TRY_CAST(kwh AS DECIMAL(18,3))) AS DOUBLE) AS kwh FROM charge_raw GROUP BY 1")
+add("csv_tolerant_scan", csv_round_trip, "SELECT station_id, count(*) AS n, count(nullif(user_id, '')) AS users, count(channel) FILTER (CAST(order_id AS BIGINT) % 2 = 1) AS channels, count(start_time) FILTER (CAST(order_id AS BIGINT) % 2 = 0) AS starts, CAST(sum(TRY_CAST(kwh AS DECIMAL(18,3))) AS DOUBLE) AS kwh FROM charge_raw GROUP BY 1")
+add("csv_bad_lines", csv_bad_lines, "SELECT kind, count(*) AS lines, count(*) FILTER (kind = 'c') AS bad_lines FROM (SELECT CASE WHEN CAST(order_id AS BIGINT) % 2 = 1 THEN 'b' ELSE 'a' END AS kind FROM charge_raw UNION ALL SELECT 'c' FROM charge_raw WHERE CAST(order_id AS BIGINT) % 50 = 7) GROUP BY 1")
+add("incremental_sources", incremental, "SELECT source_table, count(*) AS n_rows FROM (SELECT 'y' || strftime(start_ts, '%y_m%m') AS source_table FROM charge_day) WHERE source_table NOT IN ('y01_m01', 'y01_m02', 'y01_m03', 'y01_m04') GROUP BY 1")
+add("import_manifest", imported, "SELECT source_table, count(*) AS n_rows, CAST(0 AS BIGINT) AS again FROM (SELECT 'y' || strftime(start_ts, '%y_m%m') AS source_table FROM charge_day) WHERE source_table NOT IN ('y01_m01', 'y01_m02', 'y01_m03') GROUP BY 1")
 add("sink_replace_or_append", sink_replace, "SELECT month(start_ts) AS month, count(*) AS n, sum(CASE WHEN month(start_ts) <= 6 THEN 1 ELSE 0 END) AS again FROM charge_day GROUP BY 1")
 add(
     "share_rounding",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +35,64 @@ def tag_source(df: DataFrame, file_col: str = "source_file") -> DataFrame:
     return df.select(S.safe_ident(name).alias("source_table"), *df.columns)
 
 
-def csv_tolerant_scan(spark: SparkSession, paths: list[str] | str, columns: list[str]) -> DataFrame:
-    """CSV with a header as text columns; lines that do not parse are dropped. Values may hold line breaks."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.schema(schema).csv(paths, header=True, mode="DROPMALFORMED", multiLine=True, enforceSchema=False)
+_BAD = "_bad_line"
+
+
+def csv_headers(spark: SparkSession, paths: list[str] | str, encoding: str = "UTF-8") -> dict[tuple[str, ...], list[str]]:
+    """The files below the paths by their header. Of each file the driver reads the first line, no more; empty files have none."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+
+    def first_line(path: str) -> str:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        stream = at.getFileSystem(conf).open(at)
+        try:
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding)).readLine() or ""
+        finally:
+            stream.close()
+
+    found: dict[tuple[str, ...], list[str]] = {}
+    for path in sorted(r["path"] for r in files.collect()):
+        if line := first_line(path).removeprefix("\ufeff"):
+            found.setdefault(tuple(c.strip() for c in next(csv.reader([line]))), []).append(path)
+    return found
+
+
+def _csv_lines(spark: SparkSession, paths: list[str] | str, encoding: str) -> DataFrame | None:
+    """Every line of the files, columns by name, with source_file and whether the line does not fit its file's header."""
+    parts = []
+    for header, files in csv_headers(spark, paths, encoding).items():
+        taken: set[str] = set()
+        fields = []
+        for k, name in enumerate(header):
+            fields.append(f"_again{k}" if name.lower() in taken or not name else name)
+            taken.add(name.lower())
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*fields, _BAD)])
+        rows = spark.read.schema(schema).csv(files, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, multiLine=True, enforceSchema=True, encoding=encoding, escape='"')
+        named = [F.col(f"`{c}`") for c in fields if c in header]
+        bad = F.col(_BAD).isNotNull() & ~F.col(f"`{fields[0]}`").eqNullSafe("\0")  # the latter holds always: Spark refuses to read the text of bad lines alone
+        parts.append(rows.select(*named, bad.alias(_BAD), F.col("_metadata.file_path").alias("_source_file")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+
+
+def csv_tolerant_scan(spark: SparkSession, paths: list[str] | str, columns: list[str] | None = None, encoding: str = "UTF-8") -> DataFrame:
+    """CSV files as text columns, joined by name: each file is read by its own header, what it lacks is null. Of a name that a header
+    repeats the first column counts. Values may hold line breaks and doubled quotes. Lines with more or fewer values than the header are dropped,
+    whatever columns are selected; ``csv_bad_lines`` counts them. columns: these only, in this order; one that no file has is null."""
+    rows = _csv_lines(spark, paths, encoding)
+    if rows is None:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns or []]))
+    there = {c.lower() for c in rows.columns}
+    wanted = columns if columns is not None else [c for c in rows.columns if c not in (_BAD, "_source_file")]
+    return rows.where(~F.col(_BAD)).select(*[F.col(f"`{c}`") if c.lower() in there else F.lit(None).cast("string").alias(c) for c in wanted])
+
+
+def csv_bad_lines(spark: SparkSession, paths: list[str] | str, encoding: str = "UTF-8") -> DataFrame:
+    """(source_file, lines, bad_lines) of each file that has lines behind its header."""
+    rows = _csv_lines(spark, paths, encoding)
+    if rows is None:
+        return spark.createDataFrame([], "source_file string, lines long, bad_lines long")
+    return rows.groupBy(F.col("_source_file").alias("source_file")).agg(F.count("*").alias("lines"), F.count_if(_BAD).alias("bad_lines"))
 
 
 def canonicalize(df: DataFrame, aliases: dict | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -91,16 +148,6 @@ def source_filter(sources: DataFrame, pattern: str = r"^y\d{2}", exclude: tuple[
     return out.orderBy("source_table").limit(limit) if limit else out
 
 
-def incremental_sources(rows: DataFrame, processed: DataFrame) -> DataFrame:
-    return rows.join(processed.select("source_table").distinct(), "source_table", "left_anti")
-
-
-def import_manifest(rows: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Sources whose row count or schema differs from the manifest (source_table, n_rows, schema_hash)."""
-    counts = rows.groupBy("source_table").agg(F.count("*").alias("n_rows")).withColumn("schema_hash", F.sha2(F.lit(rows.schema.simpleString()), 256))
-    return counts.join(manifest, ["source_table", "n_rows", "schema_hash"], "left_anti")
-
-
 def sink(df: DataFrame, path: str, mode: str = "append", partition_by: tuple[str, ...] = ()) -> None:
     """Append, or replace: of a partitioned table only the partitions that df holds. Readers merge added columns."""
     writer = df.write.mode(mode).partitionBy(*partition_by)
@@ -122,7 +169,7 @@ def jdbc_write(df: DataFrame, url: str, table: str, mode: str = "append", **opti
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(timestampFormat="yyyy-MM-dd HH:mm:ss", timestampNTZFormat="yyyy-MM-dd HH:mm:ss", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path, header=True, encoding="UTF-8")
+    df.write.mode(mode).options(timestampFormat="yyyy-MM-dd HH:mm:ss", timestampNTZFormat="yyyy-MM-dd HH:mm:ss", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path, header=True, encoding="UTF-8", escape='"')
 
 
 def snapshot_meta(df: DataFrame, weight: str = "raw_orders") -> DataFrame:
