@@ -16,6 +16,7 @@ from ..operators import rolling as G
 from ..sources import landing as L
 from ..sources import manifest as M
 from ..sources.fixtures import projection
+from ..streaming import feeds, streams
 from . import orders as O
 from . import sql as Q
 from .sql import oracle, q, rnd
@@ -331,6 +332,36 @@ def sink_replace(s, d):
     return L.read_merged(s, path).groupBy("month").agg(F.count("*").alias("n"), F.sum("again").alias("again"))
 
 
+def fed(s, d, rows, feed):
+    """Three runs of a feed over one checkpoint, each after a third of the rows has landed; the folder of its tables."""
+    src, out, ckpt = (O.scratch(s, f"feed-{k}") for k in ("in", "out", "checkpoint"))
+    for n in range(3):
+        rows.where(F.col("order_id").cast("long") % 3 == n).write.parquet(f"{src}/{n}")
+        feed(streams.order_stream(s, f"{src}/*", rows.schema), out, ckpt).awaitTermination()
+    return out
+
+
+def session_feed(s, d):
+    out = fed(s, d, projection(s, d, "charge_raw"), lambda r, o, c: feeds.session_feed(r, o, c, buckets=16))
+    return s.read.parquet(f"{out}/sessions").select(*_SESS)
+
+
+def hourly_late(s, d):
+    out = fed(s, d, O.day(s, d), lambda r, o, c: feeds.hourly_feed(r, o, c, "100 DAYS", "month"))
+    return feeds.late_rows(s, out).select("batch", "rows", "late")
+
+
+def hourly_orders(s, d):
+    out = fed(s, d, O.day(s, d), lambda r, o, c: feeds.hourly_feed(r, o, c, "100 DAYS", "month"))
+    return s.read.parquet(f"{out}/sums").select("hour", "orders")
+
+
+_BATCH = "SELECT CAST(order_id AS BIGINT) % 3 AS batch, start_ts, date_trunc('hour', start_ts) AS hour FROM charge_day"
+_LATE = f"SELECT b.*, hour + INTERVAL 1 HOUR <= mark AS late FROM ({_BATCH}) b LEFT JOIN (SELECT a.batch, max(e.start_ts) - INTERVAL 100 DAY AS mark FROM (SELECT DISTINCT batch FROM ({_BATCH})) a JOIN ({_BATCH}) e ON e.batch < a.batch GROUP BY 1) USING (batch)"
+add("session_feed", session_feed, f"SELECT {', '.join(_SESS)} FROM sessions1")
+add("user_day_feed", lambda s, d: feeds.user_days(s, fed(s, d, O.day(s, d), lambda r, o, c: feeds.user_day_feed(r, o, c, span="month"))).withColumn("kwh", F.col("kwh").cast("double")), "SELECT user_id, order_date, orders, CAST(kwh AS DOUBLE) AS kwh, last_ts FROM daily")
+add("hourly_feed", hourly_orders, f"SELECT hour, count(*) AS orders FROM ({_LATE}) WHERE NOT coalesce(late, false) GROUP BY 1")
+add("late_rows", hourly_late, f"SELECT CAST(batch AS INT) AS batch, count(*) AS rows, count(*) FILTER (late) AS late FROM ({_LATE}) GROUP BY 1")
 add("landing_scan", landing, "SELECT 'orders' AS source_table, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders")
 add("csv_tolerant_scan", csv_round_trip, "SELECT station_id, count(*) AS n, count(nullif(user_id, '')) AS users, count(channel) FILTER (CAST(order_id AS BIGINT) % 2 = 1) AS channels, count(start_time) FILTER (CAST(order_id AS BIGINT) % 2 = 0) AS starts, CAST(sum(TRY_CAST(kwh AS DECIMAL(18,3))) AS DOUBLE) AS kwh FROM charge_raw GROUP BY 1")
 add("csv_bad_lines", csv_bad_lines, "SELECT kind, count(*) AS lines, count(*) FILTER (kind = 'c') AS bad_lines FROM (SELECT CASE WHEN CAST(order_id AS BIGINT) % 2 = 1 THEN 'b' ELSE 'a' END AS kind FROM charge_raw UNION ALL SELECT 'c' FROM charge_raw WHERE CAST(order_id AS BIGINT) % 50 = 7) GROUP BY 1")
