@@ -38,6 +38,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def short_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Sends Python workers at most so many rows at once: a batch of whole texts is held several times over (Arrow, Python, numpy), on
+    either side of the socket, and workers keep the memory of their largest batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def materialize(df: DataFrame, name: str = "part", by: tuple[str, ...] = ()) -> DataFrame:
     """Write df to the shared folder, partitioned by the columns ``by``, and read it back: later plans start here, and a lost
     executor costs no recomputation."""

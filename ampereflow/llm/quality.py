@@ -182,8 +182,9 @@ def with_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """
     evidence = _evidence(docs, fit_evidence(docs, labels, id_col, text_col))
     host, path = _site(host_col, path_col)
-    scored = docs.select(host.alias("host"), path.alias("path"), (1 / (1 + F.exp(-evidence(F.col(text_col))))).alias("p"))
-    return _judged(docs.withColumn(names[0], evidence(F.col(text_col))), scored, host, path, names, weight)
+    rows = materialize(docs.withColumn(names[0], evidence(F.col(text_col))), "with-evidence")  # each text is scored once, for its site and for itself
+    scored = rows.select(host.alias("host"), path.alias("path"), (1 / (1 + F.exp(-F.col(names[0])))).alias("p"))
+    return _judged(rows, scored, host, path, names, weight)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", keep: float = KEEP) -> DataFrame:
