@@ -18,30 +18,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from . import shingles
 from .common import connected_components, fresh, materialize
 
 BLOCK = 1024  #: most fingerprints that are compared at once
-#: Near copies for keep_one_per_group: texts whose five-word shingles have a Jaccard similarity of 0.8 or more, as far as
-#: fingerprints tell. At 0.8 the angle of the shingle sets makes 7.5 of 64 bits differ for three words and 9.7 for five, so half of
-#: these pairs or more are beyond RADIUS; a wider one would shorten the join keys and let candidates grow with the square of the
-#: corpus. MOST2 leaves one standard deviation above the 9.7 and keeps unlike texts apart at any size of corpus.
+#: Near copies for keep_one_per_group: texts whose five-word shingles have a Jaccard similarity of 0.8 or more. At 0.8 the angle of
+#: the shingle sets makes 7.5 of 64 bits differ for three words and 9.7 for five, so fingerprints within RADIUS hold less than half
+#: of these pairs, and a wider one would shorten the join keys and let candidates grow with the square of the corpus. What is beyond
+#: comes from min-hash bands, confirmed on the shingle sets (shingles.py). MOST2 keeps unlike texts apart at any size of corpus.
 RADIUS, SEGMENTS, SHINGLE2, MOST2 = 5, 8, 5, 12
 _SEED = 42
 
 
-def simhash64(text: str | None, shingle: int = 3) -> int:
-    """Unsigned 64-bit fingerprint of word shingles, repeats included; no words: 0."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return 0
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "replace").lower().split()
+
+
+def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """XXH64 of the word shingles, repeats included."""
     grams = [b" ".join(words)] if len(words) < shingle else map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False))
-    hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=_SEED), grams), dtype="<u8")
+    return np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=_SEED), grams), dtype="<u8")
+
+
+def _majority(hashes: np.ndarray) -> int:
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 65536):
         ones += np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def simhash64(text: str | None, shingle: int = 3) -> int:
+    """Unsigned 64-bit fingerprint of word shingles, repeats included; no words: 0."""
+    words = _words(text)
+    return _majority(_hashes(words, shingle)) if words else 0
+
+
 def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 3, name: str = "fp") -> DataFrame:
     """Adds the fingerprint as a signed long; a null text counts as empty."""
     @pandas_udf("long")
@@ -142,16 +153,41 @@ def hamming_edges(fps: DataFrame, radius: int = 3, segments: int = 4, most2: int
     return alone.unionAll(crossed).where("size(exact) > 0").mapInPandas(_link_blocks(radius, segments, chain, most2), "u long, v long")
 
 
+def _with_sketch(rows: DataFrame, shingle: int, shingle2: int) -> DataFrame:
+    """(id, h) with both fingerprints and, of texts with words, min-hash bands and shingle set of the longer shingles; each text is
+    read once."""
+    @pandas_udf("struct<fp:long,fp2:long,bands:array<long>,shingles:binary>")
+    def sketch(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for words in map(_words, texts):
+            if not words:
+                out.append((0, 0, None, None))
+                continue
+            long = _hashes(words, shingle2)
+            fps = np.array([_majority(_hashes(words, shingle)), _majority(long)], dtype=np.uint64).view(np.int64).tolist()
+            out.append((*fps, shingles.band_keys(long), shingles.set_of(long)))
+        return pd.DataFrame(out, columns=["fp", "fp2", "bands", "shingles"])
+
+    return rows.withColumn("of", sketch("text")).select("id", "h", "of.*")
+
+
 def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, segments: int, shingle2: int | None = None, most2: int | None = None) -> DataFrame:
     """(id, h (xxhash64 of the text), fp, root (a node of the component), component_id) for each row."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
-    keys = ["fp", *(["fp2"] if shingle2 else [])]
     if shingle2:
-        rows = with_fingerprint(rows, "text", shingle2, "fp2")
-    rows = materialize(with_fingerprint(rows, "text", shingle).select("id", "h", *keys), "fingerprints")
-    nodes = rows.groupBy(*keys).agg(F.min("id").alias("least"))
-    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id() if shingle2 else F.col("fp")), "nodes")
-    comp = connected_components(hamming_edges(nodes.select("node", *keys), radius, segments, most2))
+        keys = ["fp", "fp2", "sig"]
+        rows = materialize(_with_sketch(rows, shingle, shingle2).withColumn("sig", F.xxhash64("bands")), "sketches")
+        nodes = rows.groupBy(*keys).agg(F.min("id").alias("least"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles"))
+        nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+        near = hamming_edges(nodes.select("node", "fp", "fp2"), radius, segments, most2).unionByName(shingles.similar_edges(nodes.select("node", "bands", "shingles")))
+        nodes, rows = nodes.drop("bands", "shingles"), rows.drop("bands", "shingles")
+    else:
+        keys = ["fp"]
+        rows = materialize(with_fingerprint(rows, "text", shingle).select("id", "h", *keys), "fingerprints")
+        nodes = rows.groupBy(*keys).agg(F.min("id").alias("least"))
+        nodes = materialize(nodes.withColumn("node", F.col("fp")), "nodes")
+        near = hamming_edges(nodes.select("node", *keys), radius, segments)
+    comp = connected_components(near)
     rooted = nodes.join(comp, "node", "left").select(*keys, "least", F.coalesce("root", "node").alias("root"))
     first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(rooted.join(first, "root").select(*keys, "root", "component_id"), keys).select("id", "h", "fp", "root", "component_id")
@@ -171,7 +207,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = RADIUS, segments: int = SEGMENTS, shingle2: int = SHINGLE2, most2: int = MOST2) -> DataFrame:
     """docs without near copies, one row of each component: the one with the smallest id, and of several with that id the one whose
-    text has the smallest hash. Links need both fingerprints, see RADIUS and MOST2.
+    text has the smallest hash. Texts are linked by both fingerprints, see RADIUS and MOST2, or by similar sets of five-word shingles.
 
     Null texts count as empty; empty texts are copies of each other. A row with a null id stays only where no row of its component
     has an id. Of rows that repeat both id and text one stays; rows with one id and unlike texts are unlike documents. All columns

@@ -6,7 +6,7 @@ from itertools import combinations
 import numpy as np
 import xxhash
 
-from ampereflow.llm import embeddings, packing, simhash
+from ampereflow.llm import embeddings, packing, shingles, simhash
 from ampereflow.llm.common import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -87,6 +87,42 @@ def test_edges_of_wider_radius_with_second_fingerprint(spark):
     assert 60 < len(set(want.values())) < len(fps) - 60
 
 
+def shingle_set(text, n=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} or ({tuple(words)} if words else set())
+
+
+def alike(a, b):
+    return bool(a) and len(a & b) >= 0.8 * len(a | b)
+
+
+def test_similar_edges(spark):
+    """Every link found is one, and nearly all groups that plain Jaccard similarity makes are found, crowds included."""
+    rng = np.random.default_rng(6)
+    words = np.array([f"w{k}" for k in range(3000)])
+    texts = []
+    for group in range(40):
+        base = rng.choice(words, 300).tolist()
+        for _ in range(1 + group % 4 if group else 120):  # a crowd of near copies of one text
+            t = list(base)
+            for at in rng.choice(300, rng.integers(0, 7), replace=False):
+                t[at] = str(rng.choice(words))
+            texts.append(" ".join(t))
+    texts += ["", "one two", "One TWO", "a b c d e", "a b c d e f"]
+    sets = [shingle_set(t) for t in texts]
+    rows = []
+    for k, t in enumerate(texts):
+        hashes = simhash._hashes(simhash._words(t), 5)
+        rows.append((k, shingles.band_keys(hashes) if t else None, shingles.set_of(hashes) if t else None))
+    nodes = spark.createDataFrame(rows, "node long, bands array<long>, shingles binary")
+    found = [(r["u"], r["v"]) for r in shingles.similar_edges(nodes).collect()]
+    assert all(alike(sets[u], sets[v]) for u, v in found)
+    want = union(range(len(texts)), [(a, b) for a, b in combinations(range(len(texts)), 2) if alike(sets[a], sets[b])])
+    got = union(range(len(texts)), found)
+    assert sum(got[k] == want[k] for k in got) >= 0.99 * len(got) and len(set(want.values())) < 70
+    assert shingles.similar_edges(nodes.limit(0)).collect() == []
+
+
 def test_near_copies_of_the_pipeline_stage(spark):
     rng = np.random.default_rng(2)
     words = [f"w{k}" for k in range(4000)]

@@ -6,7 +6,7 @@ import corpus_pipeline
 from ampereflow.llm import decontaminate, secrets, simhash
 from ampereflow.llm.common import materialize
 
-from .test_pairs import check_packing, plain_fingerprint, union
+from .test_pairs import alike, check_packing, plain_fingerprint, shingle_set, union
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,7 +22,8 @@ def test_stages(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     assert sum(k in rows[1] for k, q in labels.items() if q) > 0.97 * sum(labels.values())
     fps = {k: (plain_fingerprint(t), plain_fingerprint(t, 5)) for k, t in rows[1].items()}
-    comp = union(fps, [(a, b) for a, b in combinations(fps, 2) if (fps[a][0] ^ fps[b][0]).bit_count() <= simhash.RADIUS and (fps[a][1] ^ fps[b][1]).bit_count() <= simhash.MOST2])
+    sets = {k: shingle_set(t) for k, t in rows[1].items()}
+    comp = union(fps, [(a, b) for a, b in combinations(fps, 2) if alike(sets[a], sets[b]) or (fps[a][0] ^ fps[b][0]).bit_count() <= simhash.RADIUS and (fps[a][1] ^ fps[b][1]).bit_count() <= simhash.MOST2])
     assert set(rows[2]) == {k for k in fps if comp[k] == k}
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
     flat = lambda t: " ".join(decontaminate.words_of(t))
