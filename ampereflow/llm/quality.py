@@ -189,16 +189,27 @@ def with_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", keep: float = KEEP) -> DataFrame:
     """The rows of docs with a score of at least keep, with the columns of docs whatever they are called."""
-    names = tuple(fresh(docs, f"_quality_{c}") for c in ("evidence", "shift", "score"))
-    return with_quality(docs, labels, id_col, text_col, host_col, path_col, names=names).where(F.col(names[2]) >= keep).select(*[f"`{c}`" for c in docs.columns])
+    rows, scored = _scored(docs, labels, id_col, text_col, host_col, path_col)
+    keys = ["id", "h", "host", "path"]
+    good = _judged(rows, scored, F.col("host"), F.col("path"), ("evidence", "site_shift", "score"), 1.0).where(F.col("score") >= keep).select(*keys).distinct()
+    name = {k: fresh(docs, f"_good_{k}") for k in keys}
+    host, path = _site(host_col, path_col)
+    same = F.col(id_col).eqNullSafe(F.col(name["id"])) & (F.xxhash64(text_col) == F.col(name["h"])) & (host == F.col(name["host"])) & (path == F.col(name["path"]))
+    return docs.join(good.select(*[F.col(k).alias(n) for k, n in name.items()]), same, "left_semi")
+
+
+def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, host_col: str, path_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, scored) for _judged: id, hash of the text, site and evidence of every document, written, so that each text is scored
+    once for its site and for itself."""
+    evidence = _evidence(docs, fit_evidence(docs, labels, id_col, text_col))
+    host, path = _site(host_col, path_col)
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), host.alias("host"), path.alias("path"), evidence(F.col(text_col)).alias("evidence")), "evidence")
+    return rows, rows.select("host", "path", (1 / (1 + F.exp(-F.col("evidence")))).alias("p"))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", keep: float = KEEP, weight: float = 1.0) -> DataFrame:
     """One row per input row: id, evidence, site_shift, score, kept (score >= keep). See with_quality for odd inputs; texts are read
     once."""
-    evidence = _evidence(docs, fit_evidence(docs, labels, id_col, text_col))
-    host, path = _site(host_col, path_col)
-    rows = materialize(docs.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), evidence(F.col(text_col)).alias("evidence")), "evidence")
-    scored = rows.select("host", "path", (1 / (1 + F.exp(-F.col("evidence")))).alias("p"))
+    rows, scored = _scored(docs, labels, id_col, text_col, host_col, path_col)
     out = _judged(rows, scored, F.col("host"), F.col("path"), ("evidence", "site_shift", "score"), weight)
     return out.select(F.col("id").alias(id_col), "evidence", "site_shift", "score", (F.col("score") >= keep).alias("kept"))

@@ -43,14 +43,13 @@ def similar(a: bytes, b: bytes, threshold: float) -> bool:
 
 
 def similar_edges(nodes: DataFrame, threshold: float = SIMILAR) -> DataFrame:
-    """Edges (u, v) between nodes (node, bands, shingles) whose sets are similar.
+    """Edges (u, v) between nodes (node, n, bands, shingles: the set and its size) whose sets are similar.
 
     Nodes that share a band are compared with the band's least and greatest node and with those of one of PARTS parts of its nodes,
     drawn anew for each band: of up to three nodes all pairs, of more some for every band that they share, never all pairs of a group.
     Sets of too unlike sizes are left out before they are sent; the others are confirmed one by one.
     """
-    size = (F.length("shingles") / 4).cast("long")
-    entries = nodes.where("bands IS NOT NULL").select("node", size.alias("n"), F.posexplode("bands").alias("band", "key"))
+    entries = nodes.where("n > 0").select("node", "n", F.posexplode("bands").alias("band", "key"))
     entries = entries.withColumn("part", F.pmod(F.xxhash64("node", "band"), F.lit(PARTS)))
     parts = entries.groupBy("band", "key", "part").agg(F.min(F.struct("node", "n")).alias("low"), F.max(F.struct("node", "n")).alias("high"), F.count("*").alias("m"))
     parts = materialize(parts, "parts")
@@ -59,7 +58,8 @@ def similar_edges(nodes: DataFrame, threshold: float = SIMILAR) -> DataFrame:
     pairs = entries.join(leaders, ["band", "key", "part"]).select("node", "n", F.explode(F.array("low", "high", "low_part", "high_part")).alias("o"))
     pairs = pairs.where(F.col("o.node") != F.col("node")).where(F.least("n", "o.n") >= threshold * F.greatest("n", "o.n"))
     pairs = materialize(pairs.select(F.greatest("node", "o.node").alias("u"), F.least("node", "o.node").alias("v")).distinct(), "candidates")
-    sets = nodes.select("node", "shingles")
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    sets = materialize(nodes.select("node", "shingles").join(wanted, "node", "left_semi"), "candidate-sets")
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
 
     def confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from . import shingles
-from .common import connected_components, fresh, materialize
+from .common import connected_components, fresh, materialize, remove_written
 
 BLOCK = 1024  #: most fingerprints that are compared at once
 #: Near copies for keep_one_per_group: texts whose five-word shingles have a Jaccard similarity of 0.8 or more. At 0.8 the angle of
@@ -156,17 +156,18 @@ def hamming_edges(fps: DataFrame, radius: int = 3, segments: int = 4, most2: int
 def _with_sketch(rows: DataFrame, shingle: int, shingle2: int) -> DataFrame:
     """(id, h) with both fingerprints and, of texts with words, min-hash bands and shingle set of the longer shingles; each text is
     read once."""
-    @pandas_udf("struct<fp:long,fp2:long,bands:array<long>,shingles:binary>")
+    @pandas_udf("struct<fp:long,fp2:long,n:long,bands:array<long>,shingles:binary>")
     def sketch(texts: pd.Series) -> pd.DataFrame:
         out = []
         for words in map(_words, texts):
             if not words:
-                out.append((0, 0, None, None))
+                out.append((0, 0, 0, None, None))
                 continue
             long = _hashes(words, shingle2)
             fps = np.array([_majority(_hashes(words, shingle)), _majority(long)], dtype=np.uint64).view(np.int64).tolist()
-            out.append((*fps, shingles.band_keys(long), shingles.set_of(long)))
-        return pd.DataFrame(out, columns=["fp", "fp2", "bands", "shingles"])
+            every = shingles.set_of(long)
+            out.append((*fps, len(every) // 4, shingles.band_keys(long), every))
+        return pd.DataFrame(out, columns=["fp", "fp2", "n", "bands", "shingles"])
 
     return rows.withColumn("of", sketch("text")).select("id", "h", "of.*")
 
@@ -176,11 +177,14 @@ def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, radiu
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
     if shingle2:
         keys = ["fp", "fp2", "sig"]
-        rows = materialize(_with_sketch(rows, shingle, shingle2).withColumn("sig", F.xxhash64("bands")), "sketches")
-        nodes = rows.groupBy(*keys).agg(F.min("id").alias("least"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles"))
-        nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-        near = hamming_edges(nodes.select("node", "fp", "fp2"), radius, segments, most2).unionByName(shingles.similar_edges(nodes.select("node", "bands", "shingles")))
-        nodes, rows = nodes.drop("bands", "shingles"), rows.drop("bands", "shingles")
+        sketches = _with_sketch(rows, shingle, shingle2).withColumn("sig", F.xxhash64("bands"))
+        sketches = materialize(sketches.withColumn("node", F.monotonically_increasing_id()), "sketches")
+        rows = materialize(sketches.select("id", "h", *keys), "fingerprints")
+        nodes = materialize(sketches.groupBy(*keys).agg(F.min("id").alias("least"), F.min("node").alias("node")), "nodes")
+        own = sketches.select("node", "n", "bands", "shingles").join(nodes.select("node"), "node", "left_semi")
+        links = materialize(shingles.similar_edges(own), "similar")
+        remove_written(sketches)
+        near = hamming_edges(nodes.select("node", "fp", "fp2"), radius, segments, most2).unionByName(links)
     else:
         keys = ["fp"]
         rows = materialize(with_fingerprint(rows, "text", shingle).select("id", "h", *keys), "fingerprints")

@@ -113,8 +113,8 @@ def test_similar_edges(spark):
     rows = []
     for k, t in enumerate(texts):
         hashes = simhash._hashes(simhash._words(t), 5)
-        rows.append((k, shingles.band_keys(hashes) if t else None, shingles.set_of(hashes) if t else None))
-    nodes = spark.createDataFrame(rows, "node long, bands array<long>, shingles binary")
+        rows.append((k, len(set(hashes.tolist())), shingles.band_keys(hashes) if t else None, shingles.set_of(hashes) if t else None))
+    nodes = spark.createDataFrame(rows, "node long, n long, bands array<long>, shingles binary")
     found = [(r["u"], r["v"]) for r in shingles.similar_edges(nodes).collect()]
     assert all(alike(sets[u], sets[v]) for u, v in found)
     want = union(range(len(texts)), [(a, b) for a, b in combinations(range(len(texts)), 2) if alike(sets[a], sets[b])])
