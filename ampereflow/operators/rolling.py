@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import values as V
@@ -264,15 +264,36 @@ def segment_checks(segments: DataFrame, assigned: DataFrame, core: DataFrame, st
 
 
 # ---- documented rules
-def coupon_assignment(segments: DataFrame) -> DataFrame:
-    """Coupon by segment, strength by days of silence, and what coupon dependence, valley preference and recent faults change."""
-    # fixed values: coupon of each segment
-    kinds = {"01": "新手成长任务券", "02": "满20减5", "03": "月度阶梯折扣", "04": "满40减10", "05": "满30减8", "06": "阶梯任务券", "07": "满30减8", "08": "谷段时长折扣券", "09": "阶梯任务券", "10": "40元券包", "11": "甲方券包"}
-    kind = F.element_at(F.create_map(*[F.lit(x) for p in kinds.items() for x in p]), F.col("segment_code"))
-    return segments.select(
-        "user_id", "segment_code", S.silence_tier(F.col("days_since_last")).alias("tier"), F.when(F.col("coupon_level") == "高", F.lit("折扣券")).otherwise(kind).alias("coupon"),
-        (F.col("valley_level") == "高").alias("valley_bound"), F.col("is_abnormal").alias("compensation"),
-    )
+RULE = "segment_code string, tier_from int, tier_to int, mark string, dependent boolean, priority int, coupon string, amount int, days int"
+
+
+def coupon_rules(spark: SparkSession) -> DataFrame:
+    """The rules as a table. Each has a second form for users who depend on coupons: full reductions and packages become a discount
+    coupon, and the amount is one step lower. Of the rules that fit a user the one with the smallest priority holds."""
+    rows = []
+    for segment, low, high, mark, coupon, amount, days in V.COUPON_RULES:
+        lower = V.AMOUNTS[max(0, V.AMOUNTS.index(amount) - 1)]
+        plain = 1 if mark else 2
+        rows.append((segment, low, high, mark, True, plain, V.DISCOUNT_COUPON if coupon in V.GIVES_WAY else coupon, lower, days))
+        rows.append((segment, low, high, mark, False, plain, coupon, amount, days))
+    return spark.createDataFrame(rows, RULE)
+
+
+def coupon_assignment(segments: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+    """Coupon, largest amount and days by the rule table (RULE), which is small by nature; a user without a fitting rule gets none.
+    Beside it whether the coupon is bound to the valley hours, whether a compensation goes with it, and its place in the sending."""
+    spark = segments.sparkSession
+    users = segments.select(
+        "user_id", "segment_code", S.silence_tier(F.col("days_since_last")).alias("tier"), F.when(F.coalesce("hv_state", F.lit("")) != "", V.LOST).otherwise("").alias("_mark"),
+        F.coalesce(F.col("coupon_level") == "高", F.lit(False)).alias("_dependent"), (F.col("valley_level") == "高").alias("valley_bound"), F.col("is_abnormal").alias("compensation"),
+    ).withColumn("_tier", F.coalesce("tier", F.lit(0)))
+    r = F.broadcast((coupon_rules(spark) if rules is None else rules).withColumnRenamed("segment_code", "_segment"))
+    fits = (F.col("segment_code") == F.col("_segment")) & F.col("_tier").between(F.col("tier_from"), F.col("tier_to")) & F.col("mark").isin("", F.col("_mark")) & (F.col("dependent") == F.col("_dependent"))
+    order = F.broadcast(spark.createDataFrame(V.TOUCH_ORDER, "_touch string, _from int, _to int, send_order int"))
+    kept = ["user_id", "segment_code", "tier", "valley_bound", "compensation", "_tier"]
+    best = users.join(r, fits, "left").groupBy(*kept).agg(F.min_by(F.struct("coupon", "amount", "days"), "priority").alias("best"))
+    best = best.join(order, (F.col("segment_code") == F.col("_touch")) & F.col("_tier").between(F.col("_from"), F.col("_to")), "left")
+    return best.select("user_id", "segment_code", "tier", "best.coupon", "best.amount", "best.days", "valley_bound", "compensation", "send_order")
 
 
 def targeting_form(segments: DataFrame) -> DataFrame:

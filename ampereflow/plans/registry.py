@@ -262,9 +262,22 @@ add("ranked_output", lambda s, d: O.rounded(P.ranked_output(P.user_features(P.va
 _old = lambda: F.when(F.col("hv_state") == V.EXITED, F.lit(next(iter(V.LEGACY_STATES)))).otherwise(F.col("hv_state"))
 add("legacy_state_alias", lambda s, d: O.lists(s, d)["states"].select("user_id", G.legacy_state_alias(_old()).alias("hv_state")), "SELECT user_id, hv_state FROM states")
 add("legacy_hv_classes", lambda s, d: G.legacy_hv_classes(O.lists(s, d)["states"], O.daily(s, d).agg(F.max("order_date").alias("end_date"))), f"SELECT user_id, hv_state, CASE WHEN hv_state = {q(V.STABLE)} AND hv_start >= (SELECT max(order_date) FROM daily) - 29 THEN '新晋高价值' WHEN hv_state = {q(V.STABLE)} THEN '稳定高价值' WHEN hv_state = {q(V.RETURNING)} THEN '回流高价值' WHEN hv_state = {q(V.EXITED)} AND hv_segments >= 2 THEN '回流后退出' WHEN hv_state = {q(V.EXITED)} THEN '阶段性高价值' ELSE '高价值流失' END AS legacy_class FROM states")
-_COUPON = Q.case([(f"segment_code = '{a}'", q(b)) for a, b in {"01": "新手成长任务券", "02": "满20减5", "03": "月度阶梯折扣", "04": "满40减10", "05": "满30减8", "06": "阶梯任务券", "07": "满30减8", "08": "谷段时长折扣券", "09": "阶梯任务券", "11": "甲方券包"}.items()], "NULL")
 _TIER = "CASE WHEN days_since_last BETWEEN 8 AND 15 THEN 1 WHEN days_since_last BETWEEN 16 AND 30 THEN 2 WHEN days_since_last BETWEEN 31 AND 60 THEN 3 WHEN days_since_last BETWEEN 61 AND 90 THEN 4 WHEN days_since_last BETWEEN 91 AND 180 THEN 5 END"
-add("coupon_assignment", lambda s, d: G.coupon_assignment(O.final(s, d)[0]), f"SELECT user_id, segment_code, {_TIER} AS tier, CASE WHEN coupon_level = '高' THEN '折扣券' ELSE {_COUPON} END AS coupon, valley_level = '高' AS valley_bound, is_abnormal AS compensation FROM final")
+# written from the document's tables: coupon by segment and tier, the override for coupon dependence, the order of sending
+_COUPON = """
+SELECT user_id, segment_code, tier, CASE WHEN dependent AND coupon IN ('满减券', '甲方券包') THEN '折扣券' ELSE coupon END AS coupon,
+       CAST(CASE WHEN dependent THEN CASE amount WHEN 40 THEN 30 WHEN 30 THEN 20 WHEN 20 THEN 15 WHEN 15 THEN 10 WHEN 10 THEN 8 WHEN 8 THEN 5 WHEN 5 THEN 3 ELSE 2 + amount * 0 END ELSE amount END AS INT) AS amount,
+       CAST(CASE WHEN coupon IS NULL THEN NULL WHEN segment_code IN ('05', '07') OR lost THEN CASE WHEN t >= 3 THEN 30 ELSE 15 END WHEN segment_code = '02' THEN 15 WHEN coupon = '甲方券包' THEN CASE WHEN segment_code = '10' OR t >= 3 THEN 30 WHEN t = 2 THEN 15 ELSE 7 END ELSE 7 END AS INT) AS days,
+       valley_bound, compensation,
+       CAST(CASE WHEN segment_code = '05' AND t IN (1, 2) THEN 1 WHEN segment_code IN ('03', '04') AND t = 1 THEN 2 WHEN segment_code = '05' AND t IN (3, 4) THEN 3 WHEN segment_code = '10' THEN 4
+            WHEN segment_code IN ('06', '08') AND t = 1 THEN 5 WHEN segment_code = '11' AND t > 0 THEN 6 WHEN segment_code = '09' THEN 7 END AS INT) AS send_order
+FROM (SELECT *, CASE WHEN segment_code IN ('05', '07', '04', '02') OR lost THEN '满减券' WHEN segment_code = '01' THEN '新手成长任务券' WHEN segment_code = '03' THEN '月度阶梯折扣' WHEN segment_code = '06' THEN '阶梯任务券' WHEN segment_code = '08' THEN '谷段时长折扣券'
+                     WHEN segment_code = '09' THEN CASE WHEN t IN (3, 4) THEN '甲方券包' ELSE '阶梯任务券' END WHEN segment_code = '10' OR segment_code = '11' AND t > 0 THEN '甲方券包' END AS coupon,
+             CASE WHEN segment_code IN ('05', '07', '04') OR lost THEN 15 WHEN segment_code IN ('01', '02', '06') THEN 5 WHEN segment_code = '03' THEN 8 WHEN segment_code = '08' THEN 2 WHEN segment_code = '10' THEN 40
+                  WHEN segment_code = '09' THEN CASE t WHEN 3 THEN 20 WHEN 4 THEN 30 ELSE 3 END WHEN segment_code = '11' THEN CASE t WHEN 1 THEN 5 WHEN 2 THEN 10 WHEN 3 THEN 20 WHEN 4 THEN 30 WHEN 5 THEN 40 END END AS amount
+      FROM (SELECT *, coalesce(tier, 0) AS t FROM (SELECT user_id, segment_code, {tier} AS tier, segment_code = '11' AND coalesce(hv_state, '') <> '' AS lost, coalesce(coupon_level = '高', false) AS dependent, valley_level = '高' AS valley_bound, is_abnormal AS compensation FROM final)))
+"""
+add("coupon_assignment", lambda s, d: G.coupon_assignment(O.final(s, d)[0]), _COUPON.format(tier=_TIER))
 _NIGHT = "(CAST(substring(top_hour1, 1, 2) AS INT) >= 22 OR CAST(substring(top_hour1, 1, 2) AS INT) <= 7)"
 add("targeting_form", lambda s, d: G.targeting_form(O.final(s, d)[0]), f"SELECT user_id, CASE WHEN station_share1 >= 0.5 AND {_NIGHT} THEN '绑站谷段券' WHEN station_share1 >= 0.5 THEN '绑站通用券' WHEN {_NIGHT} THEN '通用谷段券' ELSE '通用券' END AS form FROM final")
 
@@ -409,7 +422,8 @@ add("histogram_left_closed", lambda s, d: R.histogram(O.valid(s, d), R.left_clos
 add("valley_density", lambda s, d: R.valley_density(O.valid(s, d)), f"SELECT station_category, CAST(least(floor(valley_share * 50), 49) AS INT) AS bin, count(*) AS n, {rnd('count(*) * 50 / CAST(sum(count(*)) OVER (PARTITION BY station_category) AS DOUBLE)', 6)} AS density FROM rep GROUP BY 1, 2")
 add("valley_density_total", lambda s, d: R.valley_density(O.valid(s, d), total=True), f"SELECT CASE WHEN g > 0 THEN {q(V.TOTAL)} ELSE station_category END AS station_category, bin, n, {rnd('n * 50 / CAST(sum(n) OVER (PARTITION BY g, station_category) AS DOUBLE)', 6)} AS density FROM (SELECT station_category, bin, count(*) AS n, grouping(station_category) AS g FROM (SELECT station_category, CAST(least(floor(valley_share * 50), 49) AS INT) AS bin FROM rep WHERE valley_share BETWEEN 0 AND 1) GROUP BY GROUPING SETS ((station_category, bin), (bin)))")
 add("valley_kde", lambda s, d: R.valley_kde(O.valid(s, d)), f"SELECT x, {rnd('sum(exp(-power((x - v) / 0.05, 2) / 2) * n) / sum(n) / (0.05 * sqrt(2 * pi()))')} AS density FROM (SELECT round(valley_share, 2) AS v, count(*) AS n FROM rep GROUP BY 1) CROSS JOIN (SELECT unnest(range(21)) / 20.0 AS x) GROUP BY x")
-add("bounded_random_sample", lambda s, d: R.bounded_random_sample(O.valid(s, d), "station_category", "order_id", 100).groupBy("station_category").agg(F.count("*").alias("n")), "SELECT station_category, least(count(*), 100) AS n FROM rep GROUP BY 1")
+_DRAW = "CAST('0x' || substr(md5(order_id || ':42'), 1, 15) AS BIGINT)"
+add("bounded_random_sample", lambda s, d: R.bounded_random_sample(O.valid(s, d), "station_category", "order_id", 1000).select("station_category", "order_id"), f"SELECT station_category, order_id FROM rep QUALIFY row_number() OVER (PARTITION BY station_category ORDER BY {_DRAW}, order_id) <= 1000")
 add("category_order_station_totals", lambda s, d: C.category_share(O.valid(s, d)).select("category", "orders", "stations"), f"SELECT category, coalesce(n, 0) AS orders, coalesce(st, 0) AS stations FROM {_CATS} LEFT JOIN (SELECT station_category AS category, count(*) AS n, count(DISTINCT station_id) AS st FROM rep GROUP BY 1) USING (category)")
 add("drop_cross_year", lambda s, d: R.drop_cross_year(O.day(s, d).withColumn("source_table", F.when(F.minute("start_ts") % 2 == 0, F.lit("y01_a")).otherwise(F.lit("x_2002"))).select("order_id", "start_ts", "source_table")).select("order_id"), "SELECT order_id FROM charge_day WHERE minute(start_ts) % 2 = 0")
 add("min_group_size", lambda s, d: R.min_group_size(O.day(s, d), F.month("start_ts"), 100).groupBy(F.month("start_ts").alias("month")).agg(F.count("*").alias("orders")), "SELECT month(start_ts) AS month, count(*) AS orders FROM charge_day GROUP BY 1 HAVING count(*) >= 100")

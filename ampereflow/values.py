@@ -64,6 +64,21 @@ LEGACY_STATES = {"历史高价值活跃（当前已退出）": EXITED}
 SEGMENTS = (("01", "新用户"), ("02", "回流非高价值活跃用户"), ("03", "稳定高价值活跃用户"), ("04", "回流高价值活跃用户"), ("05", "历史高价值活跃用户"), ("06", "新近低频用户"), ("07", "高价值沉默风险用户"), ("08", "高频低价值用户"), ("09", "低频低价值用户"), ("10", "沉默高价值活跃"), ("11", "一般用户"))
 PASS, FAIL, WARN = "通过", "未通过", "告警"
 
+# fixed values: coupon of each segment and range of silence tiers (0: charged within a week): segment, first and last tier, mark
+# (LOST: was of high value before), coupon, largest amount in yuan, days that it holds
+LOST = "lost"
+COUPON_RULES = (
+    ("01", 0, 5, "", "新手成长任务券", 5, 7), ("02", 0, 5, "", "满减券", 5, 15), ("03", 0, 5, "", "月度阶梯折扣", 8, 7), ("04", 0, 5, "", "满减券", 15, 7),
+    ("05", 0, 2, "", "满减券", 15, 15), ("05", 3, 5, "", "满减券", 15, 30), ("06", 0, 5, "", "阶梯任务券", 5, 7), ("07", 0, 2, "", "满减券", 15, 15), ("07", 3, 5, "", "满减券", 15, 30),
+    ("08", 0, 5, "", "谷段时长折扣券", 2, 7), ("09", 0, 2, "", "阶梯任务券", 3, 7), ("09", 3, 3, "", "甲方券包", 20, 30), ("09", 4, 4, "", "甲方券包", 30, 30), ("09", 5, 5, "", "阶梯任务券", 3, 7),
+    ("10", 0, 5, "", "甲方券包", 40, 30), ("11", 1, 1, "", "甲方券包", 5, 7), ("11", 2, 2, "", "甲方券包", 10, 15), ("11", 3, 3, "", "甲方券包", 20, 30), ("11", 4, 4, "", "甲方券包", 30, 30), ("11", 5, 5, "", "甲方券包", 40, 30),
+    ("11", 0, 2, LOST, "满减券", 15, 15), ("11", 3, 5, LOST, "满减券", 15, 30),
+)
+# fixed values: the amounts in yuan, coupons that give way to a discount coupon, and which is sent first (segment, tiers, place)
+AMOUNTS = (2, 3, 5, 8, 10, 15, 20, 30, 40)
+GIVES_WAY, DISCOUNT_COUPON = ("满减券", "甲方券包"), "折扣券"
+TOUCH_ORDER = (("05", 1, 2, 1), ("03", 1, 1, 2), ("04", 1, 1, 2), ("05", 3, 4, 3), ("10", 0, 5, 4), ("06", 1, 1, 5), ("08", 1, 1, 5), ("11", 1, 5, 6), ("09", 0, 5, 7))
+
 
 @dataclass(frozen=True)
 class CleanRules:

@@ -129,3 +129,31 @@ def test_legacy_states(spark):
     old = next(iter(V.LEGACY_STATES))
     rows = spark.createDataFrame([(old,), (V.STABLE,), (None,)], "s string").select(G.legacy_state_alias(F.col("s")).alias("s"))
     assert [r["s"] for r in rows.collect()] == [V.LEGACY_STATES[old], V.STABLE, None]
+
+
+def test_sample_is_the_smallest_draws(spark):
+    import hashlib
+
+    rows = [("a", str(n)) for n in range(3000)] + [("b", str(n)) for n in range(40)] + [(None, str(n)) for n in range(300)] + [("c", "same")] * 500 + [("d", None)] * 5
+    df = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "g string, k string, n long").repartition(7)
+    draw = lambda k: int(hashlib.md5(":".join([*([k] if k is not None else []), "42"]).encode()).hexdigest()[:15], 16)
+    for most in (1, 100, 299, 5000):
+        got = R.bounded_random_sample(df, "g", "k", most).collect()
+        assert len({r["n"] for r in got}) == len(got) and df.columns == list(got[0].asDict())
+        for g in ("a", "b", None, "c", "d"):
+            want = sorted((k for h, k in rows if h == g), key=lambda k: (draw(k), k or ""))[:most]
+            assert sorted(str(r["k"]) for r in got if r["g"] == g) == sorted(map(str, want))
+    assert R.bounded_random_sample(df.limit(0), "g", "k", 3).collect() == []
+
+
+def test_coupon_rules(spark):
+    row = lambda code, days, level="低", state="", valley="低", bad=False: (f"{code}{days}{level}{state}", code, days, state, level, valley, bad)
+    rows = [row("05", 10, state=V.EXITED), row("05", 70, state=V.EXITED), row("05", 70, "高", V.EXITED), row("09", 40), row("09", 9, "高"), row("11", 3), row("11", 20), row("11", 100, "高"), row("11", 100, state=V.EXITED), row("01", 1, valley="高", bad=True), row("08", 12, None), row("99", 12)]
+    df = spark.createDataFrame(rows, "user_id string, segment_code string, days_since_last int, hv_state string, coupon_level string, valley_level string, is_abnormal boolean")
+    got = {r["user_id"]: (r["tier"], r["coupon"], r["amount"], r["days"], r["send_order"]) for r in G.coupon_assignment(df).collect()}
+    assert list(map(got.get, (r[0] for r in rows))) == [
+        (1, "满减券", 15, 15, 1), (4, "满减券", 15, 30, 3), (4, "折扣券", 10, 30, 3), (3, "甲方券包", 20, 30, 7), (1, "阶梯任务券", 2, 7, 7), (None, None, None, None, None), (2, "甲方券包", 10, 15, 6),
+        (5, "折扣券", 30, 30, 6), (5, "满减券", 15, 30, 6), (None, "新手成长任务券", 5, 7, None), (1, "谷段时长折扣券", 2, 7, 5), (1, None, None, None, None),
+    ]
+    own = G.coupon_rules(spark).where("segment_code <> '11'")
+    assert G.coupon_assignment(df, own).where("segment_code = '11' AND coupon IS NOT NULL").count() == 0
