@@ -47,7 +47,7 @@ def _hour_tables(segment: str) -> tuple[Column, Column]:
 
 def with_tou_seconds(orders: DataFrame) -> DataFrame:
     """Adds seconds_peak, _flat, _valley: the start day and the day after, each by its own schedule. A segment's seconds up to a
-    time of day come from small tables by hour, which keeps the expressions short enough to be compiled as one."""
+    time of day come from small tables by hour, without explode."""
     start, end = F.col("start_ts"), F.col("end_ts")
     first = F.date_trunc("day", start).cast("timestamp")
     out = orders.withColumns({"_s": F.unix_seconds(start.cast("timestamp")), "_e": F.unix_seconds(end.cast("timestamp")), "_d0": F.unix_seconds(first), "_day0": F.to_date(first)})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -168,6 +169,58 @@ def jdbc_write(df: DataFrame, url: str, table: str, mode: str = "append", **opti
     df.write.format("jdbc").options(url=url, dbtable=table, **options).mode(mode).save()
 
 
+def jdbc_read_all(spark: SparkSession, url: str, table: str, column: str, parts: int, **options) -> DataFrame:
+    """The table in ``parts`` ranges of a number, date or timestamp column, whose bounds are asked of the table itself; rows without a
+    value are in the first range. An empty table is read as one."""
+    reader = lambda: spark.read.format("jdbc").options(url=url, **options)
+    name = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(column)
+    low, high = reader().option("dbtable", f"(SELECT min({name}) AS low, max({name}) AS high FROM {table}) bounds").load().first()
+    if low is None:
+        return reader().option("dbtable", table).load()
+    return reader().options(dbtable=table, partitionColumn=column, lowerBound=str(low), upperBound=str(high), numPartitions=parts).load()
+
+
+def jdbc_write_once(df: DataFrame, url: str, table: str, run: str, overwrite: bool = False, **options) -> bool:
+    """Adds df to the table, or puts it in place of its rows, exactly once for each name of a run; False if that run is already there.
+
+    Tasks write into a staging table, with a number for each row, so rows that a repeated task wrote again are told apart. One
+    transaction then moves each numbered row once, and enters the run in <table>_runs; before it commits, readers see nothing. The
+    database must be able to compare the columns (text as VARCHAR where it cannot compare its long text type: createTableColumnTypes).
+    """
+    spark = df.sparkSession
+    jvm = spark._jvm
+    quote = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier
+    runs, stage = f"{table}_runs", f"{table}_stage_{uuid.uuid4().hex[:12]}"
+    jdbc_write(spark.createDataFrame([], "run string"), url, runs, **options | {"createTableColumnTypes": "run VARCHAR(200)"})
+    jdbc_write(df.limit(0), url, table, **options)
+    jdbc_write(df.withColumn("_row", F.monotonically_increasing_id()), url, stage, **options)
+    columns = ", ".join(quote(c) for c in df.columns)
+    link = jvm.java.sql.DriverManager.getConnection(url)
+    try:
+        link.setAutoCommit(False)
+        ask = link.prepareStatement(f"SELECT count(*) FROM {runs} WHERE {quote('run')} = ?")
+        ask.setString(1, run)
+        found = ask.executeQuery()
+        found.next()
+        fresh = found.getInt(1) == 0
+        found.close()
+        if fresh:
+            todo = link.createStatement()
+            if overwrite:
+                todo.executeUpdate(f"DELETE FROM {table}")
+            todo.executeUpdate(f"INSERT INTO {table} ({columns}) SELECT {columns} FROM (SELECT DISTINCT * FROM {stage}) once")
+            enter = link.prepareStatement(f"INSERT INTO {runs} ({quote('run')}) VALUES (?)")
+            enter.setString(1, run)
+            enter.executeUpdate()
+        link.commit()
+        link.createStatement().executeUpdate(f"DROP TABLE {stage}")
+        link.commit()
+    finally:
+        link.rollback()
+        link.close()
+    return fresh
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).options(timestampFormat="yyyy-MM-dd HH:mm:ss", timestampNTZFormat="yyyy-MM-dd HH:mm:ss", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path, header=True, encoding="UTF-8", escape='"')
 

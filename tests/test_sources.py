@@ -73,3 +73,20 @@ def test_csv_files_of_unlike_headers(spark, tmp_path):
     some = L.csv_tolerant_scan(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], ["kwh", "extra", "nowhere"])
     assert some.columns == ["kwh", "extra", "nowhere"] and some.agg(F.sum(F.col("kwh").cast("double"))).first()[0] == 16.0 and some.where("nowhere IS NOT NULL").count() == 0
     assert L.csv_tolerant_scan(spark, str(tmp_path / "e.csv"), ["kwh"]).collect() == []
+
+
+def test_jdbc_bounds_and_writes_once(spark):
+    url, options = "jdbc:derby:memory:once;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    typed = options | {"createTableColumnTypes": "name VARCHAR(100)"}
+    rows = spark.range(200).selectExpr("id AS k", "CAST(id % 7 AS DOUBLE) AS kwh", "CAST(id AS STRING) AS name")
+    assert L.jdbc_write_once(rows, url, "charge", "first", **typed)
+    assert not L.jdbc_write_once(rows, url, "charge", "first", **typed)  # the run again
+    assert L.jdbc_write_once(rows.where("k < 5").union(rows.where("k < 5")), url, "charge", "second", **typed)  # equal rows of one run are rows of their own
+    back = L.jdbc_read_all(spark, url, "charge", "k", 4, **options)
+    assert back.rdd.getNumPartitions() == 4 and back.count() == 210 and back.agg(F.max("k")).first()[0] == 199
+    sizes = back.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 70
+    assert L.jdbc_write_once(rows.where("k < 3"), url, "charge", "third", overwrite=True, **typed)
+    assert sorted(r["name"] for r in L.jdbc_read_all(spark, url, "charge", "k", 4, **options).collect()) == ["0", "1", "2"]
+    assert L.jdbc_write_once(rows.limit(0), url, "charge", "fourth", overwrite=True, **typed)
+    assert L.jdbc_read_all(spark, url, "charge", "k", 4, **options).collect() == []
