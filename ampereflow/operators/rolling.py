@@ -33,15 +33,10 @@ def window_end_dates(daily: DataFrame, spec: V.Windows = V.Windows()) -> DataFra
 
 
 def rolling_rfm_snapshots(daily: DataFrame, spec: V.Windows = V.Windows()) -> DataFrame:
-    """Per end date and user: totals of the last days, scores and type. The windows that a day belongs to follow from their grid (one
-    broadcast row), at most days / step and one of them; they are summed before the shuffle."""
-    back = F.datediff("hi", "order_date")  # the day is in the windows that end from itself to days - 1 later
-    least = F.greatest(F.ceil((back - (spec.days - 1)) / spec.step), F.lit(0)).cast("int")
-    most = F.floor(F.least(back, F.datediff("hi", "low")) / spec.step).cast("int")
-    grid = F.when(least <= most, F.transform(F.sequence(least, most), lambda k: F.date_sub("hi", k * spec.step))).otherwise(F.array().cast("array<date>"))
-    apart = (F.datediff("hi", "low") % spec.step != 0) & F.col("order_date").between(F.date_sub("low", spec.days - 1), F.col("low"))
-    ends = F.concat(grid, F.when(apart, F.array("low")).otherwise(F.array().cast("array<date>")))
-    joined = daily.crossJoin(F.broadcast(_span(daily, spec))).withColumn("win_end", F.explode(ends))
+    """Per end date and user: totals of the last days, scores and type. The end dates (one for each step of the horizon, whatever the
+    number of rows) are broadcast; a user-day meets at most days / step and one of them, summed before the shuffle."""
+    ends = window_end_dates(daily, spec)
+    joined = daily.join(F.broadcast(ends), F.col("order_date").between(F.date_sub("win_end", spec.days - 1), F.col("win_end")))
     return _scored(joined.groupBy("win_end", "user_id").agg(F.sum("orders").alias("n_orders"), F.max("last_ts").alias("last_ts"), F.min("order_date").alias("first_date"), F.sum("kwh").alias("kwh")), spec)
 
 
