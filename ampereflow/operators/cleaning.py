@@ -100,45 +100,76 @@ def abnormal_orders(main: DataFrame) -> DataFrame:
     return main.where(F.col("end_reason_class").isin(V.END_FAULT, V.END_OTHER))
 
 
-def _by_user(df: DataFrame, rules: V.CleanRules, month: Column) -> tuple[DataFrame, list[str]]:
-    """(df with helper columns, keys of its windows). A user's rows are one window; the rows without a user follow one another too,
-    but may be a large part of the table, so they form a window per day, and the days before it come in as _before and _month_before
-    (numbers of rows) and _last (start and station of the last one). There are as many such rows to broadcast as days."""
-    source = ["source_table"] if rules.partition_by_source else []
-    day = F.when(F.col("user_id").isNull(), F.coalesce(F.to_date("start_ts").cast("string"), F.lit("")))
-    out = df.withColumns({"_day": day, "_month": month})
-    at = F.struct("start_ts", "order_id")
-    days = out.where("user_id IS NULL").groupBy(*source, "_day", "_month").agg(F.count("*").alias("n"), F.max_by(F.struct("start_ts", "station_id"), at).alias("l"))
-    w, m = Window.partitionBy(*source).orderBy("_day"), Window.partitionBy(*source, "_month").orderBy("_day")
+def _owner(rules: V.CleanRules) -> Column:
+    """One key for the owner of a row, its user (and source): null users and sources stay apart from empty ones."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))
+    return F.concat(part("source_table"), F.lit("\n"), part("user_id")) if rules.partition_by_source else part("user_id")
+
+
+def heavy_users(df: DataFrame, rules: V.CleanRules = V.CleanRules(), least: int = 1_000_000, share: float = 1e-5) -> DataFrame:
+    """Owners of more than ``least`` rows and more than ``share`` of all rows, for order_sequence and restart_sessions. There are at
+    most 1 / share of them however large the table, which is what lets them be broadcast. Counting reads only the owner's column."""
+    counts = df.groupBy(_owner(rules).alias("_who")).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_all"))
+    return counts.crossJoin(F.broadcast(total)).where((F.col("_n") > least) & (F.col("_n") > F.col("_all") * share)).select("_who")
+
+
+def _parts(df: DataFrame, rules: V.CleanRules, heavy: DataFrame | None, order: tuple[str, ...], last: tuple[str, ...], month: Column) -> DataFrame:
+    """df with _who and _part, the keys of its windows, and what the earlier parts of an owner hand on: _before and _month_before
+    (numbers of rows) and _last (columns of the last row).
+
+    A user's rows are one part. The rows without a user, and those of the heavy users, are a part per day: one owner may hold a large
+    part of the table, and a task then has a day of it instead. What is handed on is made from one row per owner and day. Without
+    heavy users these are as many rows as days and are broadcast; with them the join is left to Spark, on the keys of the windows.
+    """
+    out = df.withColumns({"_who": _owner(rules), "_month": month})
+    large = F.col("user_id").isNull()
+    if heavy is not None:
+        out = out.join(F.broadcast(heavy.withColumn("_heavy", F.lit(True))), "_who", "left")
+        large = large | F.coalesce("_heavy", F.lit(False))
+    out = out.withColumn("_part", F.when(large, F.coalesce(F.to_date("start_ts").cast("string"), F.lit("none"))).otherwise("")).drop("_heavy")
+    at = F.struct(*order)
+    days = out.where("_part <> ''").groupBy("_who", "_part", "_month").agg(F.count("*").alias("n"), F.min("start_ts").alias("_from"), F.max_by(F.struct(*last), at).alias("l"))
+    w, m = Window.partitionBy("_who").orderBy("_from"), Window.partitionBy("_who", "_month").orderBy("_from")
     before = lambda x: F.coalesce(F.sum("n").over(x.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    days = days.select(*source, "_day", before(w).alias("_before"), before(m).alias("_month_before"), F.lag("l").over(w).alias("_last"))
-    out = out.join(F.broadcast(days), [*source, "_day"], "left").na.fill(0, ["_before", "_month_before"])
-    return out, [*source, "user_id", "_day"]
+    days = days.select("_who", "_part", before(w).alias("_before"), before(m).alias("_month_before"), F.lag("l").over(w).alias("_last"))
+    return out.join(F.broadcast(days) if heavy is None else days, ["_who", "_part"], "left").na.fill(0, ["_before", "_month_before"])
 
 
-def order_sequence(df: DataFrame, rules: V.CleanRules = V.CleanRules(), by_year_month: bool = False) -> DataFrame:
-    """Adds user_seq, user_month_seq (by month number over all years, or by year and month), gap_h and its bucket, is_first, reuse_station."""
-    out, keys = _by_user(df, rules, F.date_trunc("month", "start_ts") if by_year_month else F.month("start_ts"))
-    order = ("start_ts", "order_id")
-    w, m = Window.partitionBy(*keys).orderBy(*order), Window.partitionBy(*keys, "_month").orderBy(*order)
-    before = F.when(F.row_number().over(w) > 1, F.lag(F.struct("start_ts", "station_id")).over(w)).otherwise(F.col("_last"))
+HELPERS = ("_who", "_part", "_month", "_before", "_month_before", "_last", "_b")
+
+
+def order_sequence(df: DataFrame, rules: V.CleanRules = V.CleanRules(), by_year_month: bool = False, heavy: DataFrame | None = None) -> DataFrame:
+    """Adds user_seq, user_month_seq (by month number over all years, or by year and month), gap_h and its bucket, is_first,
+    reuse_station. ``heavy``: users whose rows are split by day, as found by heavy_users; the result is the same without."""
+    order, last = ("start_ts", "order_id"), ("start_ts", "station_id")
+    out = _parts(df, rules, heavy, order, last, F.date_trunc("month", "start_ts") if by_year_month else F.month("start_ts"))
+    w, m = Window.partitionBy("_who", "_part").orderBy(*order), Window.partitionBy("_who", "_part", "_month").orderBy(*order)
+    before = F.when(F.row_number().over(w) > 1, F.lag(F.struct(*last)).over(w)).otherwise(F.col("_last"))
     out = out.withColumns({"user_seq": (F.row_number().over(w) + F.col("_before")).cast("int"), "_b": before, "user_month_seq": (F.row_number().over(m) + F.col("_month_before")).cast("int")})
-    out = out.withColumns({"_p": F.col("_b.start_ts"), "_s": F.col("_b.station_id")})
-    both = F.col("station_id").isNotNull() & F.col("_s").isNotNull()
-    reuse = S.chain([(F.col("user_seq") == 1, "首次充电"), (~both, "站点缺失"), (F.col("station_id") == F.col("_s"), V.YES)], V.NO)
-    out = out.withColumns({"gap_h": S.round_n(S.seconds_between(F.col("_p"), F.col("start_ts")) / 3600.0, 3), "is_first": F.col("user_seq") == 1, "reuse_station": reuse})
-    return out.withColumn("gap_bucket", S.interval_bucket(F.col("gap_h"))).drop("_p", "_s", "_b", "_day", "_month", "_before", "_month_before", "_last")
-
-
-def restart_sessions(df: DataFrame, rules: V.CleanRules = V.CleanRules()) -> DataFrame:
-    """Adds session_no: a new session starts unless the row before is of the same user and station and ended 0 to restart_seconds ago."""
-    out, keys = _by_user(df, rules, F.month("start_ts"))
-    w = Window.partitionBy(*keys).orderBy("start_ts", "end_ts", "order_id")
-    gap = S.seconds_between(F.lag("end_ts").over(w), F.col("start_ts"))
-    follows = F.col("user_id").isNotNull() & (F.col("station_id") == F.lag("station_id").over(w)) & gap.between(0, rules.restart_seconds)
+    gone, station = F.col("_b.start_ts"), F.col("_b.station_id")
+    both = F.col("station_id").isNotNull() & station.isNotNull()
+    reuse = S.chain([(F.col("user_seq") == 1, "首次充电"), (~both, "站点缺失"), (F.col("station_id") == station, V.YES)], V.NO)
+    out = out.withColumns({"gap_h": S.round_n(S.seconds_between(gone, F.col("start_ts")) / 3600.0, 3), "is_first": F.col("user_seq") == 1, "reuse_station": reuse})
+    return out.withColumn("gap_bucket", S.interval_bucket(F.col("gap_h"))).drop(*HELPERS)
+
+
+def restart_sessions(df: DataFrame, rules: V.CleanRules = V.CleanRules(), heavy: DataFrame | None = None) -> DataFrame:
+    """Adds session_no: a new session starts unless the row before is of the same user and station and ended 0 to restart_seconds ago.
+    ``heavy`` as in order_sequence: a session may run over several parts, so the parts' numbers of sessions are handed on too."""
+    order, last = ("start_ts", "end_ts", "order_id"), ("end_ts", "station_id")
+    out = _parts(df, rules, heavy, order, last, F.month("start_ts"))
+    w = Window.partitionBy("_who", "_part").orderBy(*order)
+    out = out.withColumn("_b", F.when(F.row_number().over(w) > 1, F.lag(F.struct(*last)).over(w)).otherwise(F.col("_last")))
+    gap = S.seconds_between(F.col("_b.end_ts"), F.col("start_ts"))
+    follows = F.col("user_id").isNotNull() & (F.col("station_id") == F.col("_b.station_id")) & gap.between(0, rules.restart_seconds)
     out = out.withColumn("_new", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1))
-    number = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_before")
-    return out.withColumn("session_no", number).drop("_new", "_day", "_month", "_before", "_month_before", "_last")
+    out = out.withColumn("session_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    if heavy is not None:
+        made = out.where("_part <> ''").groupBy("_who", "_part").agg(F.sum("_new").alias("n"), F.min("start_ts").alias("_from"))
+        upto = F.sum("n").over(Window.partitionBy("_who").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1))
+        out = out.drop("_before").join(made.select("_who", "_part", F.coalesce(upto, F.lit(0)).alias("_before")), ["_who", "_part"], "left").na.fill(0, ["_before"])
+    return out.withColumn("session_no", F.col("session_no") + F.col("_before")).drop("_new", *HELPERS)
 
 
 FIRST = ("order_id", "status", "charge_method", "channel", "station_id", "charger_id")
@@ -164,10 +195,11 @@ def merge_restart_orders(numbered: DataFrame) -> DataFrame:
     return with_ratios(out)
 
 
-def clean_sessions(judged: DataFrame, rules: V.CleanRules = V.CleanRules()) -> DataFrame:
-    """Whole chain: main orders, fields, restart merge, then the sequence columns on sessions."""
+def clean_sessions(judged: DataFrame, rules: V.CleanRules = V.CleanRules(), heavy: DataFrame | None = None) -> DataFrame:
+    """Whole chain: main orders, fields, restart merge, then the sequence columns on sessions. ``heavy``: heavy_users(judged), where
+    single users may hold a large part of the orders; the result is the same without."""
     main = derive_order_fields(split_main_discard(judged)[0])
-    return order_sequence(merge_restart_orders(restart_sessions(main, rules)), rules)
+    return order_sequence(merge_restart_orders(restart_sessions(main, rules, heavy)), rules, heavy=heavy)
 
 
 def restart_summary(sessions: DataFrame) -> DataFrame:

@@ -152,3 +152,46 @@ def test_field_stats_of_an_empty_table(spark):
     df = spark.createDataFrame([("a", 1), (None, 1)], "x string, y int")
     got = lambda d: sorted(tuple(r) for r in C.field_stats(d, ["x", "y"]).collect())
     assert got(df) == [("x", 1, 0.5, 1), ("y", 0, 0.0, 1)] and got(df.limit(0)) == [("x", 0, 0.0, 0), ("y", 0, 0.0, 0)]
+
+
+def heavy_orders(spark, n=4000, days=40):
+    """Half of the rows are of one user, who charges around midnight too, so that restarts run over the ends of days."""
+    rows = spark.range(n).withColumn("k", F.col("id"))
+    # every second order is u0's, some minutes after its last one; the others are spread over a hundred users
+    start = F.expr(f"TIMESTAMP '2025-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(CASE WHEN k % 2 = 0 THEN k DIV 2 * {days * 86400 * 2 // n} ELSE (k * 7919) % {days * 86400} END AS DECIMAL(18,6)))")
+    return rows.select(
+        F.format_string("%06d", "k").alias("order_id"), F.when(F.col("k") % 2 == 0, "u0").when(F.col("k") % 19 == 1, None).otherwise(F.concat(F.lit("u"), (1 + F.col("k") % 100).cast("string"))).alias("user_id"),
+        (F.col("k") % 16 < 14).cast("string").alias("station_id"), start.alias("start_ts"), (start + F.expr("make_dt_interval(0, 0, CAST(20 + k % 17 AS INT), 0)")).alias("end_ts"),
+    )
+
+
+def test_heavy_user_is_parted_by_day(spark):
+    """One user has half of the rows: the same numbers, gaps and sessions, also of sessions over midnight, and no large task."""
+    df = heavy_orders(spark)
+    heavy = C.heavy_users(df, least=1000)
+    assert [r["_who"] for r in heavy.collect()] == ["=u0"]
+    for by_source in (False, True):
+        rules = V.CleanRules(partition_by_source=by_source)
+        rows = df.withColumn("source_table", F.when(F.col("order_id") % 3 == 0, "a"))
+        some = C.heavy_users(rows, rules, least=500)
+        assert some.count() == 2 if by_source else 1
+        for of in (C.order_sequence, C.restart_sessions):
+            plain = {tuple(r) for r in of(rows, rules).collect()}
+            assert plain == {tuple(r) for r in of(rows, rules, heavy=some).select(*of(rows, rules).columns).collect()}
+            assert len(plain) == df.count()
+    numbered = C.restart_sessions(df, heavy=heavy)
+    nights = numbered.where("user_id = 'u0'").groupBy("session_no").agg(F.count_distinct(F.to_date("start_ts")).alias("d")).where("d > 1").count()
+    assert nights > 0
+    # rows of each part of the windows: none above twice the median of the days
+    parts = [r["n"] for r in C._parts(df, V.CleanRules(), heavy, ("start_ts", "order_id"), ("station_id",), F.month("start_ts")).groupBy("_who", "_part").agg(F.count("*").alias("n")).where("_who = '=u0'").collect()]
+    assert len(parts) == 40 and max(parts) <= 2 * sorted(parts)[20]
+    plan = C.restart_sessions(df, heavy=heavy)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+
+
+def test_no_user_is_heavy_below_the_bounds(spark):
+    df = heavy_orders(spark, 400, 4)
+    assert C.heavy_users(df).count() == 0
+    assert C.heavy_users(df, least=1, share=0.9).count() == 0
+    assert C.heavy_users(df.limit(0), least=1).count() == 0
+    assert C.restart_sessions(df, heavy=C.heavy_users(df)).count() == 400
