@@ -34,12 +34,15 @@ def sequenced(orders: DataFrame) -> DataFrame:
 
 def order_behavior_base(orders: DataFrame, first: str = "2020-01-01", until: str = "2027-01-01") -> DataFrame:
     """Order columns with flags; expects sequenced orders with is_valid as text or boolean: a gap or a reused station reaches back
-    over whatever is filtered out here or before. Bus stations and starts outside [first, until) are left out."""
+    over whatever is filtered out here or before. Bus stations and starts outside [first, until) are left out. Where orders have no
+    source_table, data_year is the natural year; other columns that they lack (user_code, order_source, energy by tariff) are null."""
+    given = lambda c, kind, made=None: F.col(c) if c in orders.columns else F.lit(made).cast(kind)
     rows = exclude_category(orders).where((F.col("start_ts") >= F.lit(first).cast("timestamp")) & (F.col("start_ts") < F.lit(until).cast("timestamp")))
     start, end, hour = F.col("start_ts"), F.col("end_ts"), F.hour("start_ts")
     rows = rows.withColumns({
         "is_valid": S.is_yes(F.col("is_valid")), "abnormal_reason": S.clean_text(F.col("abnormal_reason")), "end_reason_class": S.clean_text(F.col("end_reason_class"), V.UNKNOWN),
         "duration_min": S.round_n(S.seconds_between(start, end) / 60.0, 3), "discount_amount": F.coalesce("discount_amount", F.lit(0.0)),
+        "used_discount": S.is_yes(given("used_discount", "boolean", False)),
     })
     minutes, kwh, paid, off = F.col("duration_min"), F.col("energy_kwh"), F.col("paid_amount"), F.col("discount_amount")
     fault = F.col("end_reason_class").isin(V.END_FAULT)
@@ -50,8 +53,10 @@ def order_behavior_base(orders: DataFrame, first: str = "2020-01-01", until: str
         S.round_n(S.safe_divide(off, F.coalesce(paid, F.lit(0.0)) + off), 4).alias("discount_share"), S.round_n(S.safe_divide(paid, F.when(kwh > 0, kwh)), 4).alias("unit_price"), S.round_n(S.safe_divide(kwh * 60, F.when(minutes > 0, minutes)), 3).alias("power_kw"),
         S.is_weekend(start).alias("is_weekend"), ((hour >= 18) | (hour <= 5)).alias("is_night"), (hour <= 5).alias("is_small_hours"), S.is_cross_day(start, end).alias("is_cross_day"),
         F.coalesce(minutes <= 30, F.lit(False)).alias("is_short"), F.coalesce(minutes > 240, F.lit(False)).alias("is_long"), F.coalesce(kwh >= 40, F.lit(False)).alias("is_high_energy"), F.coalesce(kwh <= 0, F.lit(False)).alias("is_zero"),
-        F.coalesce(F.col("valley_share") >= 0.5, F.lit(False)).alias("valley_order"), (off > 0).alias("used_discount"), (F.col("reuse_station") == V.YES).alias("reused_station"), (~F.col("is_valid")).alias("is_invalid"),
+        F.coalesce(F.col("valley_share") >= 0.5, F.lit(False)).alias("valley_order"), (F.col("used_discount") | (off > 0)).alias("used_discount"), (F.col("reuse_station") == V.YES).alias("reused_station"), (~F.col("is_valid")).alias("is_invalid"),
         (F.col("is_valid") & (~F.col("abnormal_reason").isin("", V.NONE, "None", "null") | fault)).alias("is_risk"), fault.alias("is_fault_end"), F.coalesce(minutes > 240, F.lit(False)).alias("is_overlong"),
+        F.coalesce(S.source_table_year(given("source_table", "string")), F.year(start)).alias("data_year"), F.trim(given("user_code", "string")).alias("user_code"), S.clean_text(given("order_source", "string"), V.UNKNOWN).alias("order_source"),
+        *[S.round_n(given(f"{k}_kwh", "double"), 3).alias(f"{k}_kwh") for k in ("peak", "flat", "valley")],
     )
 
 

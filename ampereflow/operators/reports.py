@@ -107,6 +107,24 @@ def valley_kde(df: DataFrame, grid: int = 21, bandwidth: float = 0.05) -> DataFr
     return counts.crossJoin(F.broadcast(points)).groupBy("x").agg(S.round_n(F.sum(kernel * F.col("n")) / F.sum("n") / (bandwidth * (2 * 3.141592653589793) ** 0.5), 4).alias("density"))
 
 
+def valley_curves(df: DataFrame, categories: tuple[str, ...] = V.CURVES, grid: int = 101, adjust: float = 1.1) -> DataFrame:
+    """Gaussian kernel density of the valley share over all stations and for each category, each with its own bandwidth
+    (``adjust`` * standard deviation * n ** -0.2). A scope of one row or one value has no density: one row with that value as x.
+
+    All rows count; they meet the grid as at most 1001 values a scope, as shares have three places."""
+    scopes = F.array_compact(F.array(F.lit(V.ALL_STATIONS), F.when(F.col("station_category").isin(*categories), F.col("station_category"))))
+    rows = df.where("valley_share BETWEEN 0 AND 1").select(F.explode(scopes).alias("scope"), S.round_n("valley_share", 3).cast("decimal(4,3)").alias("v"))
+    counts = rows.groupBy("scope", "v").agg(F.count("*").alias("c"))
+    n, one, two = F.sum("c").cast("double"), F.sum(F.col("c") * F.col("v")).cast("double"), F.sum(F.col("c") * F.col("v") * F.col("v")).cast("double")
+    spread = F.when(F.count("*") > 1, F.sqrt((two - one * one / n) / (n - 1)))
+    shape = counts.groupBy("scope").agg(n.alias("n"), (spread * F.pow(n, F.lit(-0.2)) * adjust).alias("bw"))
+    rows = counts.join(F.broadcast(shape), "scope").withColumn("v", F.col("v").cast("double"))
+    points = F.when(F.col("bw").isNull(), F.array("v")).otherwise(F.array(*[F.lit(k / (grid - 1)) for k in range(grid)]))
+    rows = rows.select("*", F.explode(points).alias("x"))
+    density = F.sum(F.col("c") * F.exp(-F.pow((F.col("x") - F.col("v")) / F.col("bw"), F.lit(2)) / 2) / (F.col("n") * F.col("bw") * (2 * 3.141592653589793) ** 0.5))
+    return rows.groupBy("scope", "x").agg(S.round_n(density, 4).alias("density"), S.round_n(F.first("bw"), 6).alias("bandwidth"), F.first("n").cast("long").alias("orders"))
+
+
 def monthly_quantiles(df: DataFrame) -> DataFrame:
     return df.groupBy(S.year_month(F.col("start_ts")).alias("month")).agg(S.round_n(F.percentile("duration_min", 0.5), 4).alias("median_min"), S.round_n(F.percentile("duration_min", 0.75), 4).alias("p75_min"))
 
@@ -167,6 +185,28 @@ def yearly_behaviour(df: DataFrame) -> DataFrame:
     return df.groupBy("year").agg(F.count("*").alias("orders"), *period, S.round_n(F.avg((F.col("discount_amount") > 0).cast("int")), 6).alias("coupon_rate"), F.count_if(F.col("end_reason_class") == V.END_FAULT).alias("fault_orders"))
 
 
+def yearly_structure(df: DataFrame, fields: dict[str, str] = {"period": "short_period", "channel": "channel"}) -> DataFrame:  # noqa: B006
+    """Orders and share of each value of several columns by year; blank values are unknown. One pass and one shuffle for all columns."""
+    rows = df.select("year", *[S.clean_text(F.col(c), V.UNKNOWN).alias(k) for k, c in fields.items()]).unpivot(["year"], list(fields), "field", "value")
+    counts = rows.groupBy("year", "field", "value").agg(F.count("*").alias("orders"))
+    return counts.withColumn("share", S.round_n(F.col("orders") / F.sum("orders").over(Window.partitionBy("year", "field")), 6))
+
+
+def yearly_trends(sequenced: DataFrame) -> DataFrame:
+    """By year: orders, mean energy, share of orders with a discount, share of orders at the station of the order before (of those
+    that have both stations)."""
+    known = F.when(F.col("reuse_station").isin(V.YES, V.NO), (F.col("reuse_station") == V.YES).cast("int"))
+    kwh = F.try_divide(F.sum(F.col("energy_kwh").cast("decimal(18,3)")).cast("double"), F.count("energy_kwh"))
+    return sequenced.groupBy("year").agg(F.count("*").alias("orders"), S.round_n(kwh, 4).alias("avg_kwh"), S.round_n(F.avg((F.coalesce("discount_amount", F.lit(0.0)) > 0).cast("int")), 6).alias("coupon_rate"), F.count(known).alias("with_station_before"), S.round_n(F.avg(known), 6).alias("reuse_rate"))
+
+
+def yearly_top_reasons(abnormal: DataFrame, n: int = 10, reason: str = "end_reason") -> DataFrame:
+    """The n commonest reasons of abnormal orders by year (ties by name). Ranks are over counted reasons, not over orders."""
+    counts = abnormal.groupBy(F.year("start_ts").alias("year"), S.clean_text(F.col(reason), V.UNKNOWN).alias("reason")).agg(F.count("*").alias("orders"))
+    rank = F.row_number().over(Window.partitionBy("year").orderBy(F.desc("orders"), "reason"))
+    return counts.withColumn("rank", rank).where(F.col("rank") <= n)
+
+
 def user_frequency_summary(df: DataFrame, many: int = 500) -> DataFrame:
     per = df.groupBy(F.year("start_ts").alias("year"), "user_id").agg(F.count("*").alias("n"))
     return per.groupBy("year").agg(F.count("*").alias("users"), F.max("n").alias("most"), F.min("n").alias("least"), S.round_n(F.avg((F.col("n") >= many).cast("int")), 6).alias("share_many"), S.round_n(F.avg((F.col("n") == 1).cast("int")), 6).alias("share_once"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import values as V
 from ..functions import scalars as S
+from ..operators import assets as A
 from ..operators import cleaning as C
 from ..operators import features as P
 from ..operators import reports as R
@@ -79,6 +80,19 @@ add("tag_source", lambda s, d: L.landing_scan(s, f"{d}/orders.parquet").groupBy(
 add("snapshot_meta", lambda s, d: L.validate_snapshot(O.sessions(s, d), L.snapshot_meta(O.sessions(s, d))), "SELECT count(*) AS n_rows, CAST(sum(raw_orders) AS BIGINT) AS original_orders FROM sessions")
 add("load_station_dims", lambda s, d: C.load_station_dims(O.stations(s, d)), "SELECT * FROM dims")
 add("clean_assets", lambda s, d: R.clean_assets(O.stations(s, d)), f"SELECT {Q.station_key('station_id')} AS station_key, replace(replace(station_type, '（', '('), '）', ')') AS station_type, {Q.category('station_type')} AS category, place FROM station WHERE station_type IS NOT NULL")
+_ASSET = ["station_key", "station_type", "category", "place", "status", "longitude", "latitude", "since", "since_year", "since_month"]
+
+
+def judged_assets(s, d):
+    return A.judge_assets(projection(s, d, "asset"))
+
+
+add("kept_assets", lambda s, d: A.split_assets(judged_assets(s, d))[0].select(*_ASSET), f"SELECT {', '.join(_ASSET)} FROM assets WHERE outcome = 'kept'")
+add("problem_assets", lambda s, d: A.split_assets(judged_assets(s, d))[1].select("station_key", "station_type", "outcome"), "SELECT station_key, station_type, outcome FROM assets WHERE outcome NOT IN ('kept', 'retired')")
+add("asset_log", lambda s, d: A.asset_log(judged_assets(s, d)), "SELECT outcome, count(*) AS assets, count(since) AS dated FROM assets GROUP BY 1")
+add("assets_by_year", lambda s, d: A.assets_by_year(A.split_assets(judged_assets(s, d))[0]), "SELECT since_year, category, status, count(DISTINCT station_key) AS stations FROM assets WHERE outcome = 'kept' GROUP BY ALL")
+_MAPPED = f"SELECT DISTINCT charger_id, {Q.station_key('station_id')} AS station_key, valid_from, valid_to, coalesce(valid_to, (SELECT max(valid_to) FROM mapping)) AS upto FROM mapping"
+add("mapping_periods", lambda s, d: A.mapping_periods(projection(s, d, "mapping")), f"SELECT charger_id, station_key, valid_from, valid_to, CAST(date_diff('month', valid_from, upto) AS INT) AS months, row_number() OVER (PARTITION BY charger_id ORDER BY valid_from DESC, upto DESC, station_key DESC) = 1 AS is_latest, count(*) OVER (PARTITION BY charger_id) AS mappings FROM ({_MAPPED})")
 
 # ---- cleaning
 add("discard_rules", lambda s, d: O.judged(s, d).select("order_id", "discard_code", "discard_reason"), f"SELECT order_id, discard_code, CASE WHEN discard_code = 0 THEN '' ELSE list_extract([{', '.join(map(q, V.DISCARD_REASONS))}], discard_code) END AS discard_reason FROM judged")
@@ -89,6 +103,9 @@ add("tou_allocate", lambda s, d: O.main(s, d).groupBy("charge_date").agg(*[S.rou
 add("abnormal_orders", lambda s, d: C.abnormal_orders(O.main(s, d)).select("order_id", "user_id", "end_reason_class"), f"SELECT order_id, user_id, end_reason_class FROM main WHERE end_reason_class IN ({q(V.END_FAULT)}, {q(V.END_OTHER)})")
 add("order_sequence", lambda s, d: C.order_sequence(O.main(s, d)).select("order_id", "user_id", "user_seq", "user_month_seq", "gap_h", "gap_bucket", "is_first", "reuse_station"), f"SELECT order_id, user_id, user_seq, user_month_seq, gap_h, {Q.gap('gap_h')} AS gap_bucket, user_seq = 1 AS is_first, {Q._REUSE} FROM ({Q._SEQ % 'main'})")
 add("restart_sessions", lambda s, d: C.restart_sessions(O.main(s, d)).select("order_id", "user_id", "session_no"), "SELECT order_id, user_id, CAST(session_no AS BIGINT) AS session_no FROM numbered")
+_PARTED_SEQ = ["order_id", "user_id", "user_seq", "user_month_seq", "gap_h"]
+add("parted_order_sequence", lambda s, d: C.order_sequence(O.day(s, d), heavy=C.heavy_users(O.day(s, d), least=100)).select(*_PARTED_SEQ), f"SELECT {', '.join(_PARTED_SEQ)} FROM ({Q._SEQ % 'charge_day'})")
+add("parted_restart_sessions", lambda s, d: C.restart_sessions(O.main(s, d), heavy=C.heavy_users(O.judged(s, d), least=8)).select("order_id", "user_id", "session_no"), "SELECT order_id, user_id, CAST(session_no AS BIGINT) AS session_no FROM numbered")
 _SESS = ["user_id", "order_id", "station_id", "start_ts", "end_ts", "energy_kwh", "peak_kwh", "flat_kwh", "valley_kwh", "discount_amount", "used_discount", "raw_orders", "duration_min", "is_merged", "valley_share"]
 add("merge_restart_orders", lambda s, d: C.merge_restart_orders(C.restart_sessions(O.main(s, d))).select(*_SESS), f"SELECT {', '.join(_SESS)} FROM sessions1")
 add("clean_sessions", lambda s, d: O.sessions(s, d).select(*_SESS, "user_seq", "user_month_seq", "gap_h", "gap_bucket", "is_first", "reuse_station"), f"SELECT {', '.join(_SESS)}, user_seq, user_month_seq, gap_h, gap_bucket, is_first, reuse_station FROM sessions")
@@ -133,6 +150,20 @@ add("weighted_totals", lambda s, d: C.category_share(O.day(s, d), F.when(F.minut
 # ---- features and scores
 _BASE = ["order_id", "user_id", "hour_label", "duration_min", "discount_share", "unit_price", "power_kw", *Q._FLAGS]
 add("order_behavior_base", lambda s, d: O.base(s, d).select(*_BASE), f"SELECT {', '.join(_BASE)} FROM base")
+
+
+def sourced_orders(s, d):
+    """Orders with what only some landing tables hold: a source table, codes of users, sources of orders, energy by tariff."""
+    minute, kwh = F.minute("start_ts"), F.col("energy_kwh")
+    return O.day(s, d).withColumns({
+        "source_table": F.when(minute % 5 > 0, F.concat(F.lit("y0"), (1 + minute % 2).cast("string"), F.lit("_m03"))), "user_code": F.when(minute % 7 > 0, F.concat(F.lit(" "), "user_id")),
+        "order_source": F.when(minute % 3 > 0, F.col("charge_method")).otherwise(" "), "used_discount": minute % 10 == 0,
+        "peak_kwh": kwh * 0.25, "flat_kwh": F.when(minute % 2 == 0, kwh * 0.5), "valley_kwh": kwh * 0.25,
+    })
+
+
+_SOURCED = ["order_id", "data_year", "natural_year", "user_code", "order_source", "peak_kwh", "flat_kwh", "valley_kwh", "used_discount"]
+add("order_base_sources", lambda s, d: P.order_behavior_base(P.recent_window(P.exclude_category(P.sequenced(sourced_orders(s, d)))), O.FIRST).select(*_SOURCED), f"SELECT order_id, CAST(CASE WHEN m % 5 > 0 THEN 2001 + m % 2 ELSE year(start_ts) END AS INT) AS data_year, CAST(year(start_ts) AS INT) AS natural_year, CASE WHEN m % 7 > 0 THEN user_id END AS user_code, CASE WHEN m % 3 > 0 THEN charge_method ELSE {q(V.UNKNOWN)} END AS order_source, {rnd('energy_kwh * 0.25', 3)} AS peak_kwh, CASE WHEN m % 2 = 0 THEN {rnd('energy_kwh * 0.5', 3)} END AS flat_kwh, {rnd('energy_kwh * 0.25', 3)} AS valley_kwh, m % 10 = 0 OR discount_amount > 0 AS used_discount FROM (SELECT *, minute(start_ts) AS m FROM base)")
 add("recent_window", lambda s, d: P.recent_window(P.exclude_category(O.day(s, d))).select("order_id", "start_ts"), "SELECT order_id, start_ts FROM recent")
 add("order_base_overview", lambda s, d: P.order_base_overview(O.base(s, d)), unpivot({"orders": "count(*)", "users": "count(DISTINCT user_id)", "stations": "count(DISTINCT station_id)", "valid_orders": "count(*) FILTER (valid)", "risk_orders": "count(*) FILTER (is_risk)", "zero_orders": "count(*) FILTER (is_zero)"}, "base"))
 _FD = ["sum_kwh", "avg_kwh", "median_kwh", "avg_minutes", "median_minutes", "avg_power", "avg_valley_share", "sum_paid", "avg_paid", "avg_unit_price", "sum_discount", "avg_discount_share", "avg_gap_h", "median_gap_h"]
@@ -429,5 +460,11 @@ add("drop_cross_year", lambda s, d: R.drop_cross_year(O.day(s, d).withColumn("so
 add("min_group_size", lambda s, d: R.min_group_size(O.day(s, d), F.month("start_ts"), 100).groupBy(F.month("start_ts").alias("month")).agg(F.count("*").alias("orders")), "SELECT month(start_ts) AS month, count(*) AS orders FROM charge_day GROUP BY 1 HAVING count(*) >= 100")
 add("analysis_summary", lambda s, d: R.analysis_summary(O.valid(s, d)), unpivot({"categories": "count(DISTINCT station_category)", "days": "count(DISTINCT CAST(start_ts AS DATE))", "months": "count(DISTINCT strftime(start_ts, '%Y-%m'))"}, "rep"))
 add("monthly_tier_discount", lambda s, d: R.monthly_tier_discount(O.day(s, d)), "SELECT *, CASE WHEN kwh <= 50 THEN 99 WHEN kwh <= 100 THEN 95 WHEN kwh <= 200 THEN 90 WHEN kwh <= 300 THEN 85 ELSE 80 END AS pay_percent FROM (SELECT user_id, strftime(start_ts, '%Y-%m') AS month, CAST(sum(CAST(energy_kwh AS DECIMAL(18,3))) AS DOUBLE) AS kwh FROM charge_day GROUP BY ALL)")
+_CURVE = f"SELECT scope, v, count(*) AS c FROM (SELECT {q(V.ALL_STATIONS)} AS scope, CAST(round(valley_share, 3) AS DECIMAL(4,3)) AS v FROM rep WHERE valley_share BETWEEN 0 AND 1 UNION ALL SELECT station_category, CAST(round(valley_share, 3) AS DECIMAL(4,3)) FROM rep WHERE valley_share BETWEEN 0 AND 1 AND station_category IN ({', '.join(map(q, V.CURVES))})) GROUP BY ALL"
+_SHAPE = f"SELECT scope, CAST(sum(c) AS DOUBLE) AS n, 1.1 * power(sum(c), -0.2) * sqrt((CAST(sum(c * v * v) AS DOUBLE) - power(CAST(sum(c * v) AS DOUBLE), 2) / sum(c)) / (sum(c) - 1)) AS bw FROM ({_CURVE}) GROUP BY scope"
+add("valley_curves", lambda s, d: R.valley_curves(O.valid(s, d)), f"SELECT scope, x, {rnd('sum(c * exp(-power((x - v) / bw, 2) / 2) / (n * bw * sqrt(2 * pi())))')} AS density, {rnd('any_value(bw)', 6)} AS bandwidth, CAST(any_value(n) AS BIGINT) AS orders FROM (SELECT scope, CAST(v AS DOUBLE) AS v, c FROM ({_CURVE})) JOIN ({_SHAPE}) USING (scope) CROSS JOIN (SELECT unnest(range(101)) / 100.0 AS x) GROUP BY scope, x")
+add("yearly_structure", lambda s, d: R.yearly_structure(O.valid(s, d)), f"SELECT year, field, value, count(*) AS orders, {rnd('count(*) / CAST(sum(count(*)) OVER (PARTITION BY year, field) AS DOUBLE)', 6)} AS share FROM (SELECT year, 'period' AS field, short_period AS value FROM rep UNION ALL SELECT year, 'channel', channel FROM rep) GROUP BY year, field, value")
+add("yearly_trends", lambda s, d: R.yearly_trends(O.valid(s, d)), f"SELECT year, count(*) AS orders, {rnd('CAST(sum(CAST(energy_kwh AS DECIMAL(18,3))) AS DOUBLE) / count(energy_kwh)')} AS avg_kwh, {rnd('avg(CASE WHEN discount_amount > 0 THEN 1.0 ELSE 0.0 END)', 6)} AS coupon_rate, count(*) FILTER (reuse_station IN ({q(V.YES)}, {q(V.NO)})) AS with_station_before, {rnd(f'avg(CASE reuse_station WHEN {q(V.YES)} THEN 1.0 WHEN {q(V.NO)} THEN 0.0 END)', 6)} AS reuse_rate FROM rep GROUP BY 1")
+add("yearly_top_reasons", lambda s, d: R.yearly_top_reasons(C.abnormal_orders(O.main(s, d)), 3), f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY year ORDER BY orders DESC, reason) AS rank FROM (SELECT year(start_ts) AS year, coalesce(nullif(trim(end_reason), ''), {q(V.UNKNOWN)}) AS reason, count(*) AS orders FROM main WHERE end_reason_class IN ({q(V.END_FAULT)}, {q(V.END_OTHER)}) GROUP BY ALL)) WHERE rank <= 3")
 add("yearly_behaviour", lambda s, d: R.yearly_behaviour(O.valid(s, d)), "SELECT year, count(*) AS orders, " + ", ".join(f"{rnd(f'avg(CASE WHEN short_period = {q(p)} THEN 1.0 ELSE 0.0 END)', 6)} AS share_{k}" for k, p in enumerate(V.SHORT_PERIODS)) + f", {rnd('avg(CASE WHEN discount_amount > 0 THEN 1.0 ELSE 0.0 END)', 6)} AS coupon_rate, count(*) FILTER (end_reason_class = {q(V.END_FAULT)}) AS fault_orders FROM rep GROUP BY 1")
 add("user_frequency_summary", lambda s, d: R.user_frequency_summary(O.day(s, d), 50), f"SELECT year, count(*) AS users, max(n) AS most, min(n) AS least, {rnd('avg(CASE WHEN n >= 50 THEN 1.0 ELSE 0.0 END)', 6)} AS share_many, {rnd('avg(CASE WHEN n = 1 THEN 1.0 ELSE 0.0 END)', 6)} AS share_once FROM (SELECT year(start_ts) AS year, user_id, count(*) AS n FROM charge_day GROUP BY ALL) GROUP BY 1")

@@ -175,6 +175,9 @@ BLOCKS = {
     "charge_raw": fixtures.CHARGE_RAW,
     "station": fixtures.STATION,
     "bridge": fixtures.BRIDGE,
+    "asset": fixtures.ASSET,
+    "mapping": fixtures.MAPPING,
+    "assets": f"SELECT *, CASE WHEN status = {q(V.RETIRED)} THEN 'retired' WHEN station_key IS NULL THEN 'no key' WHEN station_type IS NULL THEN 'no type' WHEN (lon IS NOT NULL AND longitude IS NULL) OR (lat IS NOT NULL AND latitude IS NULL) THEN 'bad place' ELSE 'kept' END AS outcome FROM (SELECT *, CASE WHEN abs(TRY_CAST(lon AS DOUBLE)) <= 180 THEN TRY_CAST(lon AS DOUBLE) END AS longitude, CASE WHEN abs(TRY_CAST(lat AS DOUBLE)) <= 90 THEN TRY_CAST(lat AS DOUBLE) END AS latitude, year(since) AS since_year, strftime(since, '%Y-%m') AS since_month FROM (SELECT {station_key('station_id')} AS station_key, replace(replace(station_type, '（', '('), '）', ')') AS station_type, {category('station_type')} AS category, place, coalesce(nullif(trim(status), ''), {q(V.UNKNOWN)}) AS status, nullif(trim(longitude), '') AS lon, nullif(trim(latitude), '') AS lat, TRY_CAST(trim(since) AS DATE) AS since FROM asset))",
     "typed": f"SELECT order_id, {nt('user_id')} AS user_id, {station_key('station_id')} AS station_id, status, TRY_CAST(start_time AS TIMESTAMP) AS start_ts, TRY_CAST(end_time AS TIMESTAMP) AS end_ts, CAST(kwh AS DOUBLE) AS kwh, CAST(meter_kwh AS DOUBLE) AS meter_kwh, CAST(ef AS DOUBLE) AS ef, CAST(sf AS DOUBLE) AS sf, CAST(flat_kwh AS DOUBLE) AS raw_flat, end_reason, channel FROM charge_raw",
     "judged": f"SELECT *, {case([(r, k) for k, r in enumerate(_RULES, 1)], 0)} AS discard_code FROM (SELECT *, {_N('kwh')} AS k0, {_N('meter_kwh')} AS m0, {_N('ef')} AS e0, {_N('sf')} AS s0, {_N('raw_flat')} AS f0, epoch(end_ts) - epoch(start_ts) AS secs FROM typed)",
     "main0": f"SELECT order_id, user_id, station_id, status, start_ts, end_ts, secs, ef, sf, end_reason, channel, {rnd('coalesce(kwh, meter_kwh)', 3)} AS energy_kwh, date_trunc('day', start_ts) AS d0, {_NEXT} AS d1, {_END0} AS e0_ts, {_START1} AS s1_ts FROM judged WHERE discard_code = 0",

@@ -74,7 +74,22 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey
 
 BRIDGE = "SELECT 'u' || CAST(s_suppkey AS STRING) AS station_uuid, CAST(s_suppkey AS STRING) AS station_code FROM supplier WHERE s_suppkey % 2 = 0"
 
-_TABLES = {"charge_day": (CHARGE_DAY, ("lineitem", "orders")), "charge_raw": (CHARGE_RAW, ("events",)), "station": (STATION, ("supplier", "nation")), "bridge": (BRIDGE, ("supplier",))}
+ASSET = """
+SELECT CASE s_suppkey % 3 WHEN 0 THEN 'STATION-' WHEN 1 THEN 'station-' ELSE ' ' END || CAST(s_suppkey AS STRING) AS station_id,
+       CASE s_suppkey % 6 WHEN 0 THEN '高速' WHEN 1 THEN '城市公共' WHEN 2 THEN '单位内部(专用)' WHEN 3 THEN '公交' WHEN 4 THEN '岸电' END AS station_type,
+       n_name AS place, CASE s_suppkey % 9 WHEN 0 THEN ' 退运 ' WHEN 1 THEN '待投运' WHEN 2 THEN '停运' WHEN 3 THEN ' ' ELSE '在运' END AS status,
+       CASE WHEN s_suppkey % 13 = 0 THEN NULL WHEN s_suppkey % 11 = 0 THEN 'E120' ELSE CAST(s_suppkey % 200 AS STRING) END AS longitude,
+       CAST(s_nationkey * 3 AS STRING) AS latitude, CASE WHEN s_suppkey % 8 = 0 THEN '待定' ELSE CAST(CAST(since AS DATE) AS STRING) END AS since
+FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN (SELECT l_suppkey, min(l_shipdate) AS since FROM lineitem GROUP BY l_suppkey) ON l_suppkey = s_suppkey
+"""
+
+MAPPING = """
+SELECT 'station-' || CAST(l_suppkey AS STRING) AS station_id, CAST(l_partkey AS STRING) AS charger_id, CAST(min(l_shipdate) AS DATE) AS valid_from,
+       CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE CAST(max(l_shipdate) AS DATE) END AS valid_to
+FROM lineitem GROUP BY l_suppkey, l_partkey
+"""
+
+_TABLES = {"asset": (ASSET, ("supplier", "nation", "lineitem")), "mapping": (MAPPING, ("lineitem",)), "charge_day": (CHARGE_DAY, ("lineitem", "orders")), "charge_raw": (CHARGE_RAW, ("events",)), "station": (STATION, ("supplier", "nation")), "bridge": (BRIDGE, ("supplier",))}
 
 
 def projection(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,6 +10,9 @@ NULL_TEXTS = ("", "nan", "NaN", "None", "NONE", "无", "无效")
 YES_TEXTS = ("是", "true", "1", "yes", "y")
 WEEKDAYS = ("星期一", "星期二", "星期三", "星期四", "星期五", "星期六", "星期日")
 PERIODS = ("凌晨（0:00-5:59）", "上午（6:00-11:59）", "下午（12:00-17:59）", "晚上（18:00-23:59）")
+RETIRED = "退运"  #: status of stations that are left out
+ALL_STATIONS = "全部场站"
+CURVES = ("公共场站", "高速")  #: categories that have a density curve beside that of all stations
 SHORT_PERIODS = ("凌晨", "上午", "下午", "晚上")
 CATEGORIES = ("高速", "公共场站", "专用场站", "公交场站", "其他")
 CATEGORY_PRIORITY = ("高速", "公交场站", "专用场站", "公共场站", "其他")
