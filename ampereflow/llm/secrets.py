@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,6 +17,8 @@ KINDS = ("assign", "access", "hex", "dense")
 #: Characters per token below which a mixed string counts as random.
 RATIO = 2.2
 LEAST = 20  #: characters of a string that is tried
+#: The same limit for letters alone, below which words of long-worded languages do not fall, and the fewest different letters.
+LETTERS_RATIO, LETTERS = 2.0, 8
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -34,45 +36,59 @@ _IDENTIFIER = re.compile(
 )
 _SLUG = re.compile(r"[a-z0-9]+(?:[_-][a-z0-9]+)*")  # of lower-case letters and digits
 _ADDRESS = re.compile(r"://|(?<![A-Za-z0-9])www\.", re.IGNORECASE)
-_REACH = 4000  #: characters before and after a string in which the address around it is looked for
+_CHUNK = re.compile(r"\S+")
 
 
 def _mixed(word: str) -> bool:
     return any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
 
 
-def _address(text: str, s: int) -> int:
-    """Where the address around place s starts, behind its scheme or www., or -1."""
-    low = max(0, s - _REACH)
-    before = text[low : s + 2]  # a string may start with the slashes of its scheme
-    for k in range(min(len(before), s - low) - 1, -1, -1):
-        if before[k].isspace():
-            before, low = before[k + 1 :], low + k + 1
-            break
-    m = _ADDRESS.search(before)
-    return low + m.end() if m and (m[0] != "://" or before[: m.start()][-1:].isalnum()) else -1
-
-
-def _parts(text: str, host: int, s: int, e: int):
-    """(start, end, is a path segment) of the userinfo, path segments and query values between s and e of an address whose host or
-    userinfo starts at ``host``."""
-    at = max(s, host)
-    while at < e:
-        before = text[host:at]
-        query = "?" in before or "#" in before
-        end = next((k for k in range(at, e) if text[k] == "=" and text[k + 1 : e].strip("=") or text[k] == "/" and not query), e)
-        if query or "/" in before:
-            yield at, end, not query
-        elif "@" in re.match(r"[^/?#\s]*", text[end : end + _REACH])[0]:
-            yield at, end, False
-        at = end + 1
+def _tried(word: str) -> bool:
+    """Letters and digits, or letters only without a break: words joined by marks are names."""
+    return any(c.isalpha() for c in word) and (word.isalpha() or any(c.isdigit() for c in word))
+
+
+class _Addresses:
+    """The addresses of a text, found in one pass: a chunk without white space that holds a scheme or www., from there to its end.
+    However long an address is, its parts are found alike, each in time of its own length."""
+
+    def __init__(self, text: str):
+        self.text, self.found = text, []  # (behind the scheme, end, first slash, first ? or #, last @ of the authority)
+        if "://" not in text and "www." not in text.lower():
+            return
+        for chunk in _CHUNK.finditer(text):
+            m = _ADDRESS.search(text, *chunk.span())
+            if m and (m[0] != "://" or text[chunk.start() : m.start()][-1:].isalnum()):
+                host, end = m.end(), chunk.end()
+                first = lambda c, host=host, end=end: at if (at := text.find(c, host, end)) >= 0 else end
+                slash, query = first("/"), min(first("?"), first("#"))
+                self.found.append((host, end, slash, query, text.rfind("@", host, min(slash, query))))
+        self.hosts = [x[0] for x in self.found]
+
+    def around(self, s: int):
+        """The address in which a string lies that starts at s, perhaps with the slashes of the scheme, or None."""
+        k = bisect_right(self.hosts, s + 2) - 1 if self.found else -1
+        return self.found[k] if k >= 0 and s < self.found[k][1] else None
+
+    def parts(self, address, s: int, e: int):
+        """(start, end, is a path segment) of the userinfo, path segments and query values between s and e."""
+        host, _, slash, query, sign = address
+        asked, last = query < s, s + len(self.text[s:e].rstrip("="))  # closing equal signs belong to the value
+        at = max(s, host)
+        cuts = [k for k in range(at, e) if self.text[k] == "=" and last > k + 1 or self.text[k] == "/" and not asked]
+        for end in [*cuts, e]:
+            if at < e and (asked or slash < at):
+                yield at, end, not asked
+            elif at < e and sign >= end:
+                yield at, end, False
+            at = end + 1
 
 
 def spans_of(text: str, encode, ratio: float = RATIO) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points by start, then kind as listed.
 
-    Tried for their ratio are strings of LEAST and more characters with both letters and digits: strings of letters only count as
-    words or names, of digits only as numbers."""
+    Tried for their ratio are strings of LEAST and more characters with letters and digits, or of letters alone without a mark
+    between them (in addresses: letters and digits only, as path segments and values of letters are words)."""
     found = []
     low = text.lower()
     if any(w in low for w in _WORDS):
@@ -89,22 +105,25 @@ def spans_of(text: str, encode, ratio: float = RATIO) -> list[tuple[str, int, in
         k = bisect_left(base, (b, 0))
         return k > 0 and ends[k - 1] > a
 
+    addresses = _Addresses(text)
     for m in _TRIED.finditer(text):
         word, (s, e) = m[0], m.span()
-        if not _mixed(word):
+        if not _tried(word):
             continue
         if text[max(0, s - 8) : s].lower().endswith((";base64,",)):
             continue  # data inside a data: address
-        host = _address(text, s)
-        if host >= 0:
-            parts = [(a, b) for a, b, segment in _parts(text, host, s, e) if b - a >= LEAST and _mixed(text[a:b]) and not (segment and _SLUG.fullmatch(text, a, b))]
+        address = addresses.around(s)
+        if address:
+            parts = [(a, b) for a, b, segment in addresses.parts(address, s, e) if b - a >= LEAST and _mixed(text[a:b]) and not (segment and _SLUG.fullmatch(text, a, b))]
         else:
             parts = [] if text[s - 1 : s] == "@" else [(s, e)]
         for a, b in parts:
             word = text[a:b]
             if covered(a, b) or _DIGEST.fullmatch(word) or _IDENTIFIER.fullmatch(word):
                 continue
-            if len(word) < ratio * len(encode(word)):
+            if word.isalpha() and not LETTERS <= len(set(word.lower())) < len(word):
+                continue  # a sequence of few letters, or an alphabet
+            if len(word) < (min(ratio, LETTERS_RATIO) if word.isalpha() else ratio) * len(encode(word)):
                 found.append(("dense", a, b))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 

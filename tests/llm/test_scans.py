@@ -1,5 +1,6 @@
 """Decontamination, secret scan and line dedup against brute force, and their edge cases."""
 
+import random
 import re
 from collections import Counter
 
@@ -144,6 +145,76 @@ def test_secrets_in_addresses(spark):
     assert got == dict(enumerate([*found.values(), *([] for _ in none)]))
 
 
+def plain_dense(text, encode):
+    """Strings that need many tokens, one character at a time: the address around each string is looked for anew."""
+    base, out = plain_spans(text), []
+    tried = lambda x: any(c.isalpha() for c in x) and any(c.isdigit() for c in x)
+    for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
+        s, e = m.span()
+        if e - s < secrets.LEAST or text[max(0, s - 8) : s].lower() == ";base64,":
+            continue
+        low = s
+        while low and not text[low - 1].isspace():
+            low -= 1
+        before = text[low : min(s + 2, e)]
+        scheme = re.search(r"://|(?<![A-Za-z0-9])www\.", before, re.IGNORECASE)
+        if scheme and (scheme[0] != "://" or before[: scheme.start()][-1:].isalnum()):
+            host, parts, at = low + scheme.end(), [], max(s, low + scheme.end())
+            while at < e:
+                gone = text[host:at]
+                asked = "?" in gone or "#" in gone
+                end = at
+                while end < e and not (text[end] == "=" and text[end + 1 : e].strip("=") or text[end] == "/" and not asked):
+                    end += 1
+                slug = re.fullmatch("[a-z0-9]+(?:[_-][a-z0-9]+)*", text[at:end])
+                if (asked or "/" in gone or "@" in re.match(r"[^/?#\s]*", text[end:])[0]) and tried(text[at:end]) and (asked or "/" not in gone or not slug):
+                    parts.append((at, end))
+                at = end + 1
+        else:
+            parts = [] if text[s - 1 : s] == "@" or not (text[s:e].isalpha() or tried(text[s:e])) else [(s, e)]
+        for a, b in parts:
+            word = text[a:b]
+            if b - a < secrets.LEAST or any(x < b and y > a for _, x, y in base) or secrets._DIGEST.fullmatch(word) or secrets._IDENTIFIER.fullmatch(word):
+                continue
+            kinds = len(set(word.lower()))
+            if b - a < len(encode(word)) * (2.0 if word.isalpha() else 2.2) and not (word.isalpha() and (kinds < 8 or kinds == b - a)):
+                out.append(("dense", a, b))
+    return out
+
+
+def test_dense_spans_equal_brute_force():
+    import public_tokenizers
+
+    from ampereflow.llm.tokens import encoder
+
+    encode, draw, n = encoder(public_tokenizers.path("byte_bpe_50k.tiktoken")).encode_ordinary, random.Random(5), 0
+    bits = ["/", "?", "&", "=", "==", "#", "@", ":", "-", "_", "http://", "www.", " ", "\n", ".", "q9Zx7Kp2Lm4Vt8Rw3Yb6Nc1Jd5Hf", "Xw3Rt9Lp0Qz5Vb8Nm2Ks7Jd4", "a1b2c3d4e5f6g7h8i9j0k1", "token=", "/ab1", "example.org", ";base64,", "xkqzvbnwplfjthgrmdcs", "XqWzJvKpYtRbNmLgHfDsCx"]
+    for k in range(4000):
+        text = ("see https://" if k % 2 else "") + "".join(draw.choice(bits) for _ in range(draw.randint(2, 14)))
+        got = [x for x in secrets.spans_of(text, encode) if x[0] == "dense"]
+        assert got == plain_dense(text, encode), text
+        n += len(got)
+    assert n > 1000
+
+
+def test_letters_alone_and_long_addresses():
+    import public_tokenizers
+
+    from ampereflow.llm.tokens import encoder
+
+    encode, draw = encoder(public_tokenizers.path("byte_bpe_50k.tiktoken")).encode_ordinary, random.Random(3)
+    dense = lambda t: [t[s:e] for k, s, e in secrets.spans_of(t, encode) if k == "dense"]
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        made = ["".join(draw.choice(letters) for _ in range(32)) for _ in range(200)]
+        assert sum(dense(f"key {w} end") == [w] for w in made) >= 190
+    words = "Donaudampfschifffahrtsgesellschaft internationalization NSURLSessionConfiguration lentokonesuihkuturbiinimoottori abcdefghijklmnopqrstuvwxyz ACGTTGCATGCCATGACGTTAGCAAT hahahahahahahahahaha Verkehrsinfrastrukturfinanzierungsgesellschaft getUserAuthenticationTokenFromRequest"
+    assert dense(words) == [] and dense("https://example.org/" + words.replace(" ", "/")) == []
+    # the answer does not hang on how far a string is from the start of its address
+    secret, host = "q9Zx7Kp2Lm4Vt8Rw3Yb6Nc1Jd5Hf", "a1b2c3d4e5f6g7h8i9j0k1"
+    for n in (10, 1000, 5000, 400_000):
+        assert dense(f"https://{secret}.org" + "/ab1" * n + f"/{host}/{secret}") == [secret]
+
+
 def plain_units(text, least):
     """(first word, last word + 1, start, end, words) of the fewest pieces from each piece on that hold ``least`` words."""
     pieces, at, n = [], 0, 0
