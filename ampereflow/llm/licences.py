@@ -44,6 +44,16 @@ FAMILIES = {
     "CC0": (["CC0 1.0", "CC0 1.0 Universal Public Domain Dedication"], ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"]),
     "Unlicense": (["The Unlicense", "Unlicense"], ["This is free and unencumbered software released into the public domain"]),
 }
+# fixed values: short identifiers of licences
+SPDX = {
+    "MIT": ("MIT",), "Apache-2.0": ("Apache-2.0",), "GPL": ("GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "GPL-2.0", "GPL-3.0"),
+    "LGPL": ("LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "LGPL-2.1", "LGPL-3.0"), "AGPL": ("AGPL-3.0-only", "AGPL-3.0-or-later", "AGPL-3.0"),
+    "BSD": ("BSD-2-Clause", "BSD-3-Clause"), "MPL-2.0": ("MPL-2.0",), "CC-BY": ("CC-BY-3.0", "CC-BY-4.0"), "CC-BY-SA": ("CC-BY-SA-3.0", "CC-BY-SA-4.0"),
+    "CC-BY-NC": ("CC-BY-NC-3.0", "CC-BY-NC-4.0"), "CC0": ("CC0-1.0",), "Unlicense": ("Unlicense",),
+}
+TAG = "SPDX-License-Identifier"
+OTHER_TAGS = ("ISC", "Zlib", "EPL-2.0", "BSL-1.0", "WTFPL", "Artistic-2.0", "LicenseRef-Acme", "LicenseRef-Proprietary", "NONE", "NOASSERTION")
+MARKS = ("", "# ", "// ", "* ", "-- ")
 LEADS = ("Licensed under the {}.", "Licensed under {}.", "Released under the {}.", "This work is licensed under the {}.", "This work is licensed under {}.", "Distributed under the terms of the {}.", "This software is available under the {}.", "The code is covered by the {} and nothing else.", "{}", "See LICENSE for the {} that applies to this project.")
 DECOYS = ("house rules of the club", "Acme Commercial Agreement", "driving licence office", "general public library", "terms of service", "version 2.0 of the manual", "attribution rules", "free software day", "public domain", "liquor license board", "software license agreement", "fishing license", "End User License Agreement", "Company License, version 3", "Example Public License", "permission of the author", "All rights reserved", "copyright holders")
 
@@ -65,7 +75,7 @@ def grams(words: Column, least: int = 1, most: int = GRAMS) -> Column:
 def _anchors() -> set[str]:
     """Words of licence names, and long words of licence sentences: every n-gram of the model holds one."""
     words = lambda texts, least: {w for t in texts for w in re.findall("[a-z0-9]+(?:[.-][a-z0-9]+)*", t.lower()) if len(w) >= least}
-    return {"license", "licence", "licensed"}.union(*[words(names, 3) | words(bodies, 7) for names, bodies in FAMILIES.values()])
+    return {"license", "licence", "licensed", TAG.lower()}.union(*[words(names, 3) | words(bodies, 7) for names, bodies in FAMILIES.values()])
 
 
 @dataclass
@@ -88,14 +98,21 @@ def _similarity(words: Column, templates: Column) -> Column:
     return F.coalesce(F.array_max(F.transform(templates, share)), F.lit(0.0))
 
 
+def templates_of() -> dict[str, list[str]]:
+    """The texts that confirm a family: names, sentences, identifiers behind their tag."""
+    return {f: [*names, *bodies, *(f"{TAG}: {tag}" for tag in SPDX[f])] for f, (names, bodies) in FAMILIES.items()}
+
+
 def made_paragraphs() -> list[list]:
-    """(class, text): names in their usual phrases, sentences alone and with a name before or behind; decoys as class 0."""
+    """(class, text): names in their usual phrases, sentences alone and with a name before or behind, identifiers behind their tag;
+    decoys and other identifiers as class 0."""
     out = []
-    for k, (names, bodies) in enumerate(FAMILIES.values(), 1):
+    for k, (family, (names, bodies)) in enumerate(FAMILIES.items(), 1):
         phrases = [lead.format(name) for name in names for lead in LEADS]
         out += [[k, x] for x in phrases] + [[k, f"{a} {b}" if n % 2 else f"{b} {a}"] for b in bodies for n, a in enumerate(phrases)]
         out += [[k, f"{mark}{b}{mark}"] for b in bodies for mark in ("", " ", ".", "* ", "# ", "// ", "-- ", "\" ")]
-    return out + [[0, lead.format(name)] for name in DECOYS for lead in LEADS]
+        out += [[k, f"{mark}{TAG}: {tag}"] for tag in SPDX[family] for mark in MARKS]
+    return out + [[0, lead.format(name)] for name in DECOYS for lead in LEADS] + [[0, f"{mark}{TAG}: {tag}"] for tag in OTHER_TAGS for mark in MARKS]
 
 
 def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> LicenceModel:
@@ -111,7 +128,7 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = materialize(rows.unionAll(drawn).select("label", tokens(F.col("line")).alias("words"), (F.pmod(F.xxhash64("line"), F.lit(5)) == 0).alias("apart")).coalesce(1), "licence-rows")
     word_sets = rows.groupBy((F.col("label") > 0).alias("named")).agg(F.array_distinct(F.flatten(F.collect_set("words"))).alias("w"), F.count("*").alias("n"))
     known = {r["named"]: set(r["w"]) for r in word_sets.collect()}
-    telling = sorted(w for w in _anchors() & known[True] if w not in known.get(False, set()) or w.startswith("licen"))
+    telling = sorted(w for w in _anchors() & known[True] if w not in known.get(False, set()) or "licen" in w)
     held = F.filter(grams(F.col("words")), lambda g: F.arrays_overlap(F.split(g, " "), _literal(telling, "array<string>")))
     share = F.lit(1.0) / F.count("*").over(Window.partitionBy("label"))
     rows = materialize(rows.select("label", "apart", held.alias("grams")).withColumn("share", share).coalesce(1), "licence-grams")
@@ -150,7 +167,8 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _paragraphs(docs: DataFrame, id_col: str, text_col: str, cover: list[str]) -> DataFrame:
     """(_id, place, kind, line, start, end, body): the lines that hold a word of cover, and the paragraphs that such lines make with
-    what stands between them (line breaks as they are). Rows of one paragraph have the same place."""
+    what stands between them (line breaks as they are). Rows of one paragraph have the same place,
+    all between two blank lines the same block."""
     holds = lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(w)) for w in cover], F.lit(False))
     # the lower-cased text is generated, so that it is made once and not once for each word that is looked for
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
@@ -166,13 +184,13 @@ def _paragraphs(docs: DataFrame, id_col: str, text_col: str, cover: list[str]) -
     new = F.col("hold") & F.coalesce((F.col("line") - F.col("last.line") > NEAR) | (F.col("blanks") != F.col("last.blanks")), F.lit(True))
     lines = lines.withColumn("place", F.sum(new.cast("int")).over(upto)).where(F.col("hold") | (F.col("line") - F.col("here.line") < NEAR) & (F.col("blanks") == F.col("here.blanks")))
     part = F.struct("line", "start", "body", "hold")
-    found = lines.groupBy("_id", "row", "place").agg(F.array_sort(F.collect_list(part)).alias("l"), F.max(F.when(F.col("hold"), F.col("line"))).alias("to"))
+    found = lines.groupBy("_id", "row", "place").agg(F.array_sort(F.collect_list(part)).alias("l"), F.min("blanks").alias("blanks"), F.max(F.when(F.col("hold"), F.col("line"))).alias("to"))
     found = found.withColumn("l", F.filter("l", lambda x: x["line"] <= F.col("to")))
     unit = lambda kind, line, start, body: F.struct(F.lit(kind).alias("kind"), line.alias("line"), start.cast("int").alias("start"), body.alias("body"))
     whole = F.when(F.size("l") > 1, F.array(unit("paragraph", F.col("l")[0]["line"], F.col("l")[0]["start"], F.array_join(F.transform("l", lambda x: x["body"]), "\n"))))
     single = F.transform(F.filter("l", lambda x: x["hold"]), lambda x: unit("line", x["line"], x["start"], x["body"]))
-    found = found.select("_id", F.struct("row", "place").alias("place"), F.explode(F.concat(F.coalesce(whole, F.filter(single, lambda x: F.lit(False))), single)).alias("u"))
-    return found.select("_id", "place", "u.*").withColumn("end", F.col("start") + F.length("body"))
+    found = found.select("_id", F.struct("row", "place").alias("place"), F.struct("row", "blanks").alias("block"), F.explode(F.concat(F.coalesce(whole, F.filter(single, lambda x: F.lit(False))), single)).alias("u"))
+    return found.select("_id", "place", "block", "u.*").withColumn("end", F.col("start") + F.length("body"))
 
 
 def licence_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: LicenceModel | None = None) -> DataFrame:
@@ -180,8 +198,9 @@ def licence_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     points), family, probability, template_similarity, predicted (the model's class before confirmation).
 
     Lines with telling words that stand near each other in one paragraph (no blank line between) are read alone and together. Where
-    a line alone is confirmed, the lines are told; else the paragraph, if that is confirmed, as a notice wrapped over lines; else
-    the lines as unknown. family is unknown where the calibrated probability is below CONFIDENT or no template confirms it. Null
+    the paragraph is confirmed and no line alone is confirmed as another family, it is told, as one notice wrapped over lines; else
+    its lines are, those not confirmed as unknown: a notice has one verdict, and a paragraph of two licences one for each line. What
+    stands further on before the next blank line belongs to a notice told before or behind it, and is told only if confirmed. family is unknown where the calibrated probability is below CONFIDENT or no template confirms it. Null
     and empty texts give no rows; null ids and repeated rows pass through; an empty table gives an empty result; other columns are
     ignored.
     """
@@ -195,11 +214,14 @@ def licence_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = rows.withColumn("top", F.array_max("z")).withColumn("at", F.array_position("z", F.col("top")).cast("int"))
     probability = 1 / F.aggregate("z", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))
     rows = rows.withColumn("probability", probability).withColumn("predicted", F.element_at(F.array(*[F.lit(c) for c in model.classes]), F.col("at")))
-    templates = {f: [*names, *bodies] for f, (names, bodies) in FAMILIES.items()}
+    templates = templates_of()
     shapes = F.element_at(_literal(templates, "map<string,array<string>>"), F.col("predicted"))
     rows = rows.withColumn("template_similarity", _similarity(F.col("words"), shapes))
     rows = rows.withColumn("sure", (F.col("probability") >= CONFIDENT) & (F.col("template_similarity") >= CONFIRMED) & (F.col("at") > 1))
     is_line, w = F.col("kind") == "line", Window.partitionBy("place")
-    rows = rows.withColumns({"sure_line": F.bool_or(F.col("sure") & is_line).over(w), "sure_whole": F.bool_or(F.col("sure") & ~is_line).over(w)})
-    rows = rows.where(is_line == (F.col("sure_line") | ~F.col("sure_whole")))
+    whole = F.max(F.when(F.col("sure") & ~is_line, F.col("predicted"))).over(w)  # a place has one paragraph at most
+    rows = rows.withColumn("whole", whole)
+    other = F.bool_or(is_line & F.col("sure") & (F.col("predicted") != F.col("whole"))).over(w)
+    rows = rows.withColumn("as_one", F.col("whole").isNotNull() & ~F.coalesce(other, F.lit(False))).where(is_line != F.col("as_one"))
+    rows = rows.withColumn("noticed", F.bool_or("as_one").over(Window.partitionBy("block"))).where(F.col("sure") | ~F.col("noticed"))
     return rows.select(F.col("_id").alias(id_col), "kind", "line", "start", "end", F.when(F.col("sure"), F.col("predicted")).otherwise(UNKNOWN).alias("family"), "probability", "template_similarity", "predicted")

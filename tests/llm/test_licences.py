@@ -2,6 +2,7 @@
 
 import math
 import re
+import textwrap
 from collections import Counter
 
 from ampereflow.llm import licences
@@ -66,8 +67,8 @@ def plain_rows(text, model):
         z = [(b + sum(h[k] for h in hits)) / model.temperature for k, b in enumerate(model.bias)]
         at = z.index(max(z))
         p = 1 / sum(math.exp(x - max(z)) for x in z)
-        names = [*licences.FAMILIES.values()][at - 1] if at else ([], [])
-        share = max((len(ngrams(toks(t), 2) & ngrams(words, 2)) / len(ngrams(toks(t), 2)) for part in names for t in part), default=0)
+        names = licences.templates_of()[model.classes[at]] if at else []
+        share = max((len(ngrams(toks(t), 2) & ngrams(words, 2)) / len(ngrams(toks(t), 2)) for t in names), default=0)
         return model.classes[at] if at and p >= licences.CONFIDENT and share >= licences.CONFIRMED else licences.UNKNOWN
 
     groups, at, blanks = [], 0, 0
@@ -79,7 +80,7 @@ def plain_rows(text, model):
                 groups.append([])
             groups[-1].append((n, at, blanks))
         at += len(line) + 1
-    out = []
+    out, noticed = [], set()
     for g in groups:
         units = [("line", n, a, lines[n]) for n, a, _ in g]
         first, last = g[0], g[-1]
@@ -87,9 +88,11 @@ def plain_rows(text, model):
             units.append(("paragraph", first[0], first[1], "\n".join(lines[first[0] : last[0] + 1])))
         judged = [(k, n, a, a + len(b), judge(b)) for k, n, a, b in units]
         judged = [x for x in judged if x[4]]
-        whole = not any(x[0] == "line" and x[4] != licences.UNKNOWN for x in judged) and any(x[0] == "paragraph" and x[4] != licences.UNKNOWN for x in judged)
-        out += [x for x in judged if (x[0] == "paragraph") == whole]
-    return out
+        one = {x[4] for x in judged if x[0] == "paragraph"} - {licences.UNKNOWN}
+        whole = bool(one) and {x[4] for x in judged if x[0] == "line"} <= one | {licences.UNKNOWN}
+        out += [(g[0][2], x) for x in judged if (x[0] == "paragraph") == whole]
+        noticed |= {g[0][2]} if whole else set()
+    return [x for block, x in out if x[4] != licences.UNKNOWN or block not in noticed]
 
 
 def test_query_equals_brute_force_with_wrapped_notices(spark):
@@ -107,3 +110,33 @@ def test_query_equals_brute_force_with_wrapped_notices(spark):
     assert families == {-1: {"BSD"}, -2: {"BSD"}, -3: {"MIT", "CC-BY-SA"}, -4: {"GPL"}, -5: {"BSD"}, -6: set(), -7: set(), -8: set(), -9: set()}
     (told,) = [x for x in got if x[0] == -1]
     assert told[1:3] == ("paragraph", 2) and told[3] == len(filler) and told[3] + 60 < told[4] <= told[3] + len(WRAPPED)
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."""
+
+
+def test_one_verdict_a_notice_and_identifiers(spark):
+    """Notices wrapped at three widths, bare and in comments, have one family and nothing unknown; tags are told by identifier."""
+    model = licences.fit_licences(spark.read.parquet(f"{SF}/documents.parquet"))
+    want, texts = {}, {}
+    for family, notice in {"MIT": MIT, "Apache-2.0": APACHE, "GPL": GPL, "BSD": BSD}.items():
+        for width in (76, 50, 30):
+            for mark in ("", "# ", " * "):
+                k = len(texts)
+                texts[k], want[k] = "code before\n\n" + textwrap.fill(notice, width, initial_indent=mark, subsequent_indent=mark) + "\n\ncode behind", family
+    for family, tags in licences.SPDX.items():
+        for tag in tags:
+            k = len(texts)
+            texts[k], want[k] = f"import x\n// SPDX-License-Identifier: {tag}\n\nx.y()", family
+    none = len(texts)
+    texts |= {none: "# SPDX-License-Identifier: ISC", none + 1: "SPDX-License-Identifier: LicenseRef-Other-1", none + 2: "Licensed under the Vexilar Open License, version 9."}
+    rows = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    got = {}
+    for r in licences.licence_paragraphs(rows, model=model).collect():
+        got.setdefault(r["doc_id"], Counter())[r["family"]] += 1
+    several = {k: dict(got.get(k, {})) for k in want if set(got.get(k, ())) != {want[k]}}
+    assert several == {}, {texts[k][:120]: v for k, v in several.items()}
+    assert all(set(got.get(k, ())) <= {licences.UNKNOWN} for k in range(none, none + 3))
