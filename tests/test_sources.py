@@ -52,6 +52,21 @@ def test_counts_read_no_column(spark, tmp_path):
     assert "ReadSchema: struct<>" in plan and "kwh" not in plan
 
 
+def test_names_are_made_once_a_file(spark, tmp_path):
+    for k in ("y26_m1", "y26_m2"):
+        land(spark, str(tmp_path / "land"), k, [("1", 1.0)] * 1000)
+    root = str(tmp_path / "land")
+    files = M.list_sources(spark, root, "folder", "*.parquet")
+    rows = M.read_sources(spark, files, spark.read.parquet(f"{root}/y26_m1").schema, by="folder")
+    scan = L.landing_scan(spark, root, pathGlobFilter="*.parquet")
+    assert rows.columns == ["source_table", "order_id", "kwh"] and {r["source_table"]: r["count"] for r in rows.groupBy("source_table").count().collect()} == {"y26_m1": 1000, "y26_m2": 1000}
+    assert scan.columns == ["source_table", "order_id", "kwh", "source_file"] and scan.where("source_table LIKE 'part_00000%'").count() == 2000
+    for df in (rows, scan, M.facts(spark, files, "folder")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        made = [n for n, line in enumerate(plan) if "regexp_extract" in line]
+        assert made and not any(line.strip(" :+-").startswith("Relation") and "parquet" in line for n in made for line in plan[n + 1 : n + 2])  # not in the step that reads the rows
+
+
 def test_csv_files_of_unlike_headers(spark, tmp_path):
     files = {
         "a.csv": "﻿order_id,kwh,note\n1,2.5,\"two\nlines\"\n2,3.5,x\nbad\n",
