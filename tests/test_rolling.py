@@ -2,6 +2,7 @@
 
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from ampereflow import values as V
@@ -9,6 +10,7 @@ from ampereflow.operators import features as P
 from ampereflow.operators import reports as R
 from ampereflow.operators import rolling as G
 from ampereflow.plans import orders as O
+from ampereflow.plans import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -157,3 +159,24 @@ def test_coupon_rules(spark):
     ]
     own = G.coupon_rules(spark).where("segment_code <> '11'")
     assert G.coupon_assignment(df, own).where("segment_code = '11' AND coupon IS NOT NULL").count() == 0
+
+
+def test_windows_by_parts_shuffle_user_days_only(spark):
+    rows = [(f"U{k % 7}", f"2024-01-{1 + k % 28:02d} 08:00:00", float(k % 50), "") for k in range(200)]
+    orders = spark.createDataFrame(rows, "user_id string, start_ts string, energy_kwh double, station_category string").withColumn("start_ts", F.col("start_ts").cast("timestamp"))
+    daily = spark.createDataFrame(G.user_daily(orders).collect(), G.user_daily(orders).schema)
+    spec = V.Windows(start="2024-01-05")
+    plain, parted = G.rolling_rfm_snapshots(daily, spec), G.rolling_rfm_snapshots(daily, spec, parts=3)
+    assert plain.count() and sorted(plain.collect()) == sorted(parted.collect())
+    plan = G.type_periods(parted)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1
+    periods = G.type_periods(plain)
+    states = lambda windows: sorted(G.four_state(G.high_value_trajectory(periods), windows).collect())
+    assert states(plain) == states(G.last_windows(periods)) and sorted(G.sliding_overview(plain).collect()) == sorted(G.sliding_overview(plain, periods).collect())
+
+
+@pytest.mark.parametrize("name", ["final_segment", "recent_overview", "sliding_overview", "silent_history_detail", "silent_list", "legacy_hv_classes"])
+def test_segment_queries_read_the_orders_once(spark, name):
+    """What they return reads written orders, user-days and periods; the tables behind them are not read again by each branch."""
+    read = {f.split("/")[-1] for f in registry.QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles()}
+    assert read and not read & {"lineitem.parquet", "orders.parquet"}
