@@ -1,5 +1,6 @@
 """Windows, runs, states, lists, preferences on micro tables; the two rolling forms; the segment checks as data test."""
 
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -180,3 +181,23 @@ def test_segment_queries_read_the_orders_once(spark, name):
     """What they return reads written orders, user-days and periods; the tables behind them are not read again by each branch."""
     read = {f.split("/")[-1] for f in registry.QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles()}
     assert read and not read & {"lineitem.parquet", "orders.parquet"}
+
+
+@pytest.mark.parametrize("spec", [V.Windows(), V.Windows(days=30, step=7, horizon=120), V.Windows(days=10, step=3, horizon=25), V.Windows(start="2024-02-03"), V.Windows(days=5, step=1, horizon=200)])
+def test_periods_without_windows(spark, spec):
+    """The same periods as from a row for each user and window, with fewer rows between: days that enter and leave on one date, gaps
+    longer than a window, users who stop early or start late, energy on both sides of every limit."""
+    rng = random.Random(spec.days * 10 + spec.step)
+    rows = []
+    for u in range(120):
+        at, k = rng.randrange(0, 220), 0
+        while at < 240 and k < 150:
+            rows += [(f"U{u}", f"{date(2023, 9, 1) + timedelta(days=at)} {rng.randrange(24):02d}:15:00", rng.choice((5.0, 12.5, 20.0, 31.0, 40.0, 55.5)) if u % 3 else 48.0, "") for _ in range(rng.choice((1, 1, 1, 3)))]
+            at, k = at + rng.choice(((1, 2), (3, 5, 8), (spec.days, 1, spec.days + 1, spec.days - 1), (25, 40, 61), (7, 14, 30))[u % 5]), k + 1
+    orders = spark.createDataFrame(rows, "user_id string, start_ts string, energy_kwh double, station_category string").withColumn("start_ts", F.col("start_ts").cast("timestamp"))
+    daily = spark.createDataFrame(G.user_daily(orders).collect(), G.user_daily(orders).schema)
+    want = G.type_periods(G.rolling_rfm_snapshots(daily, spec))
+    got = G.window_periods(daily, spec)
+    assert got.dtypes == want.dtypes and want.count() > 100
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == sorted(map(tuple, G.window_periods(daily, spec, parts=3).collect()))
+    assert G.window_periods(daily.limit(0), spec).collect() == []
