@@ -201,3 +201,19 @@ def test_periods_without_windows(spark, spec):
     assert got.dtypes == want.dtypes and want.count() > 100
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == sorted(map(tuple, G.window_periods(daily, spec, parts=3).collect()))
     assert G.window_periods(daily.limit(0), spec).collect() == []
+
+
+def test_only_named_columns_of_orders_are_computed(spark):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    orders = O.day(spark, SF)
+    assert "l_extendedprice" in plan(G.user_daily(orders)) and "l_extendedprice" not in plan(O.daily(spark, SF))
+    assert O.day(spark, SF, O.DAYS).exceptAll(orders.select(*O.DAYS)).count() == 0 == orders.select(*O.DAYS).exceptAll(O.day(spark, SF, O.DAYS)).count()
+
+
+@pytest.mark.parametrize("name", ["segment_overview", "core7_segments", "targeting_form"])
+def test_queries_on_segments_write_what_they_need(spark, name, monkeypatch):
+    """Neither the main table is written with all of its columns, nor, for the targeting form, any window or list."""
+    seen, write = {}, O.written
+    monkeypatch.setattr(O, "written", lambda df, label: (seen.update({label: df.columns}), write(df, label))[1])
+    registry.QUERIES[name](spark, SF)
+    assert "main" not in seen and "charger_id" not in seen["day"] and (name != "targeting_form" or set(seen) == {"day"})
