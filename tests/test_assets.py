@@ -10,6 +10,7 @@ from ampereflow import values as V
 from ampereflow.operators import assets as A
 from ampereflow.operators import features as P
 from ampereflow.operators import reports as R
+from ampereflow.plans import registry
 
 ASSET = "station_id string, station_type string, place string, status string, longitude string, latitude string, since string"
 
@@ -31,6 +32,17 @@ def test_mapping_periods(spark):
     assert got == [("a", "1", 2, False, 2), ("a", "2", 10, True, 2), ("b", "3", 13, True, 1)]
 
 
+def test_mapping_periods_in_parts(spark):
+    """The same rows; with parts nothing is grouped or joined in tasks whose number stays while the table grows."""
+    rows = [(str(k % 11), f"c{k % 37}", D(2020, 1, 1 + k % 28), D(2021, 1, 1 + k % 20) if k % 5 else None) for k in range(400)]
+    df = spark.createDataFrame(rows + rows[:50], "station_id string, charger_id string, valid_from date, valid_to date")
+    plain, parted = A.mapping_periods(df), A.mapping_periods(df, parts=7)
+    assert plain.count() and sorted(map(str, plain.collect())) == sorted(map(str, parted.collect()))
+    for got, parts in ((parted, 7), (registry.QUERIES["mapping_periods"](spark, "/root/testdata/sf0.01"), 4)):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "ENSURE_REQUIREMENTS" not in "".join(x for x in plan.splitlines() if "hashpartitioning" in x) and f", {parts}), REPARTITION_BY_NUM" in plan
+
+
 def test_valley_curves_against_plain_sums(spark):
     shares = {"公共场站": [0.1, 0.25, 0.25, 0.9], "高速": [0.5, 0.5], "其他": [0.0, 1.0]}
     rows = [(c, x) for c, xs in shares.items() for x in xs] + [("高速", None), ("公共场站", 1.5)]
